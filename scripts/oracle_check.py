@@ -70,6 +70,14 @@ def main():
         except Exception as e:  # noqa: BLE001
             print(f"FAIL  {name}: duckdb error {str(e)[:300]}")
             continue
+        stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+        dtypes = {d[0]: str(d[1]) for d in res.description}
+        tmap = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                "timestamp_ntz": "TIMESTAMP"}
+        bad = {k: (v, dtypes.get(k)) for k, v in stypes.items() if tmap.get(v, v) != dtypes.get(k)}
+        if bad:
+            print(f"TYPE  {name}: {bad}")
         if sorted(scols) != sorted(dcols):
             print(f"FAIL  {name}: columns spark={scols} duck={dcols}")
             continue

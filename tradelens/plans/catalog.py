@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import shift_months, with_calendar
-from ..operators import enrich, series
+from ..operators import drill, enrich, filters, series
 from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
@@ -179,3 +179,108 @@ def q_rolling_3m(spark, sf_dir):
 def q_rolling_12m(spark, sf_dir):
     _, _, disp = overview(spark, sf_dir)
     return finish(series.rolling(series.monthly_total(disp, KEYS), KEYS, 12))
+
+
+# ----------------------------------------------------------------- drill ---
+DRILL_PARTNERS = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_21"]
+DRILL_YEARS = [1997, 1998, 1999]
+DRILL_MONTHS = [1, 2, 3, 4, 5, 6]
+DRILL_TAGS = ["Nitrogenous (N)", "Phosphatic (P)", "Other Fertilizer"]
+RANK_YEAR = 1999
+
+
+def _drill(spark, sf_dir, **kw):
+    """(YTD-basis rows, full-year rows, stats) over the default six crop years."""
+    return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, **kw)
+
+
+@query("filter_trade")
+def q_filter_trade(spark, sf_dir):
+    df = filter_trade(trade(spark, sf_dir), regions=["Asia", "Europe", "NAM", "LATAM"],
+                      tags=["Nitrogenous (N)", "Potassic (K)", "Mixed / NPK"])
+    return finish(df.select(*RAW_COLUMNS, REGION, COMMODITY_TAG))
+
+
+@query("drill_filter")
+def q_drill_filter(spark, sf_dir):
+    dff, _, _ = _drill(spark, sf_dir, partners=DRILL_PARTNERS, crop_years=DRILL_YEARS,
+                       crop_months=DRILL_MONTHS, tags=DRILL_TAGS, years_back=None, ytd=False)
+    return finish(dff.select(*RAW_COLUMNS, CY, CM, COMMODITY_TAG))
+
+
+@query("drill_months")
+def q_drill_months(spark, sf_dir):
+    dff, _, _ = _drill(spark, sf_dir, crop_months=[1, 2, 3], ytd=False)
+    return finish(dff.select(*RAW_COLUMNS, CY, CM))
+
+
+@query("filter_domains")
+def q_filter_domains(spark, sf_dir):
+    return finish(filters.filter_domains(trade(spark, sf_dir), KEYS, reporter_region="Asia",
+                                         partner_region="Europe"))
+
+
+@query("seasonal_range")
+def q_seasonal_range(spark, sf_dir):
+    return finish(filters.seasonal_range(_cube(spark, sf_dir)[2], 1997, 1999))
+
+
+@query("drill_year_region")
+def q_drill_year_region(spark, sf_dir):
+    return finish(drill.year_region(_drill(spark, sf_dir)[0], KEYS))
+
+
+@query("share_by_year")
+def q_share_by_year(spark, sf_dir):
+    yr = drill.year_region(_drill(spark, sf_dir)[0], KEYS)
+    return finish(yr.select(*KEYS, REGION, "REGION_RANK", CY, CY_LABEL, "SHARE_PCT"))
+
+
+@query("drill_month_region")
+def q_drill_month_region(spark, sf_dir):
+    return finish(drill.month_region(_drill(spark, sf_dir)[0], KEYS).drop("SHARE_PCT"))
+
+
+@query("share_by_month")
+def q_share_by_month(spark, sf_dir):
+    return finish(drill.month_region(_drill(spark, sf_dir)[0], KEYS))
+
+
+@query("drill_month_partner")
+def q_drill_month_partner(spark, sf_dir):
+    return finish(drill.month_partner(_drill(spark, sf_dir)[0], KEYS, by_region=True))
+
+
+@query("drill_year_partner")
+def q_drill_year_partner(spark, sf_dir):
+    return finish(drill.year_partner(_drill(spark, sf_dir)[0], KEYS))
+
+
+@query("drill_top_in_year")
+def q_drill_top_in_year(spark, sf_dir):
+    return finish(drill.top_in_year(_drill(spark, sf_dir)[0], KEYS, RANK_YEAR))
+
+
+@query("top_partners")
+def q_top_partners(spark, sf_dir):
+    return finish(drill.top_partners(_drill(spark, sf_dir)[0], KEYS, 12))
+
+
+@query("partner_share_in_region")
+def q_partner_share_in_region(spark, sf_dir):
+    return finish(drill.partner_share_in_region(_drill(spark, sf_dir)[0], KEYS, 10))
+
+
+@query("top15_with_rest")
+def q_top15_with_rest(spark, sf_dir):
+    return finish(drill.top15_with_rest(_drill(spark, sf_dir)[0], KEYS, 15))
+
+
+@query("monthly_breakdown")
+def q_monthly_breakdown(spark, sf_dir):
+    return finish(drill.monthly_breakdown(_drill(spark, sf_dir)[0], KEYS, 15))
+
+
+@query("rolling_by_region")
+def q_rolling_by_region(spark, sf_dir):
+    return finish(series.rolling_by_region(_drill(spark, sf_dir)[1], KEYS, 12))

@@ -283,3 +283,179 @@ SELECT FLOW AS flow, DATE AS date, round(QTY, 6) AS qty,
        round(CASE WHEN count(QTY) OVER w = {_w} THEN sum(QTY) OVER w END, 6) AS rolling
 FROM mt
 WINDOW w AS (PARTITION BY FLOW ORDER BY DATE ROWS BETWEEN {_w - 1} PRECEDING AND CURRENT ROW)""")
+
+# ----------------------------------------------------------------- drill ---
+DRILL = """,
+rep_ym AS (SELECT FLOW, REPORTER, max(YEAR * 100 + MONTH) AS ym FROM c GROUP BY ALL),
+dcut AS (
+  SELECT FLOW, min(ym) AS common_ym, ((min(ym) % 100 - 7 + 12) % 12) + 1 AS ccm FROM rep_ym GROUP BY FLOW
+),
+dyrs AS (
+  SELECT FLOW, CROP_YEAR_START,
+         row_number() OVER (PARTITION BY FLOW ORDER BY CROP_YEAR_START DESC) AS yr
+  FROM (SELECT DISTINCT FLOW, CROP_YEAR_START FROM c)
+),
+droll AS (SELECT c.* FROM c JOIN dyrs USING (FLOW, CROP_YEAR_START) WHERE yr <= 6),
+dff AS (SELECT droll.* FROM droll JOIN dcut USING (FLOW) WHERE droll.CROP_MONTH_NUM <= dcut.ccm),
+dsel AS (SELECT FLOW, max(CROP_YEAR_START) AS sel_cy FROM dff GROUP BY FLOW),
+dfy AS (SELECT dff.* FROM dff JOIN dsel USING (FLOW) WHERE dff.CROP_YEAR_START = dsel.sel_cy)"""
+
+CYO = "CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year"
+
+
+def _in(col: str, values) -> str:
+    return f"{col} IN (" + ", ".join(repr(v) if isinstance(v, str) else str(v) for v in values) + ")"
+
+
+q("filter_trade", base() + f"""
+SELECT {RAW_OUT}, REGION AS region, COMMODITY_TAG AS commodity_tag FROM enriched
+WHERE REPORTER IS NOT NULL AND PARTNER IS NOT NULL
+  AND {_in('REGION', ['Asia', 'Europe', 'NAM', 'LATAM'])}
+  AND {_in('COMMODITY_TAG', ['Nitrogenous (N)', 'Potassic (K)', 'Mixed / NPK'])}""")
+q("drill_filter", base() + f"""
+SELECT {RAW_OUT}, CROP_YEAR_START AS crop_year_start, CROP_MONTH_NUM AS crop_month_num,
+       COMMODITY_TAG AS commodity_tag
+FROM c
+WHERE {_in('PARTNER', ['NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_8', 'NATION_13', 'NATION_21'])}
+  AND {_in('CROP_YEAR_START', [1997, 1998, 1999])} AND {_in('CROP_MONTH_NUM', [1, 2, 3, 4, 5, 6])}
+  AND {_in('COMMODITY_TAG', ['Nitrogenous (N)', 'Phosphatic (P)', 'Other Fertilizer'])}""")
+q("drill_months", base() + DRILL + f"""
+SELECT {RAW_OUT}, CROP_YEAR_START AS crop_year_start, CROP_MONTH_NUM AS crop_month_num
+FROM droll WHERE CROP_MONTH_NUM IN (1, 2, 3)""")
+q("filter_domains", base() + """
+SELECT DISTINCT FLOW AS flow, 'reporter_region' AS domain, REPORTER_REGION AS value
+FROM enriched WHERE REPORTER_REGION IS NOT NULL
+UNION SELECT FLOW, 'reporter', REPORTER FROM enriched WHERE REPORTER_REGION = 'Asia' AND REPORTER IS NOT NULL
+UNION SELECT FLOW, 'region', REGION FROM enriched WHERE REPORTER_REGION = 'Asia' AND REGION IS NOT NULL
+UNION SELECT FLOW, 'partner', PARTNER FROM enriched
+      WHERE REPORTER_REGION = 'Asia' AND REGION = 'Europe' AND PARTNER IS NOT NULL
+UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched
+      WHERE REPORTER_REGION = 'Asia' AND COMMODITY_TAG IS NOT NULL""")
+q("seasonal_range", base() + OVERVIEW + f"""
+SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, round(QTY, 6) AS qty
+FROM cube WHERE CROP_YEAR_START BETWEEN 1997 AND 1999""")
+
+_YR = DRILL + """,
+yr AS (SELECT FLOW, CROP_YEAR_START, CROP_YEAR, REGION, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+yr2 AS (
+  SELECT *, QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_YEAR_START), 0) * 100 AS share_pct,
+         sum(QTY) OVER (PARTITION BY FLOW, REGION) AS region_total
+  FROM yr
+),
+yr3 AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY FLOW ORDER BY region_total DESC, REGION) AS INTEGER)
+              AS region_rank
+  FROM yr2
+)"""
+q("drill_year_region", base() + _YR + f"""
+SELECT FLOW AS flow, {CYO}, REGION AS region, round(QTY, 6) AS qty, round(share_pct, 6) AS share_pct,
+       round(region_total, 6) AS region_total, region_rank FROM yr3""")
+q("share_by_year", base() + _YR + f"""
+SELECT FLOW AS flow, REGION AS region, region_rank, {CYO}, round(share_pct, 6) AS share_pct FROM yr3""")
+
+_MR = DRILL + """,
+mr AS (SELECT FLOW, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, REGION, sum(QTY) AS QTY FROM dfy GROUP BY ALL)"""
+q("drill_month_region", base() + _MR + f"""
+SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, REGION AS region, round(QTY, 6) AS qty FROM mr""")
+q("share_by_month", base() + _MR + f"""
+SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, REGION AS region, round(QTY, 6) AS qty,
+       round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_MONTH_NUM), 0) * 100, 6) AS share_pct
+FROM mr""")
+q("drill_month_partner", base() + DRILL + f""",
+mp AS (
+  SELECT FLOW, REGION, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, PARTNER, sum(QTY) AS QTY
+  FROM dfy GROUP BY ALL
+),
+mpt AS (
+  SELECT FLOW, REGION, PARTNER,
+         CAST(row_number() OVER (PARTITION BY FLOW, REGION ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER)
+           AS partner_rank
+  FROM mp GROUP BY FLOW, REGION, PARTNER
+),
+mp2 AS (SELECT mp.*, partner_rank FROM mp JOIN mpt USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 12),
+mp3 AS (SELECT *, sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_MONTH_NUM) AS mt FROM mp2)
+SELECT FLOW AS flow, REGION AS region, {CYO}, CROP_MONTH_NUM AS crop_month_num, PARTNER AS partner,
+       round(QTY, 6) AS qty, partner_rank,
+       round(QTY / CASE WHEN mt = 0 THEN 1 ELSE mt END * 100, 6) AS share_pct
+FROM mp3""")
+q("drill_year_partner", base() + DRILL + f""",
+py AS (SELECT FLOW, PARTNER, CROP_YEAR_START, CROP_YEAR, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+pr AS (
+  SELECT FLOW, PARTNER,
+         CAST(row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS partner_rank
+  FROM py GROUP BY FLOW, PARTNER
+),
+p2 AS (SELECT py.*, partner_rank FROM py JOIN pr USING (FLOW, PARTNER) WHERE partner_rank <= 12)
+SELECT FLOW AS flow, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty, partner_rank,
+       round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_YEAR_START), 0) * 100, 6) AS share_pct
+FROM p2""")
+q("drill_top_in_year", base() + DRILL + f""",
+py AS (SELECT FLOW, REGION, PARTNER, CROP_YEAR_START, CROP_YEAR, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+ry AS (
+  SELECT FLOW, REGION,
+         CASE WHEN max(CASE WHEN CROP_YEAR_START = 1999 THEN 1 END) = 1 THEN 1999
+              ELSE max(CROP_YEAR_START) END AS rank_cy
+  FROM py GROUP BY FLOW, REGION
+),
+rk AS (
+  SELECT py.FLOW, py.REGION, py.PARTNER, ry.rank_cy,
+         CAST(row_number() OVER (PARTITION BY py.FLOW, py.REGION ORDER BY py.QTY DESC, py.PARTNER) AS INTEGER)
+           AS partner_rank
+  FROM py JOIN ry ON py.FLOW = ry.FLOW AND py.REGION = ry.REGION AND py.CROP_YEAR_START = ry.rank_cy
+),
+sel AS (SELECT py.*, rank_cy, partner_rank FROM py JOIN rk USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 12)
+SELECT FLOW AS flow, REGION AS region, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty,
+       CAST(rank_cy AS INTEGER) AS rank_cy, partner_rank,
+       round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_YEAR_START), 0) * 100, 6) AS share_pct
+FROM sel""")
+q("top_partners", base() + DRILL + f""",
+pt AS (
+  SELECT FLOW, PARTNER FROM (
+    SELECT FLOW, PARTNER, row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS r
+    FROM dff GROUP BY FLOW, PARTNER) WHERE r <= 12
+)
+SELECT FLOW AS flow, PARTNER AS partner, {CYO}, round(sum(QTY), 6) AS qty
+FROM dff WHERE (FLOW, PARTNER) IN (SELECT (FLOW, PARTNER) FROM pt) GROUP BY ALL""")
+q("partner_share_in_region", base() + DRILL + f""",
+py AS (SELECT FLOW, REGION, PARTNER, CROP_YEAR_START, CROP_YEAR, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+pr AS (
+  SELECT FLOW, REGION, PARTNER,
+         CAST(row_number() OVER (PARTITION BY FLOW, REGION ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER)
+           AS partner_rank
+  FROM py GROUP BY FLOW, REGION, PARTNER
+),
+p2 AS (SELECT py.*, partner_rank FROM py JOIN pr USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 10)
+SELECT FLOW AS flow, REGION AS region, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty, partner_rank,
+       round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_YEAR_START), 0) * 100, 6) AS share_pct
+FROM p2""")
+
+
+def _with_rest(src: str, period: str, period_out: str, n: int) -> str:
+    return f""",
+py AS (SELECT FLOW, PARTNER, {period}, sum(QTY) AS QTY FROM {src} GROUP BY ALL),
+pr AS (
+  SELECT FLOW, PARTNER,
+         CAST(row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS rnk
+  FROM py GROUP BY FLOW, PARTNER
+),
+pj AS (SELECT py.*, rnk FROM py JOIN pr USING (FLOW, PARTNER))
+SELECT FLOW AS flow, 'partner' AS row_type, PARTNER AS row_label, rnk AS rank, {period_out},
+       round(QTY, 6) AS qty
+FROM pj WHERE rnk <= {n}
+UNION ALL
+SELECT FLOW, 'rest', 'Rest of World', {n + 1}, {period}, round(sum(QTY), 6) FROM pj WHERE rnk > {n}
+GROUP BY FLOW, {period}
+UNION ALL
+SELECT FLOW, 'total', 'Total', {n + 2}, {period}, round(sum(QTY), 6) FROM py GROUP BY FLOW, {period}"""
+
+
+q("top15_with_rest", base() + DRILL + _with_rest(
+    "dff", "CROP_YEAR_START, CROP_YEAR", CYO, 15))
+q("monthly_breakdown", base() + DRILL + _with_rest(
+    "dfy", "CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM", CYO + ", CROP_MONTH_NUM AS crop_month_num", 15))
+q("rolling_by_region", base() + DRILL + """,
+rm AS (SELECT FLOW, REGION, DATE, sum(QTY) AS QTY FROM droll GROUP BY ALL)
+SELECT FLOW AS flow, REGION AS region, DATE AS date, round(QTY, 6) AS qty,
+       round(CASE WHEN count(QTY) OVER w = 12 THEN sum(QTY) OVER w END, 6) AS rolling
+FROM rm
+WINDOW w AS (PARTITION BY FLOW, REGION ORDER BY DATE ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")

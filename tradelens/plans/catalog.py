@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import shift_months, with_calendar
-from ..operators import drill, enrich, filters, series
+from ..operators import drill, enrich, filters, projection, series
 from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import KEYS, RAW_COLUMNS, START, finish, overview, prepared, raw_trade, trade
+from .common import (KEYS, RAW_COLUMNS, START, finish, overview, prepared, raw_trade, series_inputs,
+                     trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,8 +117,7 @@ def q_display_trim(spark, sf_dir):
 
 # ---------------------------------------------------------------- series ---
 def _cube(spark, sf_dir):
-    _, stats, disp = overview(spark, sf_dir)
-    return stats, disp, series.monthly_cube(disp, KEYS)
+    return series_inputs(spark, sf_dir)
 
 
 @query("seasonal")
@@ -284,3 +284,56 @@ def q_monthly_breakdown(spark, sf_dir):
 @query("rolling_by_region")
 def q_rolling_by_region(spark, sf_dir):
     return finish(series.rolling_by_region(_drill(spark, sf_dir)[1], KEYS, 12))
+
+
+# ------------------------------------------------------------ projection ---
+MANUAL_MONTH_VALUE = 1000.0
+
+
+def _proj_inputs(spark, sf_dir):
+    stats, _, cube = _cube(spark, sf_dir)
+    return cube, stats
+
+
+@query("avg_proportions")
+def q_avg_proportions(spark, sf_dir):
+    cube, _ = _proj_inputs(spark, sf_dir)
+    return finish(projection.avg_proportions(cube, KEYS))
+
+
+@query("projection_ytd")
+def q_projection_ytd(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    return finish(projection.projection_ytd(cube, stats, KEYS))
+
+
+@query("projection_proportions")
+def q_projection_proportions(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    return finish(projection.projection_proportions(cube, stats, KEYS))
+
+
+@query("projection_manual_month")
+def q_projection_manual_month(spark, sf_dir):
+    _, stats = _proj_inputs(spark, sf_dir)
+    return finish(projection.projection_manual_month(stats, KEYS, MANUAL_MONTH_VALUE))
+
+
+@query("projection_manual_year")
+def q_projection_manual_year(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    return finish(projection.projection_manual_year(cube, stats, KEYS))
+
+
+@query("projection_series")
+def q_projection_series(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS)
+    return finish(projection.projection_series(cube, stats, proj, KEYS))
+
+
+@query("projection_cumulative")
+def q_projection_cumulative(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS)
+    return finish(projection.projection_cumulative(cube, stats, proj, KEYS))

@@ -11,6 +11,8 @@ from ..functions.calendar import with_calendar, with_unit
 from ..operators.cutoff import display_trim, period_stats
 from ..operators.filters import filter_trade
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
+from ..operators.series import monthly_cube
+from ..session import checkpoint_root
 from ..sources.table import load_trade
 
 # Standard parameters of the registered queries.
@@ -42,6 +44,25 @@ def overview(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START):
     return df, stats, display_trim(df, keys, stats=stats)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Used for small intermediates that several results reuse (the monthly
+    cube and per-series stats): it cuts the lineage, so the plans built on
+    top stay small and a lost executor does not recompute the raw scan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START):
+    """(stats, trimmed rows, monthly cube) with stats and cube checkpointed."""
+    df = prepared(spark, sf_dir, start)
+    stats = materialize(period_stats(df, keys))
+    disp = display_trim(df, keys, stats=stats)
+    return stats, disp, materialize(monthly_cube(disp, keys))
+
+
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Lower-case names; doubles rounded (6 places, VALUE 2) for comparison."""
     cols = []

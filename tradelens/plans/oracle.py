@@ -459,3 +459,105 @@ SELECT FLOW AS flow, REGION AS region, DATE AS date, round(QTY, 6) AS qty,
        round(CASE WHEN count(QTY) OVER w = 12 THEN sum(QTY) OVER w END, 6) AS rolling
 FROM rm
 WINDOW w AS (PARTITION BY FLOW, REGION ORDER BY DATE ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")
+
+# ------------------------------------------------------------ projection ---
+PROJ = """,
+st AS (
+  SELECT FLOW, latest_cy_start, common_month, CASE WHEN n_cy >= 3 THEN second_cy END AS prev_cy FROM stats
+),
+rem AS (
+  SELECT FLOW, latest_cy_start, common_month, prev_cy, CAST(unnest(range(common_month + 1, 13)) AS INTEGER) AS cm
+  FROM st WHERE common_month < 12
+),
+sums AS (
+  SELECT cube.FLOW,
+    coalesce(sum(CASE WHEN CROP_YEAR_START = latest_cy_start AND CROP_MONTH_NUM <= common_month
+                      THEN QTY END), 0) AS cy_ytd,
+    coalesce(sum(CASE WHEN CROP_YEAR_START = prev_cy AND CROP_MONTH_NUM <= common_month THEN QTY END), 0)
+      AS prev_ytd,
+    coalesce(sum(CASE WHEN CROP_YEAR_START = latest_cy_start AND CROP_MONTH_NUM <= common_month AND QTY > 0
+                      THEN QTY END), 0) AS cum_start,
+    max(CASE WHEN CROP_YEAR_START = latest_cy_start AND CROP_MONTH_NUM = common_month AND QTY > 0
+             THEN QTY END) AS anchor_qty
+  FROM cube JOIN st USING (FLOW) GROUP BY cube.FLOW
+),
+ref5 AS (
+  SELECT FLOW, CROP_YEAR_START, annual FROM (
+    SELECT *, row_number() OVER (PARTITION BY FLOW ORDER BY CROP_YEAR_START DESC) AS r
+    FROM comp WHERE is_complete) WHERE r <= 5
+),
+props AS (
+  SELECT cube.FLOW, CROP_MONTH_NUM AS cm, avg(QTY / annual) AS avg_share, count(*) AS n_years,
+         avg(QTY) AS avg_qty
+  FROM cube JOIN ref5 USING (FLOW, CROP_YEAR_START) GROUP BY ALL
+),
+ptot AS (
+  SELECT props.FLOW, sum(CASE WHEN cm <= common_month THEN avg_share END) AS act_share,
+         sum(CASE WHEN cm > common_month THEN avg_share END) AS rem_share
+  FROM props JOIN st USING (FLOW) GROUP BY props.FLOW
+),
+mann AS (SELECT FLOW, avg(annual) AS mean_annual FROM ref5 GROUP BY FLOW),
+pytd AS (
+  SELECT rem.FLOW, rem.latest_cy_start, rem.cm,
+         CASE WHEN rem.prev_cy IS NOT NULL AND sums.prev_ytd > 0
+              THEN round_even((sums.cy_ytd / sums.prev_ytd - 1) * 100, 1) ELSE 0 END AS yoy,
+         coalesce(pv.QTY, 0) AS b0, props.avg_qty
+  FROM rem JOIN sums USING (FLOW)
+  LEFT JOIN cube pv ON pv.FLOW = rem.FLOW AND pv.CROP_YEAR_START = rem.prev_cy AND pv.CROP_MONTH_NUM = rem.cm
+  LEFT JOIN props ON props.FLOW = rem.FLOW AND props.cm = rem.cm
+),
+pb AS (
+  SELECT *, CASE WHEN b0 <= 0 AND avg_qty IS NOT NULL THEN avg_qty ELSE b0 END AS base FROM pytd
+),
+proj AS (
+  SELECT FLOW, latest_cy_start, cm, yoy, base, base * (1 + yoy / 100) AS proj_qty FROM pb WHERE base > 0
+)"""
+
+q("avg_proportions", base() + OVERVIEW + PROJ + """
+SELECT FLOW AS flow, cm AS crop_month_num, round(avg_share, 6) AS avg_share, n_years,
+       round(avg_qty, 6) AS avg_qty FROM props""")
+q("projection_ytd", base() + OVERVIEW + PROJ + """
+SELECT FLOW AS flow, latest_cy_start AS crop_year_start, cm AS crop_month_num, round(yoy, 6) AS yoy_pct,
+       round(base, 6) AS base_qty, round(proj_qty, 6) AS proj_qty FROM proj""")
+q("projection_proportions", base() + OVERVIEW + PROJ + """,
+pp AS (
+  SELECT rem.FLOW, rem.latest_cy_start, rem.cm, props.avg_share,
+         CASE WHEN coalesce(ptot.act_share, 0) > 0 THEN sums.cy_ytd / ptot.act_share
+              ELSE mann.mean_annual END AS imp
+  FROM rem JOIN props ON props.FLOW = rem.FLOW AND props.cm = rem.cm
+  JOIN ptot ON ptot.FLOW = rem.FLOW LEFT JOIN mann ON mann.FLOW = rem.FLOW JOIN sums ON sums.FLOW = rem.FLOW
+)
+SELECT FLOW AS flow, latest_cy_start AS crop_year_start, cm AS crop_month_num,
+       round(imp, 6) AS implied_total, round(imp * avg_share, 6) AS proj_qty FROM pp""")
+q("projection_manual_month", base() + OVERVIEW + PROJ + """
+SELECT FLOW AS flow, latest_cy_start AS crop_year_start, cm AS crop_month_num,
+       CAST(1000.0 AS DOUBLE) AS proj_qty FROM rem""")
+q("projection_manual_year", base() + OVERVIEW + PROJ + """,
+py AS (
+  SELECT rem.FLOW, rem.latest_cy_start, rem.cm, props.avg_share, ptot.rem_share, sums.cy_ytd,
+         CASE WHEN ptot.act_share > 0 THEN round_even(sums.cy_ytd / ptot.act_share, 0) ELSE 0 END AS target
+  FROM rem JOIN props ON props.FLOW = rem.FLOW AND props.cm = rem.cm
+  JOIN ptot ON ptot.FLOW = rem.FLOW JOIN sums ON sums.FLOW = rem.FLOW
+),
+py2 AS (SELECT *, greatest(0, target - cy_ytd) AS rb FROM py)
+SELECT FLOW AS flow, latest_cy_start AS crop_year_start, cm AS crop_month_num, round(target, 6) AS target,
+       round(rb, 6) AS remaining_budget, round(rb * avg_share / rem_share, 6) AS proj_qty
+FROM py2 WHERE rb > 0 AND rem_share > 0""")
+q("projection_series", base() + OVERVIEW + PROJ + """
+SELECT st.FLOW AS flow, st.latest_cy_start AS crop_year_start, st.common_month AS crop_month_num,
+       round(sums.anchor_qty, 6) AS qty, false AS is_projected
+FROM st JOIN sums USING (FLOW)
+WHERE sums.anchor_qty IS NOT NULL AND st.FLOW IN (SELECT FLOW FROM proj)
+UNION ALL
+SELECT FLOW, latest_cy_start, cm, round(proj_qty, 6), true FROM proj""")
+q("projection_cumulative", base() + OVERVIEW + PROJ + """,
+steps AS (
+  SELECT st.FLOW, st.latest_cy_start AS cy, st.common_month AS cm, sums.cum_start AS step, false AS is_projected
+  FROM st JOIN sums USING (FLOW) WHERE st.FLOW IN (SELECT FLOW FROM proj)
+  UNION ALL
+  SELECT FLOW, latest_cy_start, cm, proj_qty, true FROM proj
+)
+SELECT FLOW AS flow, cy AS crop_year_start, cm AS crop_month_num, is_projected,
+       round(sum(step) OVER (PARTITION BY FLOW ORDER BY cm ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6)
+         AS cum_qty
+FROM steps""")

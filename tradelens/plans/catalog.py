@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import shift_months, with_calendar
-from ..operators import drill, enrich, filters, projection, series
+from ..functions.calendar import shift_months, with_calendar, with_unit
+from ..operators import drill, enrich, filters, load, mirror, projection, series
+from ..session import scratch_path
+from ..sources import extract
+from ..sources.table import read_table, table_freshness, upsert_table
+from ..streaming.upsert_stream import stream_upsert
 from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
-                      REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
+                      QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
 from .common import (KEYS, RAW_COLUMNS, START, finish, overview, prepared, raw_trade, series_inputs,
                      trade)
@@ -337,3 +341,126 @@ def q_projection_cumulative(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
     proj = projection.projection_ytd(cube, stats, KEYS)
     return finish(projection.projection_cumulative(cube, stats, proj, KEYS))
+
+
+# ---------------------------------------------------------------- mirror ---
+MIRROR_LAG = 1
+
+
+def _mirror_input(spark, sf_dir):
+    return with_unit(filter_trade(trade(spark, sf_dir)), "MT"), test_dims(spark, sf_dir)
+
+
+@query("mirror_pairs")
+def q_mirror_pairs(spark, sf_dir):
+    df, dims = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_pairs(df, dims))
+
+
+@query("mirror_years")
+def q_mirror_years(spark, sf_dir):
+    df, dims = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_years(df, mirror.mirror_pairs(df, dims), START))
+
+
+@query("mirror_overlay")
+def q_mirror_overlay(spark, sf_dir):
+    df, dims = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_overlay(df, mirror.mirror_pairs(df, dims), START, MIRROR_LAG))
+
+
+# ------------------------------------------------------------------ load ---
+SLICE_REPORTERS = ["NATION_0", "NATION_3", "NATION_7", "NATION_12", "NATION_18", "NATION_24"]
+SLICE_FROM, SLICE_TO = 199701, 200012
+UPSERT_YEAR = 2000
+
+
+def _stored_and_new(spark, sf_dir):
+    """Stored rows (YEAR <= 2000) and a new batch (YEAR >= 2000, 2000 revised x2)."""
+    raw = raw_trade(spark, sf_dir)
+    stored = raw.where(F.col(YEAR) <= UPSERT_YEAR)
+    new = raw.where(F.col(YEAR) >= UPSERT_YEAR).withColumn(
+        QTY1, F.when(F.col(YEAR) == UPSERT_YEAR, F.col(QTY1) * 2).otherwise(F.col(QTY1)))
+    return stored, new
+
+
+@query("read_extract")
+def q_read_extract(spark, sf_dir):
+    raw = raw_trade(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    parts = []
+    for flow in ("E", "I"):
+        extract.write_extract(raw.where(F.col(FLOW) == flow), f"{root}/{flow}")
+        parts.append(extract.read_extract(spark, f"{root}/{flow}", flow))
+    return finish(parts[0].unionByName(parts[1]))
+
+
+@query("read_extract_encodings")
+def q_read_extract_encodings(spark, sf_dir):
+    raw = raw_trade(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    extract.write_extract(raw.where(F.col(FLOW) == "E"), f"{root}/E/utf16", encoding="UTF-16")
+    imp = raw.where(F.col(FLOW) == "I")
+    extract.write_extract(imp.where(F.col(YEAR) <= 1998), f"{root}/I/latin1", encoding="ISO-8859-1")
+    extract.write_extract(imp.where(F.col(YEAR) > 1998), f"{root}/I/utf8bom", encoding="UTF-8", bom=True)
+    e = extract.read_extracts(spark, f"{root}/E/*", "E")
+    i = extract.read_extracts(spark, f"{root}/I/*", "I")
+    return finish(e.unionByName(i))
+
+
+@query("extract_slice")
+def q_extract_slice(spark, sf_dir):
+    ym = F.col(YEAR) * 100 + F.col(MONTH)
+    df = trade(spark, sf_dir).where((F.col(FLOW) == "E") & F.col(REPORTER).isin(SLICE_REPORTERS)
+                                    & ym.between(SLICE_FROM, SLICE_TO) & F.col(HS4).startswith("31"))
+    return finish(df.select(*RAW_COLUMNS, HS4))
+
+
+@query("load_trade")
+def q_load_trade(spark, sf_dir):
+    return finish(trade(spark, sf_dir).select(*RAW_COLUMNS, HS4, PARTNER_STD, REGION, REPORTER_REGION,
+                                              COMMODITY_TAG))
+
+
+@query("incremental_begin")
+def q_incremental_begin(spark, sf_dir):
+    stored, _ = _stored_and_new(spark, sf_dir)
+    return finish(load.incremental_begin(stored))
+
+
+@query("table_freshness")
+def q_table_freshness(spark, sf_dir):
+    return finish(table_freshness(trade(spark, sf_dir)))
+
+
+@query("upsert_keep_last")
+def q_upsert_keep_last(spark, sf_dir):
+    stored, new = _stored_and_new(spark, sf_dir)
+    return finish(load.upsert_keep_last(stored, new))
+
+
+@query("load_audit")
+def q_load_audit(spark, sf_dir):
+    stored, new = _stored_and_new(spark, sf_dir)
+    return finish(load.load_audit(stored, new, load.upsert_keep_last(stored, new)))
+
+
+@query("upsert_roundtrip")
+def q_upsert_roundtrip(spark, sf_dir):
+    stored, new = _stored_and_new(spark, sf_dir)
+    path = scratch_path(spark, "table")
+    upsert_table(stored, path, batch_id=0, full=True)
+    upsert_table(new, path, batch_id=1)
+    return finish(read_table(spark, path).select(*RAW_COLUMNS))
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    stored, new = _stored_and_new(spark, sf_dir)
+    path, landing = scratch_path(spark, "table"), scratch_path(spark, "landing")
+    upsert_table(stored, path, batch_id=0, full=True)
+    for lo, hi in ((1, 4), (5, 8), (9, 12)):
+        new.where(F.col(MONTH).between(lo, hi)).write.mode("append").parquet(landing)
+    stream_upsert(spark, landing, path, scratch_path(spark, "stream-ckpt"), new.schema,
+                  max_files_per_trigger=8)
+    return finish(read_table(spark, path).select(*RAW_COLUMNS))

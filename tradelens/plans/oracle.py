@@ -561,3 +561,95 @@ SELECT FLOW AS flow, cy AS crop_year_start, cm AS crop_month_num, is_projected,
        round(sum(step) OVER (PARTITION BY FLOW ORDER BY cm ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6)
          AS cum_qty
 FROM steps""")
+
+# ---------------------------------------------------------------- mirror ---
+MIRROR = """,
+canon AS (SELECT * FROM (VALUES ('NATION_23', 'Nation Twenty-Three'), ('NATION_24', 'Other')) v(NAME, STD)),
+ep AS (SELECT DISTINCT REPORTER AS exporter, PARTNER AS destination FROM c WHERE FLOW = 'E'),
+ip AS (SELECT DISTINCT REPORTER AS importer, PARTNER AS origin FROM c WHERE FLOW = 'I'),
+pairs AS (
+  SELECT exporter, destination, importer, origin
+  FROM ep JOIN ip
+    ON coalesce((SELECT STD FROM canon WHERE NAME = trim(destination)), trim(destination))
+       = coalesce((SELECT STD FROM canon WHERE NAME = trim(importer)), trim(importer))
+   AND coalesce((SELECT STD FROM canon WHERE NAME = trim(exporter)), trim(exporter))
+       = coalesce((SELECT STD FROM canon WHERE NAME = trim(origin)), trim(origin))
+),
+direct AS (
+  SELECT REPORTER AS exporter, PARTNER AS destination, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM,
+         sum(QTY) AS QTY
+  FROM c WHERE FLOW = 'E' GROUP BY ALL
+),
+mir AS (
+  SELECT REPORTER AS importer, PARTNER AS origin, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, sum(QTY) AS QTY
+  FROM c WHERE FLOW = 'I' GROUP BY ALL
+),
+shifted AS (
+  SELECT REPORTER, PARTNER, QTY, CAST((YEAR * 12 + MONTH - 1 - 1) // 12 AS INTEGER) AS Y,
+         CAST((YEAR * 12 + MONTH - 1 - 1) % 12 + 1 AS INTEGER) AS M
+  FROM c WHERE FLOW = 'I'
+),
+mir_s AS (
+  SELECT REPORTER AS importer, PARTNER AS origin,
+         CAST(Y - CASE WHEN M < 7 THEN 1 ELSE 0 END AS INTEGER) AS CROP_YEAR_START,
+         CAST(((M - 7 + 12) % 12) + 1 AS INTEGER) AS CROP_MONTH_NUM, sum(QTY) AS QTY
+  FROM shifted GROUP BY ALL
+),
+myears AS (
+  SELECT DISTINCT p.*, d.CROP_YEAR_START, d.CROP_YEAR FROM pairs p JOIN direct d USING (exporter, destination)
+  UNION
+  SELECT DISTINCT p.*, m.CROP_YEAR_START, m.CROP_YEAR FROM pairs p JOIN mir m USING (importer, origin)
+)"""
+_PAIR_OUT = "exporter, destination, importer, origin"
+q("mirror_pairs", base() + MIRROR + f"\nSELECT {_PAIR_OUT} FROM pairs")
+q("mirror_years", base() + MIRROR + f"""
+SELECT {_PAIR_OUT}, CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year FROM myears""")
+q("mirror_overlay", base() + MIRROR + f""",
+sel AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY exporter, destination, importer, origin
+                                 ORDER BY CROP_YEAR_START DESC) AS r
+    FROM myears) WHERE r <= 2
+)
+SELECT sel.exporter, sel.destination, sel.importer, sel.origin, 'direct' AS series,
+       sel.CROP_YEAR_START AS crop_year_start, sel.CROP_YEAR AS crop_year, d.CROP_MONTH_NUM AS crop_month_num,
+       round(d.QTY, 6) AS qty
+FROM sel JOIN direct d ON d.exporter = sel.exporter AND d.destination = sel.destination
+                      AND d.CROP_YEAR_START = sel.CROP_YEAR_START
+UNION ALL
+SELECT sel.exporter, sel.destination, sel.importer, sel.origin, 'mirror',
+       sel.CROP_YEAR_START, sel.CROP_YEAR, m.CROP_MONTH_NUM, round(m.QTY, 6)
+FROM sel JOIN mir_s m ON m.importer = sel.importer AND m.origin = sel.origin
+                     AND m.CROP_YEAR_START = sel.CROP_YEAR_START""")
+
+# ------------------------------------------------------------------ load ---
+q("read_extract", base() + f"\nSELECT {RAW_OUT} FROM trade")
+q("read_extract_encodings", base() + f"\nSELECT {RAW_OUT} FROM trade")
+q("extract_slice", base() + f"""
+SELECT {RAW_OUT}, HS4 AS hs4 FROM enriched
+WHERE FLOW = 'E' AND {_in('REPORTER', ['NATION_0', 'NATION_3', 'NATION_7', 'NATION_12', 'NATION_18', 'NATION_24'])}
+  AND YEAR * 100 + MONTH BETWEEN 199701 AND 200012 AND HS4 LIKE '31%'""")
+q("load_trade", base() + f"""
+SELECT {RAW_OUT}, HS4 AS hs4, PARTNER_STD AS partner_std, REGION AS region,
+       REPORTER_REGION AS reporter_region, COMMODITY_TAG AS commodity_tag FROM enriched""")
+q("incremental_begin", base() + """
+SELECT FLOW AS flow, CAST(max(YEAR) AS VARCHAR) || '01' AS period_begin FROM trade WHERE YEAR <= 2000 GROUP BY FLOW""")
+_UPSERTED = ("FLOW AS flow, REPORTER AS reporter, PARTNER AS partner, COMMODITY AS commodity, YEAR AS year, "
+             "MONTH AS month, round(CASE WHEN YEAR = 2000 THEN QTY1 * 2 ELSE QTY1 END, 6) AS qty1, "
+             "round(VALUE, 2) AS value")
+for _k in ("upsert_keep_last", "upsert_roundtrip", "stream_upsert"):
+    q(_k, base() + f"\nSELECT {_UPSERTED} FROM trade")
+q("load_audit", base() + """,
+stored AS (SELECT * FROM trade WHERE YEAR <= 2000),
+fresh AS (SELECT * FROM trade WHERE YEAR >= 2000),
+merged AS (
+  SELECT DISTINCT FLOW, REPORTER, PARTNER, COMMODITY, YEAR, MONTH FROM stored
+  UNION SELECT DISTINCT FLOW, REPORTER, PARTNER, COMMODITY, YEAR, MONTH FROM fresh
+),
+b AS (SELECT FLOW, count(*) AS n FROM stored GROUP BY FLOW),
+f AS (SELECT FLOW, count(*) AS n FROM fresh GROUP BY FLOW),
+a AS (SELECT FLOW, count(*) AS n FROM merged GROUP BY FLOW)
+SELECT a.FLOW AS flow, coalesce(b.n, 0) AS rows_before, coalesce(f.n, 0) AS rows_fetched,
+       a.n AS rows_after, coalesce(b.n, 0) + coalesce(f.n, 0) AS rows_merged,
+       a.n - coalesce(b.n, 0) AS rows_new, coalesce(b.n, 0) + coalesce(f.n, 0) - a.n AS rows_removed_by_dedup
+FROM a LEFT JOIN b USING (FLOW) LEFT JOIN f USING (FLOW)""")

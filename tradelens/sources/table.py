@@ -94,3 +94,36 @@ def table_freshness(df: DataFrame) -> DataFrame:
     """Latest file modification time per flow, from the scan's file metadata."""
     return (df.select(FLOW, F.col("_metadata.file_modification_time").alias("_MT"))
             .groupBy(FLOW).agg(F.max("_MT").alias("LAST_MODIFIED")))
+
+
+def upsert_table(new: DataFrame, path: str, batch_id: int = 1, full: bool = False) -> None:
+    """Keep-last upsert of ``new`` into the table at ``path``.
+
+    Only the (FLOW, YEAR) partitions the new rows touch are read and
+    rewritten. The merge is written to a staging folder first and the table
+    partitions are then replaced from staging (dynamic partition overwrite),
+    so the table is never overwritten while it is being read. A full load,
+    or a missing table, writes the deduplicated new rows as the whole table.
+    """
+    from ..operators.load import keep_last, stamp, upsert_keep_last
+    from ..session import scratch_path
+
+    spark = new.sparkSession
+    cols = new.columns
+    existing = None
+    if not full:
+        try:
+            existing = read_table(spark, path).select(*cols)
+        except AnalysisException:
+            existing = None
+    if existing is None:
+        keep_last(stamp(new, batch_id)).select(*cols).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLUMNS).parquet(path)
+        return
+    touched = new.select(*PARTITION_COLUMNS).distinct()
+    old = existing.join(touched, PARTITION_COLUMNS, "left_semi")
+    staging = scratch_path(spark, "staging")
+    (upsert_keep_last(old, new, new_batch=batch_id).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLUMNS).parquet(staging))
+    (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).parquet(path))

@@ -1,8 +1,9 @@
 """Dimension seeds as small DataFrames.
 
-The enrichment operators join these with ``broadcast``: every seed here has a
-size fixed in source (tens of rows) or comes from a dimension table whose
-size is checked before it is broadcast (see ``bounded_broadcast``).
+The enrichment operators broadcast these only through ``Dims.hint``: every
+seed has a size fixed in source (tens of rows); a dimension derived from data
+(country -> continent) has its row count checked when the ``Dims`` is built,
+and without that bound the planner chooses the join by size.
 """
 
 from __future__ import annotations
@@ -148,6 +149,11 @@ class Dims:
     reporter_region: DataFrame  # NAME (raw), REPORTER_REGION
     tags: DataFrame             # HS4, TAG
     default_tag: str
+    broadcastable: bool = True  # every frame above has a checked, small size
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        """Broadcast hint only when the sizes were checked."""
+        return F.broadcast(df) if self.broadcastable else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -169,8 +175,8 @@ def _partner_region(spark: SparkSession, continent: DataFrame, nam: list, latam:
     sets = spark.createDataFrame(
         [(n, "NAM") for n in nam] + [(n, "LATAM") for n in latam], "NAME string, SET_REGION string")
     names = (continent.select("NAME").union(sets.select("NAME")).distinct()
-             .join(F.broadcast(sets), "NAME", "left")
-             .join(F.broadcast(continent), "NAME", "left"))
+             .join(sets, "NAME", "left")
+             .join(continent, "NAME", "left"))
     region = (F.when(F.col("NAME") == "Other", "Other")
               .when(F.col("SET_REGION") == "NAM", "NAM")
               .when(F.col("SET_REGION") == "LATAM", "LATAM")
@@ -189,22 +195,29 @@ def reference_dims(spark: SparkSession, product: str = "fertilizer", flow: str =
     """
     aliases = dict(PARTNER_ALIASES_COMMON)
     aliases.update(PARTNER_ALIASES_FERTILIZER if product == "fertilizer" else PARTNER_ALIASES_COTTON)
+    bounded = True
     if continent is None:
         continent = spark.createDataFrame([], "NAME string, CONTINENT string")
+    else:
+        bounded = continent.count() <= MAX_BROADCAST_ROWS
     return Dims(
         alias=_pairs(spark, aliases, "NAME", "STD_NAME"),
         partner_region=_partner_region(spark, continent, NAM, LATAM),
         reporter_region=_pairs(spark, REPORTER_REGIONS[(product, flow)], "NAME", "REPORTER_REGION"),
         tags=_pairs(spark, HS4_TAGS[product], "HS4", "TAG"),
         default_tag=DEFAULT_TAG[product],
+        broadcastable=bounded,
     )
 
 
 def fixture_dims(spark: SparkSession, sf_dir: str) -> Dims:
     """Seeds for the trade view over the test tables (nation and region)."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
+    # Every dimension below has at most one row per nation (plus fixed seeds):
+    # one row count of the nation table bounds them all.
+    bounded = nation.count() <= MAX_BROADCAST_ROWS
     region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
-    nr = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    nr = nation.join(region, nation.n_regionkey == region.r_regionkey)
 
     def mapped(mapping: dict, col: str) -> F.Column:
         expr = F.lit(None).cast("string")
@@ -223,8 +236,9 @@ def fixture_dims(spark: SparkSession, sf_dir: str) -> Dims:
     reporter_region = nr.select(F.col("n_name").alias("NAME"), rep_region.alias("REPORTER_REGION"))
     return Dims(
         alias=_pairs(spark, FIXTURE_ALIASES, "NAME", "STD_NAME"),
-        partner_region=bounded_broadcast(_partner_region(spark, continent, FIXTURE_NAM, FIXTURE_LATAM)),
-        reporter_region=bounded_broadcast(reporter_region),
+        partner_region=_partner_region(spark, continent, FIXTURE_NAM, FIXTURE_LATAM),
+        reporter_region=reporter_region,
         tags=_pairs(spark, HS4_TAGS["fertilizer"], "HS4", "TAG"),
         default_tag=DEFAULT_TAG["fertilizer"],
+        broadcastable=bounded,
     )

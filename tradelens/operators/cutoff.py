@@ -48,22 +48,23 @@ def period_stats(df: DataFrame, keys: list[str], drop_oldest: bool = True) -> Da
 
 
 def display_trim(df: DataFrame, keys: list[str], drop_oldest: bool = True,
-                 stats: DataFrame | None = None) -> DataFrame:
+                 stats: DataFrame | None = None, keep: list[str] | tuple = ()) -> DataFrame:
     """Comparable-period trim, then drop the oldest crop year.
 
     Keeps every earlier crop year whole and the latest one only up to the
     common month; then removes the oldest crop year when more than one
     remains (the latest year always survives the trim, so counts and the
-    oldest year are those of the untrimmed rows).
+    oldest year are those of the untrimmed rows). ``keep`` names stats
+    columns to carry on the rows (saves a second join downstream).
     """
     if stats is None:
         stats = period_stats(df, keys, drop_oldest)
     s = stats.select(*keys, F.col("LATEST_CY_START").alias("_L"), F.col("COMMON_MONTH").alias("_C"),
-                     F.col("OLDEST_CY_START").alias("_O"), F.col("N_CY").alias("_N"))
-    keep = (F.col(CY) < F.col("_L")) | ((F.col(CY) == F.col("_L")) & (F.col(CM) <= F.col("_C")))
+                     F.col("OLDEST_CY_START").alias("_O"), F.col("N_CY").alias("_N"), *keep)
+    cond = (F.col(CY) < F.col("_L")) | ((F.col(CY) == F.col("_L")) & (F.col(CM) <= F.col("_C")))
     if drop_oldest:
-        keep = keep & ((F.col("_N") <= 1) | (F.col(CY) > F.col("_O")))
-    return join_on_keys(df, s, keys).where(keep).select(*df.columns)
+        cond = cond & ((F.col("_N") <= 1) | (F.col(CY) > F.col("_O")))
+    return join_on_keys(df, s, keys).where(cond).select(*df.columns, *keep)
 
 
 def common_cutoff_ym(df: DataFrame, keys: list[str], start_month: int) -> DataFrame:

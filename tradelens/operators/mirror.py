@@ -20,7 +20,7 @@ PAIR = ["EXPORTER", "DESTINATION", "IMPORTER", "ORIGIN"]
 
 def _canonical(df: DataFrame, col: str, out: str, dims: Dims) -> DataFrame:
     alias = dims.alias.select(F.col("NAME").alias("_AK"), F.col("STD_NAME").alias("_AV"))
-    return (df.join(F.broadcast(alias), F.trim(F.col(col)) == F.col("_AK"), "left")
+    return (df.join(dims.hint(alias), F.trim(F.col(col)) == F.col("_AK"), "left")
             .withColumn(out, F.coalesce(F.col("_AV"), F.trim(F.col(col)))).drop("_AK", "_AV"))
 
 

@@ -80,8 +80,9 @@ def ytd_yoy(disp: DataFrame, stats: DataFrame, keys: list[str],
             cy_from: int | None = None, cy_to: int | None = None) -> DataFrame:
     """YTD sum per crop year up to the common month, and YoY % against the
     previous shown crop year (gaps not filled; zero base -> null)."""
-    s = stats.select(*keys, "COMMON_MONTH")
-    ytd = (join_on_keys(disp, s, keys).where(F.col(CM) <= F.col("COMMON_MONTH"))
+    if "COMMON_MONTH" not in disp.columns:
+        disp = join_on_keys(disp, stats.select(*keys, "COMMON_MONTH"), keys)
+    ytd = (disp.where(F.col(CM) <= F.col("COMMON_MONTH"))
            .groupBy(*keys, CY, CY_LABEL).agg(F.coalesce(F.sum(QTY), F.lit(0.0)).alias("YTD_QTY")))
     ytd = seasonal_range(ytd, cy_from, cy_to)
     prev = F.lag("YTD_QTY").over(win(keys).orderBy(CY))
@@ -116,41 +117,46 @@ def heatmap(cube: DataFrame, stats: DataFrame, keys: list[str], cy_from: int | N
             cy_to: int | None = None, n: int = REFERENCE_YEARS) -> DataFrame:
     """Crop year x month table: zero -> null, Total only for complete years,
     Min/Max/Avg rows over the last <= n complete years (annual totals in
-    TOTAL), and a vs-average % row after the latest year when it is shown."""
+    TOTAL), and a vs-average % row after the latest year when it is shown.
+
+    One matrix aggregate and one window (complete years ranked newest
+    first); the reference rows are one more aggregate on the same
+    partitioning.
+    """
     months = month_columns()
+    total = sum(F.col(m) for m in months)
     mat = monthly_matrix(cube, keys)
-    comp = complete_years(cube, keys).select(*keys, CY, "IS_COMPLETE")
-    years = seasonal_range(mat.join(comp, [*keys, CY]), cy_from, cy_to)
-    year_rows = years.select(
+    complete = F.lit(True)
+    for m in months:
+        complete = complete & (F.col(m) > 0)
+    order = win(keys).orderBy(complete.desc(), F.col(CY).desc())
+    mat = mat.withColumn("_REF", complete & (F.row_number().over(order) <= n)).withColumn("_COMPLETE", complete)
+
+    year_rows = seasonal_range(mat, cy_from, cy_to).select(
         *keys, F.lit("year").alias("ROW_TYPE"), F.col(CY_LABEL).alias("ROW_LABEL"), CY,
         *[zero_to_null(F.col(m)).alias(m) for m in months],
-        F.when(F.col("IS_COMPLETE"), sum(F.col(m) for m in months)).alias("TOTAL"),
+        F.when(F.col("_COMPLETE"), total).alias("TOTAL"),
         (F.col(CY) * 10).cast("bigint").alias("ROW_ORDER"))
 
-    ref = last_complete_years(cube, keys, n).select(*keys, CY)
-    ref_mat = mat.join(ref, [*keys, CY], "left_semi").withColumn("_TOT", sum(F.col(m) for m in months))
-    agg_rows = []
-    for order, (name, fn) in enumerate([("Min", F.min), ("Max", F.max), ("Avg", F.avg)], start=1):
-        agg_rows.append(
-            ref_mat.groupBy(*keys).agg(*[fn(m).alias(m) for m in months], fn("_TOT").alias("TOTAL"),
-                                       F.count(F.lit(1)).alias("_N"))
-            .select(*keys, F.lit(name.lower()).alias("ROW_TYPE"),
-                    F.format_string(f"{name} (L%dY)", F.col("_N")).alias("ROW_LABEL"),
-                    F.lit(None).cast("int").alias(CY), *months, "TOTAL",
-                    F.lit(10 ** 9 + order).cast("bigint").alias("ROW_ORDER")))
-
-    vs = latest_vs_avg(cube, stats, keys, n)
-    s = stats.select(*keys, "LATEST_CY_START")
-    s = seasonal_range(s.withColumnRenamed("LATEST_CY_START", CY), cy_from, cy_to)
-    vs_row = (join_on_keys(vs, s, keys)
-              .groupBy(*keys, CY)
-              .agg(*[F.max(F.when(F.col(CM) == i, F.col("VS_AVG_PCT"))).alias(m)
-                     for i, m in enumerate(months, start=1)], F.max("BAND_N").alias("_N"))
-              .select(*keys, F.lit("vs_avg").alias("ROW_TYPE"),
-                      F.format_string("vs Avg (L%dY)%%", F.col("_N")).alias("ROW_LABEL"),
-                      F.lit(None).cast("int").alias(CY), *months, F.lit(None).cast("double").alias("TOTAL"),
-                      (F.col(CY) * 10 + 5).cast("bigint").alias("ROW_ORDER")))
-    out = year_rows
-    for r in [*agg_rows, vs_row]:
-        out = out.unionByName(r)
-    return out
+    ref = mat.where("_REF").withColumn("_TOT", total).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_N"),
+        *[fn(c).alias(f"{name}_{c}") for name, fn in (("min", F.min), ("max", F.max), ("avg", F.avg))
+          for c in [*months, "_TOT"]])
+    ref_rows = None
+    for order_no, name in enumerate(["min", "max", "avg"], start=1):
+        r = ref.select(*keys, F.lit(name).alias("ROW_TYPE"),
+                       F.format_string(f"{name.title()} (L%dY)", F.col("_N")).alias("ROW_LABEL"),
+                       F.lit(None).cast("int").alias(CY), *[F.col(f"{name}_{m}").alias(m) for m in months],
+                       F.col(f"{name}__TOT").alias("TOTAL"), F.lit(10 ** 9 + order_no).cast("bigint").alias("ROW_ORDER"))
+        ref_rows = r if ref_rows is None else ref_rows.unionByName(r)
+
+    s = seasonal_range(stats.select(*keys, F.col("LATEST_CY_START").alias(CY)), cy_from, cy_to)
+    latest = mat.join(s, [*keys, CY]) if keys else mat.join(F.broadcast(s), [CY])
+    vs = latest.join(ref.select(*keys, "_N", *[F.col(f"avg_{m}") for m in months]), keys) if keys else \
+        latest.crossJoin(ref.select("_N", *[F.col(f"avg_{m}") for m in months]))
+    vs_rows = vs.select(
+        *keys, F.lit("vs_avg").alias("ROW_TYPE"), F.format_string("vs Avg (L%dY)%%", F.col("_N")).alias("ROW_LABEL"),
+        F.lit(None).cast("int").alias(CY),
+        *[growth_vs(zero_to_null(F.col(m)), F.col(f"avg_{m}")).alias(m) for m in months],
+        F.lit(None).cast("double").alias("TOTAL"), (F.col(CY) * 10 + 5).cast("bigint").alias("ROW_ORDER"))
+    return year_rows.unionByName(ref_rows).unionByName(vs_rows)

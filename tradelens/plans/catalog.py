@@ -17,7 +17,7 @@ from ..session import scratch_path
 from ..sources import extract
 from ..sources.table import read_table, table_freshness, upsert_table
 from ..streaming.upsert_stream import stream_upsert
-from ..operators.cutoff import common_cutoff_ym, display_trim
+from ..operators.cutoff import common_cutoff_ym, display_trim, period_stats
 from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
@@ -164,7 +164,9 @@ def q_heatmap(spark, sf_dir):
 
 @query("ytd_yoy")
 def q_ytd_yoy(spark, sf_dir):
-    _, stats, disp = overview(spark, sf_dir)
+    df = prepared(spark, sf_dir)
+    stats = period_stats(df, KEYS)
+    disp = display_trim(df, KEYS, stats=stats, keep=["COMMON_MONTH"])
     return finish(series.ytd_yoy(disp, stats, KEYS))
 
 

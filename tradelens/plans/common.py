@@ -12,7 +12,7 @@ from ..operators.cutoff import display_trim, period_stats
 from ..operators.filters import filter_trade
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
 from ..operators.series import monthly_cube
-from ..session import checkpoint_root
+from ..session import scratch_path
 from ..sources.table import load_trade
 
 # Standard parameters of the registered queries.
@@ -44,23 +44,27 @@ def overview(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START):
     return df, stats, display_trim(df, keys, stats=stats)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used for small intermediates that several results reuse (the monthly
     cube and per-series stats): it cuts the lineage, so the plans built on
-    top stay small and a lost executor does not recompute the raw scan.
+    top stay small and a lost executor does not recompute the raw scan. One
+    job (unlike an RDD checkpoint, which computes its input twice), and the
+    read-back carries real file sizes for the planner's broadcast choice.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START):
     """(stats, trimmed rows, monthly cube) with stats and cube checkpointed."""
     df = prepared(spark, sf_dir, start)
-    stats = materialize(period_stats(df, keys))
+    stats = materialize(period_stats(df, keys), "stats")
     disp = display_trim(df, keys, stats=stats)
-    return stats, disp, materialize(monthly_cube(disp, keys))
+    return stats, disp, materialize(monthly_cube(disp, keys), "cube")
 
 
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:

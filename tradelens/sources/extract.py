@@ -69,5 +69,5 @@ def write_extract(df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool =
     out = df.select(*EXTRACT_COLUMNS)
     if bom:
         out = out.withColumnRenamed(EXTRACT_COLUMNS[0], BOM + EXTRACT_COLUMNS[0])
-    (out.write.mode("overwrite").option("header", True).option("sep", "\t")
+    (out.write.mode("overwrite").option("header", True).option("sep", "\t").option("escape", "\"")
      .option("encoding", encoding).csv(path))

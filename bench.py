@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,9 +28,9 @@ def main() -> None:
     from tradelens.session import build_session
     from tradelens.sources.table import load_trade
 
-    scratch = tempfile.mkdtemp(prefix="tradelens-bench-")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
-                          extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
+    # The shared folder for written intermediates comes from the session's
+    # spark.checkpoint.dir; checkpoint_root() sets a local one only if unset.
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
     t0 = time.time()
     load_trade(spark, sf_dir).write.format("noop").mode("overwrite").save()
     setup = time.time() - t0

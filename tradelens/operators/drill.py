@@ -50,6 +50,15 @@ def drill_rows(df: DataFrame, keys: list[str], start_month: int, reporters=(), p
     return masked.select(*df.columns), base.select(*df.columns), stats
 
 
+def drill_cube(dff: DataFrame, keys: list[str]) -> DataFrame:
+    """Drill rows reduced to (series, region, partner, crop year, crop month).
+
+    Every view below only needs these columns, so they can run on this
+    small aggregate instead of the rows (same results: the views sum QTY).
+    """
+    return dff.groupBy(*keys, REGION, PARTNER, CY, CY_LABEL, CM).agg(_sum_qty())
+
+
 def year_region(dff: DataFrame, keys: list[str]) -> DataFrame:
     """Crop year x region volume, share of the year (%), region total and rank."""
     agg = dff.groupBy(*keys, CY, CY_LABEL, REGION).agg(_sum_qty())

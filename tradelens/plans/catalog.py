@@ -22,8 +22,8 @@ from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, overview, prepared, raw_trade, series_inputs,
-                     trade)
+from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, prepared, raw_trade,
+                     series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -200,6 +200,11 @@ def _drill(spark, sf_dir, **kw):
     return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, **kw)
 
 
+def _drill_cube(spark, sf_dir):
+    """The YTD-basis drill rows reduced to the drill cube and written once."""
+    return materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill")
+
+
 @query("filter_trade")
 def q_filter_trade(spark, sf_dir):
     df = filter_trade(trade(spark, sf_dir), regions=["Asia", "Europe", "NAM", "LATAM"],
@@ -233,58 +238,58 @@ def q_seasonal_range(spark, sf_dir):
 
 @query("drill_year_region")
 def q_drill_year_region(spark, sf_dir):
-    return finish(drill.year_region(_drill(spark, sf_dir)[0], KEYS))
+    return finish(drill.year_region(_drill_cube(spark, sf_dir), KEYS))
 
 
 @query("share_by_year")
 def q_share_by_year(spark, sf_dir):
-    yr = drill.year_region(_drill(spark, sf_dir)[0], KEYS)
+    yr = drill.year_region(_drill_cube(spark, sf_dir), KEYS)
     return finish(yr.select(*KEYS, REGION, "REGION_RANK", CY, CY_LABEL, "SHARE_PCT"))
 
 
 @query("drill_month_region")
 def q_drill_month_region(spark, sf_dir):
-    return finish(drill.month_region(_drill(spark, sf_dir)[0], KEYS).drop("SHARE_PCT"))
+    return finish(drill.month_region(_drill_cube(spark, sf_dir), KEYS).drop("SHARE_PCT"))
 
 
 @query("share_by_month")
 def q_share_by_month(spark, sf_dir):
-    return finish(drill.month_region(_drill(spark, sf_dir)[0], KEYS))
+    return finish(drill.month_region(_drill_cube(spark, sf_dir), KEYS))
 
 
 @query("drill_month_partner")
 def q_drill_month_partner(spark, sf_dir):
-    return finish(drill.month_partner(_drill(spark, sf_dir)[0], KEYS, by_region=True))
+    return finish(drill.month_partner(_drill_cube(spark, sf_dir), KEYS, by_region=True))
 
 
 @query("drill_year_partner")
 def q_drill_year_partner(spark, sf_dir):
-    return finish(drill.year_partner(_drill(spark, sf_dir)[0], KEYS))
+    return finish(drill.year_partner(_drill_cube(spark, sf_dir), KEYS))
 
 
 @query("drill_top_in_year")
 def q_drill_top_in_year(spark, sf_dir):
-    return finish(drill.top_in_year(_drill(spark, sf_dir)[0], KEYS, RANK_YEAR))
+    return finish(drill.top_in_year(_drill_cube(spark, sf_dir), KEYS, RANK_YEAR))
 
 
 @query("top_partners")
 def q_top_partners(spark, sf_dir):
-    return finish(drill.top_partners(_drill(spark, sf_dir)[0], KEYS, 12))
+    return finish(drill.top_partners(_drill_cube(spark, sf_dir), KEYS, 12))
 
 
 @query("partner_share_in_region")
 def q_partner_share_in_region(spark, sf_dir):
-    return finish(drill.partner_share_in_region(_drill(spark, sf_dir)[0], KEYS, 10))
+    return finish(drill.partner_share_in_region(_drill_cube(spark, sf_dir), KEYS, 10))
 
 
 @query("top15_with_rest")
 def q_top15_with_rest(spark, sf_dir):
-    return finish(drill.top15_with_rest(_drill(spark, sf_dir)[0], KEYS, 15))
+    return finish(drill.top15_with_rest(_drill_cube(spark, sf_dir), KEYS, 15))
 
 
 @query("monthly_breakdown")
 def q_monthly_breakdown(spark, sf_dir):
-    return finish(drill.monthly_breakdown(_drill(spark, sf_dir)[0], KEYS, 15))
+    return finish(drill.monthly_breakdown(_drill_cube(spark, sf_dir), KEYS, 15))
 
 
 @query("rolling_by_region")

@@ -55,7 +55,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

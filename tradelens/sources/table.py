@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..dims import Dims, fixture_dims
 from ..operators.enrich import enrich_trade
-from ..schema import COMMODITY_TAG, FLOW, MONTH, REPORTER_REGION, YEAR
+from ..schema import COMMODITY_TAG, FLOW, MONTH, PARTNER, REPORTER, REPORTER_REGION, YEAR
 from ..session import checkpoint_root
 from .testdata import trade_view
 
@@ -41,8 +41,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return normalise(spark.read.parquet(path))
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
+def layout(df: DataFrame) -> DataFrame:
+    """Write layout of the stored table: AQE rebalance on the partition
+    columns (small partitions merged into one file, oversized ones split by
+    the advisory size), rows sorted by reporter and partner so parquet
+    row-group statistics can skip data for reporter/partner filters."""
+    return df.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(REPORTER, PARTNER)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mode: str = "static") -> None:
+    (layout(df).write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
+     .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
 def test_dims(spark: SparkSession, sf_dir: str) -> Dims:
@@ -117,13 +126,10 @@ def upsert_table(new: DataFrame, path: str, batch_id: int = 1, full: bool = Fals
         except AnalysisException:
             existing = None
     if existing is None:
-        keep_last(stamp(new, batch_id)).select(*cols).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLUMNS).parquet(path)
+        write_table(keep_last(stamp(new, batch_id)).select(*cols), path)
         return
     touched = new.select(*PARTITION_COLUMNS).distinct()
     old = existing.join(touched, PARTITION_COLUMNS, "left_semi")
     staging = scratch_path(spark, "staging")
-    (upsert_keep_last(old, new, new_batch=batch_id).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLUMNS).parquet(staging))
-    (spark.read.parquet(staging).select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).parquet(path))
+    write_table(upsert_keep_last(old, new, new_batch=batch_id), staging)
+    write_table(spark.read.parquet(staging).select(*cols), path, overwrite_mode="dynamic")

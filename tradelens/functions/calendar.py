@@ -33,6 +33,14 @@ def year_month_key(year: Column, month: Column) -> Column:
     return (year * 100 + month).cast("int")
 
 
+def with_crop_date(df: DataFrame, start_month: int = 1) -> DataFrame:
+    """DATE (first of the calendar month) back from CROP_YEAR_START and CROP_MONTH_NUM."""
+    s = check_start_month(start_month)
+    k = F.col(CM) + (s - 2)                  # months since January of the start year
+    return df.withColumn(DATE, F.make_date((F.col(CY) + F.floor(k / 12)).cast("int"),
+                                           (F.pmod(k, F.lit(12)) + 1).cast("int"), F.lit(1)))
+
+
 def with_calendar(df: DataFrame, start_month: int = 1) -> DataFrame:
     """Add DATE, CROP_YEAR_START, CROP_YEAR and CROP_MONTH_NUM."""
     s = check_start_month(start_month)

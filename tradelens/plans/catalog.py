@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import shift_months, with_calendar, with_unit
+from ..functions.calendar import shift_months, with_calendar, with_crop_date, with_unit
 from ..operators import drill, enrich, filters, load, mirror, projection, series
 from ..session import scratch_path
 from ..sources import extract
@@ -22,7 +22,7 @@ from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, prepared, raw_trade,
+from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, prepared, raw_trade, reuse,
                      series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,17 +95,19 @@ def q_mirror_shift(spark, sf_dir):
     return finish(shift_months(imp, 1, START).select(*RAW_COLUMNS, DATE, CY, CY_LABEL, CM))
 
 
+def _dated_cube(spark, sf_dir):
+    return with_crop_date(series_inputs(spark, sf_dir)[2], START)
+
+
 @query("monthly_total")
 def q_monthly_total(spark, sf_dir):
-    _, _, disp = overview(spark, sf_dir)
-    return finish(series.monthly_total(disp, KEYS))
+    return finish(series.monthly_total(_dated_cube(spark, sf_dir), KEYS))
 
 
 # ---------------------------------------------------------------- cutoff ---
 @query("latest_period")
 def q_latest_period(spark, sf_dir):
-    _, stats, _ = overview(spark, sf_dir)
-    return finish(stats)
+    return finish(series_inputs(spark, sf_dir)[0])
 
 
 @query("common_cutoff_ym")
@@ -164,10 +166,8 @@ def q_heatmap(spark, sf_dir):
 
 @query("ytd_yoy")
 def q_ytd_yoy(spark, sf_dir):
-    df = prepared(spark, sf_dir)
-    stats = period_stats(df, KEYS)
-    disp = display_trim(df, KEYS, stats=stats, keep=["COMMON_MONTH"])
-    return finish(series.ytd_yoy(disp, stats, KEYS))
+    stats, _, cube = series_inputs(spark, sf_dir)
+    return finish(series.ytd_yoy(cube, stats, KEYS))
 
 
 @query("cumulative")
@@ -177,14 +177,12 @@ def q_cumulative(spark, sf_dir):
 
 @query("rolling_3m")
 def q_rolling_3m(spark, sf_dir):
-    _, _, disp = overview(spark, sf_dir)
-    return finish(series.rolling(series.monthly_total(disp, KEYS), KEYS, 3))
+    return finish(series.rolling(series.monthly_total(_dated_cube(spark, sf_dir), KEYS), KEYS, 3))
 
 
 @query("rolling_12m")
 def q_rolling_12m(spark, sf_dir):
-    _, _, disp = overview(spark, sf_dir)
-    return finish(series.rolling(series.monthly_total(disp, KEYS), KEYS, 12))
+    return finish(series.rolling(series.monthly_total(_dated_cube(spark, sf_dir), KEYS), KEYS, 12))
 
 
 # ----------------------------------------------------------------- drill ---
@@ -202,7 +200,8 @@ def _drill(spark, sf_dir, **kw):
 
 def _drill_cube(spark, sf_dir):
     """The YTD-basis drill rows reduced to the drill cube and written once."""
-    return materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill")
+    return reuse(("drill", id(spark), sf_dir, tuple(KEYS), START),
+                 lambda: materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill"))
 
 
 @query("filter_trade")

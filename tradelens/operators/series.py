@@ -27,7 +27,7 @@ def monthly_cube(df: DataFrame, keys: list[str], extra: list[str] | tuple = ())
 
 def monthly_matrix(cube: DataFrame, keys: list[str]) -> DataFrame:
     """Crop year x 12 crop-month columns (M01..M12), absent month = 0."""
-    cols = [F.coalesce(F.sum(F.when(F.col(CM) == i, F.col(QTY))), F.lit(0.0)).alias(c)
+    cols = [F.expr(f"coalesce(sum(CASE WHEN {CM} = {i} THEN {QTY} END), 0D) AS {c}")
             for i, c in enumerate(month_columns(), start=1)]
     return cube.groupBy(*keys, CY, CY_LABEL).agg(*cols)
 
@@ -121,42 +121,40 @@ def heatmap(cube: DataFrame, stats: DataFrame, keys: list[str], cy_from: int | N
 
     One matrix aggregate and one window (complete years ranked newest
     first); the reference rows are one more aggregate on the same
-    partitioning.
+    partitioning. Month expressions are SQL text: one driver call per list.
     """
     months = month_columns()
-    total = sum(F.col(m) for m in months)
-    mat = monthly_matrix(cube, keys)
-    complete = F.lit(True)
-    for m in months:
-        complete = complete & (F.col(m) > 0)
-    order = win(keys).orderBy(complete.desc(), F.col(CY).desc())
-    mat = mat.withColumn("_REF", complete & (F.row_number().over(order) <= n)).withColumn("_COMPLETE", complete)
-
-    year_rows = seasonal_range(mat, cy_from, cy_to).select(
-        *keys, F.lit("year").alias("ROW_TYPE"), F.col(CY_LABEL).alias("ROW_LABEL"), CY,
-        *[zero_to_null(F.col(m)).alias(m) for m in months],
-        F.when(F.col("_COMPLETE"), total).alias("TOTAL"),
-        (F.col(CY) * 10).cast("bigint").alias("ROW_ORDER"))
-
-    ref = mat.where("_REF").withColumn("_TOT", total).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_N"),
-        *[fn(c).alias(f"{name}_{c}") for name, fn in (("min", F.min), ("max", F.max), ("avg", F.avg))
-          for c in [*months, "_TOT"]])
+    k = [f"`{c}`" for c in keys]
+    total = " + ".join(months)
+    complete = " AND ".join(f"{m} > 0" for m in months)
+    part = f"PARTITION BY {', '.join(k)} " if keys else ""
+    mat = monthly_matrix(cube, keys).selectExpr(
+        "*", f"({complete}) AS _COMPLETE",
+        f"({complete}) AND row_number() OVER ({part}ORDER BY ({complete}) DESC, {CY} DESC) <= {n} AS _REF")
+
+    year_rows = seasonal_range(mat, cy_from, cy_to).selectExpr(
+        *k, "'year' AS ROW_TYPE", f"{CY_LABEL} AS ROW_LABEL", CY,
+        *[f"nullif({m}, 0D) AS {m}" for m in months],
+        f"CASE WHEN _COMPLETE THEN {total} END AS TOTAL", f"CAST({CY} * 10 AS BIGINT) AS ROW_ORDER")
+
+    ref = mat.where("_REF").selectExpr("*", f"{total} AS _TOT").groupBy(*keys).agg(
+        F.expr("count(1) AS _N"),
+        *[F.expr(f"{fn}({c}) AS {fn}_{c}") for fn in ("min", "max", "avg") for c in [*months, "_TOT"]])
     ref_rows = None
     for order_no, name in enumerate(["min", "max", "avg"], start=1):
-        r = ref.select(*keys, F.lit(name).alias("ROW_TYPE"),
-                       F.format_string(f"{name.title()} (L%dY)", F.col("_N")).alias("ROW_LABEL"),
-                       F.lit(None).cast("int").alias(CY), *[F.col(f"{name}_{m}").alias(m) for m in months],
-                       F.col(f"{name}__TOT").alias("TOTAL"), F.lit(10 ** 9 + order_no).cast("bigint").alias("ROW_ORDER"))
+        r = ref.selectExpr(
+            *k, f"'{name}' AS ROW_TYPE", f"format_string('{name.title()} (L%dY)', _N) AS ROW_LABEL",
+            f"CAST(NULL AS INT) AS {CY}", *[f"{name}_{m} AS {m}" for m in months], f"{name}__TOT AS TOTAL",
+            f"CAST({10 ** 9 + order_no} AS BIGINT) AS ROW_ORDER")
         ref_rows = r if ref_rows is None else ref_rows.unionByName(r)
 
     s = seasonal_range(stats.select(*keys, F.col("LATEST_CY_START").alias(CY)), cy_from, cy_to)
     latest = mat.join(s, [*keys, CY]) if keys else mat.join(F.broadcast(s), [CY])
-    vs = latest.join(ref.select(*keys, "_N", *[F.col(f"avg_{m}") for m in months]), keys) if keys else \
-        latest.crossJoin(ref.select("_N", *[F.col(f"avg_{m}") for m in months]))
-    vs_rows = vs.select(
-        *keys, F.lit("vs_avg").alias("ROW_TYPE"), F.format_string("vs Avg (L%dY)%%", F.col("_N")).alias("ROW_LABEL"),
-        F.lit(None).cast("int").alias(CY),
-        *[growth_vs(zero_to_null(F.col(m)), F.col(f"avg_{m}")).alias(m) for m in months],
-        F.lit(None).cast("double").alias("TOTAL"), (F.col(CY) * 10 + 5).cast("bigint").alias("ROW_ORDER"))
+    avgs = ref.select(*keys, "_N", *[f"avg_{m}" for m in months])
+    vs = latest.join(avgs, keys) if keys else latest.crossJoin(avgs)
+    vs_rows = vs.selectExpr(
+        *k, "'vs_avg' AS ROW_TYPE", "format_string('vs Avg (L%dY)%%', _N) AS ROW_LABEL",
+        f"CAST(NULL AS INT) AS {CY}",
+        *[f"CASE WHEN avg_{m} > 0 AND {m} > 0 THEN ({m} / avg_{m} - 1) * 100 END AS {m}" for m in months],
+        "CAST(NULL AS DOUBLE) AS TOTAL", f"CAST({CY} * 10 + 5 AS BIGINT) AS ROW_ORDER")
     return year_rows.unionByName(ref_rows).unionByName(vs_rows)

@@ -115,12 +115,14 @@ def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = STAR
 
 
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Lower-case names; doubles rounded (6 places, VALUE 2) for comparison."""
-    cols = []
+    """Lower-case names; doubles rounded (6 places, VALUE 2) for comparison.
+
+    Built as one ``selectExpr`` (one driver call for all columns)."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 2 if f.name == VALUE else 6)
-        cols.append(c.alias(f.name.lower()))
-    out = df.select(*cols)
+            c = f"round({c}, {2 if f.name == VALUE else 6})"
+        exprs.append(f"{c} AS `{f.name.lower()}`")
+    out = df.selectExpr(*exprs)
     return out.orderBy(*[o.lower() for o in order]) if order else out

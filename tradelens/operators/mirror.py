@@ -24,6 +24,17 @@ def _canonical(df: DataFrame, col: str, out: str, dims: Dims) -> DataFrame:
             .withColumn(out, F.coalesce(F.col("_AV"), F.trim(F.col(col)))).drop("_AK", "_AV"))
 
 
+def mirror_cube(df: DataFrame, tags=()) -> DataFrame:
+    """Monthly quantity per (flow, reporter, partner, year, month).
+
+    Every mirror result is derived from this aggregate: shifting months
+    commutes with the sum, so the lag is applied to the reduced rows.
+    """
+    return (df.where(in_or_present(COMMODITY_TAG, tags))
+            .groupBy(FLOW, REPORTER, PARTNER, "YEAR", "MONTH")
+            .agg(F.coalesce(F.sum(QTY), F.lit(0.0)).alias(QTY)))
+
+
 def mirror_pairs(df: DataFrame, dims: Dims) -> DataFrame:
     """Exporter -> destination pairs whose destination reports imports from the
     exporter, matched on canonical (alias-resolved) names on both sides."""
@@ -39,7 +50,9 @@ def mirror_pairs(df: DataFrame, dims: Dims) -> DataFrame:
 
 def _series(df: DataFrame, pairs: DataFrame, flow: str, rep: str, par: str, start_month: int,
             lag: int, tags) -> DataFrame:
-    rows = df.where((F.col(FLOW) == flow) & in_or_present(COMMODITY_TAG, tags))
+    rows = df.where(F.col(FLOW) == flow)
+    if COMMODITY_TAG in df.columns:
+        rows = rows.where(in_or_present(COMMODITY_TAG, tags))
     rows = shift_months(rows, lag, start_month) if lag else with_calendar(rows, start_month)
     agg = (rows.groupBy(F.col(REPORTER).alias(rep), F.col(PARTNER).alias(par), CY, CY_LABEL, CM)
            .agg(F.coalesce(F.sum(QTY), F.lit(0.0)).alias(QTY)))

@@ -70,39 +70,52 @@ def _prop_totals(cube: DataFrame, stats: DataFrame, keys: list[str], n: int) ->
     return _j(tot, ann, keys, "left")
 
 
-def projection_ytd(cube: DataFrame, stats: DataFrame, keys: list[str], yoy: float | None = None,
-                   n: int = PROJECTION_YEARS) -> DataFrame:
-    """YTD method: previous year's month x (1 + YoY); a month without a
-    positive previous value uses the mean of the last <= n complete years."""
+def projection_base(cube: DataFrame, stats: DataFrame, keys: list[str], n: int = PROJECTION_YEARS) -> DataFrame:
+    """One row per (series, remaining month) with every input of the methods.
+
+    PREV_QTY (previous crop year's month), AVG_QTY / AVG_SHARE (mean value
+    and mean share of the month over the last <= n complete years), and per
+    series CY_YTD, PREV_YTD, CUM_START, ANCHOR_QTY, ACT_SHARE, REM_SHARE,
+    MEAN_ANNUAL. Built from small per-series frames with key joins only.
+    """
     rem = remaining_months(stats, keys)
     prev_m = (join_on_keys(cube, _stats(stats, keys).select(*keys, "PREV_CY_START"), keys)
               .where(F.col(CY) == F.col("PREV_CY_START")).select(*keys, CM, F.col(QTY).alias("PREV_QTY")))
-    avg_m = avg_proportions(cube, keys, n).select(*keys, CM, "AVG_QTY")
+    props = avg_proportions(cube, keys, n).select(*keys, CM, "AVG_QTY", "AVG_SHARE")
+    tot = _prop_totals(cube, stats, keys, n)
     sums = ytd_sums(cube, stats, keys)
+    out = rem.join(prev_m, [*keys, CM], "left").join(props, [*keys, CM], "left")
+    return _j(_j(out, sums, keys), tot, keys, "left")
+
+
+def _base(cube, stats, keys, n, base):
+    return base if base is not None else projection_base(cube, stats, keys, n)
+
+
+def projection_ytd(cube: DataFrame, stats: DataFrame, keys: list[str], yoy: float | None = None,
+                   n: int = PROJECTION_YEARS, base: DataFrame | None = None) -> DataFrame:
+    """YTD method: previous year's month x (1 + YoY); a month without a
+    positive previous value uses the mean of the last <= n complete years."""
+    b = _base(cube, stats, keys, n, base)
     default = F.when(F.col("PREV_CY_START").isNotNull() & (F.col("PREV_YTD") > 0),
                      F.bround((F.col("CY_YTD") / F.col("PREV_YTD") - 1) * 100, 1)).otherwise(F.lit(0.0))
     yoy_col = default if yoy is None else F.lit(float(yoy))
-    base = F.coalesce(F.col("PREV_QTY"), F.lit(0.0))
-    base = F.when((base <= 0) & F.col("AVG_QTY").isNotNull(), F.col("AVG_QTY")).otherwise(base)
-    out = _j(rem.join(prev_m, [*keys, CM], "left").join(avg_m, [*keys, CM], "left"), sums, keys)
-    out = out.withColumns({"YOY_PCT": yoy_col, "BASE_QTY": base})
+    prev = F.coalesce(F.col("PREV_QTY"), F.lit(0.0))
+    base_qty = F.when((prev <= 0) & F.col("AVG_QTY").isNotNull(), F.col("AVG_QTY")).otherwise(prev)
+    out = b.withColumns({"YOY_PCT": yoy_col, "BASE_QTY": base_qty})
     return (out.where(F.col("BASE_QTY") > 0)
             .select(*keys, F.col("LATEST_CY_START").alias(CY), CM, "YOY_PCT", "BASE_QTY",
                     (F.col("BASE_QTY") * (1 + F.col("YOY_PCT") / 100)).alias("PROJ_QTY")))
 
 
 def projection_proportions(cube: DataFrame, stats: DataFrame, keys: list[str],
-                           n: int = PROJECTION_YEARS) -> DataFrame:
+                           n: int = PROJECTION_YEARS, base: DataFrame | None = None) -> DataFrame:
     """Proportions: implied full year = YTD / elapsed average share (or the
     mean annual total when that share is 0); month = implied x share."""
-    rem = remaining_months(stats, keys)
-    props = avg_proportions(cube, keys, n).select(*keys, CM, "AVG_SHARE")
-    tot = _prop_totals(cube, stats, keys, n)
-    sums = ytd_sums(cube, stats, keys).select(*keys, "CY_YTD")
+    b = _base(cube, stats, keys, n, base).where(F.col("AVG_SHARE").isNotNull())
     implied = F.when(F.coalesce(F.col("ACT_SHARE"), F.lit(0.0)) > 0, F.col("CY_YTD") / F.col("ACT_SHARE")) \
         .otherwise(F.col("MEAN_ANNUAL"))
-    out = _j(_j(rem.join(props, [*keys, CM]), tot, keys), sums, keys)
-    out = out.withColumn("IMPLIED_TOTAL", implied)
+    out = b.withColumn("IMPLIED_TOTAL", implied)
     return out.select(*keys, F.col("LATEST_CY_START").alias(CY), CM, "IMPLIED_TOTAL",
                       (F.col("IMPLIED_TOTAL") * F.col("AVG_SHARE")).alias("PROJ_QTY"))
 
@@ -115,46 +128,50 @@ def projection_manual_month(stats: DataFrame, keys: list[str], value: float) ->
 
 
 def projection_manual_year(cube: DataFrame, stats: DataFrame, keys: list[str], target: float | None = None,
-                           n: int = PROJECTION_YEARS) -> DataFrame:
+                           n: int = PROJECTION_YEARS, base: DataFrame | None = None) -> DataFrame:
     """Yearly target: the budget left after YTD is split over the remaining
     months by their average shares (renormalised). Default target =
     round(YTD / elapsed share); no rows when nothing is left."""
-    rem = remaining_months(stats, keys)
-    props = avg_proportions(cube, keys, n).select(*keys, CM, "AVG_SHARE")
-    tot = _prop_totals(cube, stats, keys, n)
-    sums = ytd_sums(cube, stats, keys).select(*keys, "CY_YTD")
+    b = _base(cube, stats, keys, n, base).where(F.col("AVG_SHARE").isNotNull())
     default = F.when(F.col("ACT_SHARE") > 0, F.bround(F.col("CY_YTD") / F.col("ACT_SHARE"), 0)) \
         .otherwise(F.lit(0.0))
     tgt = default if target is None else F.lit(float(target))
-    out = _j(_j(rem.join(props, [*keys, CM]), tot, keys), sums, keys)
-    out = out.withColumns({"TARGET": tgt})
+    out = b.withColumn("TARGET", tgt)
     out = out.withColumn("REMAINING_BUDGET", F.greatest(F.lit(0.0), F.col("TARGET") - F.col("CY_YTD")))
     out = out.where((F.col("REMAINING_BUDGET") > 0) & (F.col("REM_SHARE") > 0))
     return out.select(*keys, F.col("LATEST_CY_START").alias(CY), CM, "TARGET", "REMAINING_BUDGET",
                       (F.col("REMAINING_BUDGET") * F.col("AVG_SHARE") / F.col("REM_SHARE")).alias("PROJ_QTY"))
 
 
-def projection_series(cube: DataFrame, stats: DataFrame, proj: DataFrame, keys: list[str]) -> DataFrame:
+def _anchors(cube, stats, keys, base):
+    b = _base(cube, stats, keys, PROJECTION_YEARS, base)
+    return b.select(*keys, "LATEST_CY_START", "COMMON_MONTH", "ANCHOR_QTY", "CUM_START").distinct()
+
+
+def _with_projection(frame: DataFrame, proj: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of series that have at least one projected month."""
+    if keys:
+        return frame.join(proj.select(*keys).distinct(), keys, "left_semi")
+    return _j(frame, proj.select(F.count(F.lit(1)).alias("_N")), []).where("_N > 0").drop("_N")
+
+
+def projection_series(cube: DataFrame, stats: DataFrame, proj: DataFrame, keys: list[str],
+                      base: DataFrame | None = None) -> DataFrame:
     """Projected months preceded by the last actual point (when positive).
 
     Series without any projected month get no rows."""
-    have = proj.select(*keys).distinct()
-    anchor = _j(ytd_sums(cube, stats, keys).where(F.col("ANCHOR_QTY").isNotNull()), _stats(stats, keys), keys)
+    anchor = _with_projection(_anchors(cube, stats, keys, base).where(F.col("ANCHOR_QTY").isNotNull()), proj, keys)
     anchor = anchor.select(*keys, F.col("LATEST_CY_START").alias(CY), F.col("COMMON_MONTH").alias(CM),
                            F.col("ANCHOR_QTY").alias(QTY), F.lit(False).alias("IS_PROJECTED"))
-    anchor = anchor.join(have, keys, "left_semi") if keys else _j(anchor, proj.select(F.count(F.lit(1)).alias("_N")), []).where("_N > 0").drop("_N")
     return anchor.unionByName(proj.select(*keys, CY, CM, F.col("PROJ_QTY").alias(QTY),
                                           F.lit(True).alias("IS_PROJECTED")))
 
 
-def projection_cumulative(cube: DataFrame, stats: DataFrame, proj: DataFrame, keys: list[str]) -> DataFrame:
+def projection_cumulative(cube: DataFrame, stats: DataFrame, proj: DataFrame, keys: list[str],
+                          base: DataFrame | None = None) -> DataFrame:
     """Cumulative line: the sum of the positive actual months up to the common
     month, then each projected month added in order."""
-    sums = ytd_sums(cube, stats, keys).select(*keys, "CUM_START")
-    s = _stats(stats, keys).select(*keys, "LATEST_CY_START", "COMMON_MONTH")
-    start = _j(sums, s, keys)
-    start = start.join(proj.select(*keys).distinct(), keys, "left_semi") if keys else \
-        _j(start, proj.select(F.count(F.lit(1)).alias("_N")), []).where("_N > 0").drop("_N")
+    start = _with_projection(_anchors(cube, stats, keys, base), proj, keys)
     start_rows = start.select(*keys, F.col("LATEST_CY_START").alias(CY), F.col("COMMON_MONTH").alias(CM),
                               F.col("CUM_START").alias("STEP"), F.lit(False).alias("IS_PROJECTED"))
     steps = proj.select(*keys, CY, CM, F.col("PROJ_QTY").alias("STEP"), F.lit(True).alias("IS_PROJECTED"))

@@ -22,7 +22,7 @@ from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, prepared, raw_trade, reuse,
+from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, pin, prepared, raw_trade, reuse,
                      series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +305,11 @@ def _proj_inputs(spark, sf_dir):
     return cube, stats
 
 
+def _proj_base(spark, sf_dir):
+    cube, stats = _proj_inputs(spark, sf_dir)
+    return reuse(("projbase", id(spark), sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
+
+
 @query("avg_proportions")
 def q_avg_proportions(spark, sf_dir):
     cube, _ = _proj_inputs(spark, sf_dir)
@@ -314,13 +319,13 @@ def q_avg_proportions(spark, sf_dir):
 @query("projection_ytd")
 def q_projection_ytd(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return finish(projection.projection_ytd(cube, stats, KEYS))
+    return finish(projection.projection_ytd(cube, stats, KEYS, base=_proj_base(spark, sf_dir)))
 
 
 @query("projection_proportions")
 def q_projection_proportions(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return finish(projection.projection_proportions(cube, stats, KEYS))
+    return finish(projection.projection_proportions(cube, stats, KEYS, base=_proj_base(spark, sf_dir)))
 
 
 @query("projection_manual_month")
@@ -332,21 +337,23 @@ def q_projection_manual_month(spark, sf_dir):
 @query("projection_manual_year")
 def q_projection_manual_year(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return finish(projection.projection_manual_year(cube, stats, KEYS))
+    return finish(projection.projection_manual_year(cube, stats, KEYS, base=_proj_base(spark, sf_dir)))
 
 
 @query("projection_series")
 def q_projection_series(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    proj = projection.projection_ytd(cube, stats, KEYS)
-    return finish(projection.projection_series(cube, stats, proj, KEYS))
+    base = _proj_base(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS, base=base)
+    return finish(projection.projection_series(cube, stats, proj, KEYS, base=base))
 
 
 @query("projection_cumulative")
 def q_projection_cumulative(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    proj = projection.projection_ytd(cube, stats, KEYS)
-    return finish(projection.projection_cumulative(cube, stats, proj, KEYS))
+    base = _proj_base(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS, base=base)
+    return finish(projection.projection_cumulative(cube, stats, proj, KEYS, base=base))
 
 
 # ---------------------------------------------------------------- mirror ---
@@ -354,7 +361,11 @@ MIRROR_LAG = 1
 
 
 def _mirror_input(spark, sf_dir):
-    return with_unit(filter_trade(trade(spark, sf_dir)), "MT"), test_dims(spark, sf_dir)
+    """The selected rows reduced to the pair-month mirror cube, written once."""
+    cube = reuse(("mirror", id(spark), sf_dir),
+                 lambda: materialize(mirror.mirror_cube(with_unit(filter_trade(trade(spark, sf_dir)), "MT")),
+                                     "mirror"))
+    return cube, test_dims(spark, sf_dir)
 
 
 @query("mirror_pairs")

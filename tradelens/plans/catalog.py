@@ -200,7 +200,7 @@ def _drill(spark, sf_dir, **kw):
 
 def _drill_cube(spark, sf_dir):
     """The YTD-basis drill rows reduced to the drill cube and written once."""
-    return reuse(("drill", id(spark), sf_dir, tuple(KEYS), START),
+    return reuse(("drill", spark.sparkContext.applicationId, sf_dir, tuple(KEYS), START),
                  lambda: materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill"))
 
 
@@ -307,7 +307,7 @@ def _proj_inputs(spark, sf_dir):
 
 def _proj_base(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return reuse(("projbase", id(spark), sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
+    return reuse(("projbase", spark.sparkContext.applicationId, sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
 
 
 @query("avg_proportions")
@@ -362,7 +362,7 @@ MIRROR_LAG = 1
 
 def _mirror_input(spark, sf_dir):
     """The selected rows reduced to the pair-month mirror cube, written once."""
-    cube = reuse(("mirror", id(spark), sf_dir),
+    cube = reuse(("mirror", spark.sparkContext.applicationId, sf_dir),
                  lambda: materialize(mirror.mirror_cube(with_unit(filter_trade(trade(spark, sf_dir)), "MT")),
                                      "mirror"))
     return cube, test_dims(spark, sf_dir)

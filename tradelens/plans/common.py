@@ -111,7 +111,7 @@ def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = STAR
         disp = display_trim(rep, keys, stats=stats)
         return stats, disp, pin(monthly_cube(disp, keys))
 
-    return reuse(("series", id(spark), sf_dir, tuple(keys), start, unit), build)
+    return reuse(("series", spark.sparkContext.applicationId, sf_dir, tuple(keys), start, unit), build)
 
 
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:

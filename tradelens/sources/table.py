@@ -55,7 +55,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mod
 
 
 def test_dims(spark: SparkSession, sf_dir: str) -> Dims:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _dims_cache:
         _dims_cache[key] = fixture_dims(spark, sf_dir)
     return _dims_cache[key]
@@ -87,7 +87,7 @@ def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
     """
     if not materialize:
         return enriched_view(spark, sf_dir)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     path = _table_cache.get(key)
     if path is None:
         path = f"{checkpoint_root(spark)}/tradelens/trade-{_source_fingerprint(spark, sf_dir)}"

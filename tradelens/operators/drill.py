@@ -37,12 +37,20 @@ def drill_stats(rep: DataFrame, keys: list[str], start_month: int, years_back: i
 
 
 def drill_rows(df: DataFrame, keys: list[str], start_month: int, reporters=(), partners=(), crop_years=(),
-               crop_months=(), tags=(), years_back: int | None = 6, ytd: bool = True):
-    """(rows with the YTD mask, rows without it, per-series drill stats)."""
+               crop_months=(), tags=(), years_back: int | None = 6, ytd: bool = True,
+               stats_source: DataFrame | None = None):
+    """(rows with the YTD mask, rows without it, per-series drill stats).
+
+    ``stats_source``: any reduction of ``df`` that keeps the keys, REPORTER,
+    CROP_YEAR_START, YEAR and MONTH (e.g. the written reporter cube); the
+    cutoff and active years are then computed from it instead of another
+    scan of the rows.
+    """
     from .filters import drill_filter
 
     rep = df.where(in_or_present(REPORTER, reporters))
-    stats = drill_stats(rep, keys, start_month, years_back)
+    src = rep if stats_source is None else stats_source.where(in_or_present(REPORTER, reporters))
+    stats = drill_stats(src, keys, start_month, years_back)
     s = stats.select(*keys, F.col("COMMON_CROP_MONTH").alias("_CCM"), F.col("FIRST_ACTIVE_CY").alias("_FA"))
     base = drill_filter(join_on_keys(rep, s, keys), partners, crop_years, crop_months, tags)
     base = base.where(F.col(CY) >= F.col("_FA"))

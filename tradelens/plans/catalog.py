@@ -22,8 +22,8 @@ from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, pin, prepared, raw_trade, reuse,
-                     series_inputs, trade)
+from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, pin, prepared, raw_trade,
+                     reporter_cube, reuse, series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -194,8 +194,14 @@ RANK_YEAR = 1999
 
 
 def _drill(spark, sf_dir, **kw):
-    """(YTD-basis rows, full-year rows, stats) over the default six crop years."""
-    return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, **kw)
+    """(YTD-basis rows, full-year rows, stats) over the default six crop years.
+
+    Cutoff and active years come from the written reporter cube (calendar
+    year and month recovered from the crop calendar), so the rows are
+    scanned once."""
+    src = with_crop_date(reporter_cube(spark, sf_dir), START)
+    src = src.withColumns({YEAR: F.year(DATE), MONTH: F.month(DATE)})
+    return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, stats_source=src, **kw)
 
 
 def _drill_cube(spark, sf_dir):

@@ -96,17 +96,22 @@ def clear_reuse() -> None:
         _PINNED.pop().unpersist()
 
 
+def reporter_cube(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START, unit: str = UNIT):
+    """The selected rows reduced to one per (series, reporter, crop year,
+    crop month) -- the grain every period cutoff needs -- written once."""
+    return reuse(("repcube", spark.sparkContext.applicationId, sf_dir, tuple(keys), start, unit),
+                 lambda: materialize(monthly_cube(prepared(spark, sf_dir, start, unit), keys, [REPORTER]),
+                                     "repcube"))
+
+
 def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START, unit: str = UNIT):
     """(stats, trimmed reporter cube, monthly cube) for a selection.
 
-    The table is scanned once: rows are reduced to one per (series,
-    reporter, crop year, crop month) -- the grain the latest common month
-    needs -- and written. Stats, the trim and the monthly cube are derived
-    from that small reporter cube and cached.
+    The table is scanned once, into the reporter cube. Stats, the trim and
+    the monthly cube are derived from that small cube and cached.
     """
     def build():
-        df = prepared(spark, sf_dir, start, unit)
-        rep = materialize(monthly_cube(df, keys, [REPORTER]), "repcube")
+        rep = reporter_cube(spark, sf_dir, keys, start, unit)
         stats = pin(period_stats(rep, keys))
         disp = display_trim(rep, keys, stats=stats)
         return stats, disp, pin(monthly_cube(disp, keys))

@@ -41,16 +41,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return normalise(spark.read.parquet(path))
 
 
-def layout(df: DataFrame) -> DataFrame:
+def layout(df: DataFrame, sort: bool = True) -> DataFrame:
     """Write layout of the stored table: AQE rebalance on the partition
     columns (small partitions merged into one file, oversized ones split by
     the advisory size), rows sorted by reporter and partner so parquet
     row-group statistics can skip data for reporter/partner filters."""
-    return df.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(REPORTER, PARTNER)
+    df = df.hint("rebalance", *PARTITION_COLUMNS)
+    return df.sortWithinPartitions(REPORTER, PARTNER) if sort else df
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mode: str = "static") -> None:
-    (layout(df).write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mode: str = "static",
+                sort: bool = True) -> None:
+    (layout(df, sort).write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
@@ -128,8 +130,16 @@ def upsert_table(new: DataFrame, path: str, batch_id: int = 1, full: bool = Fals
     if existing is None:
         write_table(keep_last(stamp(new, batch_id)).select(*cols), path)
         return
-    touched = new.select(*PARTITION_COLUMNS).distinct()
-    old = existing.join(touched, PARTITION_COLUMNS, "left_semi")
+    # The touched (FLOW, YEAR) pairs are at most flows x years rows: as a
+    # literal predicate on the partition columns they prune the existing
+    # table's scan to those directories.
+    touched = new.select(*PARTITION_COLUMNS).distinct().collect()
+    if not touched:
+        return
+    cond = F.lit(False)
+    for flow, year in touched:
+        cond = cond | ((F.col(FLOW) == flow) & (F.col(YEAR) == year))
+    old = existing.where(cond)
     staging = scratch_path(spark, "staging")
-    write_table(upsert_keep_last(old, new, new_batch=batch_id), staging)
+    write_table(upsert_keep_last(old, new, new_batch=batch_id), staging, sort=False)
     write_table(spark.read.parquet(staging).select(*cols), path, overwrite_mode="dynamic")

@@ -3,6 +3,8 @@ and the output normalisation used for oracle comparison."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,12 +83,14 @@ def pin(df: DataFrame) -> DataFrame:
 # same parameters share their reduced intermediates (the reference's page run
 # likewise computes every view from one loaded frame).
 _REUSE: dict = {}
+_REUSE_LOCK = threading.RLock()
 
 
 def reuse(key: tuple, build):
-    if key not in _REUSE:
-        _REUSE[key] = build()
-    return _REUSE[key]
+    with _REUSE_LOCK:
+        if key not in _REUSE:
+            _REUSE[key] = build()
+        return _REUSE[key]
 
 
 def clear_reuse() -> None:

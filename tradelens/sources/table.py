@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ PARTITION_COLUMNS = [FLOW, YEAR]
 _SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
 _dims_cache: dict = {}
 _table_cache: dict = {}
+_table_lock = threading.Lock()
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -90,14 +92,15 @@ def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
     if not materialize:
         return enriched_view(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
-    path = _table_cache.get(key)
-    if path is None:
-        path = f"{checkpoint_root(spark)}/tradelens/trade-{_source_fingerprint(spark, sf_dir)}"
-        try:
-            spark.read.parquet(path).schema  # already written by an earlier run
-        except AnalysisException:
-            write_table(enriched_view(spark, sf_dir), path)
-        _table_cache[key] = path
+    with _table_lock:
+        path = _table_cache.get(key)
+        if path is None:
+            path = f"{checkpoint_root(spark)}/tradelens/trade-{_source_fingerprint(spark, sf_dir)}"
+            try:
+                spark.read.parquet(path).schema  # already written by an earlier run
+            except AnalysisException:
+                write_table(enriched_view(spark, sf_dir), path)
+            _table_cache[key] = path
     return read_table(spark, path)
 
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tradelens.functions.calendar import with_calendar, with_unit
 from tradelens.operators import series
 from tradelens.operators.cutoff import common_cutoff_ym, display_trim, period_stats

@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from tradelens.operators.load import keep_last, stamp, upsert_keep_last
-from tradelens.schema import DEDUP_KEYS, MONTH, QTY1, TRADE_SCHEMA, YEAR
+from tradelens.schema import MONTH, QTY1, TRADE_SCHEMA, YEAR
 from tradelens.session import scratch_path
 from tradelens.sources import extract
 from tradelens.sources.table import read_table, upsert_table

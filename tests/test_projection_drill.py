@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tradelens.operators import drill, projection
 from tradelens.operators._util import top_n
 from tradelens.schema import CM, CY, CY_LABEL, PARTNER, QTY, REGION

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import growth_vs, pct_change, zero_to_null
+from ..functions.scalars import growth_vs, pct_change
 from ..schema import CM, CY, CY_LABEL, DATE, QTY, REFERENCE_YEARS, REGION
 from ._util import join_on_keys, month_columns, win
 from .filters import seasonal_range

@@ -17,9 +17,9 @@ from ..session import scratch_path
 from ..sources import extract
 from ..sources.table import read_table, table_freshness, upsert_table
 from ..streaming.upsert_stream import stream_upsert
-from ..operators.cutoff import common_cutoff_ym, display_trim, period_stats
+from ..operators.cutoff import common_cutoff_ym
 from ..operators.filters import filter_trade
-from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD, QTY,
+from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER_STD,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
 from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, pin, prepared, raw_trade,

@@ -6,7 +6,6 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import with_calendar, with_unit

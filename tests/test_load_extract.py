@@ -81,3 +81,25 @@ def test_missing_column_fails_before_read(spark):
         assert "QTY1" in str(e)
     else:
         raise AssertionError("missing column not reported")
+
+
+def test_ingest_full_then_incremental(spark):
+    from tradelens.dims import fixture_dims
+    from tradelens.sources.ingest import ingest
+    from conftest import SF_SMALL
+
+    dims = fixture_dims(spark, SF_SMALL)
+    first = make_trade(spark, [("E", "NATION_0", p, "3102", y, m, 1.0, 1.0)
+                               for p in ("NATION_1", "NATION_2") for y in (2019, 2020) for m in (1, 2)])
+    second = make_trade(spark, [("E", "NATION_0", "NATION_1", "3102", 2020, 2, 1.0, 9.0),
+                                ("E", "NATION_0", "NATION_1", "3102", 2020, 3, 1.0, 5.0)])
+    root, path = scratch_path(spark, "ingest"), scratch_path(spark, "table")
+    extract.write_extract(first.coalesce(1), f"{root}/a", encoding="UTF-16")
+    extract.write_extract(second.coalesce(1), f"{root}/b", encoding="ISO-8859-1")
+    a1 = ingest(spark, f"{root}/a", path, "E", dims, full=True).first()
+    assert (a1.ROWS_BEFORE, a1.ROWS_FETCHED, a1.ROWS_AFTER) == (0, 8, 8)
+    a2 = ingest(spark, f"{root}/b", path, "E", dims).first()
+    assert (a2.ROWS_BEFORE, a2.ROWS_FETCHED, a2.ROWS_AFTER, a2.ROWS_NEW) == (8, 2, 9, 1)
+    t = {(r[YEAR], r[MONTH], r.PARTNER): r[QTY1] for r in read_table(spark, path).collect()}
+    assert t[(2020, 2, "NATION_1")] == 9.0 and t[(2020, 3, "NATION_1")] == 5.0 and t[(2019, 1, "NATION_2")] == 1.0
+    assert {r.REGION for r in read_table(spark, path).collect()} == {"NAM", "Asia"}

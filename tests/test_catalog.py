@@ -42,6 +42,8 @@ def test_entry_contract(spark):
 def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
     srows = sdf.collect()
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in ORACLE:
         assert len(srows) > 0
         return

@@ -55,3 +55,10 @@ def test_null_words(spark):
     df = spark.createDataFrame([("NA",), ("None",), ("null",), ("N/A",), ("",), ("x",)], "c string")
     out = [r.c for r in df.select(null_words_to_null(F.col("c")).alias("c")).collect()]
     assert out == [None, None, None, None, None, "x"]
+
+
+def test_crop_month_label(spark):
+    from tradelens.functions.calendar import crop_month_label
+    df = spark.createDataFrame([(1,), (6,), (7,), (12,)], "cm int")
+    assert [r.l for r in df.select(crop_month_label(F.col("cm"), 7).alias("l")).collect()] == ["Jul", "Dec", "Jan", "Jun"]
+    assert [r.l for r in df.select(crop_month_label(F.col("cm"), 1).alias("l")).collect()] == ["Jan", "Jun", "Jul", "Dec"]

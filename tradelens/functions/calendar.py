@@ -29,6 +29,12 @@ def crop_month_num(month: Column, start_month: int) -> Column:
     return (F.pmod(month - F.lit(start_month), F.lit(12)) + 1).cast("int")
 
 
+def crop_month_label(cm: Column, start_month: int) -> Column:
+    """Month name of a crop month number ("Jul" for month 1 of a July year)."""
+    from ..schema import month_order
+    return F.element_at(F.array(*[F.lit(m) for m in month_order(start_month)]), cm)
+
+
 def year_month_key(year: Column, month: Column) -> Column:
     return (year * 100 + month).cast("int")
 

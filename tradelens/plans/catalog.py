@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import shift_months, with_calendar, with_crop_date, with_unit
+from ..functions.calendar import crop_month_label, shift_months, with_calendar, with_crop_date, with_unit
 from ..operators import drill, enrich, filters, load, mirror, projection, series
 from ..session import scratch_path
 from ..sources import extract
@@ -128,7 +128,8 @@ def _cube(spark, sf_dir):
 
 @query("seasonal")
 def q_seasonal(spark, sf_dir):
-    return finish(_cube(spark, sf_dir)[2])
+    cube = _cube(spark, sf_dir)[2]
+    return finish(cube.withColumn("CROP_MONTH", crop_month_label(F.col(CM), START)))
 
 
 @query("monthly_matrix")

@@ -212,7 +212,10 @@ SELECT {RAW_OUT}, CROP_YEAR_START AS crop_year_start, CROP_MONTH_NUM AS crop_mon
 MONTHS_OUT = ", ".join(f"round(M{i:02d}, 6) AS m{i:02d}" for i in range(1, 13))
 q("seasonal", base() + OVERVIEW + """
 SELECT FLOW AS flow, CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year,
-       CROP_MONTH_NUM AS crop_month_num, round(QTY, 6) AS qty FROM cube""")
+       CROP_MONTH_NUM AS crop_month_num, round(QTY, 6) AS qty,
+       ['Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec', 'Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun'][CROP_MONTH_NUM]
+         AS crop_month
+FROM cube""")
 q("monthly_matrix", base() + OVERVIEW + f"""
 SELECT FLOW AS flow, CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year, {MONTHS_OUT} FROM mat""")
 q("complete_years", base() + OVERVIEW + """

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import crop_month_label, shift_months, with_calendar, with_crop_date, with_unit
 from ..operators import drill, enrich, filters, load, mirror, projection, series
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources import extract
 from ..sources.table import read_table, table_freshness, upsert_table
 from ..streaming.upsert_stream import stream_upsert
@@ -207,7 +207,7 @@ def _drill(spark, sf_dir, **kw):
 
 def _drill_cube(spark, sf_dir):
     """The YTD-basis drill rows reduced to the drill cube and written once."""
-    return reuse(("drill", spark.sparkContext.applicationId, sf_dir, tuple(KEYS), START),
+    return reuse(("drill", app_id(spark), sf_dir, tuple(KEYS), START),
                  lambda: materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill"))
 
 
@@ -314,7 +314,7 @@ def _proj_inputs(spark, sf_dir):
 
 def _proj_base(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return reuse(("projbase", spark.sparkContext.applicationId, sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
+    return reuse(("projbase", app_id(spark), sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
 
 
 @query("avg_proportions")
@@ -369,7 +369,7 @@ MIRROR_LAG = 1
 
 def _mirror_input(spark, sf_dir):
     """The selected rows reduced to the pair-month mirror cube, written once."""
-    cube = reuse(("mirror", spark.sparkContext.applicationId, sf_dir),
+    cube = reuse(("mirror", app_id(spark), sf_dir),
                  lambda: materialize(mirror.mirror_cube(with_unit(filter_trade(trade(spark, sf_dir)), "MT")),
                                      "mirror"))
     return cube, test_dims(spark, sf_dir)

@@ -13,7 +13,7 @@ from ..operators.cutoff import display_trim, period_stats
 from ..operators.filters import filter_trade
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
 from ..operators.series import monthly_cube
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources.table import load_trade
 
 # Standard parameters of the registered queries.
@@ -102,7 +102,7 @@ def clear_reuse() -> None:
 def reporter_cube(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START, unit: str = UNIT):
     """The selected rows reduced to one per (series, reporter, crop year,
     crop month) -- the grain every period cutoff needs -- written once."""
-    return reuse(("repcube", spark.sparkContext.applicationId, sf_dir, tuple(keys), start, unit),
+    return reuse(("repcube", app_id(spark), sf_dir, tuple(keys), start, unit),
                  lambda: materialize(monthly_cube(prepared(spark, sf_dir, start, unit), keys, [REPORTER]),
                                      "repcube"))
 
@@ -119,7 +119,7 @@ def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = STAR
         disp = display_trim(rep, keys, stats=stats)
         return stats, disp, pin(monthly_cube(disp, keys))
 
-    return reuse(("series", spark.sparkContext.applicationId, sf_dir, tuple(keys), start, unit), build)
+    return reuse(("series", app_id(spark), sf_dir, tuple(keys), start, unit), build)
 
 
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -41,8 +41,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this setting names shared storage and is used as is. Only
     when it is unset (local tests) a fresh local folder is created and set.
+    Sessions without a SparkContext (Spark Connect) read the setting from
+    the session configuration.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return path.rstrip("/")
     path = sc.getCheckpointDir()
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -53,6 +61,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (keys of per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tradelens/{label}-{uuid.uuid4().hex[:12]}"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..dims import Dims, fixture_dims
 from ..operators.enrich import enrich_trade
 from ..schema import COMMODITY_TAG, FLOW, MONTH, PARTNER, REPORTER, REPORTER_REGION, YEAR
-from ..session import checkpoint_root
+from ..session import app_id, checkpoint_root
 from .testdata import trade_view
 
 PARTITION_COLUMNS = [FLOW, YEAR]
@@ -59,7 +59,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mod
 
 
 def test_dims(spark: SparkSession, sf_dir: str) -> Dims:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     if key not in _dims_cache:
         _dims_cache[key] = fixture_dims(spark, sf_dir)
     return _dims_cache[key]
@@ -91,7 +91,7 @@ def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
     """
     if not materialize:
         return enriched_view(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     with _table_lock:
         path = _table_cache.get(key)
         if path is None:

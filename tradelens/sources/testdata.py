@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..dims import bounded_broadcast
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
 
 
@@ -30,17 +31,17 @@ def trade_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
     orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    # nation is a fixed 25-row dimension: broadcast is bounded by definition.
+    # nation is a 25-row dimension; its row count is checked before the broadcast hint.
+    nation = bounded_broadcast(_read(spark, sf_dir, "nation", "n_nationkey", "n_name"))
     cust = (_read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("n_name").alias("CUST_NATION")))
     # Orders get the customer's nation before meeting the line items, so the
     # line items are shuffled twice (order key, supplier key), not three times.
     order_nation = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
                     .select("o_orderkey", "CUST_NATION"))
     supp = (_read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", F.col("n_name").alias("SUPP_NATION")))
 
     joined = (li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))

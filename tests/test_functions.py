@@ -62,3 +62,16 @@ def test_crop_month_label(spark):
     df = spark.createDataFrame([(1,), (6,), (7,), (12,)], "cm int")
     assert [r.l for r in df.select(crop_month_label(F.col("cm"), 7).alias("l")).collect()] == ["Jul", "Dec", "Jan", "Jun"]
     assert [r.l for r in df.select(crop_month_label(F.col("cm"), 1).alias("l")).collect()] == ["Jan", "Jun", "Jul", "Dec"]
+
+
+def test_year_basis_presets(spark):
+    import pytest
+    from tradelens.schema import check_start_month
+    assert [check_start_month(p) for p in ("Jan-Dec", "Jul-Jun", "Oct-Sep", 4)] == [1, 7, 10, 4]
+    for bad in (0, 13, "Apr-Mar", 7.0, True):
+        with pytest.raises(ValueError):
+            check_start_month(bad)
+    df = make_trade(spark, [("E", "A", "B", "3101", 2000, 9, 1.0, 1.0)])
+    r = with_calendar(df, "Oct-Sep").select(CY, CY_LABEL, CM).first()
+    assert tuple(r) == (1999, "99/00", 12)
+    assert month_order("Oct-Sep")[0] == "Oct"

@@ -29,7 +29,7 @@ def crop_month_num(month: Column, start_month: int) -> Column:
     return (F.pmod(month - F.lit(start_month), F.lit(12)) + 1).cast("int")
 
 
-def crop_month_label(cm: Column, start_month: int) -> Column:
+def crop_month_label(cm: Column, start_month: int | str) -> Column:
     """Month name of a crop month number ("Jul" for month 1 of a July year)."""
     from ..schema import month_order
     return F.element_at(F.array(*[F.lit(m) for m in month_order(start_month)]), cm)
@@ -69,7 +69,7 @@ def with_unit(df: DataFrame, unit: str = "MT") -> DataFrame:
     return df.withColumn(QTY, q.cast("double"))
 
 
-def shift_months(df: DataFrame, lag: int, start_month: int = 1) -> DataFrame:
+def shift_months(df: DataFrame, lag: int, start_month: int | str = 1) -> DataFrame:
     """Move every row ``lag`` months back and rebuild the calendar columns."""
     if lag == 0:
         return with_calendar(df, start_month)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import crop_month_num, year_month_key
-from ..schema import CM, CY, CY_LABEL, MONTH, REPORTER, YEAR
+from ..schema import CM, CY, CY_LABEL, MONTH, REPORTER, YEAR, check_start_month
 from ._util import join_on_keys, win
 
 STAT_COLUMNS = ["LATEST_CY_START", "LATEST_CROP_YEAR", "COMMON_MONTH", "OLDEST_CY_START", "N_CY",
@@ -74,4 +74,5 @@ def common_cutoff_ym(df: DataFrame, keys: list[str], start_month: int) -> DataFr
                .agg(F.max(year_month_key(F.col(YEAR), F.col(MONTH))).alias("_YM")))
     st = per_rep.groupBy(*keys).agg(F.min("_YM").alias("COMMON_YM"))
     cal = F.pmod(F.col("COMMON_YM"), F.lit(100)).cast("int")
-    return st.withColumns({"COMMON_CAL_MONTH": cal, "COMMON_CROP_MONTH": crop_month_num(cal, start_month)})
+    crop = crop_month_num(cal, check_start_month(start_month))
+    return st.withColumns({"COMMON_CAL_MONTH": cal, "COMMON_CROP_MONTH": crop})

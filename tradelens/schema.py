@@ -65,13 +65,16 @@ NULL_WORDS = ["", "NA", "N/A", "NaN", "nan", "None", "null", "NULL", "<NA>", "#N
 MONTH_ABBR = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
-def month_order(start_month: int) -> list[str]:
+def month_order(start_month: int | str) -> list[str]:
     """Month labels in crop order for a crop year starting at ``start_month``."""
-    check_start_month(start_month)
-    return [MONTH_ABBR[(start_month - 1 + i) % 12] for i in range(12)]
+    s = check_start_month(start_month)
+    return [MONTH_ABBR[(s - 1 + i) % 12] for i in range(12)]
 
 
-def check_start_month(start_month: int) -> int:
-    if not isinstance(start_month, int) or not 1 <= start_month <= 12:
-        raise ValueError(f"start_month must be an int in 1..12, got {start_month!r}")
+def check_start_month(start_month: int | str) -> int:
+    """Crop-year start month: an int 1..12 or a preset name of ``YEAR_BASIS``."""
+    if isinstance(start_month, str) and start_month in YEAR_BASIS:
+        return YEAR_BASIS[start_month]
+    if isinstance(start_month, bool) or not isinstance(start_month, int) or not 1 <= start_month <= 12:
+        raise ValueError(f"start_month must be 1..12 or one of {sorted(YEAR_BASIS)}, got {start_month!r}")
     return start_month

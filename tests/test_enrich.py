@@ -37,3 +37,12 @@ def test_reference_seeds(spark):
     assert out["Free Zones"][REGION] == "Other" and out["Free Zones"][HS4] == "0031"
     assert out["Atlantis"][REGION] == "Other" and out["Atlantis"][COMMODITY_TAG] == "Other Fertilizer"
     assert out["Atlantis"][REPORTER_REGION] == "Africa"
+
+
+def test_builtin_continent_seed(spark):
+    dims = reference_dims(spark, "fertilizer", "I")
+    rows = [("I", "Brazil", p, "3104", 2020, 1, 1.0, 1.0)
+            for p in ["Russia", "Morocco", "Canada", "Chile", "Viet Nam", "Australia", "High Seas", "Atlantis"]]
+    out = {r.PARTNER: r[REGION] for r in enrich_trade(make_trade(spark, rows), dims).collect()}
+    assert out == {"Russia": "Europe", "Morocco": "Africa", "Canada": "NAM", "Chile": "LATAM",
+                   "Viet Nam": "Asia", "Australia": "Oceania", "High Seas": "Other", "Atlantis": "Other"}

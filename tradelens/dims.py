@@ -136,6 +136,40 @@ FIXTURE_REPORTER_REGION_OF_REGION = {
 }
 # ===========================================================================
 
+# Built-in country -> continent seed (public geography), keyed by cleaned
+# partner names; used when the caller passes no fuller country list.
+COUNTRY_CONTINENT = {
+    "Europe": [
+        "Albania", "Austria", "Belarus", "Belgium", "Bulgaria", "Croatia", "Czechia", "Denmark", "Estonia",
+        "Finland", "France", "Germany", "Greece", "Hungary", "Ireland", "Italy", "Latvia", "Lithuania",
+        "Netherlands", "Norway", "Poland", "Portugal", "Romania", "Russian Federation", "Serbia", "Slovakia",
+        "Slovenia", "Spain", "Sweden", "Switzerland", "Ukraine", "United Kingdom",
+        "Moldova, Republic of",
+    ],
+    "Asia": [
+        "Bangladesh", "China", "India", "Indonesia", "Iran, Islamic Republic of", "Iraq", "Israel", "Japan",
+        "Jordan", "Kazakhstan", "Korea, Republic of", "Korea, Democratic People's Republic of", "Kuwait",
+        "Lao People's Democratic Republic", "Malaysia", "Myanmar", "Oman", "Pakistan", "Philippines", "Qatar",
+        "Saudi Arabia", "Singapore", "Sri Lanka", "State of Palestine", "Syrian Arab Republic",
+        "Taiwan, Province of China", "Thailand", "Turkey", "Türkiye", "United Arab Emirates", "Uzbekistan",
+        "Viet Nam",
+    ],
+    "Africa": [
+        "Algeria", "Benin", "Burkina Faso", "Cameroon", "Congo", "Côte d'Ivoire", "Cote d'Ivoire",
+        "Democratic Republic of the Congo", "Egypt", "Ethiopia", "Ghana", "Kenya", "Mali", "Morocco",
+        "Mozambique", "Nigeria", "Senegal", "South Africa", "Sudan", "Tanzania, United Republic of", "Togo",
+        "Tunisia", "Uganda", "Zambia", "Zimbabwe",
+    ],
+    "Oceania": ["Australia", "Fiji", "New Zealand", "Papua New Guinea"],
+    "America": [
+        "Argentina", "Belize", "Bermuda", "Bolivia, Plurinational State of", "Brazil", "Canada", "Chile",
+        "Colombia", "Costa Rica", "Cuba", "Dominican Republic", "Ecuador", "El Salvador", "Greenland",
+        "Guatemala", "Guyana", "Haiti", "Honduras", "Jamaica", "Mexico", "Nicaragua", "Panama", "Paraguay",
+        "Peru", "Suriname", "Trinidad and Tobago", "United States of America", "Uruguay",
+        "Venezuela, Bolivarian Republic of",
+    ],
+}
+
 # Largest dimension (rows) this library broadcasts without a hint from Spark.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -190,14 +224,16 @@ def reference_dims(spark: SparkSession, product: str = "fertilizer", flow: str =
     """Seeds of the reference extracts.
 
     ``continent`` (NAME, CONTINENT) is the country -> continent dimension; the
-    reference takes it from a third-party converter, so callers supply their
-    own country list here. Unknown names fall to "Other".
+    reference takes it from a third-party converter. Without one, the
+    built-in ``COUNTRY_CONTINENT`` seed is used; unknown names fall to "Other".
     """
     aliases = dict(PARTNER_ALIASES_COMMON)
     aliases.update(PARTNER_ALIASES_FERTILIZER if product == "fertilizer" else PARTNER_ALIASES_COTTON)
     bounded = True
     if continent is None:
-        continent = spark.createDataFrame([], "NAME string, CONTINENT string")
+        continent = spark.createDataFrame(
+            [(name, cont) for cont, names in COUNTRY_CONTINENT.items() for name in names],
+            "NAME string, CONTINENT string")
     else:
         bounded = continent.count() <= MAX_BROADCAST_ROWS
     return Dims(

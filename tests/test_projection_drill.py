@@ -65,3 +65,13 @@ def test_top_in_year_falls_back_to_latest_year(spark):
                                 f"{REGION} string, {PARTNER} string, {CY} int, {CY_LABEL} string, {QTY} double")
     out = {(r[REGION], r[PARTNER]): r.RANK_CY for r in drill.top_in_year(dff, [], 2019, 12).collect()}
     assert out == {("X", "p2"): 2018, ("Y", "q1"): 2019}
+
+
+def test_parameter_checks(spark):
+    import pytest
+    from tradelens.operators import mirror
+    df = spark.createDataFrame([], "FLOW string, REPORTER string, PARTNER string, YEAR int, MONTH int, QTY double")
+    with pytest.raises(ValueError):
+        mirror.mirror_overlay(df, df, 7, lag=-1)
+    with pytest.raises(ValueError):
+        drill.drill_stats(df, [], 7, years_back=0)

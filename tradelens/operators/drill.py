@@ -26,6 +26,8 @@ def _sum_qty() -> F.Column:
 def drill_stats(rep: DataFrame, keys: list[str], start_month: int, years_back: int | None = 6) -> DataFrame:
     """Per series: common cutoff (E3) and the first crop year of the active range
     (the last ``years_back`` crop years present)."""
+    if years_back is not None and years_back < 1:
+        raise ValueError("years_back must be >= 1 or None")
     cut = common_cutoff_ym(rep, keys, start_month)
     years = rep.select(*keys, CY).distinct()
     if years_back is None:

@@ -73,6 +73,10 @@ def mirror_overlay(df: DataFrame, pairs: DataFrame, start_month: int, lag: int =
     Years shown: the union of the unshifted series' years, last
     ``years_back`` of them; shifted rows falling in other years are dropped.
     """
+    if not isinstance(lag, int) or isinstance(lag, bool) or lag < 0:
+        raise ValueError(f"lag must be a whole number of months >= 0, got {lag!r}")
+    if years_back is not None and years_back < 1:
+        raise ValueError("years_back must be >= 1 or None")
     years = mirror_years(df, pairs, start_month, tags)
     if years_back is not None:
         years = (years.withColumn("_R", F.row_number().over(win(PAIR).orderBy(F.col(CY).desc())))

@@ -17,12 +17,12 @@ from ..session import app_id, scratch_path
 from ..sources import extract
 from ..sources.table import read_table, table_freshness, upsert_table
 from ..streaming.upsert_stream import stream_upsert
-from ..operators.cutoff import common_cutoff_ym
+from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
 from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER_STD,
                       QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, overview, pin, prepared, raw_trade,
+from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, pin, prepared, raw_trade,
                      reporter_cube, reuse, series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,14 +110,22 @@ def q_latest_period(spark, sf_dir):
     return finish(series_inputs(spark, sf_dir)[0])
 
 
+def _dated_reporter_cube(spark, sf_dir):
+    """The reporter cube with calendar YEAR and MONTH recovered from the crop calendar."""
+    src = with_crop_date(reporter_cube(spark, sf_dir), START)
+    return src.withColumns({YEAR: F.year(DATE), MONTH: F.month(DATE)})
+
+
 @query("common_cutoff_ym")
 def q_common_cutoff_ym(spark, sf_dir):
-    return finish(common_cutoff_ym(prepared(spark, sf_dir), KEYS, START))
+    return finish(common_cutoff_ym(_dated_reporter_cube(spark, sf_dir), KEYS, START))
 
 
 @query("display_trim")
 def q_display_trim(spark, sf_dir):
-    _, _, disp = overview(spark, sf_dir)
+    """Trimmed rows; the period stats come from the reporter cube (one row scan)."""
+    stats = series_inputs(spark, sf_dir)[0]
+    disp = display_trim(prepared(spark, sf_dir), KEYS, stats=stats)
     return finish(disp.select(*RAW_COLUMNS, CY, CM))
 
 
@@ -200,9 +208,8 @@ def _drill(spark, sf_dir, **kw):
     Cutoff and active years come from the written reporter cube (calendar
     year and month recovered from the crop calendar), so the rows are
     scanned once."""
-    src = with_crop_date(reporter_cube(spark, sf_dir), START)
-    src = src.withColumns({YEAR: F.year(DATE), MONTH: F.month(DATE)})
-    return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, stats_source=src, **kw)
+    return drill.drill_rows(prepared(spark, sf_dir), KEYS, START, stats_source=_dated_reporter_cube(spark, sf_dir),
+                            **kw)
 
 
 def _drill_cube(spark, sf_dir):

@@ -160,15 +160,16 @@ def _add(df: DataFrame, source: str, make, out: list[tuple[str, T.DataType]]) ->
     """``df`` plus columns computed from ``source`` by ``make() -> f(values) -> arrays``."""
     bounded_batches(df.sparkSession)
     kept = [c for c in df.columns if c not in {n for n, _ in out}]
-    carried = df.select(*kept, F.col(source).alias("_source")) if source not in kept else df.select(*kept).withColumn("_source", F.col(source))
-    schema = T.StructType([f for f in carried.schema.fields if f.name != "_source"] + [T.StructField(n, t) for n, t in out])
+    read = source if source in kept else "_source"
+    carried = df.select(*kept, *[F.col(source).alias(read)][:source not in kept])
+    schema = T.StructType([f for f in carried.schema.fields if f.name in kept] + [T.StructField(n, t) for n, t in out])
 
     def run(batches):
         compute = make()
         for batch in batches:
-            for part in byte_slices(batch, "_source"):
-                values = part.column("_source").to_pylist()
-                columns = [part.column(c) for c in kept if c != "_source"]
+            for part in byte_slices(batch, read):
+                values = part.column(read).to_pylist()
+                columns = [part.column(c) for c in kept]
                 yield pa.RecordBatch.from_arrays(columns + compute(values), names=[f.name for f in schema.fields])
 
     return carried.mapInArrow(run, schema)
@@ -205,11 +206,12 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", o
     return _add(df, text, make, [(ids, T.BinaryType()), (out, T.StringType())])
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: n_tokens and the SHA-256 of its ids and of the decoded text."""
-    coded = round_trip(docs.select("doc_id", text_of().alias("_text")), path, text="_text").drop("_text")
+def digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """Per document: n_tokens and the SHA-256 of its ids and of the decoded
+    text, after them the ids if wanted."""
+    coded = round_trip(docs.select("doc_id", text_of().alias("decoded")), path, text="decoded")  # replaced by its decoding
     return coded.select(
         "doc_id",
         F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *["ids"][:keep_ids])

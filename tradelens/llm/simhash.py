@@ -13,9 +13,9 @@ returns a spanning forest of its links, not its pairs; components follow on
 Spark.
 
 Defined results: null and empty texts and texts of blanks have fingerprint
-zero and are linked like any other; repeated rows share their fingerprint;
-rows with a null doc_id get the component of their fingerprint's other rows,
-null if there is none.
+zero and are linked like any other; repeated rows share their fingerprint, and
+rows of one group that repeat a doc_id count as several rows of that group;
+rows with a null doc_id get their group's component, null if all are null.
 """
 
 from __future__ import annotations
@@ -57,17 +57,18 @@ def fingerprint(text: str, k: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, k: int = 3, text: str = "text", out: str = "fp") -> DataFrame:
-    """``docs`` without ``text``, plus its fingerprint as a (signed) long."""
+def fingerprints(docs: DataFrame, k: int = 3, text: str = "text", out: str = "fp", keep_text: bool = False) -> DataFrame:
+    """``docs`` plus its fingerprint as a (signed) long, with ``text`` if it is to be kept."""
     bounded_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in (text, out)]
-    carried = docs.select(*kept, text_of(text).alias("_text"))
-    schema = T.StructType([f for f in carried.schema.fields if f.name != "_text"] + [T.StructField(out, T.LongType())])
+    kept = [c for c in docs.columns if c != out and (keep_text or c != text)]
+    source = text if keep_text else "_text"
+    carried = docs.select(*kept) if keep_text else docs.select(*kept, text_of(text).alias("_text"))
+    schema = T.StructType([f for f in carried.schema.fields if f.name in kept] + [T.StructField(out, T.LongType())])
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, "_text"):
-                fps = np.array([fingerprint(t, k) for t in part.column("_text").to_pylist()], np.uint64).view(np.int64)
+            for part in byte_slices(batch, source):
+                fps = np.array([fingerprint(t or "", k) for t in part.column(source).to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(fps)], names=[*kept, out])
 
     return carried.mapInArrow(run, schema)
@@ -204,14 +205,32 @@ def links(points: DataFrame, r: int = 2) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(within, "a long, b long")
 
 
+def groups(marked: DataFrame, r: int) -> tuple[DataFrame, DataFrame]:
+    """``marked`` (doc_id, fp, _row: unique) to (fp, group) and, by group, its
+    first document (doc_id, _row), that of the smallest doc_id, nulls last."""
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "_row")).alias("first")
+    points = materialize(marked.groupBy("fp").agg(first).select("fp", "first", F.col("first._row").alias("rep")), "points")
+    found = components(links(points, r))
+    named = points.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
+        .select("fp", "first", F.coalesce("component", "rep").alias("group"))
+    named = materialize(named, "groups")
+    return named.select("fp", "group"), named.groupBy("group").agg(F.min("first").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, r: int = 2) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits) and component_id, the
     smallest doc_id that links of ``r`` bits or less reach."""
-    marked = materialize(fingerprints(docs.select("doc_id", "text"), k), "fingerprints")
-    points = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "points")
-    found = components(links(points, r))
-    named = points.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("fp", F.coalesce("component", "rep").alias("component_id"))
-    named = materialize(named, "components")
-    return marked.join(named.hint("merge"), "fp", "left").select(
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    marked = materialize(fingerprints(rows, k), "fingerprints")
+    named, firsts = groups(marked, r)
+    component = named.join(firsts, "group").select("fp", F.col("first.doc_id").alias("component_id"))
+    return marked.join(component.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, k: int = 3, r: int = 2) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest doc_id."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    marked = materialize(fingerprints(rows, k, out="_fp", keep_text=True), "fingerprints")
+    _, firsts = groups(marked.select("doc_id", F.col("_fp").alias("fp"), "_row"), r)
+    return marked.join(firsts.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*docs.columns)

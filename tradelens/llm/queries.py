@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, counts, decontam, simhash, token_files, toxicity
+from . import bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity
 from ._shared import table
 
 
@@ -27,6 +27,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,13 +43,32 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
+    "op6_license_scan": op6_license_scan,
+    "op7_threshold_topk": op7_threshold_topk,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_threshold_topk": """
+        WITH rows AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM rows q JOIN rows c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}

@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ._shared import PieceMemo, bounded_batches, byte_slices, materialize, split_uri, text_of
-from .counts import load, words_of
+from ._shared import bounded_batches, byte_slices, materialize, split_uri, text_of
+from .counts import WordMemo, encode_words, load, words_of
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -174,9 +174,9 @@ class Reader:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> PieceMemo:
+def word_ids(path: str) -> WordMemo:
     tokenizer = load(path)
-    return PieceMemo(lambda words: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+    return WordMemo(lambda words: encode_words(tokenizer, words))
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 1, text: str = "text") -> DataFrame:
@@ -194,8 +194,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 1, text: str =
         for batch in batches:
             for part in byte_slices(batch, "_text"):
                 parts = [words_of(v) for v in part.column("_text").to_pylist()]
-                rest = memo.learn({w for words in parts for w in words})
-                known = (memo | rest).__getitem__ if rest else memo.__getitem__
+                known = memo.of(parts)
                 coded = [b"".join(map(known, words)) + end for words in parts]
                 out = out or Writer(f"{folder}/tokens-{uuid.uuid4().hex}.pfor")
                 doc = part.column("doc_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity
+from . import bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity, warc
 from ._shared import table
 
 
@@ -19,6 +19,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, r=2)
 
@@ -50,6 +54,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
+    "op3_warc": op3_warc,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_license_scan": op6_license_scan,

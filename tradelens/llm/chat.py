@@ -54,22 +54,27 @@ def branches(nodes: DataFrame, keep: int = 1) -> DataFrame:
     step = step.join(known.select(F.col("node").alias("parent"), F.lit(True).alias("there")), "parent", "left") \
         .withColumn("parent", F.expr("IF(there, parent, NULL)")).drop("there")
     base = materialize(step, "nodes")
-    # up: the ancestor 2^i links above, with the links and the score up to it
-    ups = [materialize(base.select("node", F.col("parent").alias("up"), F.expr("IF(parent IS NULL, 0, 1)").alias("links"), "score"), "ups")]
-    limit = max(1, base.count()).bit_length() + 1
-    while ups[-1].where("up IS NOT NULL").limit(1).count() and len(ups) <= limit:
-        last = ups[-1]
-        above = last.select(F.col("node").alias("up"), F.col("up").alias("further"), F.col("links").alias("more"), F.col("score").alias("added"))
-        ups.append(materialize(last.join(above, "up", "left").select(
-            "node", F.col("further").alias("up"), (F.col("links") + F.coalesce("more", F.lit(0))).alias("links"),
-            (F.col("score") + F.coalesce("added", F.lit(0.0))).alias("score")), "ups"))
-    done = ups[-1].where("up IS NULL").select("node", "links", F.col("score").alias("total"))
+    # each node's highest ancestor found so far: links to it, and the score below it
+    roots = base.where("parent IS NULL").select("node", F.col("node").alias("top"), F.lit(0).alias("links"), F.lit(0.0).alias("total"), F.lit(True).alias("ended"))
+    now = materialize(base.where("parent IS NOT NULL").join(roots.select(F.col("node").alias("parent"), "ended"), "parent", "left")
+                      .select("node", F.col("parent").alias("top"), F.lit(1).alias("links"), F.col("score").alias("total"), F.coalesce("ended", F.lit(False)).alias("ended")), "ups")
+    ended, ups = roots.unionByName(now.where("ended")), [now.select("node", F.col("top").alias("up"))]
+    limit = max(1, base.count()).bit_length()  # nodes on a cycle never end
+    while len(ups) <= limit and now.where("NOT ended").limit(1).count():
+        open_ones = now.where("NOT ended")
+        above = ended.unionByName(open_ones).select(F.col("node").alias("top"), F.col("top").alias("further"), F.col("links").alias("more"),
+                                                    F.col("total").alias("added"), F.col("ended").alias("over"))
+        now = materialize(open_ones.join(above, "top").select("node", F.col("further").alias("top"), (F.col("links") + F.col("more")).alias("links"),
+                                                              (F.col("total") + F.col("added")).alias("total"), F.col("over").alias("ended")), "ups")
+        ended = ended.unionByName(now.where("ended"))
+        ups.append(now.where(F.col("links") == 1 << len(ups)).select("node", F.col("top").alias("up")))
+    done = ended.join(base.select(F.col("node").alias("top"), F.col("score").alias("last")), "top").select("node", "links", (F.col("total") + F.col("last")).alias("total"))
     leaves = base.select("tree", "node").join(base.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct(), "node", "left_anti").join(done, "node")
     best = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)
     path = materialize(chosen.select("node", F.col("node").alias("leaf"), "rank"), "paths")
-    for up in ups[:-1]:  # ancestors by ever longer links: all sums of powers of two
-        path = materialize(path.unionByName(path.join(up.where("up IS NOT NULL").select("node", "up"), "node").select(F.col("up").alias("node"), "leaf", "rank")), "paths")
+    for up in ups:  # ancestors by ever longer links: all sums of powers of two
+        path = materialize(path.unionByName(path.join(up, "node").select(F.col("up").alias("node"), "leaf", "rank")), "paths")
     return path.join(base, "node").join(done.select("node", F.col("links").alias("depth")), "node") \
         .select("tree", "leaf", "rank", "depth", "role", "text")
 

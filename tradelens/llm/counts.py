@@ -98,11 +98,12 @@ class WordMemo:
     def of(self, parts: list[list[str]]):
         cores, plain, dotted = self.cores, {}, {}
         for w in set().union(*parts):
-            low = w.lower() if w.isascii() else w
-            if low[-1:] in DOTS and low[-2:-1].isalpha() and w.isascii():
-                dotted[w] = low[:-1]
+            if not w.isascii():
+                plain[w] = w
+            elif w[-1:] in DOTS and w[-2:-1].isalpha():
+                dotted[w] = w[:-1].lower()
             else:
-                plain[w] = low
+                plain[w] = w.lower()
         rest = cores.learn({*plain.values(), *dotted.values(), *DOTS}, JOINED * STRINGS)
         core = cores.__getitem__ if not rest else lambda c: rest[c] if c in rest else cores[c]
         dot = {d: core(d) for d in DOTS}

@@ -2,7 +2,7 @@
 
 One file holds the ids of a run of documents: blocks of ``BLOCK`` ids, then a
 footer. A block subtracts its minimum, packs the rest at the bit width that
-``PERCENTILE`` of its values need, and lists the others (position and whole
+one of ``PERCENTILES`` of its values need, and lists the others (position and whole
 value) as exceptions. The footer indexes the block starts and the documents,
 so a range of ids is read by seeking to its blocks.
 
@@ -39,7 +39,8 @@ from .counts import WordMemo, encode_words, load, words_of
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
-PERCENTILE = 95
+#: A block takes the width of the percentile that makes it smaller.
+PERCENTILES = (95, 99)
 #: Blocks packed or unpacked at once.
 AT_ONCE = 512
 HEAD = struct.Struct("<IHHB")
@@ -56,13 +57,18 @@ def pack(ids: np.ndarray) -> list[bytes]:
         low = part.min(axis=1)
         rest = part - low[:, None]
         n = part.shape[1]
-        typical = np.partition(rest, min(n - 1, n * PERCENTILE // 100), axis=1)[:, min(n - 1, n * PERCENTILE // 100)]
-        width = np.frexp(typical.astype(np.float64))[1]  # bit length
+        places = [min(n - 1, n * p // 100) for p in PERCENTILES]
+        widths = np.frexp(np.partition(rest, places, axis=1)[:, places].astype(np.float64))[1]  # bit lengths
+        odd = np.stack([(rest >> w[:, None].astype(np.uint32) if w.max() < 32 else rest >> w[:, None].astype(np.uint64)).astype(bool).sum(axis=1) for w in widths.T], axis=1)
+        width = np.take_along_axis(widths, np.argmin(n * widths + 48 * odd, axis=1)[:, None], axis=1)[:, 0]
         packed: dict[int, bytes] = {}
         for w in np.unique(width):
             rows = np.flatnonzero(width == w)
             kind = ">u2" if w <= 16 else ">u4"
             cells = (rest[rows] & np.uint32((1 << int(w)) - 1)).astype(kind)
+            if w in (16, 32):  # whole bytes
+                packed |= {int(r): line.tobytes() for r, line in zip(rows, cells)}
+                continue
             bits = np.unpackbits(cells.view(np.uint8).reshape(len(rows), n, -1), axis=2)[:, :, bits_from(kind, w):]
             lines = np.packbits(bits.reshape(len(rows), -1), axis=1)
             packed |= {int(r): line.tobytes() for r, line in zip(rows, lines)}
@@ -89,11 +95,14 @@ def unpack(data: bytes, starts: np.ndarray) -> np.ndarray:
     for (n, width), members in groups.items():
         size = (n * width + 7) // 8
         raw = b"".join(data[starts[i] + HEAD.size: starts[i] + HEAD.size + size] for i in members)
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(len(members), size), axis=1)[:, :n * width]
         kind = ">u2" if width <= 16 else ">u4"
-        cells = np.zeros((len(members), n, 16 if width <= 16 else 32), np.uint8)
-        cells[:, :, bits_from(kind, width):] = bits.reshape(len(members), n, width)
-        rest = np.packbits(cells, axis=2).reshape(len(members), -1).view(kind).astype(np.uint32)
+        if width in (16, 32):
+            rest = np.frombuffer(raw, kind).reshape(len(members), n).astype(np.uint32)
+        else:
+            bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(len(members), size), axis=1)[:, :n * width]
+            cells = np.zeros((len(members), n, 16 if width <= 16 else 32), np.uint8)
+            cells[:, :, bits_from(kind, width):] = bits.reshape(len(members), n, width)
+            rest = np.packbits(cells, axis=2).reshape(len(members), -1).view(kind).astype(np.uint32)
         for i, line in zip(members, rest):
             low, _, odd, _ = heads[i]
             at = starts[i] + HEAD.size + size
@@ -109,7 +118,7 @@ class Writer:
     def __init__(self, uri: str):
         system, path = split_uri(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
-        self.uri, self.file = uri, system.open_output_stream(path)
+        self.uri, self.file = uri, system.open_output_stream(path, compression=None)
         self.at, self.ids, self.waiting, self.held = 0, 0, [], 0
         self.starts: list[int] = []
         self.docs: list[np.ndarray] = []

@@ -10,7 +10,7 @@ documents (``SAMPLE`` of each class, chosen by hash of doc_id, texts up to
 worst window by the model as it stands.
 
 Defined results: null and empty texts, and texts without words, score 0; with
-no labelled rows of both classes to learn from, every document scores 0;
+fewer than ``LEAST`` labelled documents of a class, every document scores 0;
 repeated label rows of a document count once, toxic if one of them is; rows
 whose doc_id is null take no part in training. Repeated documents are scored
 one by one.
@@ -33,6 +33,8 @@ WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 16
 #: Training documents of each class, and the longest text among them.
 SAMPLE, SAMPLE_BYTES = 1200, 20_000
+#: Fewer documents of a class than this teach nothing that holds elsewhere.
+LEAST = 20
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN, ATTEND = 1 << 13, 1 << 13, 8, 8, 8
 #: Weight decay of the embeddings, by the learning rate.
 DECAY = 0.5
@@ -275,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     order = np.argsort(rows.column("doc_id").to_numpy())
     texts, kinds = rows.column("text").take(order).to_pylist(), rows.column("toxic").take(order).to_pylist()
     used = [(t, k) for t, k in zip(texts, kinds) if WORD.search(t)]
-    if {k for _, k in used} != {0, 1}:
+    if min(sum(k == kind for _, k in used) for kind in (0, 1)) < LEAST:
         return None
     return train([t for t, _ in used], [k for _, k in used])
 

@@ -1,12 +1,14 @@
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tradelens.operators.load import keep_last, stamp, upsert_keep_last
-from tradelens.schema import MONTH, QTY1, TRADE_SCHEMA, YEAR
+from tradelens.schema import COTTON_COLUMNS, MONTH, QTY1, TRADE_SCHEMA, YEAR
 from tradelens.session import scratch_path
-from tradelens.sources import extract
-from tradelens.sources.table import read_table, upsert_table
+from tradelens.sources import extract, files
+from tradelens.sources.table import INTENT_FILE, SCHEMA_FILE, normalise, read_table, table_freshness, upsert_table
 from tradelens.streaming.upsert_stream import stream_upsert
 
 from conftest import make_trade
@@ -21,7 +23,7 @@ def rows_of(df):
 def test_keep_last_within_batch_and_null_keys(spark):
     rows = [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0), ("E", "A", "B", "3101", 2020, 1, 1.0, 2.0),
             ("E", "A", None, "3101", 2020, 1, 1.0, 3.0), ("E", "A", None, "3101", 2020, 1, 1.0, 4.0)]
-    out = keep_last(stamp(make_trade(spark, rows).coalesce(1), 1)).collect()
+    out = keep_last(stamp(make_trade(spark, rows).coalesce(1))).collect()
     assert sorted((r.PARTNER or "", r[QTY1]) for r in out) == [("", 4.0), ("B", 2.0)]
 
 
@@ -38,14 +40,14 @@ def test_table_upsert_idempotent_and_stream_equals_batch(spark):
     new = make_trade(spark, [("E", "A", p, "3101", 2020, m, 1.0, 7.0) for p in "BD" for m in range(1, 13)])
     expected = rows_of(upsert_keep_last(old, new))
     path = scratch_path(spark, "t")
-    upsert_table(old, path, batch_id=0, full=True)
-    upsert_table(new, path, batch_id=1)
+    upsert_table(old, path, full=True)
+    upsert_table(new, path)
     assert rows_of(read_table(spark, path)) == expected
-    upsert_table(new, path, batch_id=2)                      # same batch again: no change
+    upsert_table(new, path)                      # same batch again: no change
     assert rows_of(read_table(spark, path)) == expected
 
     spath, landing = scratch_path(spark, "t"), scratch_path(spark, "landing")
-    upsert_table(old, spath, batch_id=0, full=True)
+    upsert_table(old, spath, full=True)
     for lo, hi in ((1, 4), (5, 8), (9, 12)):
         new.where(F.col(MONTH).between(lo, hi)).coalesce(1).write.mode("append").parquet(landing)
     stream_upsert(spark, landing, spath, scratch_path(spark, "ck"), new.schema, max_files_per_trigger=1)
@@ -63,7 +65,7 @@ def test_extract_encodings_round_trip(spark):
     extract.write_extract(df, f"{root}/c", encoding="UTF-8", bom=True)
     extract.write_extract(df, f"{root}/d", encoding="UTF-8")
     encs = {os.path.basename(os.path.dirname(p.replace("file:", ""))): e
-            for p, e in extract.detect_encodings(spark, f"{root}/*")}
+            for p, e in extract.inspect_files(spark, f"{root}/*").select("FILE", "ENCODING").collect()}
     assert encs == {"a": "UTF-16", "b": "ISO-8859-1", "c": "UTF-8", "d": "UTF-8"}
     want = sorted([("Côte d'Ivoire", 'say "hi"', 3.0), ("Brazil", None, 4.0), ("Brazil", None, 5.0)])
     for sub in "abcd":
@@ -103,3 +105,185 @@ def test_ingest_full_then_incremental(spark):
     t = {(r[YEAR], r[MONTH], r.PARTNER): r[QTY1] for r in read_table(spark, path).collect()}
     assert t[(2020, 2, "NATION_1")] == 9.0 and t[(2020, 3, "NATION_1")] == 5.0 and t[(2019, 1, "NATION_2")] == 1.0
     assert {r.REGION for r in read_table(spark, path).collect()} == {"NAM", "Asia"}
+
+
+def land(folder, name, text, encoding="utf-8", at=None):
+    """One extract file with the given landing time."""
+    folder = folder.replace("file:", "")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "wb") as f:
+        f.write(text.encode(encoding))
+    if at is not None:
+        os.utime(path, (at, at))
+
+
+HEAD = "REPORTER\tPARTNER\tCOMMODITY\tYEAR\tMONTH\tVALUE\tQTY1\n"
+
+
+def test_new_column_keeps_stored_rows(spark):
+    path = scratch_path(spark, "t")
+    old = make_trade(spark, [("E", "A", "B", "3101", y, 1, 1.0, 1.0) for y in (2018, 2019, 2020)])
+    upsert_table(old.drop("VALUE"), path)
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", 2020, 1, 5.0, 2.0)]), path)
+    got = sorted((r[YEAR], r.PARTNER, r.VALUE, r[QTY1]) for r in read_table(spark, path).collect())
+    assert got == [(2018, "B", None, 1.0), (2019, "B", None, 1.0), (2020, "B", None, 1.0), (2020, "C", 5.0, 2.0)]
+
+
+def test_batch_without_a_column_keeps_stored_values(spark):
+    path = scratch_path(spark, "t")
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 11.0, 1.0)]), path)
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", 2020, 1, 0.0, 2.0)]).drop("VALUE"), path)
+    got = sorted((r.PARTNER, r.VALUE) for r in read_table(spark, path).collect())
+    assert got == [("B", 11.0), ("C", None)]
+
+
+def test_type_difference_and_bad_month_raise(spark):
+    path = scratch_path(spark, "t")
+    row = make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)])
+    upsert_table(row, path)
+    with pytest.raises(ValueError, match="types differ"):
+        upsert_table(row.withColumn(QTY1, F.col(QTY1).cast("string")), path)
+    with pytest.raises(ValueError, match="1..12"):
+        upsert_table(row.withColumn(MONTH, F.lit(13)), path)
+    assert read_table(spark, path).count() == 1
+
+
+def test_full_load_keeps_the_other_flow(spark):
+    path = scratch_path(spark, "t")
+    upsert_table(make_trade(spark, [("I", "A", "B", "3101", 2019, 1, 1.0, 1.0)]), path, full=True)
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", y, 1, 1.0, 1.0) for y in (2019, 2020)]), path, full=True)
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 2, 1.0, 3.0)]), path, full=True)
+    got = sorted((r.FLOW, r[YEAR], r[MONTH]) for r in read_table(spark, path).collect())
+    assert got == [("E", 2020, 2), ("I", 2019, 1)]
+    with pytest.raises(ValueError, match="without rows"):
+        upsert_table(make_trade(spark, []), path, full=True)
+    assert read_table(spark, path).count() == 2
+
+
+def test_null_years_stay(spark):
+    path = scratch_path(spark, "t")
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", None, 1, 1.0, 1.0)]), path)
+    assert read_table(spark, path).count() == 1
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", None, 1, 1.0, 2.0),
+                                    ("E", "A", "C", "3101", 2020, 1, 1.0, 3.0)]), path)
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", None, 1, 1.0, 4.0)]), path)
+    got = sorted((str(r[YEAR]), r.PARTNER, r[QTY1]) for r in read_table(spark, path).collect())
+    assert got == [("2020", "C", 3.0), ("None", "B", 4.0), ("None", "C", 2.0)]
+
+
+def test_half_done_commit_is_finished(spark):
+    import json
+    path, staging = scratch_path(spark, "t"), scratch_path(spark, "staging")
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)]), path)
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 7.0)]), staging)
+    files.write_text(spark, f"{path}/{INTENT_FILE}", json.dumps({"staging": staging, "full": False}))
+    files.delete(spark, f"{path}/FLOW=E/YEAR=2020")              # the job died between delete and rename
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", 2021, 1, 1.0, 2.0)]), path)
+    assert sorted(r[QTY1] for r in read_table(spark, path).collect()) == [2.0, 7.0]
+    assert not files.exists(spark, staging) and not files.exists(spark, f"{path}/{INTENT_FILE}")
+
+
+def test_upsert_plan_leaves_stored_rows_unsorted(spark):
+    path = scratch_path(spark, "t")
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)]), path)
+    out = upsert_keep_last(read_table(spark, path), make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 2.0)]),
+                           old_unique=True)
+    assert out.count() == 1
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_files_are_sorted(spark):
+    from tradelens.sources.table import write_table
+    path = scratch_path(spark, "t")
+    rows = [("E", r, p, "3101", y, 1, 1.0, 1.0) for r in "CAB" for p in "ZYX" for y in (2020, 2019)]
+    write_table(make_trade(spark, rows), path)
+    for f in spark.read.parquet(path).inputFiles():
+        got = [(r.REPORTER, r.PARTNER) for r in spark.read.parquet(f).collect()]
+        assert len(got) == 9 and got == sorted(got)
+
+
+def test_later_file_wins(spark):
+    """Larger later file, later file of another encoding."""
+    root = scratch_path(spark, "land")
+    row = "A\tB\t3101\t2020\t1\t1\t{}\n"
+    fill = "".join(f"A\tP{i}\t3101\t2020\t1\t1\t0\n" for i in range(500))
+    land(root, "b_old.tsv", HEAD + row.format(1), at=1_600_000_000)
+    land(root, "a_new.tsv", HEAD + fill + row.format(2), at=1_600_000_100)
+    out = keep_last(extract.read_extracts(spark, root, "E", arrival=True)).where("PARTNER = 'B'").collect()
+    assert [r[QTY1] for r in out] == [2.0]
+    land(root, "c_newest.tsv", HEAD + row.format(3), "utf-16", at=1_600_000_200)
+    out = keep_last(extract.read_extracts(spark, root, "E", arrival=True)).where("PARTNER = 'B'").collect()
+    assert [r[QTY1] for r in out] == [3.0]
+
+
+def test_later_file_wins_inside_a_micro_batch(spark):
+    landing, path = scratch_path(spark, "land"), scratch_path(spark, "t")
+    row = [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)]
+    make_trade(spark, row).coalesce(1).write.mode("append").parquet(landing)
+    time.sleep(1.1)
+    more = [("E", "A", f"P{i}", "3101", 2020, 1, 1.0, 0.0) for i in range(500)]
+    make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 2.0), *more]).coalesce(1).write.mode("append").parquet(landing)
+    stream_upsert(spark, landing, path, scratch_path(spark, "ck"), TRADE_SCHEMA)
+    got = read_table(spark, path)
+    assert got.count() == 501 and got.where("PARTNER = 'B'").first()[QTY1] == 2.0
+
+
+def test_columns_by_name_in_every_file(spark):
+    root = scratch_path(spark, "land")
+    land(root, "a.tsv", HEAD + "A\tB\t3101\t2020\t1\t5\t6\n")
+    land(root, "b.tsv", "PARTNER\tREPORTER\tCOMMODITY\tYEAR\tMONTH\tQTY1\tVALUE\tNOTE\nB2\tA2\t3101\t2020\t1\t6\t5\tx\n")
+    got = sorted((r.REPORTER, r.PARTNER, r.VALUE, r[QTY1]) for r in extract.read_extracts(spark, root, "E").collect())
+    assert got == [("A", "B", 5.0, 6.0), ("A2", "B2", 5.0, 6.0)]
+    land(root, "c.tsv", "PARTNER\tREPORTER\tCOMMODITY\tYEAR\tMONTH\nB\tA\t3101\t2020\t1\n")
+    with pytest.raises(ValueError, match="QTY1"):
+        extract.read_extracts(spark, root, "E")
+
+
+def test_short_row_stops_and_quoted_break_is_kept(spark):
+    root = scratch_path(spark, "land")
+    land(root, "a.tsv", HEAD + "A\t\"B\nand C\"\t3101\t2020\t1\t5\t6\nA\tD\t3101\t2020\t2\t5\t7\n")
+    got = sorted((r.PARTNER, r[QTY1]) for r in extract.read_extracts(spark, root, "E").collect())
+    assert got == [("B\nand C", 6.0), ("D", 7.0)]
+    bad = scratch_path(spark, "land")
+    land(bad, "a.tsv", HEAD + "A\tB\t3101\t2020\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        extract.read_extracts(spark, bad, "E").collect()
+
+
+def test_cotton_ingest_low_water_and_full(spark):
+    from tradelens.dims import reference_dims
+    from tradelens.sources.ingest import ingest
+    dims = reference_dims(spark, "cotton", "E")
+    root, path = scratch_path(spark, "land"), scratch_path(spark, "t")
+    head = "\t".join(COTTON_COLUMNS) + "\n"
+    land(f"{root}/1", "a.tsv", head + "".join(f"Brazil\tChina\t5201\t{y}\t1\t{y}\n" for y in (2019, 2020)))
+    land(f"{root}/2", "a.tsv", head + "".join(f"Brazil\tChina\t5201\t{y}\t1\t1\n" for y in (2019, 2020, 2021)))
+    a = ingest(spark, f"{root}/1", path, "E", dims, columns=COTTON_COLUMNS, product="cotton").first()
+    assert (a.ROWS_BEFORE, a.ROWS_FETCHED, a.ROWS_AFTER) == (0, 2, 2)
+    a = ingest(spark, f"{root}/2", path, "E", dims, columns=COTTON_COLUMNS, product="cotton").first()
+    assert (a.ROWS_BEFORE, a.ROWS_FETCHED, a.ROWS_AFTER, a.ROWS_NEW) == (2, 2, 3, 1)
+    got = sorted((r[YEAR], r[QTY1], r.REGION) for r in read_table(spark, path).collect())
+    assert got == [(2019, 2019.0, "Asia"), (2020, 1.0, "Asia"), (2021, 1.0, "Asia")]
+
+
+def test_old_layout_and_freshness(spark):
+    old = make_trade(spark, [("E", "A", "B", "3101", 2020, 3, 1.0, 1.0)]).withColumnRenamed(MONTH, "MONTH_NUM") \
+        .withColumn("HS4_TAG", F.lit("t"))
+    r = normalise(old).first()
+    assert (r[MONTH], r.COMMODITY_TAG, r.REPORTER_REGION) == (3, "t", "Other")
+    path = scratch_path(spark, "t")
+    before = time.time() - 2
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 3, 1.0, 1.0)]), path)
+    at = table_freshness(read_table(spark, path)).first().LAST_MODIFIED
+    assert before <= at.timestamp() <= time.time() + 2
+    assert files.exists(spark, f"{path}/{SCHEMA_FILE}")
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+    from tradelens.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(RuntimeError, match="shared folder"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))

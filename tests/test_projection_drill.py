@@ -55,7 +55,7 @@ def test_remainder_keeps_periods_without_top_members(spark):
     agg = spark.createDataFrame([("A", 2019, 100.0), ("B", 2019, 1.0), ("B", 2020, 2.0)],
                                 f"{PARTNER} string, {CY} int, {QTY} double")
     out = {(r.ROW_TYPE, r[CY]): r[QTY] for r in drill.with_rest(agg, [], [CY], 1).collect()}
-    assert out == {("partner", 2019): 100.0, ("rest", 2019): 1.0, ("rest", 2020): 2.0,
+    assert out == {("partner", 2019): 100.0, ("partner", 2020): 0.0, ("rest", 2019): 1.0, ("rest", 2020): 2.0,
                    ("total", 2019): 101.0, ("total", 2020): 2.0}
 
 
@@ -67,6 +67,25 @@ def test_top_in_year_falls_back_to_latest_year(spark):
     assert out == {("X", "p2"): 2018, ("Y", "q1"): 2019}
 
 
+def test_absent_cells_are_zero(spark):
+    cells = [("X", "p1", 2019, 2, 5.0), ("X", "p2", 2019, 3, 15.0), ("X", "p2", 2019, 2, 5.0), ("Y", "q", 2018, 1, 1.0)]
+    dff = spark.createDataFrame([(r, p, cy, str(cy), cm, q) for r, p, cy, cm, q in cells],
+                                f"{REGION} string, {PARTNER} string, {CY} int, {CY_LABEL} string, {CM} int, {QTY} double")
+    mp = drill.month_partner(dff, []).collect()
+    assert len(mp) == 24 and sum(r[QTY] for r in mp) == 25.0
+    assert {(r[PARTNER], r.SHARE_PCT) for r in mp if r[CM] == 2} == {("p1", 50.0), ("p2", 50.0)}
+    assert all(r.SHARE_PCT == 0.0 for r in mp if r[CM] not in (2, 3))
+    yp = {(r[PARTNER], r[CY]): r[QTY] for r in drill.year_partner(dff, []).collect()}
+    assert yp == {("p1", 2018): 0.0, ("p2", 2018): 0.0, ("q", 2018): 1.0,
+                  ("p1", 2019): 5.0, ("p2", 2019): 20.0, ("q", 2019): 0.0}
+    by = {(r[REGION], r[PARTNER], r[CY]) for r in drill.year_partner(dff, [], by_region=True).collect()}
+    assert by == {("X", "p1", 2019), ("X", "p2", 2019), ("Y", "q", 2018)}
+    yr = {(r[REGION], r[CY]): r[QTY] for r in drill.year_region(dff, []).collect()}
+    assert yr == {("X", 2018): 0.0, ("X", 2019): 25.0, ("Y", 2018): 1.0, ("Y", 2019): 0.0}
+    top = {(r[PARTNER], r[CY]): (r[QTY], r.TOTAL_RANK) for r in drill.top_in_year(dff, [], 2019).collect()}
+    assert top[("p1", 2018)] == (0.0, 2) and top[("p2", 2019)] == (20.0, 1) and top[("q", 2019)] == (0.0, 1)
+
+
 def test_parameter_checks(spark):
     import pytest
     from tradelens.operators import mirror

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators._util import small_table
+
 # =========================== fixed values ==================================
 # These must equal the reference's lookup tables for equal results.
 
@@ -170,34 +172,20 @@ COUNTRY_CONTINENT = {
     ],
 }
 
-# Largest dimension (rows) this library broadcasts without a hint from Spark.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
 @dataclass
 class Dims:
-    """Lookups used by enrichment. All are small, keyed DataFrames."""
+    """Lookups used by enrichment, keyed by name or HS4 group.
+
+    ``alias`` and ``tags`` are fixed seeds (tens of rows) and are broadcast.
+    The region dimensions may come from data of any size: they are written
+    once, so the planner knows their size and picks the join.
+    """
 
     alias: DataFrame            # NAME, STD_NAME
     partner_region: DataFrame   # NAME (cleaned), REGION
     reporter_region: DataFrame  # NAME (raw), REPORTER_REGION
     tags: DataFrame             # HS4, TAG
     default_tag: str
-    broadcastable: bool = True  # every frame above has a checked, small size
-
-    def hint(self, df: DataFrame) -> DataFrame:
-        """Broadcast hint only when the sizes were checked."""
-        return F.broadcast(df) if self.broadcastable else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count is bounded.
-
-    Used for dimensions derived from data (not fixed seeds). Beyond the bound
-    the frame is returned as is and the planner picks a shuffle join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def _pairs(spark: SparkSession, mapping: dict, k: str, v: str) -> DataFrame:
@@ -229,29 +217,23 @@ def reference_dims(spark: SparkSession, product: str = "fertilizer", flow: str =
     """
     aliases = dict(PARTNER_ALIASES_COMMON)
     aliases.update(PARTNER_ALIASES_FERTILIZER if product == "fertilizer" else PARTNER_ALIASES_COTTON)
-    bounded = True
     if continent is None:
         continent = spark.createDataFrame(
             [(name, cont) for cont, names in COUNTRY_CONTINENT.items() for name in names],
             "NAME string, CONTINENT string")
-    else:
-        bounded = continent.count() <= MAX_BROADCAST_ROWS
     return Dims(
         alias=_pairs(spark, aliases, "NAME", "STD_NAME"),
-        partner_region=_partner_region(spark, continent, NAM, LATAM),
-        reporter_region=_pairs(spark, REPORTER_REGIONS[(product, flow)], "NAME", "REPORTER_REGION"),
+        partner_region=small_table(_partner_region(spark, continent, NAM, LATAM), "dims"),
+        reporter_region=small_table(
+            _pairs(spark, REPORTER_REGIONS[(product, flow)], "NAME", "REPORTER_REGION"), "dims"),
         tags=_pairs(spark, HS4_TAGS[product], "HS4", "TAG"),
         default_tag=DEFAULT_TAG[product],
-        broadcastable=bounded,
     )
 
 
 def fixture_dims(spark: SparkSession, sf_dir: str) -> Dims:
     """Seeds for the trade view over the test tables (nation and region)."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
-    # Every dimension below has at most one row per nation (plus fixed seeds):
-    # one row count of the nation table bounds them all.
-    bounded = nation.count() <= MAX_BROADCAST_ROWS
     region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
     nr = nation.join(region, nation.n_regionkey == region.r_regionkey)
 
@@ -272,9 +254,8 @@ def fixture_dims(spark: SparkSession, sf_dir: str) -> Dims:
     reporter_region = nr.select(F.col("n_name").alias("NAME"), rep_region.alias("REPORTER_REGION"))
     return Dims(
         alias=_pairs(spark, FIXTURE_ALIASES, "NAME", "STD_NAME"),
-        partner_region=_partner_region(spark, continent, FIXTURE_NAM, FIXTURE_LATAM),
-        reporter_region=reporter_region,
+        partner_region=small_table(_partner_region(spark, continent, FIXTURE_NAM, FIXTURE_LATAM), "dims"),
+        reporter_region=small_table(reporter_region, "dims"),
         tags=_pairs(spark, HS4_TAGS["fertilizer"], "HS4", "TAG"),
         default_tag=DEFAULT_TAG["fertilizer"],
-        broadcastable=bounded,
     )

@@ -36,7 +36,3 @@ def zero_to_null(c: Column) -> Column:
 def null_words_to_null(c: Column) -> Column:
     """Strings that a pandas reader takes as missing become null."""
     return F.when(F.trim(c).isin(NULL_WORDS) | c.isNull(), F.lit(None).cast("string")).otherwise(c)
-
-
-def rounded(c: Column, places: int = 6) -> Column:
-    return F.round(c, places)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def win(keys: list[str]) -> WindowSpec:
     """Window over one series. Operators only use it on rows already reduced
@@ -16,16 +18,29 @@ def win(keys: list[str]) -> WindowSpec:
 def join_on_keys(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Attach per-series statistics (one row per key) to ``df``.
 
-    With keys, the statistics side is an aggregate with one row per series;
-    AQE measures it after its stage and broadcasts it when small, else the
-    join stays a shuffle join (with skew splitting). Without keys it is a
-    single-row global aggregate, so the broadcast is bounded by construction.
+    With keys, pass statistics read from a written or cached frame
+    (``small_table``): their size is known when the join is planned, so the
+    rows of ``df`` are shuffled only when the statistics are too large to
+    broadcast. Without keys they are a single-row global aggregate, so the
+    broadcast is bounded by construction.
     """
     if keys:
         return df.join(stats, keys, how)
     return df.crossJoin(F.broadcast(stats))
 
 
+def small_table(df: DataFrame, label: str = "stats") -> DataFrame:
+    """Write a reduced frame to the shared checkpoint folder and read it back.
+
+    The planner then knows its true size: below the broadcast threshold a
+    join with it never shuffles the other side, above it the join stays a
+    shuffle join. Lineage ends at the written files.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def in_or_present(col: str, values) -> Column:
     """IN-list filter where an empty list means every non-null value."""
     values = list(values or [])

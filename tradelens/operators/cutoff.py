@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import crop_month_num, year_month_key
 from ..schema import CM, CY, CY_LABEL, MONTH, REPORTER, YEAR, check_start_month
-from ._util import join_on_keys, win
+from ._util import join_on_keys, small_table, win
 
 STAT_COLUMNS = ["LATEST_CY_START", "LATEST_CROP_YEAR", "COMMON_MONTH", "OLDEST_CY_START", "N_CY",
                 "PREV_CY_START", "PREV_CROP_YEAR"]
@@ -58,7 +58,7 @@ def display_trim(df: DataFrame, keys: list[str], drop_oldest: bool = True,
     columns to carry on the rows (saves a second join downstream).
     """
     if stats is None:
-        stats = period_stats(df, keys, drop_oldest)
+        stats = small_table(period_stats(df, keys, drop_oldest))
     s = stats.select(*keys, F.col("LATEST_CY_START").alias("_L"), F.col("COMMON_MONTH").alias("_C"),
                      F.col("OLDEST_CY_START").alias("_O"), F.col("N_CY").alias("_N"), *keep)
     cond = (F.col(CY) < F.col("_L")) | ((F.col(CY) == F.col("_L")) & (F.col(CM) <= F.col("_C")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import share_pct
 from ..schema import CM, CY, CY_LABEL, PARTNER, QTY, REGION, REPORTER
-from ._util import in_or_present, join_on_keys, top_n, win
+from ._util import in_or_present, join_on_keys, small_table, top_n, win
 from .cutoff import common_cutoff_ym
 
 REST = "Rest of World"
@@ -23,9 +23,9 @@ def _sum_qty() -> F.Column:
     return F.coalesce(F.sum(QTY), F.lit(0.0)).alias(QTY)
 
 
-def drill_stats(rep: DataFrame, keys: list[str], start_month: int, years_back: int | None = 6) -> DataFrame:
+def drill_stats(rep: DataFrame, keys: list[str], start_month: int, years_back: int | None = None) -> DataFrame:
     """Per series: common cutoff (E3) and the first crop year of the active range
-    (the last ``years_back`` crop years present)."""
+    (all crop years, or the last ``years_back`` present)."""
     if years_back is not None and years_back < 1:
         raise ValueError("years_back must be >= 1 or None")
     cut = common_cutoff_ym(rep, keys, start_month)
@@ -39,9 +39,12 @@ def drill_stats(rep: DataFrame, keys: list[str], start_month: int, years_back: i
 
 
 def drill_rows(df: DataFrame, keys: list[str], start_month: int, reporters=(), partners=(), crop_years=(),
-               crop_months=(), tags=(), years_back: int | None = 6, ytd: bool = True,
+               crop_months=(), tags=(), years_back: int | None = None, ytd: bool = False,
                stats_source: DataFrame | None = None):
-    """(rows with the YTD mask, rows without it, per-series drill stats).
+    """(rows on the chosen basis, full-year rows, per-series drill stats).
+
+    Every crop year and month is kept unless ``years_back`` or ``ytd`` (only
+    months up to the common crop month) asks for less.
 
     ``stats_source``: any reduction of ``df`` that keeps the keys, REPORTER,
     CROP_YEAR_START, YEAR and MONTH (e.g. the written reporter cube); the
@@ -53,6 +56,8 @@ def drill_rows(df: DataFrame, keys: list[str], start_month: int, reporters=(), p
     rep = df.where(in_or_present(REPORTER, reporters))
     src = rep if stats_source is None else stats_source.where(in_or_present(REPORTER, reporters))
     stats = drill_stats(src, keys, start_month, years_back)
+    if keys:
+        stats = small_table(stats)
     s = stats.select(*keys, F.col("COMMON_CROP_MONTH").alias("_CCM"), F.col("FIRST_ACTIVE_CY").alias("_FA"))
     base = drill_filter(join_on_keys(rep, s, keys), partners, crop_years, crop_months, tags)
     base = base.where(F.col(CY) >= F.col("_FA"))
@@ -69,9 +74,41 @@ def drill_cube(dff: DataFrame, keys: list[str]) -> DataFrame:
     return dff.groupBy(*keys, REGION, PARTNER, CY, CY_LABEL, CM).agg(_sum_qty())
 
 
+def on_basis(cube: DataFrame, stats: DataFrame, keys: list[str], ytd: bool = False) -> DataFrame:
+    """Cube rows of the active range of ``stats``, with ``ytd`` only up to the
+    common crop month (a filter on the written cube, not on the rows)."""
+    s = stats.select(*keys, F.col("COMMON_CROP_MONTH").alias("_CCM"), F.col("FIRST_ACTIVE_CY").alias("_FA"))
+    out = join_on_keys(cube, s, keys).where(F.col(CY) >= F.col("_FA"))
+    if ytd:
+        out = out.where(F.col(CM) <= F.col("_CCM"))
+    return out.select(*cube.columns)
+
+
+def _filled(agg: DataFrame, members: DataFrame, k: list[str], member: str, cells: DataFrame,
+            period: list[str]) -> DataFrame:
+    """Every cell of the (member x period) matrix, an absent one as 0.
+
+    ``cells`` holds the wanted (series, member, period) rows; both sides are
+    reduced rows, bounded by members x periods.
+    """
+    on = [*k, member, *period]
+    out = cells.join(agg.select(*on, QTY), on, "left").withColumn(QTY, F.coalesce(QTY, F.lit(0.0)))
+    return out.join(members, [*k, member])
+
+
+def _cells(members: DataFrame, k: list[str], periods: DataFrame, on: list[str], member: str = PARTNER) -> DataFrame:
+    """Members x periods, paired within the series columns ``on``."""
+    m = members.select(*k, member)
+    return m.join(periods, on) if on else m.crossJoin(F.broadcast(periods))
+
+
 def year_region(dff: DataFrame, keys: list[str]) -> DataFrame:
-    """Crop year x region volume, share of the year (%), region total and rank."""
+    """Crop year x region volume (absent cells 0), share of the year (%), region
+    total and rank."""
     agg = dff.groupBy(*keys, CY, CY_LABEL, REGION).agg(_sum_qty())
+    regions = agg.select(*keys, REGION).distinct()
+    cells = _cells(regions, keys, agg.select(*keys, CY, CY_LABEL).distinct(), keys, REGION)
+    agg = _filled(agg, regions, keys, REGION, cells, [CY, CY_LABEL])
     out = agg.withColumns({"SHARE_PCT": share_pct(F.col(QTY), F.sum(QTY).over(win([*keys, CY]))),
                            "REGION_TOTAL": F.sum(QTY).over(win([*keys, REGION]))})
     order = win(keys).orderBy(F.col("REGION_TOTAL").desc(), F.col(REGION).asc())
@@ -99,12 +136,16 @@ def month_partner(dff: DataFrame, keys: list[str], by_region: bool = False, n: i
                   cy_start: int | None = None) -> DataFrame:
     """Top-n partners by month in one crop year (all partners or per region).
 
-    Share is within the top n of each month; a zero month total gives 0.
+    Every partner has all twelve crop months, absent ones 0. Share is within
+    the top n of each month; a zero month total gives 0.
     """
     k = [*keys, REGION] if by_region else list(keys)
     agg = in_selected_year(dff, keys, cy_start).groupBy(*k, CY, CY_LABEL, CM, PARTNER).agg(_sum_qty())
-    tops = top_n(agg.groupBy(*k, PARTNER).agg(F.sum(QTY).alias("TOTAL")), k, PARTNER, n)
-    out = agg.join(tops.select(*k, PARTNER, F.col("RANK").alias("PARTNER_RANK")), [*k, PARTNER])
+    tops = top_n(agg.groupBy(*k, PARTNER, CY, CY_LABEL).agg(F.sum(QTY).alias("TOTAL")), k, PARTNER, n)
+    members = tops.select(*k, PARTNER, F.col("RANK").alias("PARTNER_RANK"))
+    cells = (tops.select(*k, PARTNER, CY, CY_LABEL)
+             .withColumn(CM, F.explode(F.sequence(F.lit(1), F.lit(12)))))
+    out = _filled(agg, members, k, PARTNER, cells, [CY, CY_LABEL, CM])
     month_tot = F.sum(QTY).over(win([*k, CM]))
     return out.withColumn("SHARE_PCT", F.col(QTY) / F.when(month_tot == 0, 1.0).otherwise(month_tot) * 100)
 
@@ -114,11 +155,19 @@ def _partner_year(dff: DataFrame, k: list[str]) -> DataFrame:
 
 
 def year_partner(dff: DataFrame, keys: list[str], n: int = 12, by_region: bool = False) -> DataFrame:
-    """Top-n partners (total over the shown years) by crop year, share within the top n."""
+    """Top-n partners (total over the shown years) by crop year, share within the top n.
+
+    Every partner has every shown crop year, absent ones 0: all years of the
+    series, or with ``by_region`` those in which a top partner of the region
+    trades. A year without volume has a null share.
+    """
     k = [*keys, REGION] if by_region else list(keys)
     agg = _partner_year(dff, k)
     tops = top_n(agg.groupBy(*k, PARTNER).agg(F.sum(QTY).alias("TOTAL")), k, PARTNER, n)
-    out = agg.join(tops.select(*k, PARTNER, F.col("RANK").alias("PARTNER_RANK")), [*k, PARTNER])
+    members = tops.select(*k, PARTNER, F.col("RANK").alias("PARTNER_RANK"))
+    shown = agg.join(members, [*k, PARTNER], "left_semi") if by_region else agg
+    periods = shown.select(*k, CY, CY_LABEL).distinct()
+    out = _filled(agg, members, k, PARTNER, _cells(members, k, periods, k), [CY, CY_LABEL])
     return out.withColumn("SHARE_PCT", share_pct(F.col(QTY), F.sum(QTY).over(win([*k, CY]))))
 
 
@@ -126,6 +175,8 @@ def top_in_year(dff: DataFrame, keys: list[str], cy_start: int, n: int = 12) ->
     """Per region: top-n partners ranked in one crop year, shown for every year.
 
     A region without rows in that year is ranked in its own latest year.
+    Every partner has every crop year of the series, absent ones 0;
+    ``TOTAL_RANK`` orders the partners by their total over these years.
     """
     k = [*keys, REGION]
     agg = _partner_year(dff, k)
@@ -135,7 +186,14 @@ def top_in_year(dff: DataFrame, keys: list[str], cy_start: int, n: int = 12) ->
                       .alias("RANK_CY")))
     in_rank_year = agg.join(chosen, k).where(F.col(CY) == F.col("RANK_CY"))
     tops = top_n(in_rank_year.select(*k, PARTNER, "RANK_CY", F.col(QTY).alias("TOTAL")), k, PARTNER, n)
-    out = agg.join(tops.select(*k, PARTNER, "RANK_CY", F.col("RANK").alias("PARTNER_RANK")), [*k, PARTNER])
+    totals = (agg.join(tops.select(*k, PARTNER), [*k, PARTNER], "left_semi")
+              .groupBy(*k, PARTNER).agg(F.sum(QTY).alias("TOTAL")))
+    order = win(k).orderBy(F.col("TOTAL").desc(), F.col(PARTNER).asc())
+    ranked = totals.withColumn("TOTAL_RANK", F.row_number().over(order)).drop("TOTAL")
+    members = (tops.select(*k, PARTNER, "RANK_CY", F.col("RANK").alias("PARTNER_RANK"))
+               .join(ranked, [*k, PARTNER]))
+    periods = dff.select(*keys, CY, CY_LABEL).distinct()
+    out = _filled(agg, members, k, PARTNER, _cells(members, k, periods, keys), [CY, CY_LABEL])
     return out.withColumn("SHARE_PCT", share_pct(F.col(QTY), F.sum(QTY).over(win([*k, CY]))))
 
 
@@ -154,15 +212,17 @@ def partner_share_in_region(dff: DataFrame, keys: list[str], n: int = 10) -> Dat
 def with_rest(agg: DataFrame, keys: list[str], period: list[str], n: int) -> DataFrame:
     """Top-n member rows, a Rest-of-World row and a Total row per period.
 
-    Every period is kept, also one traded only by non-top members, so Total
+    Absent cells are 0, Rest of World included when nobody is left over. Every period is kept, also one traded only by non-top members, so Total
     always equals the sum of all members.
     """
     tops = top_n(agg.groupBy(*keys, PARTNER).agg(F.sum(QTY).alias("TOTAL")), keys, PARTNER, n)
-    ranked = agg.join(tops.select(*keys, PARTNER, "RANK"), [*keys, PARTNER], "left")
-    is_top = F.col("RANK").isNotNull()
-    members = ranked.where(is_top).select(*keys, F.lit("partner").alias("ROW_TYPE"),
-                                          F.col(PARTNER).alias("ROW_LABEL"), "RANK", *period, QTY)
-    rest = (ranked.where(~is_top).groupBy(*keys, *period).agg(_sum_qty())
+    tops = tops.select(*keys, PARTNER, "RANK")
+    ranked = agg.join(tops, [*keys, PARTNER], "left")
+    cells = _cells(tops, keys, agg.select(*keys, *period).distinct(), keys)
+    members = _filled(agg, tops, keys, PARTNER, cells, period).select(
+        *keys, F.lit("partner").alias("ROW_TYPE"), F.col(PARTNER).alias("ROW_LABEL"), "RANK", *period, QTY)
+    rest = (ranked.groupBy(*keys, *period)
+            .agg(F.coalesce(F.sum(F.when(F.col("RANK").isNull(), F.col(QTY))), F.lit(0.0)).alias(QTY))
             .select(*keys, F.lit("rest").alias("ROW_TYPE"), F.lit(REST).alias("ROW_LABEL"),
                     F.lit(n + 1).alias("RANK"), *period, QTY))
     total = (agg.groupBy(*keys, *period).agg(_sum_qty())

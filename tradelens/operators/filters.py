@@ -43,22 +43,27 @@ def seasonal_range(df: DataFrame, cy_from: int | None = None, cy_to: int | None
 
 
 def filter_domains(df: DataFrame, keys: list[str], reporter_region: str | None = None,
-                   partner_region: str | None = None) -> DataFrame:
+                   partner_region: str | None = None, overview: bool = False) -> DataFrame:
     """Cascading choice lists as (DOMAIN, VALUE) rows per series key.
 
     reporter_region -> reporters of that region -> their partner regions,
-    partners of the chosen partner region and their tags. One scan: every row
-    emits its candidate (domain, value) pairs, then one distinct.
+    partners of the chosen partner region and their tags. One scan: rows are
+    reduced to their distinct dimension values, each of which emits its
+    candidate (domain, value) pairs, then one distinct. With ``overview``
+    regions, partners and tags are those of all rows and only the reporter
+    list follows the reporter region.
     """
     in_rep = F.lit(True) if reporter_region is None else (F.col(REPORTER_REGION) == reporter_region)
-    in_part = in_rep if partner_region is None else (in_rep & (F.col(REGION) == partner_region))
+    scope = F.lit(True) if overview else in_rep
+    in_part = scope if partner_region is None else (scope & (F.col(REGION) == partner_region))
 
-    def item(name: str, col: str, scope) -> F.Column:
-        return F.when(scope & F.col(col).isNotNull(),
+    def item(name: str, col: str, chosen) -> F.Column:
+        return F.when(chosen & F.col(col).isNotNull(),
                       F.struct(F.lit(name).alias("DOMAIN"), F.col(col).cast("string").alias("VALUE")))
 
     items = F.array(item("reporter_region", REPORTER_REGION, F.lit(True)), item("reporter", REPORTER, in_rep),
-                    item("region", REGION, in_rep), item("partner", PARTNER, in_part),
-                    item("tag", COMMODITY_TAG, in_rep))
-    return (df.select(*keys, F.explode(items).alias("_D")).where(F.col("_D").isNotNull())
+                    item("region", REGION, scope), item("partner", PARTNER, in_part),
+                    item("tag", COMMODITY_TAG, scope))
+    dims = [*keys, *[c for c in (REPORTER_REGION, REPORTER, REGION, PARTNER, COMMODITY_TAG) if c not in keys]]
+    return (df.select(*dims).distinct().select(*keys, F.explode(items).alias("_D")).where(F.col("_D").isNotNull())
             .select(*keys, "_D.DOMAIN", "_D.VALUE").distinct())

@@ -3,37 +3,66 @@ the incremental low-water mark."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import DEDUP_KEYS, FLOW, HISTORY_START, YEAR
+from ..schema import DEDUP_KEYS, FLOW, HISTORY_START, MONTH, YEAR
+
+ARRIVAL = "_ARRIVAL"
 
-BATCH = "_BATCH"
-ORDINAL = "_ORDINAL"
 
+def landed_at() -> Column:
+    """File part of the arrival order; valid only directly on a file scan."""
+    return F.struct(F.col("_metadata.file_modification_time").alias("TIME"),
+                    F.col("_metadata.file_path").alias("FILE"),
+                    F.col("_metadata.file_block_start").alias("BLOCK"))
 
-def stamp(df: DataFrame, batch_id: int) -> DataFrame:
-    """Stamp landed rows with their batch and an ordinal (arrival order)."""
-    return df.withColumns({BATCH: F.lit(batch_id).cast("long"), ORDINAL: F.monotonically_increasing_id()})
+
+def stamp(df: DataFrame) -> DataFrame:
+    """Stamp rows with their arrival order: landing time and place of the file
+    where the reader recorded them, then the row's position in its partition.
+    Call it on the scan, before any shuffle."""
+    parts = [F.monotonically_increasing_id().alias("ROW")]
+    if ARRIVAL in df.columns:
+        parts = [F.col(f"{ARRIVAL}.{c}").alias(c) for c in ("TIME", "FILE", "BLOCK")] + parts
+    return df.withColumn(ARRIVAL, F.struct(*parts))
 
 
 def keep_last(df: DataFrame, keys=DEDUP_KEYS) -> DataFrame:
-    """One row per key: the one with the largest (batch, ordinal).
+    """One row per key: the one that arrived last (null keys form one group).
 
-    An aggregate (max over a struct led by batch and ordinal), not a window:
-    it combines map-side, so a key with very many versions never lands
-    whole in one task. Null keys form one group, as in the reference.
+    ``row_number`` with a rank filter plans as a WindowGroupLimit on both
+    sides of the shuffle: each task passes on at most one row of a key, so a
+    key with very many versions never meets whole in one task.
     """
-    values = [c for c in df.columns if c not in keys and c not in (BATCH, ORDINAL)]
-    best = F.max(F.struct(F.col(BATCH), F.col(ORDINAL), *[F.col(c) for c in values])).alias("_B")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_B.{c}").alias(c) for c in values])
+    if ARRIVAL not in df.columns:
+        df = stamp(df)
+    w = Window.partitionBy(*keys).orderBy(F.col(ARRIVAL).desc())
+    return df.withColumn("_RN", F.row_number().over(w)).where(F.col("_RN") == 1).drop("_RN", ARRIVAL)
+
 
+def without_keys(old: DataFrame, fresh: DataFrame, keys=DEDUP_KEYS) -> DataFrame:
+    """Rows of ``old`` whose key (null-safe) does not occur in ``fresh``."""
+    marks = fresh.select(*[F.col(k).alias(f"_N_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_N_{k}")) for k in keys])
+    return old.join(marks, same, "left_anti")
 
-def upsert_keep_last(old: DataFrame, new: DataFrame, keys=DEDUP_KEYS, new_batch: int = 1) -> DataFrame:
-    """Union of stored and new rows, newest version of every key kept."""
-    cols = old.columns
-    merged = stamp(old, -1).unionByName(stamp(new.select(*cols), new_batch), allowMissingColumns=True)
-    return keep_last(merged, keys).select(*cols)
+
+def upsert_keep_last(old: DataFrame, new: DataFrame, keys=DEDUP_KEYS, old_unique: bool = False) -> DataFrame:
+    """Stored and new rows, newest version of every key kept.
+
+    Only the new batch is deduplicated; its keys then leave the stored rows
+    through an anti join (a broadcast one while the batch is small). Pass
+    ``old_unique`` when the stored rows hold one row per key, as every table
+    written by this library does. A column only one side has is null on the
+    other.
+    """
+    fresh = keep_last(new, keys)
+    if not old_unique:
+        old = keep_last(old, keys)
+    return without_keys(old, fresh, keys).unionByName(fresh, allowMissingColumns=True)
 
 
 def load_audit(old: DataFrame, new: DataFrame, after: DataFrame) -> DataFrame:
@@ -57,9 +86,7 @@ def incremental_begin(df: DataFrame, product: str = "fertilizer") -> DataFrame:
                                      F.lit(HISTORY_START[product])).alias("PERIOD_BEGIN")))
 
 
-def incremental_begin_or_start(spark: SparkSession, df: DataFrame | None, flow: str,
-                               product: str = "fertilizer") -> DataFrame:
-    """Same, with the history start when no table exists yet (full load)."""
-    if df is None:
-        return spark.createDataFrame([(flow, HISTORY_START[product])], "FLOW string, PERIOD_BEGIN string")
-    return incremental_begin(df.where(F.col(FLOW) == flow), product)
+def since(df: DataFrame, begin: str) -> DataFrame:
+    """Rows from the period ``begin`` ('YYYYMM') on; a row without a year stays."""
+    ym = F.col(YEAR) * 100 + F.coalesce(F.col(MONTH), F.lit(12))
+    return df.where(ym.isNull() | (ym >= int(begin)))

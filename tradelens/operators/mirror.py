@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 
 from ..dims import Dims
 from ..functions.calendar import shift_months, with_calendar
-from ..schema import CM, COMMODITY_TAG, CY, CY_LABEL, FLOW, PARTNER, QTY, REPORTER
+from ..schema import CM, COMMODITY_TAG, CY, CY_LABEL, FLOW, MIRROR_LAG_RANGE, PARTNER, QTY, REPORTER
 from ._util import in_or_present, win
 
 PAIR = ["EXPORTER", "DESTINATION", "IMPORTER", "ORIGIN"]
+UNMATCHED = "Other"
 
 
 def _canonical(df: DataFrame, col: str, out: str, dims: Dims) -> DataFrame:
     alias = dims.alias.select(F.col("NAME").alias("_AK"), F.col("STD_NAME").alias("_AV"))
-    return (df.join(dims.hint(alias), F.trim(F.col(col)) == F.col("_AK"), "left")
+    return (df.join(F.broadcast(alias), F.trim(F.col(col)) == F.col("_AK"), "left")
             .withColumn(out, F.coalesce(F.col("_AV"), F.trim(F.col(col)))).drop("_AK", "_AV"))
 
 
@@ -37,13 +38,16 @@ def mirror_cube(df: DataFrame, tags=()) -> DataFrame:
 
 def mirror_pairs(df: DataFrame, dims: Dims) -> DataFrame:
     """Exporter -> destination pairs whose destination reports imports from the
-    exporter, matched on canonical (alias-resolved) names on both sides."""
+    exporter, matched on canonical (alias-resolved) names on both sides.
+
+    "Other" collects unrelated areas, so it never matches."""
     exp = df.where(F.col(FLOW) == "E").select(F.col(REPORTER).alias("EXPORTER"),
                                               F.col(PARTNER).alias("DESTINATION")).distinct()
     imp = df.where(F.col(FLOW) == "I").select(F.col(REPORTER).alias("IMPORTER"),
                                               F.col(PARTNER).alias("ORIGIN")).distinct()
     exp = _canonical(_canonical(exp, "EXPORTER", "_E", dims), "DESTINATION", "_D", dims)
     imp = _canonical(_canonical(imp, "IMPORTER", "_I", dims), "ORIGIN", "_O", dims)
+    exp = exp.where((F.col("_E") != UNMATCHED) & (F.col("_D") != UNMATCHED))
     return (exp.join(imp, (F.col("_D") == F.col("_I")) & (F.col("_E") == F.col("_O")))
             .select(*PAIR))
 
@@ -67,14 +71,15 @@ def mirror_years(df: DataFrame, pairs: DataFrame, start_month: int, tags=()) ->
 
 
 def mirror_overlay(df: DataFrame, pairs: DataFrame, start_month: int, lag: int = 1, tags=(),
-                   years_back: int | None = 2) -> DataFrame:
+                   years_back: int | None = None) -> DataFrame:
     """Direct and lag-shifted mirror monthly series on one crop-year axis.
 
-    Years shown: the union of the unshifted series' years, last
+    Years shown: the union of the unshifted series' years, all or the last
     ``years_back`` of them; shifted rows falling in other years are dropped.
     """
-    if not isinstance(lag, int) or isinstance(lag, bool) or lag < 0:
-        raise ValueError(f"lag must be a whole number of months >= 0, got {lag!r}")
+    lo, hi = MIRROR_LAG_RANGE
+    if not isinstance(lag, int) or isinstance(lag, bool) or not lo <= lag <= hi:
+        raise ValueError(f"lag must be a whole number of months from {lo} to {hi}, got {lag!r}")
     if years_back is not None and years_back < 1:
         raise ValueError("years_back must be >= 1 or None")
     years = mirror_years(df, pairs, start_month, tags)

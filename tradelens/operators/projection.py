@@ -9,7 +9,7 @@ last <= 5 complete years. The remaining months are a per-series
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import CM, CY, PROJECTION_YEARS, QTY
@@ -175,5 +175,5 @@ def projection_cumulative(cube: DataFrame, stats: DataFrame, proj: DataFrame, ke
     start_rows = start.select(*keys, F.col("LATEST_CY_START").alias(CY), F.col("COMMON_MONTH").alias(CM),
                               F.col("CUM_START").alias("STEP"), F.lit(False).alias("IS_PROJECTED"))
     steps = proj.select(*keys, CY, CM, F.col("PROJ_QTY").alias("STEP"), F.lit(True).alias("IS_PROJECTED"))
-    w = win(keys).orderBy(CM).rowsBetween(-(1 << 30), 0)
+    w = win(keys).orderBy(CM).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (start_rows.unionByName(steps).withColumn("CUM_QTY", F.sum("STEP").over(w)).drop("STEP"))

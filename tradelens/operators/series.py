@@ -7,7 +7,7 @@ aggregate first; windows then see at most one series' periods.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import growth_vs, pct_change
@@ -91,7 +91,7 @@ def ytd_yoy(disp: DataFrame, stats: DataFrame, keys: list[str],
 
 def cumulative(cube: DataFrame, keys: list[str]) -> DataFrame:
     """Running sum within each crop year in crop-month order (absent months skipped)."""
-    w = win([*keys, CY]).orderBy(CM).rowsBetween(-(1 << 30), 0)
+    w = win([*keys, CY]).orderBy(CM).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cube.withColumn("CUM_QTY", F.sum(QTY).over(w))
 
 
@@ -139,7 +139,7 @@ def heatmap(cube: DataFrame, stats: DataFrame, keys: list[str], cy_from: int | N
 
     ref = mat.where("_REF").selectExpr("*", f"{total} AS _TOT").groupBy(*keys).agg(
         F.expr("count(1) AS _N"),
-        *[F.expr(f"{fn}({c}) AS {fn}_{c}") for fn in ("min", "max", "avg") for c in [*months, "_TOT"]])
+        *[F.expr(f"{fn}({c}) AS {fn}_{c}") for fn in ("min", "max", "avg") for c in [*months, "_TOT"]]).where("_N > 0")
     ref_rows = None
     for order_no, name in enumerate(["min", "max", "avg"], start=1):
         r = ref.selectExpr(

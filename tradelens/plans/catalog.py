@@ -11,16 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..dims import reference_dims
 from ..functions.calendar import crop_month_label, shift_months, with_calendar, with_crop_date, with_unit
 from ..operators import drill, enrich, filters, load, mirror, projection, series
-from ..session import app_id, scratch_path
+from ..session import scratch_path
 from ..sources import extract
-from ..sources.table import read_table, table_freshness, upsert_table
+from ..sources.table import read_table, table_freshness, trade_path, upsert_table
 from ..streaming.upsert_stream import stream_upsert
 from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
-from ..schema import (CM, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER_STD,
-                      QTY1, REGION, REPORTER, REPORTER_REGION, COMMODITY_TAG, YEAR)
+from ..schema import (CM, COMMODITY_TAG, COTTON_COLUMNS, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER_STD,
+                      QTY1, REGION, REPORTER, REPORTER_REGION, VALUE, YEAR)
 from ..sources.table import test_dims
 from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, pin, prepared, raw_trade,
                      reporter_cube, reuse, series_inputs, trade)
@@ -67,6 +68,12 @@ def q_enrich_trade(spark, sf_dir):
     return finish(enrich.enrich_trade(raw_trade(spark, sf_dir), test_dims(spark, sf_dir)))
 
 
+@query("unmatched_partners")
+def q_unmatched_partners(spark, sf_dir):
+    """Partners the built-in country table does not know (the fixture nations)."""
+    return finish(enrich.unmatched_partners(raw_trade(spark, sf_dir), reference_dims(spark)))
+
+
 # -------------------------------------------------------------- calendar ---
 def _calendar(spark, sf_dir, start):
     cols = [*RAW_COLUMNS, DATE, CY, CY_LABEL, CM]
@@ -203,7 +210,7 @@ RANK_YEAR = 1999
 
 
 def _drill(spark, sf_dir, **kw):
-    """(YTD-basis rows, full-year rows, stats) over the default six crop years.
+    """(rows on the chosen basis, full-year rows, stats), by default all years and months.
 
     Cutoff and active years come from the written reporter cube (calendar
     year and month recovered from the crop calendar), so the rows are
@@ -213,9 +220,14 @@ def _drill(spark, sf_dir, **kw):
 
 
 def _drill_cube(spark, sf_dir):
-    """The YTD-basis drill rows reduced to the drill cube and written once."""
-    return reuse(("drill", app_id(spark), sf_dir, tuple(KEYS), START),
-                 lambda: materialize(drill.drill_cube(_drill(spark, sf_dir)[0], KEYS), "drill"))
+    """All selected rows reduced to the drill cube and written once; ranges and
+    bases are filters on this cube."""
+    return reuse(("drill", trade_path(spark, sf_dir), tuple(KEYS), START),
+                 lambda: materialize(drill.drill_cube(prepared(spark, sf_dir), KEYS), "drill"))
+
+
+def _drill_stats(spark, sf_dir, years_back=None):
+    return drill.drill_stats(_dated_reporter_cube(spark, sf_dir), KEYS, START, years_back)
 
 
 @query("filter_trade")
@@ -228,13 +240,13 @@ def q_filter_trade(spark, sf_dir):
 @query("drill_filter")
 def q_drill_filter(spark, sf_dir):
     dff, _, _ = _drill(spark, sf_dir, partners=DRILL_PARTNERS, crop_years=DRILL_YEARS,
-                       crop_months=DRILL_MONTHS, tags=DRILL_TAGS, years_back=None, ytd=False)
+                       crop_months=DRILL_MONTHS, tags=DRILL_TAGS)
     return finish(dff.select(*RAW_COLUMNS, CY, CM, COMMODITY_TAG))
 
 
 @query("drill_months")
 def q_drill_months(spark, sf_dir):
-    dff, _, _ = _drill(spark, sf_dir, crop_months=[1, 2, 3], ytd=False)
+    dff, _, _ = _drill(spark, sf_dir, crop_months=[1, 2, 3])
     return finish(dff.select(*RAW_COLUMNS, CY, CM))
 
 
@@ -244,6 +256,11 @@ def q_filter_domains(spark, sf_dir):
                                          partner_region="Europe"))
 
 
+@query("filter_domains_overview")
+def q_filter_domains_overview(spark, sf_dir):
+    return finish(filters.filter_domains(trade(spark, sf_dir), KEYS, reporter_region="Asia", overview=True))
+
+
 @query("seasonal_range")
 def q_seasonal_range(spark, sf_dir):
     return finish(filters.seasonal_range(_cube(spark, sf_dir)[2], 1997, 1999))
@@ -254,6 +271,20 @@ def q_drill_year_region(spark, sf_dir):
     return finish(drill.year_region(_drill_cube(spark, sf_dir), KEYS))
 
 
+@query("drill_year_range")
+def q_drill_year_range(spark, sf_dir):
+    """The range as the feature: region volumes of the last six crop years."""
+    cube = drill.on_basis(_drill_cube(spark, sf_dir), _drill_stats(spark, sf_dir, 6), KEYS)
+    return finish(drill.year_region(cube, KEYS))
+
+
+@query("drill_ytd_basis")
+def q_drill_ytd_basis(spark, sf_dir):
+    """The basis as the feature: region volumes up to the common crop month."""
+    cube = drill.on_basis(_drill_cube(spark, sf_dir), _drill_stats(spark, sf_dir), KEYS, ytd=True)
+    return finish(drill.year_region(cube, KEYS))
+
+
 @query("share_by_year")
 def q_share_by_year(spark, sf_dir):
     yr = drill.year_region(_drill_cube(spark, sf_dir), KEYS)
@@ -275,6 +306,12 @@ def q_drill_month_partner(spark, sf_dir):
     return finish(drill.month_partner(_drill_cube(spark, sf_dir), KEYS, by_region=True))
 
 
+@query("drill_month_partner_all")
+def q_drill_month_partner_all(spark, sf_dir):
+    """The same over all regions."""
+    return finish(drill.month_partner(_drill_cube(spark, sf_dir), KEYS))
+
+
 @query("drill_year_partner")
 def q_drill_year_partner(spark, sf_dir):
     return finish(drill.year_partner(_drill_cube(spark, sf_dir), KEYS))
@@ -307,7 +344,7 @@ def q_monthly_breakdown(spark, sf_dir):
 
 @query("rolling_by_region")
 def q_rolling_by_region(spark, sf_dir):
-    return finish(series.rolling_by_region(_drill(spark, sf_dir)[1], KEYS, 12))
+    return finish(series.rolling_by_region(with_crop_date(_drill_cube(spark, sf_dir), START), KEYS, 12))
 
 
 # ------------------------------------------------------------ projection ---
@@ -321,7 +358,7 @@ def _proj_inputs(spark, sf_dir):
 
 def _proj_base(spark, sf_dir):
     cube, stats = _proj_inputs(spark, sf_dir)
-    return reuse(("projbase", app_id(spark), sf_dir), lambda: pin(projection.projection_base(cube, stats, KEYS)))
+    return reuse(("projbase", trade_path(spark, sf_dir)), lambda: pin(projection.projection_base(cube, stats, KEYS)))
 
 
 @query("avg_proportions")
@@ -376,7 +413,7 @@ MIRROR_LAG = 1
 
 def _mirror_input(spark, sf_dir):
     """The selected rows reduced to the pair-month mirror cube, written once."""
-    cube = reuse(("mirror", app_id(spark), sf_dir),
+    cube = reuse(("mirror", trade_path(spark, sf_dir)),
                  lambda: materialize(mirror.mirror_cube(with_unit(filter_trade(trade(spark, sf_dir)), "MT")),
                                      "mirror"))
     return cube, test_dims(spark, sf_dir)
@@ -390,14 +427,28 @@ def q_mirror_pairs(spark, sf_dir):
 
 @query("mirror_years")
 def q_mirror_years(spark, sf_dir):
+    df, _ = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_years(df, _mirror_pairs(spark, sf_dir), START))
+
+
+def _mirror_pairs(spark, sf_dir):
+    """The matched pairs, written once (years and overlay both need them)."""
     df, dims = _mirror_input(spark, sf_dir)
-    return finish(mirror.mirror_years(df, mirror.mirror_pairs(df, dims), START))
+    return reuse(("pairs", trade_path(spark, sf_dir)), lambda: materialize(mirror.mirror_pairs(df, dims), "pairs"))
 
 
 @query("mirror_overlay")
 def q_mirror_overlay(spark, sf_dir):
-    df, dims = _mirror_input(spark, sf_dir)
-    return finish(mirror.mirror_overlay(df, mirror.mirror_pairs(df, dims), START, MIRROR_LAG))
+    """All crop years of every pair."""
+    df, _ = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_overlay(df, _mirror_pairs(spark, sf_dir), START, MIRROR_LAG))
+
+
+@query("mirror_overlay_range")
+def q_mirror_overlay_range(spark, sf_dir):
+    """The range as the feature: the last two crop years of every pair."""
+    df, _ = _mirror_input(spark, sf_dir)
+    return finish(mirror.mirror_overlay(df, _mirror_pairs(spark, sf_dir), START, MIRROR_LAG, years_back=2))
 
 
 # ------------------------------------------------------------------ load ---
@@ -439,6 +490,19 @@ def q_read_extract_encodings(spark, sf_dir):
     return finish(e.unionByName(i))
 
 
+@query("read_extract_cotton")
+def q_read_extract_cotton(spark, sf_dir):
+    """Extracts without a value column, two column orders in one folder."""
+    raw = raw_trade(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    for flow in ("E", "I"):
+        rows = raw.where(F.col(FLOW) == flow)
+        extract.write_extract(rows.where(F.col(YEAR) <= 1998), f"{root}/{flow}/a", columns=COTTON_COLUMNS)
+        extract.write_extract(rows.where(F.col(YEAR) > 1998), f"{root}/{flow}/b", columns=COTTON_COLUMNS[::-1])
+    parts = [extract.read_extracts(spark, f"{root}/{flow}/*", flow, columns=COTTON_COLUMNS) for flow in ("E", "I")]
+    return finish(parts[0].unionByName(parts[1]))
+
+
 @query("extract_slice")
 def q_extract_slice(spark, sf_dir):
     ym = F.col(YEAR) * 100 + F.col(MONTH)
@@ -461,27 +525,49 @@ def q_incremental_begin(spark, sf_dir):
 
 @query("table_freshness")
 def q_table_freshness(spark, sf_dir):
-    return finish(table_freshness(trade(spark, sf_dir)))
+    """Whether each flow has a file time that is not in the future."""
+    fresh = table_freshness(trade(spark, sf_dir))
+    return finish(fresh.select(FLOW, (F.col("LAST_MODIFIED") <= F.current_timestamp()).alias("IS_DATED")))
 
 
 @query("upsert_keep_last")
 def q_upsert_keep_last(spark, sf_dir):
     stored, new = _stored_and_new(spark, sf_dir)
-    return finish(load.upsert_keep_last(stored, new))
+    return finish(load.upsert_keep_last(stored, new, old_unique=True))
 
 
 @query("load_audit")
 def q_load_audit(spark, sf_dir):
     stored, new = _stored_and_new(spark, sf_dir)
-    return finish(load.load_audit(stored, new, load.upsert_keep_last(stored, new)))
+    return finish(load.load_audit(stored, new, load.upsert_keep_last(stored, new, old_unique=True)))
 
 
 @query("upsert_roundtrip")
 def q_upsert_roundtrip(spark, sf_dir):
     stored, new = _stored_and_new(spark, sf_dir)
     path = scratch_path(spark, "table")
-    upsert_table(stored, path, batch_id=0, full=True)
-    upsert_table(new, path, batch_id=1)
+    upsert_table(stored, path, full=True)
+    upsert_table(new, path)
+    return finish(read_table(spark, path).select(*RAW_COLUMNS))
+
+
+@query("upsert_new_column")
+def q_upsert_new_column(spark, sf_dir):
+    """Stored rows without VALUE, new rows with it: nothing stored is lost."""
+    stored, new = _stored_and_new(spark, sf_dir)
+    path = scratch_path(spark, "table")
+    upsert_table(stored.drop(VALUE), path)
+    upsert_table(new, path)
+    return finish(read_table(spark, path).select(*RAW_COLUMNS))
+
+
+@query("full_reload_one_flow")
+def q_full_reload_one_flow(spark, sf_dir):
+    """A full load of the exports up to 1998 removes their later years only."""
+    raw = raw_trade(spark, sf_dir)
+    path = scratch_path(spark, "table")
+    upsert_table(raw, path, full=True)
+    upsert_table(raw.where((F.col(FLOW) == "E") & (F.col(YEAR) <= 1998)), path, full=True)
     return finish(read_table(spark, path).select(*RAW_COLUMNS))
 
 
@@ -489,7 +575,9 @@ def q_upsert_roundtrip(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     stored, new = _stored_and_new(spark, sf_dir)
     path, landing = scratch_path(spark, "table"), scratch_path(spark, "landing")
-    upsert_table(stored, path, batch_id=0, full=True)
+    upsert_table(stored, path, full=True)
+    # A first version of every new row, then the revision in files landed later.
+    new.withColumn(QTY1, F.lit(-1.0)).write.mode("append").parquet(landing)
     for lo, hi in ((1, 4), (5, 8), (9, 12)):
         new.where(F.col(MONTH).between(lo, hi)).write.mode("append").parquet(landing)
     stream_upsert(spark, landing, path, scratch_path(spark, "stream-ckpt"), new.schema,

@@ -13,12 +13,11 @@ from ..operators.cutoff import display_trim, period_stats
 from ..operators.filters import filter_trade
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
 from ..operators.series import monthly_cube
-from ..session import app_id, scratch_path
-from ..sources.table import load_trade
+from ..operators._util import small_table
+from ..sources.table import load_trade, trade_path
 
 # Standard parameters of the registered queries.
 KEYS = [FLOW]                 # both flows at once, each as its own series
-REPORTER_KEYS = [FLOW, REPORTER]
 START = 7                     # July crop year: labels cross 1999/2000
 UNIT = "MT"
 RAW_COLUMNS = [FLOW, REPORTER, PARTNER, COMMODITY, YEAR, MONTH, QTY1, VALUE]
@@ -38,13 +37,6 @@ def prepared(spark: SparkSession, sf_dir: str, start: int = START, unit: str = U
     return filter_trade(with_unit(with_calendar(trade(spark, sf_dir), start), unit))
 
 
-def overview(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START):
-    """(selected rows, per-series period stats, trimmed display rows)."""
-    df = prepared(spark, sf_dir, start)
-    stats = period_stats(df, keys)
-    return df, stats, display_trim(df, keys, stats=stats)
-
-
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -54,27 +46,21 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     checkpoint, which computes its input twice), and the read-back carries
     real file sizes for the planner's broadcast choice.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return small_table(df, label)
 
 
 _PINNED: list[DataFrame] = []
-_MAX_PINNED = 64
 
 
 def pin(df: DataFrame) -> DataFrame:
     """Cache a small frame derived from a written intermediate (eager).
 
     A lost block is recomputed from the written parent, never from the raw
-    scan. The oldest pinned frames are released beyond a fixed number.
+    scan. ``clear_reuse`` releases it.
     """
     df = df.cache()
     df.count()
     _PINNED.append(df)
-    while len(_PINNED) > _MAX_PINNED:
-        _PINNED.pop(0).unpersist()
     return df
 
 
@@ -102,7 +88,7 @@ def clear_reuse() -> None:
 def reporter_cube(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START, unit: str = UNIT):
     """The selected rows reduced to one per (series, reporter, crop year,
     crop month) -- the grain every period cutoff needs -- written once."""
-    return reuse(("repcube", app_id(spark), sf_dir, tuple(keys), start, unit),
+    return reuse(("repcube", trade_path(spark, sf_dir), tuple(keys), start, unit),
                  lambda: materialize(monthly_cube(prepared(spark, sf_dir, start, unit), keys, [REPORTER]),
                                      "repcube"))
 
@@ -119,7 +105,7 @@ def series_inputs(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = STAR
         disp = display_trim(rep, keys, stats=stats)
         return stats, disp, pin(monthly_cube(disp, keys))
 
-    return reuse(("series", app_id(spark), sf_dir, tuple(keys), start, unit), build)
+    return reuse(("series", trade_path(spark, sf_dir), tuple(keys), start, unit), build)
 
 
 def finish(df: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -288,7 +288,7 @@ FROM mt
 WINDOW w AS (PARTITION BY FLOW ORDER BY DATE ROWS BETWEEN {_w - 1} PRECEDING AND CURRENT ROW)""")
 
 # ----------------------------------------------------------------- drill ---
-DRILL = """,
+DRILL_STATS = """,
 rep_ym AS (SELECT FLOW, REPORTER, max(YEAR * 100 + MONTH) AS ym FROM c GROUP BY ALL),
 dcut AS (
   SELECT FLOW, min(ym) AS common_ym, ((min(ym) % 100 - 7 + 12) % 12) + 1 AS ccm FROM rep_ym GROUP BY FLOW
@@ -297,11 +297,16 @@ dyrs AS (
   SELECT FLOW, CROP_YEAR_START,
          row_number() OVER (PARTITION BY FLOW ORDER BY CROP_YEAR_START DESC) AS yr
   FROM (SELECT DISTINCT FLOW, CROP_YEAR_START FROM c)
-),
-droll AS (SELECT c.* FROM c JOIN dyrs USING (FLOW, CROP_YEAR_START) WHERE yr <= 6),
-dff AS (SELECT droll.* FROM droll JOIN dcut USING (FLOW) WHERE droll.CROP_MONTH_NUM <= dcut.ccm),
+)"""
+DRILL = """,
+droll AS (SELECT * FROM c),
+dff AS (SELECT * FROM c),
 dsel AS (SELECT FLOW, max(CROP_YEAR_START) AS sel_cy FROM dff GROUP BY FLOW),
 dfy AS (SELECT dff.* FROM dff JOIN dsel USING (FLOW) WHERE dff.CROP_YEAR_START = dsel.sel_cy)"""
+DRILL_RANGE = DRILL_STATS + """,
+dff AS (SELECT c.* FROM c JOIN dyrs USING (FLOW, CROP_YEAR_START) WHERE yr <= 6)"""
+DRILL_YTD = DRILL_STATS + """,
+dff AS (SELECT c.* FROM c JOIN dcut USING (FLOW) WHERE CROP_MONTH_NUM <= ccm)"""
 
 CYO = "CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year"
 
@@ -334,12 +339,25 @@ UNION SELECT FLOW, 'partner', PARTNER FROM enriched
       WHERE REPORTER_REGION = 'Asia' AND REGION = 'Europe' AND PARTNER IS NOT NULL
 UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched
       WHERE REPORTER_REGION = 'Asia' AND COMMODITY_TAG IS NOT NULL""")
+q("filter_domains_overview", base() + """
+SELECT DISTINCT FLOW AS flow, 'reporter_region' AS domain, REPORTER_REGION AS value
+FROM enriched WHERE REPORTER_REGION IS NOT NULL
+UNION SELECT FLOW, 'reporter', REPORTER FROM enriched WHERE REPORTER_REGION = 'Asia' AND REPORTER IS NOT NULL
+UNION SELECT FLOW, 'region', REGION FROM enriched WHERE REGION IS NOT NULL
+UNION SELECT FLOW, 'partner', PARTNER FROM enriched WHERE PARTNER IS NOT NULL
+UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched WHERE COMMODITY_TAG IS NOT NULL""")
 q("seasonal_range", base() + OVERVIEW + f"""
 SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, round(QTY, 6) AS qty
 FROM cube WHERE CROP_YEAR_START BETWEEN 1997 AND 1999""")
 
-_YR = DRILL + """,
-yr AS (SELECT FLOW, CROP_YEAR_START, CROP_YEAR, REGION, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+_YR_BODY = """,
+yr0 AS (SELECT FLOW, CROP_YEAR_START, CROP_YEAR, REGION, sum(QTY) AS QTY FROM dff GROUP BY ALL),
+yr AS (
+  SELECT FLOW, CROP_YEAR_START, CROP_YEAR, REGION, coalesce(yr0.QTY, 0) AS QTY
+  FROM (SELECT DISTINCT FLOW, CROP_YEAR_START, CROP_YEAR FROM yr0) a
+  JOIN (SELECT DISTINCT FLOW, REGION FROM yr0) b USING (FLOW)
+  LEFT JOIN yr0 USING (FLOW, CROP_YEAR_START, CROP_YEAR, REGION)
+),
 yr2 AS (
   SELECT *, QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_YEAR_START), 0) * 100 AS share_pct,
          sum(QTY) OVER (PARTITION BY FLOW, REGION) AS region_total
@@ -350,7 +368,9 @@ yr3 AS (
               AS region_rank
   FROM yr2
 )"""
-q("drill_year_region", base() + _YR + f"""
+_YR = DRILL + _YR_BODY
+for _name, _rows in (("drill_year_region", DRILL), ("drill_year_range", DRILL_RANGE), ("drill_ytd_basis", DRILL_YTD)):
+    q(_name, base() + _rows + _YR_BODY + f"""
 SELECT FLOW AS flow, {CYO}, REGION AS region, round(QTY, 6) AS qty, round(share_pct, 6) AS share_pct,
        round(region_total, 6) AS region_total, region_rank FROM yr3""")
 q("share_by_year", base() + _YR + f"""
@@ -364,20 +384,22 @@ q("share_by_month", base() + _MR + f"""
 SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, REGION AS region, round(QTY, 6) AS qty,
        round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_MONTH_NUM), 0) * 100, 6) AS share_pct
 FROM mr""")
-q("drill_month_partner", base() + DRILL + f""",
-mp AS (
-  SELECT FLOW, REGION, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, PARTNER, sum(QTY) AS QTY
-  FROM dfy GROUP BY ALL
-),
+for _name, _k in (("drill_month_partner", "FLOW, REGION"), ("drill_month_partner_all", "FLOW")):
+    _r = "REGION AS region, " if "REGION" in _k else ""
+    q(_name, base() + DRILL + f""",
+mp0 AS (SELECT {_k}, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, PARTNER, sum(QTY) AS QTY FROM dfy GROUP BY ALL),
 mpt AS (
-  SELECT FLOW, REGION, PARTNER,
-         CAST(row_number() OVER (PARTITION BY FLOW, REGION ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER)
-           AS partner_rank
-  FROM mp GROUP BY FLOW, REGION, PARTNER
+  SELECT {_k}, PARTNER, CROP_YEAR_START, CROP_YEAR,
+         CAST(row_number() OVER (PARTITION BY {_k} ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS partner_rank
+  FROM mp0 GROUP BY {_k}, PARTNER, CROP_YEAR_START, CROP_YEAR
+),
+mp2 AS (
+  SELECT {_k}, PARTNER, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM, partner_rank, coalesce(QTY, 0) AS QTY
+  FROM (SELECT mpt.*, CAST(m AS INTEGER) AS CROP_MONTH_NUM FROM mpt, range(1, 13) t(m) WHERE partner_rank <= 12)
+  LEFT JOIN mp0 USING ({_k}, PARTNER, CROP_YEAR_START, CROP_YEAR, CROP_MONTH_NUM)
 ),
-mp2 AS (SELECT mp.*, partner_rank FROM mp JOIN mpt USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 12),
-mp3 AS (SELECT *, sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_MONTH_NUM) AS mt FROM mp2)
-SELECT FLOW AS flow, REGION AS region, {CYO}, CROP_MONTH_NUM AS crop_month_num, PARTNER AS partner,
+mp3 AS (SELECT *, sum(QTY) OVER (PARTITION BY {_k}, CROP_MONTH_NUM) AS mt FROM mp2)
+SELECT FLOW AS flow, {_r}{CYO}, CROP_MONTH_NUM AS crop_month_num, PARTNER AS partner,
        round(QTY, 6) AS qty, partner_rank,
        round(QTY / CASE WHEN mt = 0 THEN 1 ELSE mt END * 100, 6) AS share_pct
 FROM mp3""")
@@ -388,7 +410,11 @@ pr AS (
          CAST(row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS partner_rank
   FROM py GROUP BY FLOW, PARTNER
 ),
-p2 AS (SELECT py.*, partner_rank FROM py JOIN pr USING (FLOW, PARTNER) WHERE partner_rank <= 12)
+p2 AS (
+  SELECT FLOW, PARTNER, partner_rank, CROP_YEAR_START, CROP_YEAR, coalesce(py.QTY, 0) AS QTY
+  FROM pr JOIN (SELECT DISTINCT FLOW, CROP_YEAR_START, CROP_YEAR FROM py) y USING (FLOW)
+  LEFT JOIN py USING (FLOW, PARTNER, CROP_YEAR_START, CROP_YEAR) WHERE partner_rank <= 12
+)
 SELECT FLOW AS flow, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty, partner_rank,
        round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, CROP_YEAR_START), 0) * 100, 6) AS share_pct
 FROM p2""")
@@ -406,9 +432,21 @@ rk AS (
            AS partner_rank
   FROM py JOIN ry ON py.FLOW = ry.FLOW AND py.REGION = ry.REGION AND py.CROP_YEAR_START = ry.rank_cy
 ),
-sel AS (SELECT py.*, rank_cy, partner_rank FROM py JOIN rk USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 12)
+tops AS (
+  SELECT FLOW, REGION, PARTNER, rank_cy, partner_rank,
+         CAST(row_number() OVER (PARTITION BY FLOW, REGION ORDER BY sum(py.QTY) DESC, PARTNER) AS INTEGER)
+           AS total_rank
+  FROM rk JOIN py USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 12
+  GROUP BY FLOW, REGION, PARTNER, rank_cy, partner_rank
+),
+sel AS (
+  SELECT FLOW, REGION, PARTNER, rank_cy, partner_rank, total_rank, CROP_YEAR_START, CROP_YEAR,
+         coalesce(py.QTY, 0) AS QTY
+  FROM tops JOIN (SELECT DISTINCT FLOW, CROP_YEAR_START, CROP_YEAR FROM dff) y USING (FLOW)
+  LEFT JOIN py USING (FLOW, REGION, PARTNER, CROP_YEAR_START, CROP_YEAR)
+)
 SELECT FLOW AS flow, REGION AS region, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty,
-       CAST(rank_cy AS INTEGER) AS rank_cy, partner_rank,
+       CAST(rank_cy AS INTEGER) AS rank_cy, partner_rank, total_rank,
        round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_YEAR_START), 0) * 100, 6) AS share_pct
 FROM sel""")
 q("top_partners", base() + DRILL + f""",
@@ -427,7 +465,15 @@ pr AS (
            AS partner_rank
   FROM py GROUP BY FLOW, REGION, PARTNER
 ),
-p2 AS (SELECT py.*, partner_rank FROM py JOIN pr USING (FLOW, REGION, PARTNER) WHERE partner_rank <= 10)
+top AS (SELECT * FROM pr WHERE partner_rank <= 10),
+years AS (
+  SELECT DISTINCT FLOW, REGION, CROP_YEAR_START, CROP_YEAR FROM py JOIN top USING (FLOW, REGION, PARTNER)
+),
+p2 AS (
+  SELECT FLOW, REGION, PARTNER, partner_rank, CROP_YEAR_START, CROP_YEAR, coalesce(py.QTY, 0) AS QTY
+  FROM top JOIN years USING (FLOW, REGION)
+  LEFT JOIN py USING (FLOW, REGION, PARTNER, CROP_YEAR_START, CROP_YEAR)
+)
 SELECT FLOW AS flow, REGION AS region, PARTNER AS partner, {CYO}, round(QTY, 6) AS qty, partner_rank,
        round(QTY / nullif(sum(QTY) OVER (PARTITION BY FLOW, REGION, CROP_YEAR_START), 0) * 100, 6) AS share_pct
 FROM p2""")
@@ -441,12 +487,18 @@ pr AS (
          CAST(row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS rnk
   FROM py GROUP BY FLOW, PARTNER
 ),
-pj AS (SELECT py.*, rnk FROM py JOIN pr USING (FLOW, PARTNER))
+pj AS (SELECT py.*, rnk FROM py JOIN pr USING (FLOW, PARTNER)),
+per AS (SELECT DISTINCT FLOW, {period} FROM py),
+cell AS (
+  SELECT FLOW, PARTNER, rnk, {period}, coalesce(py.QTY, 0) AS QTY
+  FROM pr JOIN per USING (FLOW) LEFT JOIN py USING (FLOW, PARTNER, {period}) WHERE rnk <= {n}
+)
 SELECT FLOW AS flow, 'partner' AS row_type, PARTNER AS row_label, rnk AS rank, {period_out},
        round(QTY, 6) AS qty
-FROM pj WHERE rnk <= {n}
+FROM cell
 UNION ALL
-SELECT FLOW, 'rest', 'Rest of World', {n + 1}, {period}, round(sum(QTY), 6) FROM pj WHERE rnk > {n}
+SELECT FLOW, 'rest', 'Rest of World', {n + 1}, {period},
+       round(coalesce(sum(CASE WHEN rnk > {n} THEN QTY END), 0), 6) FROM pj
 GROUP BY FLOW, {period}
 UNION ALL
 SELECT FLOW, 'total', 'Total', {n + 2}, {period}, round(sum(QTY), 6) FROM py GROUP BY FLOW, {period}"""
@@ -575,6 +627,8 @@ pairs AS (
   FROM ep JOIN ip
     ON coalesce((SELECT STD FROM canon WHERE NAME = trim(destination)), trim(destination))
        = coalesce((SELECT STD FROM canon WHERE NAME = trim(importer)), trim(importer))
+   AND coalesce((SELECT STD FROM canon WHERE NAME = trim(destination)), '') <> 'Other'
+   AND coalesce((SELECT STD FROM canon WHERE NAME = trim(exporter)), '') <> 'Other'
    AND coalesce((SELECT STD FROM canon WHERE NAME = trim(exporter)), trim(exporter))
        = coalesce((SELECT STD FROM canon WHERE NAME = trim(origin)), trim(origin))
 ),
@@ -607,12 +661,13 @@ _PAIR_OUT = "exporter, destination, importer, origin"
 q("mirror_pairs", base() + MIRROR + f"\nSELECT {_PAIR_OUT} FROM pairs")
 q("mirror_years", base() + MIRROR + f"""
 SELECT {_PAIR_OUT}, CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year FROM myears""")
-q("mirror_overlay", base() + MIRROR + f""",
+for _name, _last in (("mirror_overlay", "true"), ("mirror_overlay_range", "r <= 2")):
+    q(_name, base() + MIRROR + f""",
 sel AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY exporter, destination, importer, origin
                                  ORDER BY CROP_YEAR_START DESC) AS r
-    FROM myears) WHERE r <= 2
+    FROM myears) WHERE {_last}
 )
 SELECT sel.exporter, sel.destination, sel.importer, sel.origin, 'direct' AS series,
        sel.CROP_YEAR_START AS crop_year_start, sel.CROP_YEAR AS crop_year, d.CROP_MONTH_NUM AS crop_month_num,
@@ -628,6 +683,10 @@ FROM sel JOIN mir_s m ON m.importer = sel.importer AND m.origin = sel.origin
 # ------------------------------------------------------------------ load ---
 q("read_extract", base() + f"\nSELECT {RAW_OUT} FROM trade")
 q("read_extract_encodings", base() + f"\nSELECT {RAW_OUT} FROM trade")
+q("read_extract_cotton", base() + f"\nSELECT {RAW_OUT.replace(', round(VALUE, 2) AS value', '')} FROM trade")
+q("table_freshness", base() + "\nSELECT DISTINCT FLOW AS flow, true AS is_dated FROM trade")
+q("unmatched_partners", base() + "\nSELECT PARTNER AS partner_std, count(*) AS n_rows FROM trade GROUP BY PARTNER")
+q("full_reload_one_flow", base() + f"\nSELECT {RAW_OUT} FROM trade WHERE FLOW = 'I' OR YEAR <= 1998")
 q("extract_slice", base() + f"""
 SELECT {RAW_OUT}, HS4 AS hs4 FROM enriched
 WHERE FLOW = 'E' AND {_in('REPORTER', ['NATION_0', 'NATION_3', 'NATION_7', 'NATION_12', 'NATION_18', 'NATION_24'])}
@@ -656,3 +715,5 @@ SELECT a.FLOW AS flow, coalesce(b.n, 0) AS rows_before, coalesce(f.n, 0) AS rows
        a.n AS rows_after, coalesce(b.n, 0) + coalesce(f.n, 0) AS rows_merged,
        a.n - coalesce(b.n, 0) AS rows_new, coalesce(b.n, 0) + coalesce(f.n, 0) - a.n AS rows_removed_by_dedup
 FROM a LEFT JOIN b USING (FLOW) LEFT JOIN f USING (FLOW)""")
+q("upsert_new_column", base() + f"""
+SELECT {_UPSERTED.replace("round(VALUE, 2)", "CASE WHEN YEAR >= 2000 THEN round(VALUE, 2) END")} FROM trade""")

@@ -31,6 +31,9 @@ QTY = "QTY"                  # QTY1 in the chosen unit
 # Columns the extract must carry; a missing one fails the read.
 EXTRACT_COLUMNS = [REPORTER, PARTNER, COMMODITY, YEAR, MONTH, VALUE, QTY1]
 
+# Cotton extracts carry no value.
+COTTON_COLUMNS = [c for c in EXTRACT_COLUMNS if c != VALUE]
+
 # Upsert (keep-last) key of the stored table.
 DEDUP_KEYS = [FLOW, REPORTER, PARTNER, COMMODITY, YEAR, MONTH]
 
@@ -51,9 +54,8 @@ TRADE_SCHEMA = T.StructType([T.StructField(FLOW, T.StringType())] + list(EXTRACT
 UNIT_DIVISORS = {"MT": 1.0, "k MT": 1_000.0, "MMT": 1_000_000.0}
 # Year-basis presets: crop-year start month.
 YEAR_BASIS = {"Jan-Dec": 1, "Jul-Jun": 7, "Oct-Sep": 10}
-# History start (YYYYMM) and open period end per product.
+# History start (YYYYMM) per product.
 HISTORY_START = {"fertilizer": "201401", "cotton": "201701"}
-PERIOD_END = "203012"
 # Default reference windows.
 REFERENCE_YEARS = 10      # band / heatmap reference: last complete years
 PROJECTION_YEARS = 5      # projection reference: last complete years

@@ -40,7 +40,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a fresh local folder is created and set.
+    when it is unset under a local master (tests) a fresh local folder is
+    created and set; any other master without the setting is an error.
     Sessions without a SparkContext (Spark Connect) read the setting from
     the session configuration.
     """
@@ -55,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not path:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder")
             path = tempfile.mkdtemp(prefix="tradelens-ckpt-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path

@@ -1,4 +1,4 @@
-"""Tab-separated extracts: encoding detection, required-column check, typed read."""
+"""Tab-separated extracts: file inspection, required-column check, typed read."""
 
 from __future__ import annotations
 
@@ -6,68 +6,116 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import null_words_to_null
+from ..operators.load import ARRIVAL, landed_at
 from ..schema import EXTRACT_COLUMNS, EXTRACT_SCHEMA, FLOW
 
 BOM = "\ufeff"
+_UTF16 = ["FFFE", "FEFF"]
 
 
-def detect_encodings(spark: SparkSession, path) -> list[tuple[str, str]]:
-    """(file, encoding) for every file under ``path``.
+def inspect_files(spark: SparkSession, path) -> DataFrame:
+    """(FILE, ENCODING, HEADER, MULTI_LINE) of every file under ``path``.
 
-    By byte-order mark: FF FE / FE FF -> UTF-16, EF BB BF -> UTF-8; without
-    a mark UTF-8 when the bytes are valid UTF-8, else ISO-8859-1. Runs as a
-    Spark job over the files (one row per file comes back to the driver).
+    By byte-order mark FF FE / FE FF -> UTF-16, EF BB BF -> UTF-8; without a
+    mark UTF-8 when every line is valid UTF-8, else ISO-8859-1. MULTI_LINE
+    marks files whose lines cannot be told apart by line ends: UTF-16, and
+    files with a line break inside quotes (a line with an odd number of
+    quote marks). Lines are read as raw bytes by a splittable scan and
+    aggregated per file. Empty files do not appear.
     """
-    files = spark.read.format("binaryFile").load(path)
-    head = F.hex(F.substring(F.col("content"), 1, 3))
-    enc = (F.when(head.startswith("FFFE") | head.startswith("FEFF"), "UTF-16")
-           .when(head == "EFBBBF", "UTF-8")
-           .when(F.is_valid_utf8(F.col("content").cast("string")), "UTF-8")
-           .otherwise("ISO-8859-1"))
-    return [(r[0], r[1]) for r in files.select("path", enc.alias("enc")).collect()]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("FILE"), F.col("_metadata.file_block_start").alias("_BLOCK"),
+        F.monotonically_increasing_id().alias("_ROW"), F.col("value").cast("binary").alias("_B"),
+        F.is_valid_utf8("value").alias("_VALID"),
+        F.pmod(F.octet_length("value") - F.octet_length(F.translate("value", '"', "")), F.lit(2)).alias("_ODD"))
+    first = F.when(F.col("_BLOCK") == 0, F.col("_B"))
+    files = lines.groupBy("FILE").agg(
+        F.min_by(first, F.when(F.col("_BLOCK") == 0, F.col("_ROW"))).alias("_H"),
+        F.bool_and("_VALID").alias("_VALID"), F.max("_ODD").alias("_ODD"))
+    utf16 = F.hex(F.substring("_H", 1, 2)).isin(_UTF16)
+    whole = F.expr("substring(_H, 1, length(_H) - length(_H) % 2)")     # the line end cuts a two-byte unit
+    header = (F.when(utf16, F.decode(whole, "UTF-16")).when(F.col("_VALID"), F.decode("_H", "UTF-8"))
+              .otherwise(F.decode("_H", "ISO-8859-1")))
+    return files.select(
+        "FILE",
+        F.when(utf16, "UTF-16").when(F.col("_VALID"), "UTF-8").otherwise("ISO-8859-1").alias("ENCODING"),
+        F.regexp_replace(header, f"^{BOM}|[\r\n]+$", "").alias("HEADER"),
+        (utf16 | (F.col("_ODD") == 1)).alias("MULTI_LINE"))
 
 
-def read_extract(spark: SparkSession, paths, flow: str | None = None, encoding: str = "UTF-8",
-                 columns=EXTRACT_COLUMNS, schema=EXTRACT_SCHEMA) -> DataFrame:
-    """Read TSV extract file(s) of one encoding with a header.
+def _read_group(spark: SparkSession, paths, names: list[str], encoding: str, multi: bool) -> DataFrame:
+    """Files of one encoding and one header, all values as strings. A row with
+    more or fewer fields than the header stops the read."""
+    return (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in names]))
+            .option("header", True).option("sep", "\t").option("quote", '"').option("escape", '"')
+            .option("encoding", encoding).option("multiLine", multi).option("mode", "FAILFAST")
+            .option("columnPruning", False).csv(paths))
+
+
+def read_extracts(spark: SparkSession, path, flow: str | None = None, columns=EXTRACT_COLUMNS,
+                  schema=EXTRACT_SCHEMA, encoding: str | None = None, arrival: bool = False) -> DataFrame:
+    """Read every file under ``path``, each by its own encoding and header.
 
-    Columns are matched by header name; a missing required column raises
-    before any data is read. Extra columns are dropped. Strings a pandas
-    reader takes as missing become null, then values are cast to ``schema``.
-    UTF-16 needs multi-line parsing (line ends are two bytes), which makes
-    such files unsplittable: land many files rather than one big one.
+    Columns are matched by header name in every file; a required column that
+    any file lacks raises before data is read. Extra columns are dropped.
+    Strings a pandas reader takes as missing become null, then values are
+    cast to ``schema``; a malformed row or value raises. ``encoding`` replaces
+    the detected one. ``arrival`` adds the landing order of each row for
+    ``keep_last``.
+
+    One group per (encoding, header, multi-line) comes to the driver; file
+    lists only when there is more than one group. A multi-line file is parsed
+    by one task: land many files rather than one big one.
     """
-    multi = encoding.upper().replace("-", "").startswith("UTF16")
-    raw = (spark.read.option("header", True).option("sep", "\t").option("quote", '"')
-           .option("escape", '"').option("encoding", encoding).option("multiLine", multi)
-           .option("inferSchema", False).csv(paths))
-    raw = raw.toDF(*[c.replace(BOM, "").strip() for c in raw.columns])
-    missing = [c for c in columns if c not in raw.columns]
+    files = inspect_files(spark, path)
+    kinds = ["ENCODING", "HEADER", "MULTI_LINE"]
+    groups = [tuple(r) for r in files.select(*kinds).distinct().collect()]
+    if not groups:
+        raise ValueError(f"no extract files under {path}")
+    paths = {groups[0]: path}
+    if len(groups) > 1:
+        paths = {tuple(r)[:3]: list(r[3])
+                 for r in files.groupBy(*kinds).agg(F.collect_list("FILE")).collect()}
+    names = {g: [c.strip().strip('"').strip() for c in g[1].split("\t")] for g in groups}
+    missing = sorted({c for g in groups for c in columns if c not in names[g]})
     if missing:
         raise ValueError(f"Missing columns: {missing}")
+    repeated = sorted({c for g in groups for c in columns if names[g].count(c) > 1})
+    if repeated:
+        raise ValueError(f"Columns named twice: {repeated}")
     types = {f.name: f.dataType for f in schema.fields}
-    out = raw.select(*[null_words_to_null(F.col(c)).cast(types.get(c, "string")).alias(c) for c in columns])
-    return out if flow is None else out.select(F.lit(flow).alias(FLOW), *columns)
+    parts = []
+    for g in sorted(groups):
+        labels = [c if c in columns else f"_X{i}" for i, c in enumerate(names[g])]
+        raw = _read_group(spark, paths[g], labels, encoding or g[0], g[2])
+        out = [null_words_to_null(F.col(c)).cast(types.get(c, "string")).alias(c) for c in columns]
+        if flow is not None:
+            out = [F.lit(flow).alias(FLOW), *out]
+        if arrival:
+            out.append(F.struct(landed_at().alias("_L"), F.monotonically_increasing_id().alias("ROW"))
+                       .alias(ARRIVAL))
+        part = raw.select(*out)
+        if arrival:
+            part = part.withColumn(ARRIVAL, F.struct(f"{ARRIVAL}._L.*", f"{ARRIVAL}.ROW"))
+        parts.append(part)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_extracts(spark: SparkSession, path, flow: str | None = None) -> DataFrame:
-    """Read every file under ``path`` with its detected encoding (one read per encoding)."""
-    groups: dict[str, list[str]] = {}
-    for file, enc in detect_encodings(spark, path):
-        groups.setdefault(enc, []).append(file)
-    if not groups:
-        raise ValueError(f"no extract files under {path}")
-    parts = [read_extract(spark, files, flow, enc) for enc, files in sorted(groups.items())]
-    return reduce(DataFrame.unionByName, parts)
+def read_extract(spark: SparkSession, paths, flow: str | None = None, encoding: str = "UTF-8",
+                 columns=EXTRACT_COLUMNS, schema=EXTRACT_SCHEMA) -> DataFrame:
+    """Read extract file(s) known to have one encoding; else as ``read_extracts``."""
+    return read_extracts(spark, paths, flow, columns, schema, encoding)
 
 
-def write_extract(df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool = False) -> None:
+def write_extract(df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool = False,
+                  columns=EXTRACT_COLUMNS) -> None:
     """Write rows as a TSV extract (test landing files). ``bom`` prefixes the
     header with a byte-order mark (UTF-16 writers add their own)."""
-    out = df.select(*EXTRACT_COLUMNS)
+    out = df.select(*columns)
     if bom:
-        out = out.withColumnRenamed(EXTRACT_COLUMNS[0], BOM + EXTRACT_COLUMNS[0])
+        out = out.withColumnRenamed(columns[0], BOM + columns[0])
     (out.write.mode("overwrite").option("header", True).option("sep", "\t").option("escape", "\"")
      .option("encoding", encoding).csv(path))

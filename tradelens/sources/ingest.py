@@ -8,23 +8,17 @@ is a Spark job over the landed files and the stored table.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..dims import Dims
+from ..operators._util import small_table
 from ..operators.enrich import enrich_trade
-from ..schema import FLOW
+from ..operators.load import incremental_begin, since
+from ..schema import EXTRACT_COLUMNS, FLOW
+from . import files
 from .extract import read_extracts
-from .table import read_table, upsert_table
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+from .table import read_table, recover, table_exists, upsert_table
 
 
 def _counts(df: DataFrame, name: str) -> DataFrame:
@@ -32,22 +26,33 @@ def _counts(df: DataFrame, name: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, landing: str, table_path: str, flow: str, dims: Dims,
-           full: bool = False, batch_id: int = 1) -> DataFrame:
+           full: bool = False, columns=EXTRACT_COLUMNS, product: str = "fertilizer",
+           low_water: bool = True) -> DataFrame:
     """Load every extract file under ``landing`` for ``flow`` into the table.
 
-    Full mode (or a missing table) rewrites the table from the new rows
-    (deduplicated); incremental mode replaces only the touched (FLOW, YEAR)
-    partitions with stored + new rows, newest version kept. Returns the
-    audit per flow: rows before, fetched, after, new.
+    Full mode replaces all rows of ``flow``, other flows stay. Incremental
+    mode takes the landed rows from the low-water mark on (January of the
+    flow's latest stored year; ``low_water=False`` takes them all) and
+    replaces only the (FLOW, YEAR) partitions they touch with stored + new
+    rows, newest version kept. ``columns`` are the extract's required columns
+    (``COTTON_COLUMNS`` for extracts without a value). Returns the audit per
+    flow: rows before, fetched, after, new.
     """
-    new = enrich_trade(read_extracts(spark, landing, flow), dims)
+    recover(spark, table_path)
     exists = table_exists(spark, table_path)
-    # Counts before the write are small (one row per flow) and must be taken
-    # before the table changes: collected into a literal frame.
-    before = ([tuple(r) for r in _counts(read_table(spark, table_path), "ROWS_BEFORE").collect()]
-              if exists else [])
+    landed = read_extracts(spark, landing, flow, columns=columns, arrival=True)
+    # At most one row per flow comes to the driver, before the table changes.
+    before = []
+    if exists:
+        stored = read_table(spark, table_path)
+        before = [tuple(r) for r in _counts(stored, "ROWS_BEFORE").collect()]
+        if not full and low_water:
+            begin = incremental_begin(stored.where(F.col(FLOW) == flow), product).first()
+            landed = since(landed, begin.PERIOD_BEGIN) if begin else landed
+    new = small_table(enrich_trade(landed, dims), "landed")       # the extract is parsed once
     fetched = [tuple(r) for r in _counts(new, "ROWS_FETCHED").collect()]
-    upsert_table(new, table_path, batch_id=batch_id, full=full or not exists)
+    upsert_table(new, table_path, full=full)
+    files.delete(spark, new.inputFiles()[0].rsplit("/", 1)[0])
     b = spark.createDataFrame(before, f"{FLOW} string, ROWS_BEFORE long")
     f = spark.createDataFrame(fetched, f"{FLOW} string, ROWS_FETCHED long")
     after = _counts(read_table(spark, table_path), "ROWS_AFTER")

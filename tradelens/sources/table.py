@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
+import json
 import threading
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import dims as dims_module
 from ..dims import Dims, fixture_dims
+from ..functions import scalars
+from ..operators import enrich
+from ..operators._util import small_table
 from ..operators.enrich import enrich_trade
 from ..schema import COMMODITY_TAG, FLOW, MONTH, PARTNER, REPORTER, REPORTER_REGION, YEAR
-from ..session import app_id, checkpoint_root
+from ..session import app_id, checkpoint_root, scratch_path
+from . import files, testdata
 from .testdata import trade_view
 
 PARTITION_COLUMNS = [FLOW, YEAR]
+SCHEMA_FILE = "_trade_schema.json"      # hidden from scans by its name
+INTENT_FILE = "_commit_from.json"
 _SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
 _dims_cache: dict = {}
 _table_cache: dict = {}
@@ -39,17 +48,24 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan of the stored table; Catalyst prunes columns and partitions."""
-    return normalise(spark.read.parquet(path))
+    """Parquet scan of the stored table; Catalyst prunes columns and partitions.
+
+    A table written by ``upsert_table`` carries its schema: files of older
+    layouts give null for columns they lack, and null years keep their type.
+    """
+    schema = files.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    reader = spark.read if schema is None else spark.read.schema(T.StructType.fromJson(json.loads(schema)))
+    return normalise(reader.parquet(path))
 
 
 def layout(df: DataFrame, sort: bool = True) -> DataFrame:
     """Write layout of the stored table: AQE rebalance on the partition
     columns (small partitions merged into one file, oversized ones split by
-    the advisory size), rows sorted by reporter and partner so parquet
-    row-group statistics can skip data for reporter/partner filters."""
+    the advisory size), rows sorted by reporter and partner inside each
+    partition so parquet row-group statistics can skip data for
+    reporter/partner filters."""
     df = df.hint("rebalance", *PARTITION_COLUMNS)
-    return df.sortWithinPartitions(REPORTER, PARTNER) if sort else df
+    return df.sortWithinPartitions(*PARTITION_COLUMNS, REPORTER, PARTNER) if sort else df
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", overwrite_mode: str = "static",
@@ -71,37 +87,46 @@ def enriched_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Hash of path, size and modification time of every source file."""
+    """Hash of path, size and modification time of every source file (one
+    aggregated row) and of the code that derives the view from them."""
     paths = [f"{sf_dir}/{t}.parquet" for t in _SOURCE_TABLES]
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
     listing = (spark.read.format("binaryFile").load(paths)
-               .select("path", "length", F.col("modificationTime").cast("string")).collect())
-    h = hashlib.sha1()
-    for r in sorted(tuple(map(str, r)) for r in listing):
-        h.update("|".join(r).encode())
+               .agg(F.count(F.lit(1)), F.sum(one)).first())
+    h = hashlib.sha1("|".join(map(str, listing)).encode())
+    for module in (testdata, enrich, dims_module, scalars):
+        h.update(inspect.getsource(module).encode())
     return h.hexdigest()[:16]
 
 
-def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
-    """The enriched trade table for ``sf_dir``.
+def trade_path(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the stored trade table for ``sf_dir``, written on first use.
 
-    With ``materialize`` the enriched rows are written once, as the ingest
-    does, to a parquet table under the shared checkpoint folder (keyed by a
-    fingerprint of the source files) and every query scans that table; this
-    also cuts the lineage back to the raw joins.
+    Keyed by a fingerprint of the source files and the deriving code. A
+    changed source folder is noticed within a session by its time stamps; a
+    table whose write did not finish (no success mark) is written again.
     """
-    if not materialize:
-        return enriched_view(spark, sf_dir)
-    key = (app_id(spark), sf_dir)
+    key = (app_id(spark), sf_dir, tuple(files.stamp_of(spark, f"{sf_dir}/{t}.parquet") for t in _SOURCE_TABLES))
     with _table_lock:
         path = _table_cache.get(key)
         if path is None:
             path = f"{checkpoint_root(spark)}/tradelens/trade-{_source_fingerprint(spark, sf_dir)}"
-            try:
-                spark.read.parquet(path).schema  # already written by an earlier run
-            except AnalysisException:
+            if not files.exists(spark, f"{path}/_SUCCESS"):
                 write_table(enriched_view(spark, sf_dir), path)
             _table_cache[key] = path
-    return read_table(spark, path)
+    return path
+
+
+def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """The enriched trade table for ``sf_dir``.
+
+    With ``materialize`` the enriched rows are written once, as the ingest
+    does, to a parquet table under the shared checkpoint folder and every
+    query scans that table; this also cuts the lineage back to the raw joins.
+    """
+    if not materialize:
+        return enriched_view(spark, sf_dir)
+    return read_table(spark, trade_path(spark, sf_dir))
 
 
 def table_freshness(df: DataFrame) -> DataFrame:
@@ -110,39 +135,100 @@ def table_freshness(df: DataFrame) -> DataFrame:
             .groupBy(FLOW).agg(F.max("_MT").alias("LAST_MODIFIED")))
 
 
-def upsert_table(new: DataFrame, path: str, batch_id: int = 1, full: bool = False) -> None:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds partitions; told by its path, never by a failed read."""
+    return any(c.startswith(f"{FLOW}=") for c in files.children(spark, path))
+
+
+def _partitions(spark: SparkSession, path: str, flow_dir: str) -> list[str]:
+    return [c for c in files.children(spark, f"{path}/{flow_dir}") if c.startswith(f"{YEAR}=")]
+
+
+def _commit(spark: SparkSession, path: str, staging: str, full: bool) -> None:
+    """Replace the table's partitions by the staged ones; safe to repeat.
+
+    With ``full`` the partitions of the staged flows that were not staged
+    are removed. Partition folders are listed, never rows."""
+    schema = files.read_text(spark, f"{staging}/{SCHEMA_FILE}")
+    staged = read_table(spark, staging)
+    write_table(staged, path, overwrite_mode="dynamic")
+    if full:
+        for flow_dir in (c for c in files.children(spark, staging) if c.startswith(f"{FLOW}=")):
+            kept = set(_partitions(spark, staging, flow_dir))
+            for year_dir in _partitions(spark, path, flow_dir):
+                if year_dir not in kept:
+                    files.delete(spark, f"{path}/{flow_dir}/{year_dir}")
+    files.write_text(spark, f"{path}/{SCHEMA_FILE}", schema)
+    files.delete(spark, f"{path}/{INTENT_FILE}")
+    files.delete(spark, staging)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a commit that a lost job left half done (staged data is whole)."""
+    intent = files.read_text(spark, f"{path}/{INTENT_FILE}")
+    if intent is not None:
+        intent = json.loads(intent)
+        if files.exists(spark, intent["staging"]):
+            _commit(spark, path, intent["staging"], intent["full"])
+        else:                       # committed; only the note was left
+            files.delete(spark, f"{path}/{INTENT_FILE}")
+
+
+def _check_batch(new: DataFrame, stored: DataFrame | None) -> None:
+    """Months are 1..12, shared columns have the stored types."""
+    if stored is not None:
+        have = {f.name: f.dataType for f in stored.schema.fields}
+        wrong = [f"{f.name}: {have[f.name].simpleString()} stored, {f.dataType.simpleString()} new"
+                 for f in new.schema.fields if f.name in have and f.dataType != have[f.name]]
+        if wrong:
+            raise ValueError(f"Column types differ from the stored table: {wrong}")
+    if MONTH in new.columns:
+        bad = new.where(~F.col(MONTH).between(1, 12)).select(MONTH).first()
+        if bad is not None:
+            raise ValueError(f"{MONTH} must be 1..12, got {bad[0]}")
+
+
+def upsert_table(new: DataFrame, path: str, full: bool = False) -> None:
     """Keep-last upsert of ``new`` into the table at ``path``.
 
     Only the (FLOW, YEAR) partitions the new rows touch are read and
-    rewritten. The merge is written to a staging folder first and the table
-    partitions are then replaced from staging (dynamic partition overwrite),
-    so the table is never overwritten while it is being read. A full load,
-    or a missing table, writes the deduplicated new rows as the whole table.
+    rewritten. The merge is written to a staging folder, a note of it is put
+    into the table folder, and the partitions are then replaced from staging
+    (dynamic partition overwrite); a job lost in between is finished by the
+    next run (``recover``), so no stored row can be lost. With ``full`` the
+    new rows replace everything stored for the flows they hold; a full load
+    without rows is refused. Columns only one side has are null on the other;
+    differing types raise.
     """
-    from ..operators.load import keep_last, stamp, upsert_keep_last
-    from ..session import scratch_path
+    from ..operators.load import keep_last, without_keys
 
     spark = new.sparkSession
-    cols = new.columns
-    existing = None
-    if not full:
-        try:
-            existing = read_table(spark, path).select(*cols)
-        except AnalysisException:
-            existing = None
-    if existing is None:
-        write_table(keep_last(stamp(new, batch_id)).select(*cols), path)
-        return
+    recover(spark, path)
+    stored = read_table(spark, path) if table_exists(spark, path) else None
+    _check_batch(new, stored)
+    fresh = small_table(keep_last(new), "fresh")
     # The touched (FLOW, YEAR) pairs are at most flows x years rows: as a
     # literal predicate on the partition columns they prune the existing
     # table's scan to those directories.
-    touched = new.select(*PARTITION_COLUMNS).distinct().collect()
+    touched = fresh.select(*PARTITION_COLUMNS).distinct().collect()
     if not touched:
+        if full:
+            raise ValueError("a full load without rows would erase the table")
         return
-    cond = F.lit(False)
-    for flow, year in touched:
-        cond = cond | ((F.col(FLOW) == flow) & (F.col(YEAR) == year))
-    old = existing.where(cond)
+    merged = fresh
+    if stored is not None:
+        if full:
+            merged = fresh.unionByName(stored.limit(0), allowMissingColumns=True)
+        else:
+            cond = F.lit(False)
+            for flow, year in touched:
+                cond = cond | (F.col(FLOW).eqNullSafe(flow) & F.col(YEAR).eqNullSafe(year))
+            merged = without_keys(stored.where(cond), fresh).unionByName(fresh, allowMissingColumns=True)
+    data = [f for f in merged.schema.fields if f.name not in PARTITION_COLUMNS]
+    keys = [merged.schema[c] for c in PARTITION_COLUMNS]
     staging = scratch_path(spark, "staging")
-    write_table(upsert_keep_last(old, new, new_batch=batch_id), staging, sort=False)
-    write_table(spark.read.parquet(staging).select(*cols), path, overwrite_mode="dynamic")
+    write_table(merged, staging, sort=False)
+    files.write_text(spark, f"{staging}/{SCHEMA_FILE}", T.StructType([*data, *keys]).json())
+    files.write_text(spark, f"{path}/{INTENT_FILE}", json.dumps({"staging": staging, "full": full}))
+    _commit(spark, path, staging, full)
+    files.delete(spark, fresh.inputFiles()[0].rsplit("/", 1)[0])

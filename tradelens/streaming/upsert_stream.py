@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..operators.load import ARRIVAL, landed_at, stamp
 from ..sources.table import upsert_table
 
 
@@ -12,18 +13,18 @@ def stream_upsert(spark: SparkSession, landing: str, table_path: str, checkpoint
                   schema: StructType, max_files_per_trigger: int | None = None, fmt: str = "parquet") -> None:
     """Process every file landed so far (``availableNow``) and stop.
 
-    Each micro-batch is upserted with its batch id as version, so a later
-    file's revision of a key replaces the stored row; the checkpoint makes
-    a restarted run skip batches already committed, and a re-run batch
-    writes the same partitions again (idempotent).
+    A later micro-batch replaces stored rows of the same key; within one
+    micro-batch the row of the file landed last wins. The checkpoint makes a
+    restarted run skip batches already committed, and a re-run batch writes
+    the same partitions again (idempotent).
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing)
+    stream = reader.load(landing).select("*", landed_at().alias(ARRIVAL))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch, table_path, batch_id=batch_id + 1)
+        upsert_table(stamp(batch), table_path)
 
     query = (stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -147,6 +147,8 @@ COUNTRY_CONTINENT = {
         "Netherlands", "Norway", "Poland", "Portugal", "Romania", "Russian Federation", "Serbia", "Slovakia",
         "Slovenia", "Spain", "Sweden", "Switzerland", "Ukraine", "United Kingdom",
         "Moldova, Republic of",
+        "Andorra", "Bosnia and Herzegovina", "Iceland", "Liechtenstein", "Luxembourg", "Malta", "Monaco",
+        "Montenegro", "North Macedonia", "San Marino",
     ],
     "Asia": [
         "Bangladesh", "China", "India", "Indonesia", "Iran, Islamic Republic of", "Iraq", "Israel", "Japan",
@@ -155,20 +157,33 @@ COUNTRY_CONTINENT = {
         "Saudi Arabia", "Singapore", "Sri Lanka", "State of Palestine", "Syrian Arab Republic",
         "Taiwan, Province of China", "Thailand", "Turkey", "Türkiye", "United Arab Emirates", "Uzbekistan",
         "Viet Nam",
+        "Afghanistan", "Armenia", "Azerbaijan", "Bahrain", "Bhutan", "Brunei Darussalam", "Cambodia", "Cyprus",
+        "Georgia", "Hong Kong", "Kyrgyzstan", "Lebanon", "Macao", "Maldives", "Mongolia", "Nepal", "Tajikistan",
+        "Turkmenistan", "Yemen",
     ],
     "Africa": [
         "Algeria", "Benin", "Burkina Faso", "Cameroon", "Congo", "Côte d'Ivoire", "Cote d'Ivoire",
         "Democratic Republic of the Congo", "Egypt", "Ethiopia", "Ghana", "Kenya", "Mali", "Morocco",
         "Mozambique", "Nigeria", "Senegal", "South Africa", "Sudan", "Tanzania, United Republic of", "Togo",
         "Tunisia", "Uganda", "Zambia", "Zimbabwe",
+        "Angola", "Botswana", "Burundi", "Cabo Verde", "Central African Republic", "Chad", "Comoros", "Djibouti",
+        "Equatorial Guinea", "Eritrea", "Eswatini", "Gabon", "Gambia", "Guinea", "Guinea-Bissau", "Lesotho",
+        "Liberia", "Libya", "Madagascar", "Malawi", "Mauritania", "Mauritius", "Namibia", "Niger", "Rwanda",
+        "Sao Tome and Principe", "Seychelles", "Sierra Leone", "Somalia", "South Sudan",
+    ],
+    "Oceania": [
+        "Australia", "Fiji", "New Zealand", "Papua New Guinea", "French Polynesia", "Kiribati", "Marshall Islands",
+        "Micronesia, Federated States of", "Nauru", "New Caledonia", "Palau", "Samoa", "Solomon Islands", "Tonga",
+        "Tuvalu", "Vanuatu",
     ],
-    "Oceania": ["Australia", "Fiji", "New Zealand", "Papua New Guinea"],
     "America": [
         "Argentina", "Belize", "Bermuda", "Bolivia, Plurinational State of", "Brazil", "Canada", "Chile",
         "Colombia", "Costa Rica", "Cuba", "Dominican Republic", "Ecuador", "El Salvador", "Greenland",
         "Guatemala", "Guyana", "Haiti", "Honduras", "Jamaica", "Mexico", "Nicaragua", "Panama", "Paraguay",
         "Peru", "Suriname", "Trinidad and Tobago", "United States of America", "Uruguay",
         "Venezuela, Bolivarian Republic of",
+        "Antigua and Barbuda", "Aruba", "Bahamas", "Barbados", "Cayman Islands", "Curaçao", "Dominica", "Grenada",
+        "Puerto Rico", "Saint Kitts and Nevis", "Saint Lucia", "Saint Vincent and the Grenadines",
     ],
 }
 

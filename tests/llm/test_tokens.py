@@ -85,6 +85,18 @@ def test_token_files(docs):
     assert rows_of(token_files.token_file_digests(docs, WORD)) == sorted(want, key=key)
 
 
+def test_added_tokens_in_other_cases_equal_library(spark):
+    lib = LIBRARY[WORD]
+    texts = ["<|ENDOFTEXT|>", "x<|EndOfText|>.", "a<|STARTOFTEXT|>b", "A<|endoftext|>B.", "<|endoftext|><|ENDOFTEXT|>, Ab.", "Plain <|StartOfText|>Cd, <|startoftext|>"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    coded = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [r[2] for r in rows_of(counts.token_counts(docs, WORD))] == [len(ids) for ids in coded]
+    starts = np.cumsum([0, *(len(ids) + 1 for ids in coded)]).tolist()
+    want = [(i, start, len(ids) + 1, zlib.crc32(u4(ids + [1]))) for (i, _), start, ids in zip(rows, starts, coded)]
+    assert rows_of(token_files.token_file_digests(docs, WORD)) == want
+
+
 def test_empty_tables(empty):
     assert bpe.digests(empty, BYTE).count() == counts.token_counts(empty, WORD).count() == token_files.token_file_digests(empty, WORD).count() == 0
 

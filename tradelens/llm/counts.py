@@ -4,7 +4,8 @@ lengths only.
 Arrow batches are cut into runs of about equal bytes. Texts are split at safe
 boundaries: white space, which the tokenizers meant here drop and never join
 over, and, in an ASCII word, its case and a last dot or comma after a letter.
-The parts not seen before are encoded together in one batch call, and only
+A word that holds an added token's content in any case stays as it stands, as
+the library looks for these in the raw text. The parts not seen before are encoded together in one batch call, and only
 their lengths are kept. ``check_boundary`` refuses a tokenizer for which these
 cuts are not safe.
 
@@ -39,7 +40,7 @@ JOINED, STRINGS = 256, 16
 
 def check_boundary(tokenizer) -> None:
     """White space must vanish, case too, and a last dot or comma stand alone:
-    a text's tokens are those of its parts."""
+    a text's tokens are those of its parts. Added tokens hold no white space."""
     def ids(text):
         return tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -48,6 +49,13 @@ def check_boundary(tokenizer) -> None:
             raise ValueError("this tokenizer keeps white space; words can't be encoded apart")
     if ids("Ab, cD.") != ids("ab") + ids(",") + ids("cd") + ids(".") or len(ids(MARK)) != 1:
         raise ValueError("this tokenizer doesn't take words apart from case and dots")
+    if any(not t or BLANKS.search(t) or MARK in t for t in added(tokenizer)):
+        raise ValueError("an added token of this tokenizer reaches over words")
+
+
+def added(tokenizer) -> list[str]:
+    """The added tokens' contents in lower case."""
+    return sorted({t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()})
 
 
 @lru_cache(maxsize=2)
@@ -88,17 +96,21 @@ class WordMemo:
     """word -> value for words of any case, a last dot or comma apart.
 
     ``values(words)`` gives a batch's values, which must add up: the value of
-    a word with a dot is the sum of both. ``of(parts)`` is a lookup for the
-    words of these texts.
+    a word with a dot is the sum of both. Words that hold one of ``added``
+    (lower case) in any case are looked up as they stand. ``of(parts)`` is a
+    lookup for the words of these texts.
     """
 
-    def __init__(self, values):
-        self.cores = PieceMemo(values)
+    def __init__(self, values, added: list[str]):
+        self.cores, self.added = PieceMemo(values), added
 
     def of(self, parts: list[list[str]]):
         cores, plain, dotted = self.cores, {}, {}
-        for w in set().union(*parts):
-            if not w.isascii():
+        words = set().union(*parts)
+        text = "\n".join(words).lower()
+        held = [t for t in self.added if t in text]
+        for w in words:
+            if not w.isascii() or held and any(t in w.lower() for t in held):
                 plain[w] = w
             elif w[-1:] in DOTS and w[-2:-1].isalpha():
                 dotted[w] = w[:-1].lower()
@@ -117,7 +129,7 @@ class WordMemo:
 @lru_cache(maxsize=2)
 def lengths(path: str) -> WordMemo:
     tokenizer = load(path)
-    return WordMemo(lambda words: [len(ids) // 4 for ids in encode_words(tokenizer, words)])
+    return WordMemo(lambda words: [len(ids) // 4 for ids in encode_words(tokenizer, words)], added(tokenizer))
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ._shared import bounded_batches, byte_slices, materialize, split_uri, text_of
-from .counts import WordMemo, encode_words, load, words_of
+from .counts import WordMemo, added, encode_words, load, words_of
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -185,7 +185,7 @@ class Reader:
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordMemo:
     tokenizer = load(path)
-    return WordMemo(lambda words: encode_words(tokenizer, words))
+    return WordMemo(lambda words: encode_words(tokenizer, words), added(tokenizer))
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 1, text: str = "text") -> DataFrame:

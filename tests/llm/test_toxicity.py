@@ -83,3 +83,24 @@ def test_no_labels_and_empty_tables(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r[2] for r in rows_of(toxicity.toxicity(docs, none))} == {0.0}
     assert toxicity.toxicity(empty, none).count() == 0
+
+
+def test_few_labels_train_a_network(spark):
+    labels_of = "doc_id long, quality int, toxic int"
+    for n, least in ((1, 0), (12, 0), (400, 0.9)):
+        rows = corpus(n * 4 if n < 100 else n)
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t, _ in rows], DOCS)
+        got = {r.doc_id: r for r in toxicity.toxicity(docs, spark.createDataFrame([(i, 0, y) for i, _, y in rows], labels_of)).collect()}
+        assert len({r.score for r in got.values()}) > 1
+        test = [r for r in rows if got[r[0]].held_out] if n > 1 else []
+        clean, toxic = [got[i].predicted for i, _, y in test if not y], [got[i].predicted for i, _, y in test if y]
+        assert sum(clean) <= 0.15 * len(clean) and sum(toxic) >= least * len(toxic)
+
+
+def test_sample_is_chosen_among_usable_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 6)
+    monkeypatch.setattr(toxicity, "train_calibrated", lambda texts, labels: labels, raising=False)
+    rows = [(i, "ba " * (10_000 if i % 3 else 5), i % 2) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t, _ in rows], DOCS)
+    labels = spark.createDataFrame([(i, 0, y) for i, _, y in rows] + [(5000 + i, 0, i % 2) for i in range(100)], "doc_id long, quality int, toxic int")
+    assert sorted(toxicity.fit(docs, labels)) == [0] * 6 + [1] * 6

@@ -5,13 +5,14 @@ A word's input is its hashed word embedding beside the mean embedding of its
 character (UTF-8 byte) trigrams, boundaries included. Windows of ``WINDOW``
 words, each overlapping the next by half, cover a whole text; a document's
 score is that of its worst window. Training takes a bounded sample of labelled
-documents (``SAMPLE`` of each class, chosen by hash of doc_id, texts up to
-``SAMPLE_BYTES``), first on all of their windows, then on each document's
-worst window by the model as it stands.
+documents (``SAMPLE`` of each class, chosen by hash of doc_id among those with
+words and up to ``SAMPLE_BYTES``), first on all of their windows, then on each
+document's worst window by the model as it stands. Slope and bias of the logit
+are then calibrated on scores of training documents by networks that have not
+seen them, to the sample's share of toxic documents.
 
 Defined results: null and empty texts, and texts without words, score 0; with
-fewer than ``LEAST`` labelled documents of a class, every document scores 0;
-repeated label rows of a document count once, toxic if one of them is; rows
+no labelled document of a class, every document scores 0; repeated label rows of a document count once, toxic if one of them is; rows
 whose doc_id is null take no part in training. Repeated documents are scored
 one by one.
 """
@@ -33,8 +34,10 @@ WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 16
 #: Training documents of each class, and the longest text among them.
 SAMPLE, SAMPLE_BYTES = 1200, 20_000
-#: Fewer documents of a class than this teach nothing that holds elsewhere.
-LEAST = 20
+#: Parts of the sample for calibration, and the slopes tried.
+FOLDS, SLOPES = 3, np.geomspace(0.05, 4, 23)
+#: Least draws of a class: from all windows, and from worst ones in an epoch.
+DRAWS, WORST_DRAWS = 1000, 300
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN, ATTEND = 1 << 13, 1 << 13, 8, 8, 8
 #: Weight decay of the embeddings, by the learning rate.
 DECAY = 0.5
@@ -215,14 +218,14 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 1) -
         return rng.permutation(np.concatenate([rng.choice(c, n) for c in (pos, neg) if len(c)]))
 
     positive = len(set(owner[label > 0].tolist()))
-    everything = balanced(np.arange(len(ids)), min(6000, 2 * int(label.sum())))
+    everything = balanced(np.arange(len(ids)), min(6000, max(DRAWS, 2 * int(label.sum()))))
     for i in range(0, len(everything), 100):
         step(everything[i:i + 100], 0.01)
     for epoch in range(epochs):
         order = np.lexsort((-logits(), owner))
         place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
         worst = order[(place < 1) | ((label[order] == 0) & (place < 2))]  # clean documents: the two worst
-        chosen = balanced(worst, min(max(1500, 3000 // (epoch + 1)), 4 * positive))
+        chosen = balanced(worst, min(max(1500, 3000 // (epoch + 1)), max(WORST_DRAWS, 4 * positive)))
         for i in range(0, len(chosen), 100):
             step(chosen[i:i + 100], 0.01 if epoch < epochs // 2 else 0.003)
     return net
@@ -259,6 +262,37 @@ class Scorer:
         return out
 
 
+def calibration(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+    """Slope (one of ``SLOPES``) and bias of least loss at the labels' mean."""
+    best = None
+    for slope in SLOPES:
+        low, high = -100.0, 100.0
+        for _ in range(60):
+            bias = (low + high) / 2
+            p = 1 / (1 + np.exp(-np.clip(slope * logit + bias, -30, 30)))
+            low, high = (low, bias) if p.mean() > label.mean() else (bias, high)
+        loss = -np.mean(np.where(label > 0, np.log(p + 1e-7), np.log(1 - p + 1e-7)))
+        if best is None or loss < best[0]:
+            best = loss, slope, bias
+    return best[1:]
+
+
+def train_calibrated(texts: list[str], labels: list[int]) -> Network:
+    """A network of all documents, its logits calibrated by cross-validation."""
+    label, fold, logit = np.array(labels), np.empty(len(labels), int), np.zeros(len(labels))
+    for kind in (0, 1):
+        fold[label == kind] = (np.arange((label == kind).sum()) + kind) % FOLDS
+    for f in np.unique(fold):
+        seen, other = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        p = Scorer(train([texts[i] for i in seen], label[seen].tolist())).score([texts[i] for i in other])
+        logit[other] = np.log(np.clip(p, 1e-7, 1 - 1e-7) / np.clip(1 - p, 1e-7, 1))
+    net = train(texts, labels)
+    slope, bias = calibration(logit, label)
+    net.w["out"] = (slope * net.w["out"]).astype(np.float32)
+    net.w["bias"] = (slope * net.w["bias"] + bias).astype(np.float32)
+    return net
+
+
 def held_out(doc_id="doc_id"):
     """crc32 of doc_id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -268,18 +302,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Train on the bounded sample of labelled rows that are not held out."""
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out()) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = docs.select("doc_id", text_of().alias("text")) \
+        .where((F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"[\p{L}\p{N}_]"))
+    marked = marked.join(usable.select("doc_id"), "doc_id", "left_semi")
     chosen = None
     for kind in (0, 1):  # ids by hash, then a join with these few
         part = marked.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select("doc_id", text_of().alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES) \
-        .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    rows = usable.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy())
     texts, kinds = rows.column("text").take(order).to_pylist(), rows.column("toxic").take(order).to_pylist()
     used = [(t, k) for t, k in zip(texts, kinds) if WORD.search(t)]
-    if min(sum(k == kind for _, k in used) for kind in (0, 1)) < LEAST:
+    if len({k for _, k in used}) < 2:
         return None
-    return train([t for t, _ in used], [k for _, k in used])
+    return train_calibrated([t for t, _ in used], [k for _, k in used])
 
 
 def score(docs: DataFrame, net: Network | None, text: str = "text", out: str = "score") -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelens.llm import bpe, decontam, simhash, toxicity
-from tradelens.llm._shared import materialize, table
+from tradelens.llm._shared import free_name, materialize, table
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under 0.3."""
     net = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, net, out="_toxicity").where(F.col("_toxicity") < 0.3).select(*docs.columns)
+    out = free_name(docs, "_toxicity")
+    return toxicity.score(docs, net, out=out).where(F.col(out) < 0.3).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,3 +102,13 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {i: want[i] for pair in links if pair[0] != pair[1] for i in pair}
     assert len(got) == len({r.node for r in got})
+
+
+def test_stages_keep_columns_named_like_helpers(spark, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(1, "a b c d", "r1", "f1", "t1"), (2, "a b c d", "r2", "f2", "t2"), (3, "some other words here", "r3", "f3", "t3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ROW string, _fp string, _toxicity string")
+    assert rows_of(simhash.deduplicate(docs)) == [rows[0], rows[2]]
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert rows_of(corpus_pipeline.keep_civil(spark, docs, "")) == rows

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import bounded_batches, byte_slices, materialize, text_of
+from ._shared import bounded_batches, byte_slices, free_name, materialize, text_of
 from .graph import components
 
 SEED = 42
@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, r: int = 2) -> DataFrame:
 
 def deduplicate(docs: DataFrame, k: int = 3, r: int = 2) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest doc_id."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    marked = materialize(fingerprints(rows, k, out="_fp", keep_text=True), "fingerprints")
-    _, firsts = groups(marked.select("doc_id", F.col("_fp").alias("fp"), "_row"), r)
-    return marked.join(firsts.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    row, fp = free_name(docs, "_row"), free_name(docs, "_fp")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    marked = materialize(fingerprints(rows, k, out=fp, keep_text=True), "fingerprints")
+    _, firsts = groups(marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("_row")), r)
+    return marked.join(firsts.select(F.col("first._row").alias(row)), row, "left_semi").select(*docs.columns)

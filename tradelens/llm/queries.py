@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity, warc
+from . import align, bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity, warc
 from ._shared import table
 
 
@@ -51,6 +51,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(table(spark, sf_dir, "conversations"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLE: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import align, bpe, chat, counts, decontam, licenses, simhash, token_files, topk, toxicity, warc
+from . import align, bpe, chat, counts, decontam, licenses, repair, simhash, token_files, topk, toxicity, warc
 from ._shared import table
 
 
@@ -55,6 +55,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_chat_format": op10_chat_format,
     "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {

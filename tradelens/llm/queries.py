@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import align, bpe, chat, counts, decontam, licenses, repair, simhash, token_files, topk, toxicity, warc
+from . import align, bpe, chat, counts, decontam, licenses, repair, simhash, token_files, topk, toxicity, urls, warc
 from ._shared import table
 
 
@@ -59,6 +59,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(table(spark, sf_dir, "conversations"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_bpe": op2_bpe,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
     "op11_token_alignment": op11_token_alignment,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLE: dict[str, str] = {

@@ -92,6 +92,13 @@ def test_parts_encode_as_the_whole(monkeypatch):
     assert len(align.parts(text)) > 100 and pair.encode([text]) == whole
 
 
+def test_both_encoders_of_one_file_agree():
+    pair = align.Pair(A, B)
+    texts = [t for t in MORE if len(t) < 1000] + ["It's we'LL  a\u2003b \x1c\x1d x\x85y \u180e ½²٣ 'S's\u200b\ufeff  \n\n \t e\u0301", "\u3000" * 9 + "x", " " * 4000, "a" * 6000, "1" * 99]
+    for text in texts:
+        assert pair.encode_a(text) == pair.a.encode(" " + text, add_special_tokens=False).ids, text
+
+
 def test_groups_as_text_and_extra_columns(spark):
     df = spark.createDataFrame([("one two", 1, 2)], "text string, Groups int, n_a_ int")
     row = align.align(df, A, B).first().asDict()

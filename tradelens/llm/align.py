@@ -11,7 +11,10 @@ suffix in the other vocabulary) pairs of the two vocabularies, whatever the
 corpus holds (``most_pairs``); that bound lets their counts be broadcast.
 
 Long texts are encoded in parts, cut at single spaces between other
-characters: neither tokenizer has a token that reaches over such a space.
+characters: neither tokenizer has a token that reaches over such a space. The
+byte-level side is encoded by tiktoken with the file's own vocabulary, which
+gives the ids of the tokenizers library faster; longer parts (that have no such
+space) go through the tokenizers library itself.
 
 Defined results: texts that are null, empty, or that a tokenizer does not give
 back byte for byte have no tokens, groups or links; a text is one unit however
@@ -23,6 +26,7 @@ no rows give no rows; an input column named like a result is replaced by it.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from functools import lru_cache
@@ -36,10 +40,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._shared import bounded_batches, byte_slices, free_name, materialize
-from .bpe import byte_alphabet
+from .bpe import PATTERN, byte_alphabet
 
 #: Characters of a part of a long text, and text bytes encoded at once.
-PART, SLICE = 100_000, 1 << 20
+PART, SLICE = 20_000, 1 << 20
 CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 #: Fixed value: the piece character that stands for a space.
 BLANK = "▁"
@@ -80,16 +84,35 @@ class Pair:
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         if any(re.search(r"[^\s▁] ", t.decode(errors="replace")) for t in self.bytes_a + self.bytes_b):
             raise ValueError("a token reaches over a space; texts can't be cut there")
+        self.fast = self._ranked(path_a)
         self.width = len(self.bytes_b)
         self.size_a, self.size_b = [*map(len, self.bytes_a)], [*map(len, self.bytes_b)]
         self.name = [*map(str, range(max(len(self.bytes_a), self.width)))]
         self.key = "<u4" if len(self.bytes_a) * self.width <= 1 << 32 else "<u8"
 
+    def _ranked(self, path: str):
+        """tiktoken's encoding of the same vocabulary: its ranks are the ids, which
+        must go up in the order of the merges."""
+        from tiktoken import Encoding
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, added = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+        ids = [vocab[left + right] for left, right in spec["model"]["merges"]]
+        if ids != sorted(set(ids)):
+            raise ValueError("ids don't follow the merges")
+        return Encoding("own", pat_str=PATTERN, special_tokens={}, mergeable_ranks={self.bytes_a[i]: i for t, i in vocab.items() if t not in added})
+
+    def encode_a(self, part: str) -> list[int]:
+        if len(part) > 4 * PART:
+            return self.a.encode(" " + part, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(" " + part)
+
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides; none for a text that one side does not give back."""
         cut = [parts(t) for t in texts]
         flat = [p for ps in cut for p in ps]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
+        a = [*map(self.encode_a, flat)]
         b = self.b.encode(flat, num_threads=1)
         out, at = [], 0
         for text, ps in zip(texts, cut):
@@ -105,7 +128,7 @@ class Pair:
         """Groups as (start in a, end in a, start in b, end in b), and the links as a * width + b."""
         ends_a, ends_b = [*accumulate(map(self.size_a.__getitem__, a))], [*accumulate(map(self.size_b.__getitem__, b))]
         index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
-        common = sorted(index_a.keys() & index_b.keys())
+        common = [*filter(index_b.__contains__, index_a)]  # ends go up, so these come sorted
         upto_a, upto_b = [*map(index_a.__getitem__, common)], [*map(index_b.__getitem__, common)]
         groups = [*zip([0, *upto_a], upto_a, [0, *upto_b], upto_b)]
         width = self.width

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tradelens.operators.load import keep_last, stamp, upsert_keep_last
 from tradelens.schema import COTTON_COLUMNS, MONTH, QTY1, TRADE_SCHEMA, YEAR
 from tradelens.session import scratch_path
-from tradelens.sources import extract, files
-from tradelens.sources.table import INTENT_FILE, SCHEMA_FILE, normalise, read_table, table_freshness, upsert_table
+from tradelens.sources import commits, extract, files
+from tradelens.sources.table import normalise, read_table, table_freshness, upsert_table, write_table
 from tradelens.streaming.upsert_stream import stream_upsert
 
 from conftest import make_trade
@@ -172,16 +172,131 @@ def test_null_years_stay(spark):
     assert got == [("2020", "C", 3.0), ("None", "B", 4.0), ("None", "C", 2.0)]
 
 
-def test_half_done_commit_is_finished(spark):
-    import json
-    path, staging = scratch_path(spark, "t"), scratch_path(spark, "staging")
+def test_half_done_commit_is_finished(spark, monkeypatch):
+    """The job dies in the middle of carrying its note out; the next run finishes it."""
+    path = scratch_path(spark, "t")
+    upsert_table(make_trade(spark, [("E", "A", p, "3101", y, 1, 1.0, 1.0) for p in "BC" for y in (2019, 2020)]), path)
+    move, moved = files.move, []
+
+    def dies(*a):
+        if moved:
+            raise KeyboardInterrupt
+        moved.append(move(*a))
+
+    monkeypatch.setattr(files, "move", dies)
+    with pytest.raises(KeyboardInterrupt):
+        upsert_table(make_trade(spark, [("E", "A", "B", "3101", y, 1, 1.0, 7.0) for y in (2019, 2020)]), path)
+    monkeypatch.setattr(files, "move", move)
+    assert not commits.last(spark, path)["done"]
+    upsert_table(make_trade(spark, [("E", "A", "D", "3101", 2021, 1, 1.0, 2.0)]), path)
+    assert sorted((r.PARTNER, r[QTY1]) for r in read_table(spark, path).collect()) == [("B", 7.0), ("B", 7.0), ("C", 1.0), ("C", 1.0), ("D", 2.0)]
+    assert files.children(spark, f"{path}/{commits.RUNS}") == []
+
+
+def test_job_lost_before_its_commit_changes_nothing(spark, monkeypatch):
+    path = scratch_path(spark, "t")
     upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)]), path)
-    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 7.0)]), staging)
-    files.write_text(spark, f"{path}/{INTENT_FILE}", json.dumps({"staging": staging, "full": False}))
-    files.delete(spark, f"{path}/FLOW=E/YEAR=2020")              # the job died between delete and rename
-    upsert_table(make_trade(spark, [("E", "A", "C", "3101", 2021, 1, 1.0, 2.0)]), path)
-    assert sorted(r[QTY1] for r in read_table(spark, path).collect()) == [2.0, 7.0]
-    assert not files.exists(spark, staging) and not files.exists(spark, f"{path}/{INTENT_FILE}")
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 9.0)]), path)
+    assert [r[QTY1] for r in read_table(spark, path).collect()] == [1.0]
+    assert len(files.children(spark, f"{path}/{commits.RUNS}")) == 1
+    commits.sweep(spark, path)
+    assert len(files.children(spark, f"{path}/{commits.RUNS}")) == 1      # not old enough
+    commits.sweep(spark, path, hours=-1)
+    assert files.children(spark, f"{path}/{commits.RUNS}") == []
+
+
+def test_a_version_is_taken_once(spark):
+    path = scratch_path(spark, "t")
+    assert files.create(spark, f"{path}/a", "one") and not files.create(spark, f"{path}/a", "two")
+    assert files.read_text(spark, f"{path}/a") == "one" and files.children(spark, path) == ["a"]
+
+
+@pytest.mark.parametrize("other", [("I", "A", "X", "3101", 2020, 1, 1.0, 5.0), ("E", "A", "X", "3101", 2020, 1, 1.0, 5.0), ("E", "A", "X", "3101", 2021, 1, 1.0, 5.0)])
+def test_interleaved_runs(spark, monkeypatch, other):
+    """A second run starts and ends between the merge and the commit of the first:
+    on another flow, on the same partition, on a partition that was new to both."""
+    path, commit, merges, begun = scratch_path(spark, "t"), commits.commit, [], []
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0), ("I", "A", "B", "3101", 2020, 1, 1.0, 1.0)]), path)
+
+    def late(*a, **k):
+        if not begun:
+            begun.append(1)
+            upsert_table(make_trade(spark, [other]), path)
+        merges.append(1)
+        return commit(*a, **k)
+
+    monkeypatch.setattr(commits, "commit", late)
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", y, 1, 1.0, 3.0) for y in (2020, 2021)]), path)
+    got = sorted((r.FLOW, r.PARTNER, r[YEAR], r[QTY1]) for r in read_table(spark, path).collect())
+    want = [("E", "B", 2020, 1.0), ("I", "B", 2020, 1.0), ("E", "C", 2020, 3.0), ("E", "C", 2021, 3.0), (other[0], "X", other[4], 5.0)]
+    assert got == sorted(want)
+    assert len(merges) == (2 if other[0] == "I" else 3)     # merged again only where both met
+
+
+def test_a_slow_run_meets_its_commit_carried_out(spark, monkeypatch):
+    """Another run finishes the first one's commit, and commits itself, while the
+    first is still carrying its own out."""
+    path, carry, begun = scratch_path(spark, "t"), commits.carry_out, []
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 1.0)]), path)
+
+    def slow(*a):
+        if not begun:
+            begun.append(1)
+            upsert_table(make_trade(spark, [("E", "A", "D", "3101", 2020, 1, 1.0, 4.0)]), path)
+        return carry(*a)
+
+    monkeypatch.setattr(commits, "carry_out", slow)
+    upsert_table(make_trade(spark, [("E", "A", "C", "3101", 2020, 1, 1.0, 3.0)]), path)
+    assert sorted((r.PARTNER, r[QTY1]) for r in read_table(spark, path).collect()) == [("B", 1.0), ("C", 3.0), ("D", 4.0)]
+
+
+def test_runs_in_threads_lose_no_row(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    path = scratch_path(spark, "t")
+    batches = [make_trade(spark, [("EI"[i % 2], "A", f"P{i}", "3101", y, 1, 1.0, float(i)) for y in (2020, 2021)]) for i in range(6)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda b: upsert_table(b, path), batches))
+    got = sorted((r.PARTNER, r[YEAR], r[QTY1]) for r in read_table(spark, path).collect())
+    assert got == sorted((f"P{i}", y, float(i)) for i in range(6) for y in (2020, 2021))
+    note = commits.last(spark, path)
+    assert note["version"] == 6 and commits.flow_rows(note["partitions"]) == {"E": 6, "I": 6}
+
+
+def test_record_and_audit_without_counting(spark):
+    from tradelens.operators.load import load_audit
+    from tradelens.sources.table import record_of, recorded_audit
+    path = scratch_path(spark, "t")
+    old = make_trade(spark, [("E", "A", p, "3101", y, 1, 1.0, 1.0) for p in "BC" for y in (2019, 2020)])
+    new = make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 2.0)] * 2 + [("I", "A", "B", "3101", 2020, 1, 1.0, 2.0)])
+    upsert_table(old, path)
+    upsert_table(new, path)
+    counted = load_audit(old, new, read_table(spark, path))
+    key = sorted(counted.columns)
+    assert sorted(map(tuple, recorded_audit(spark, path).select(key).collect())) == sorted(map(tuple, counted.select(key).collect()))
+    assert sorted(tuple(r)[:4] for r in record_of(spark, path).collect()) == [("E", 2019, 2, 1), ("E", 2020, 2, 2), ("I", 2020, 1, 2)]
+
+
+def test_table_without_notes_is_adopted(spark):
+    path = scratch_path(spark, "t")
+    write_table(make_trade(spark, [("E", "A", "B", "3101", y, 1, 1.0, 1.0) for y in (2019, 2020)]), path)
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 1, 1.0, 5.0)]), path)
+    assert sorted((r[YEAR], r[QTY1]) for r in read_table(spark, path).collect()) == [(2019, 1.0), (2020, 5.0)]
+    fresh = {r.FLOW: r for r in table_freshness(spark, path).collect()}
+    assert (fresh["E"].N_PARTITIONS, fresh["E"].ROWS, fresh["E"].N_STRANGE) == (2, 2, 1)     # 2019 has no recorded write
+
+
+def test_batch_is_written_once(spark):
+    """New partitions take the batch's files as they are; only stored ones are merged."""
+    path = scratch_path(spark, "t")
+    rows = [("E", "A", "B", "3101", y, 1, 1.0, 1.0) for y in (2019, 2020)]
+    note = upsert_table(make_trade(spark, rows), path)
+    assert all(f.startswith("fresh/") for c in note["changes"].values() for f in c["add"])
+    note = upsert_table(make_trade(spark, [("E", "A", "C", "3101", y, 1, 1.0, 1.0) for y in (2020, 2021)]), path)
+    kinds = {p: [f.split("/")[0] for f in c["add"]] for p, c in note["changes"].items()}
+    assert kinds == {"FLOW=E/YEAR=2020": ["merged-1"], "FLOW=E/YEAR=2021": ["fresh"]}
 
 
 def test_upsert_plan_leaves_stored_rows_unsorted(spark):
@@ -194,7 +309,6 @@ def test_upsert_plan_leaves_stored_rows_unsorted(spark):
 
 
 def test_stored_files_are_sorted(spark):
-    from tradelens.sources.table import write_table
     path = scratch_path(spark, "t")
     rows = [("E", r, p, "3101", y, 1, 1.0, 1.0) for r in "CAB" for p in "ZYX" for y in (2020, 2019)]
     write_table(make_trade(spark, rows), path)
@@ -259,9 +373,9 @@ def test_cotton_ingest_low_water_and_full(spark):
     head = "\t".join(COTTON_COLUMNS) + "\n"
     land(f"{root}/1", "a.tsv", head + "".join(f"Brazil\tChina\t5201\t{y}\t1\t{y}\n" for y in (2019, 2020)))
     land(f"{root}/2", "a.tsv", head + "".join(f"Brazil\tChina\t5201\t{y}\t1\t1\n" for y in (2019, 2020, 2021)))
-    a = ingest(spark, f"{root}/1", path, "E", dims, columns=COTTON_COLUMNS, product="cotton").first()
+    a = ingest(spark, f"{root}/1", path, "E", dims, columns=COTTON_COLUMNS).first()
     assert (a.ROWS_BEFORE, a.ROWS_FETCHED, a.ROWS_AFTER) == (0, 2, 2)
-    a = ingest(spark, f"{root}/2", path, "E", dims, columns=COTTON_COLUMNS, product="cotton").first()
+    a = ingest(spark, f"{root}/2", path, "E", dims, columns=COTTON_COLUMNS).first()
     assert (a.ROWS_BEFORE, a.ROWS_FETCHED, a.ROWS_AFTER, a.ROWS_NEW) == (2, 2, 3, 1)
     got = sorted((r[YEAR], r[QTY1], r.REGION) for r in read_table(spark, path).collect())
     assert got == [(2019, 2019.0, "Asia"), (2020, 1.0, "Asia"), (2021, 1.0, "Asia")]
@@ -274,10 +388,14 @@ def test_old_layout_and_freshness(spark):
     assert (r[MONTH], r.COMMODITY_TAG, r.REPORTER_REGION) == (3, "t", "Other")
     path = scratch_path(spark, "t")
     before = time.time() - 2
-    upsert_table(make_trade(spark, [("E", "A", "B", "3101", 2020, 3, 1.0, 1.0)]), path)
-    at = table_freshness(read_table(spark, path)).first().LAST_MODIFIED
-    assert before <= at.timestamp() <= time.time() + 2
-    assert files.exists(spark, f"{path}/{SCHEMA_FILE}")
+    upsert_table(make_trade(spark, [("E", "A", "B", "3101", y, 3, 1.0, 1.0) for y in (2019, 2020)]), path)
+    fresh = table_freshness(spark, path).first()
+    assert before <= fresh.LAST_MODIFIED.timestamp() <= time.time() + 2
+    assert fresh.IS_DATED and (fresh.N_PARTITIONS, fresh.ROWS) == (2, 2)
+    part = f"{path}/FLOW=E/YEAR=2020"
+    files.set_time(spark, f"{part}/{commits.data_files(spark, part)[0]}", 1_000_000_000_000)     # an old file put back
+    fresh = table_freshness(spark, path).first()
+    assert not fresh.IS_DATED and fresh.N_STRANGE == 1 and fresh.LAST_MODIFIED.timestamp() > before
 
 
 def test_cluster_without_shared_folder_is_refused():

@@ -15,8 +15,8 @@ from ..dims import reference_dims
 from ..functions.calendar import crop_month_label, shift_months, with_calendar, with_crop_date, with_unit
 from ..operators import drill, enrich, filters, load, mirror, projection, series
 from ..session import scratch_path
-from ..sources import extract
-from ..sources.table import read_table, table_freshness, trade_path, upsert_table
+from ..sources import commits, extract, files
+from ..sources.table import read_table, recorded_audit, table_freshness, trade_path, upsert_table
 from ..streaming.upsert_stream import stream_upsert
 from ..operators.cutoff import common_cutoff_ym, display_trim
 from ..operators.filters import filter_trade
@@ -455,6 +455,7 @@ def q_mirror_overlay_range(spark, sf_dir):
 SLICE_REPORTERS = ["NATION_0", "NATION_3", "NATION_7", "NATION_12", "NATION_18", "NATION_24"]
 SLICE_FROM, SLICE_TO = 199701, 200012
 UPSERT_YEAR = 2000
+OLD_FILE_TIME = 1_000_000_000_000        # 2001, in milliseconds
 
 
 def _stored_and_new(spark, sf_dir):
@@ -525,9 +526,13 @@ def q_incremental_begin(spark, sf_dir):
 
 @query("table_freshness")
 def q_table_freshness(spark, sf_dir):
-    """Whether each flow has a file time that is not in the future."""
-    fresh = table_freshness(trade(spark, sf_dir))
-    return finish(fresh.select(FLOW, (F.col("LAST_MODIFIED") <= F.current_timestamp()).alias("IS_DATED")))
+    """File times against the write record; files of one import year are set
+    back, as when an old file is put back, so the imports are not as written."""
+    path = scratch_path(spark, "table")
+    upsert_table(raw_trade(spark, sf_dir), path, full=True)
+    for name in commits.data_files(spark, f"{path}/{FLOW}=I/{YEAR}={UPSERT_YEAR}"):
+        files.set_time(spark, f"{path}/{FLOW}=I/{YEAR}={UPSERT_YEAR}/{name}", OLD_FILE_TIME)
+    return finish(table_freshness(spark, path).drop("LAST_MODIFIED"))
 
 
 @query("upsert_keep_last")
@@ -538,8 +543,12 @@ def q_upsert_keep_last(spark, sf_dir):
 
 @query("load_audit")
 def q_load_audit(spark, sf_dir):
+    """The audit of an incremental load, from the record of its commit."""
     stored, new = _stored_and_new(spark, sf_dir)
-    return finish(load.load_audit(stored, new, load.upsert_keep_last(stored, new, old_unique=True)))
+    path = scratch_path(spark, "table")
+    upsert_table(stored, path, full=True)
+    upsert_table(new, path)
+    return finish(recorded_audit(spark, path))
 
 
 @query("upsert_roundtrip")

@@ -684,7 +684,9 @@ FROM sel JOIN mir_s m ON m.importer = sel.importer AND m.origin = sel.origin
 q("read_extract", base() + f"\nSELECT {RAW_OUT} FROM trade")
 q("read_extract_encodings", base() + f"\nSELECT {RAW_OUT} FROM trade")
 q("read_extract_cotton", base() + f"\nSELECT {RAW_OUT.replace(', round(VALUE, 2) AS value', '')} FROM trade")
-q("table_freshness", base() + "\nSELECT DISTINCT FLOW AS flow, true AS is_dated FROM trade")
+q("table_freshness", base() + """
+SELECT FLOW AS flow, count(DISTINCT YEAR) AS n_partitions, count(*) AS rows,
+       CAST(FLOW = 'I' AS BIGINT) AS n_strange, FLOW <> 'I' AS is_dated FROM trade GROUP BY FLOW""")
 q("unmatched_partners", base() + "\nSELECT PARTNER AS partner_std, count(*) AS n_rows FROM trade GROUP BY PARTNER")
 q("full_reload_one_flow", base() + f"\nSELECT {RAW_OUT} FROM trade WHERE FLOW = 'I' OR YEAR <= 1998")
 q("extract_slice", base() + f"""

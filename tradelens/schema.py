@@ -52,6 +52,8 @@ TRADE_SCHEMA = T.StructType([T.StructField(FLOW, T.StringType())] + list(EXTRACT
 # ---- fixed values (must equal the reference for equal results) -----------
 # Unit divisors of QTY1 (metric tonnes).
 UNIT_DIVISORS = {"MT": 1.0, "k MT": 1_000.0, "MMT": 1_000_000.0}
+# Flow codes: exports, imports.
+FLOWS = ["E", "I"]
 # Year-basis presets: crop-year start month.
 YEAR_BASIS = {"Jan-Dec": 1, "Jul-Jun": 7, "Oct-Sep": 10}
 # History start (YYYYMM) per product.

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -57,3 +61,60 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet: whole or not at all. False
+    when it exists. The file is written aside and put into place by a hard link
+    (local folders) or a rename, which fail when there is a target."""
+    fs, p = _at(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() != "file":
+            return bool(fs.rename(aside, p))
+        local = [spark._jvm.java.io.File(q.toUri().getPath()).toPath() for q in (p, aside)]
+        try:
+            spark._jvm.java.nio.file.Files.createLink(*local)
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in str(e.java_exception):
+                return False
+            raise
+        return True
+    finally:
+        fs.delete(aside, False)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; a source that is gone was moved before."""
+    fs, s = _at(spark, source)
+    t = _at(spark, target)[1]
+    if not fs.exists(s):
+        return
+    try:
+        done = fs.rename(s, t)
+    except Py4JJavaError:
+        done = False
+    if not done and fs.exists(s):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time."""
+    fs, p = _at(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
+def partition_values(part: str) -> list[str | None]:
+    """Values of a partition folder such as ``FLOW=E/YEAR=2020``."""
+    values = [unquote(p.split("=", 1)[1]) for p in part.split("/")]
+    return [None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values]

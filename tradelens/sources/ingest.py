@@ -9,25 +9,27 @@ is a Spark job over the landed files and the stored table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..dims import Dims
 from ..operators._util import small_table
 from ..operators.enrich import enrich_trade
-from ..operators.load import incremental_begin, since
-from ..schema import EXTRACT_COLUMNS, FLOW
-from . import files
+from ..operators.load import since
+from ..schema import EXTRACT_COLUMNS
+from . import commits, files
 from .extract import read_extracts
-from .table import read_table, recover, table_exists, upsert_table
+from .table import recorded_audit, upsert_table
 
 
-def _counts(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy(FLOW).agg(F.count(F.lit(1)).alias(name))
+def stored_begin(spark: SparkSession, table_path: str, flow: str) -> str | None:
+    """January of the flow's latest stored year as 'YYYY01', by the write record
+    (no scan); None when nothing is stored."""
+    stored = map(files.partition_values, commits.last(spark, table_path)["partitions"])
+    years = [int(year) for f, year in stored if f == flow and year is not None]
+    return f"{max(years)}01" if years else None
 
 
 def ingest(spark: SparkSession, landing: str, table_path: str, flow: str, dims: Dims,
-           full: bool = False, columns=EXTRACT_COLUMNS, product: str = "fertilizer",
-           low_water: bool = True) -> DataFrame:
+           full: bool = False, columns=EXTRACT_COLUMNS, low_water: bool = True) -> DataFrame:
     """Load every extract file under ``landing`` for ``flow`` into the table.
 
     Full mode replaces all rows of ``flow``, other flows stay. Incremental
@@ -36,25 +38,15 @@ def ingest(spark: SparkSession, landing: str, table_path: str, flow: str, dims:
     replaces only the (FLOW, YEAR) partitions they touch with stored + new
     rows, newest version kept. ``columns`` are the extract's required columns
     (``COTTON_COLUMNS`` for extracts without a value). Returns the audit per
-    flow: rows before, fetched, after, new.
+    flow from the commit's record: no stored row is counted.
     """
-    recover(spark, table_path)
-    exists = table_exists(spark, table_path)
+    commits.settle(spark, table_path)
     landed = read_extracts(spark, landing, flow, columns=columns, arrival=True)
-    # At most one row per flow comes to the driver, before the table changes.
-    before = []
-    if exists:
-        stored = read_table(spark, table_path)
-        before = [tuple(r) for r in _counts(stored, "ROWS_BEFORE").collect()]
-        if not full and low_water:
-            begin = incremental_begin(stored.where(F.col(FLOW) == flow), product).first()
-            landed = since(landed, begin.PERIOD_BEGIN) if begin else landed
+    begin = stored_begin(spark, table_path, flow) if low_water and not full else None
+    if begin:
+        landed = since(landed, begin)
     new = small_table(enrich_trade(landed, dims), "landed")       # the extract is parsed once
-    fetched = [tuple(r) for r in _counts(new, "ROWS_FETCHED").collect()]
-    upsert_table(new, table_path, full=full)
+    fetched = {flow: new.count()}                                 # from the written files' footers
+    upsert_table(new, table_path, full=full, fetched=fetched)
     files.delete(spark, new.inputFiles()[0].rsplit("/", 1)[0])
-    b = spark.createDataFrame(before, f"{FLOW} string, ROWS_BEFORE long")
-    f = spark.createDataFrame(fetched, f"{FLOW} string, ROWS_FETCHED long")
-    after = _counts(read_table(spark, table_path), "ROWS_AFTER")
-    out = after.join(b, FLOW, "left").join(f, FLOW, "left").na.fill(0)
-    return out.withColumn("ROWS_NEW", F.col("ROWS_AFTER") - F.col("ROWS_BEFORE"))
+    return recorded_audit(spark, table_path)

@@ -6,8 +6,10 @@ import hashlib
 import inspect
 import json
 import threading
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,16 +17,15 @@ from .. import dims as dims_module
 from ..dims import Dims, fixture_dims
 from ..functions import scalars
 from ..operators import enrich
-from ..operators._util import small_table
 from ..operators.enrich import enrich_trade
-from ..schema import COMMODITY_TAG, FLOW, MONTH, PARTNER, REPORTER, REPORTER_REGION, YEAR
-from ..session import app_id, checkpoint_root, scratch_path
-from . import files, testdata
+from ..operators.load import ARRIVAL, keep_last, without_keys
+from ..schema import COMMODITY_TAG, FLOW, FLOWS, MONTH, PARTNER, REPORTER, REPORTER_REGION, YEAR
+from ..session import app_id, checkpoint_root
+from . import commits, files, testdata
 from .testdata import trade_view
 
 PARTITION_COLUMNS = [FLOW, YEAR]
-SCHEMA_FILE = "_trade_schema.json"      # hidden from scans by its name
-INTENT_FILE = "_commit_from.json"
+SCHEMA_FILE = "_trade_schema.json"      # of tables written before commits had notes
 _SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "nation", "region"]
 _dims_cache: dict = {}
 _table_cache: dict = {}
@@ -53,7 +54,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     A table written by ``upsert_table`` carries its schema: files of older
     layouts give null for columns they lack, and null years keep their type.
     """
-    schema = files.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    schema = commits.last(spark, path)["schema"] or files.read_text(spark, f"{path}/{SCHEMA_FILE}")
     reader = spark.read if schema is None else spark.read.schema(T.StructType.fromJson(json.loads(schema)))
     return normalise(reader.parquet(path))
 
@@ -129,10 +130,45 @@ def load_trade(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
     return read_table(spark, trade_path(spark, sf_dir))
 
 
-def table_freshness(df: DataFrame) -> DataFrame:
-    """Latest file modification time per flow, from the scan's file metadata."""
-    return (df.select(FLOW, F.col("_metadata.file_modification_time").alias("_MT"))
-            .groupBy(FLOW).agg(F.max("_MT").alias("LAST_MODIFIED")))
+def table_freshness(spark: SparkSession, path: str, slack: float = 2.0) -> DataFrame:
+    """Per flow: its latest file time and whether the files are those that the
+    commits wrote.
+
+    Every partition's file times are held against the start and end of its
+    write in the table's record (``slack`` seconds for clocks). Columns: FLOW,
+    LAST_MODIFIED, N_PARTITIONS and ROWS by the record, N_STRANGE (partitions
+    with a file from outside their write, or without a record), IS_DATED (none).
+    """
+    record = record_of(spark, path).select(FLOW, F.col(YEAR).alias("_Y"), "ROWS", "WRITE_STARTED", "WRITE_ENDED")
+    times = F.col("_metadata.file_modification_time")
+    found = read_table(spark, path).select(FLOW, YEAR, times.alias("_T")).groupBy(FLOW, YEAR).agg(F.min("_T").alias("_LO"), F.max("_T").alias("_HI"))
+    both = found.withColumnRenamed(FLOW, "_F").join(record, F.col("_F").eqNullSafe(F.col(FLOW)) & F.col(YEAR).eqNullSafe(F.col("_Y")), "left")
+    since, until = F.col("_LO").cast("double") + slack, F.col("_HI").cast("double") - slack
+    dated = F.coalesce((since >= F.col("WRITE_STARTED")) & (until <= F.col("WRITE_ENDED")), F.lit(False))
+    return (both.groupBy(F.col("_F").alias(FLOW)).agg(
+        F.max("_HI").alias("LAST_MODIFIED"), F.count("ROWS").alias("N_PARTITIONS"), F.sum("ROWS").alias("ROWS"), F.count_if(~dated).alias("N_STRANGE"))
+        .withColumn("IS_DATED", F.col("N_STRANGE") == 0))
+
+
+def record_of(spark: SparkSession, path: str) -> DataFrame:
+    """The write record: one row per partition (flows x years, so a small one)."""
+    note = commits.last(spark, path)
+    rows = []
+    for part, entry in note["partitions"].items():
+        flow, year = files.partition_values(part)
+        rows.append((flow, None if year is None else int(year), entry["rows"], entry["version"], entry["started"], entry["ended"]))
+    return spark.createDataFrame(rows, f"{FLOW} string, {YEAR} int, ROWS long, VERSION long, WRITE_STARTED double, WRITE_ENDED double")
+
+
+def recorded_audit(spark: SparkSession, path: str) -> DataFrame:
+    """Load audit of the last commit from its note, without a scan: as ``load.load_audit``."""
+    audit = commits.last(spark, path)["audit"]
+    flows = sorted({*audit["before"], *audit["after"], *audit.get("fetched", {})}, key=str)
+    rows = []
+    for flow in flows:
+        before, fetched, after = (audit.get(k, {}).get(flow, 0) for k in ("before", "fetched", "after"))
+        rows.append((flow, before, fetched, after, before + fetched, after - before, before + fetched - after))
+    return spark.createDataFrame(rows, f"{FLOW} string, ROWS_BEFORE long, ROWS_FETCHED long, ROWS_AFTER long, ROWS_MERGED long, ROWS_NEW long, ROWS_REMOVED_BY_DEDUP long")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -140,95 +176,142 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(c.startswith(f"{FLOW}=") for c in files.children(spark, path))
 
 
-def _partitions(spark: SparkSession, path: str, flow_dir: str) -> list[str]:
-    return [c for c in files.children(spark, f"{path}/{flow_dir}") if c.startswith(f"{YEAR}=")]
+def recover(spark: SparkSession, path: str) -> None:
+    """Carry out the last commit if its job did not get to the end."""
+    commits.settle(spark, path)
 
 
-def _commit(spark: SparkSession, path: str, staging: str, full: bool) -> None:
-    """Replace the table's partitions by the staged ones; safe to repeat.
+def _partitions(spark: SparkSession, folder: str) -> list[str]:
+    """Partition folders below ``folder``, as FLOW=.../YEAR=..."""
+    return [f"{flow}/{year}" for flow in files.children(spark, folder) if flow.startswith(f"{FLOW}=")
+            for year in files.children(spark, f"{folder}/{flow}") if year.startswith(f"{YEAR}=")]
 
-    With ``full`` the partitions of the staged flows that were not staged
-    are removed. Partition folders are listed, never rows."""
-    schema = files.read_text(spark, f"{staging}/{SCHEMA_FILE}")
-    staged = read_table(spark, staging)
-    write_table(staged, path, overwrite_mode="dynamic")
-    if full:
-        for flow_dir in (c for c in files.children(spark, staging) if c.startswith(f"{FLOW}=")):
-            kept = set(_partitions(spark, staging, flow_dir))
-            for year_dir in _partitions(spark, path, flow_dir):
-                if year_dir not in kept:
-                    files.delete(spark, f"{path}/{flow_dir}/{year_dir}")
-    files.write_text(spark, f"{path}/{SCHEMA_FILE}", schema)
-    files.delete(spark, f"{path}/{INTENT_FILE}")
-    files.delete(spark, staging)
 
+def _row_counts(spark: SparkSession, folder: str, schema: T.StructType) -> dict[str, int]:
+    """Rows per partition folder, from the files' footers (no column is read). Written
+    files can't count a task twice, as an observation may when a stage is run again."""
+    df = spark.read.schema(schema).parquet(folder)
+    return {_folder(r[0], r[1]): r[2] for r in df.groupBy(FLOW, YEAR).agg(F.count(F.lit(1))).collect()}
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish a commit that a lost job left half done (staged data is whole)."""
-    intent = files.read_text(spark, f"{path}/{INTENT_FILE}")
-    if intent is not None:
-        intent = json.loads(intent)
-        if files.exists(spark, intent["staging"]):
-            _commit(spark, path, intent["staging"], intent["full"])
-        else:                       # committed; only the note was left
-            files.delete(spark, f"{path}/{INTENT_FILE}")
-
-
-def _check_batch(new: DataFrame, stored: DataFrame | None) -> None:
-    """Months are 1..12, shared columns have the stored types."""
+
+def _folder(flow, year) -> str:
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return f"{FLOW}={none if flow is None else escape(flow)}/{YEAR}={none if year is None else year}"
+
+
+def escape(value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^\x7f' or c < " " else c for c in value)
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The stored table's schema: of its last note, its schema file, or its files."""
+    note = commits.last(spark, path)["schema"] or files.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    if note is not None:
+        return T.StructType.fromJson(json.loads(note))
+    return spark.read.parquet(path).schema if table_exists(spark, path) else None
+
+
+def _checked(new: DataFrame, stored: T.StructType | None) -> DataFrame:
+    """``new`` with the stored types; a month outside 1..12 stops the write."""
     if stored is not None:
-        have = {f.name: f.dataType for f in stored.schema.fields}
+        have = {f.name: f.dataType for f in stored.fields}
         wrong = [f"{f.name}: {have[f.name].simpleString()} stored, {f.dataType.simpleString()} new"
                  for f in new.schema.fields if f.name in have and f.dataType != have[f.name]]
         if wrong:
             raise ValueError(f"Column types differ from the stored table: {wrong}")
-    if MONTH in new.columns:
-        bad = new.where(~F.col(MONTH).between(1, 12)).select(MONTH).first()
-        if bad is not None:
-            raise ValueError(f"{MONTH} must be 1..12, got {bad[0]}")
-
-
-def upsert_table(new: DataFrame, path: str, full: bool = False) -> None:
-    """Keep-last upsert of ``new`` into the table at ``path``.
-
-    Only the (FLOW, YEAR) partitions the new rows touch are read and
-    rewritten. The merge is written to a staging folder, a note of it is put
-    into the table folder, and the partitions are then replaced from staging
-    (dynamic partition overwrite); a job lost in between is finished by the
-    next run (``recover``), so no stored row can be lost. With ``full`` the
-    new rows replace everything stored for the flows they hold; a full load
-    without rows is refused. Columns only one side has are null on the other;
-    differing types raise.
+    if MONTH not in new.columns:
+        return new
+    month = F.col(MONTH)
+    bad = F.raise_error(F.concat(F.lit(f"{MONTH} must be 1..12, got "), month.cast("string")))
+    return new.withColumn(MONTH, F.when(month.isNull() | month.between(1, 12), month).otherwise(bad))
+
+
+def _of_partitions(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Rows of some partitions: a literal predicate that prunes the scan to their folders."""
+    cond = F.lit(False)
+    for flow, year in map(files.partition_values, parts):
+        cond = cond | (F.col(FLOW).eqNullSafe(F.lit(flow)) & F.col(YEAR).eqNullSafe(F.lit(None if year is None else int(year)).cast(df.schema[YEAR].dataType)))
+    return df.where(cond)
+
+
+def upsert_table(new: DataFrame, path: str, full: bool = False, fetched: dict[str, int] | None = None) -> dict | None:
+    """Keep-last upsert of ``new`` into the table at ``path``; returns the commit's note.
+
+    The batch is deduplicated and written once, in the stored layout, to the
+    run's folder inside the table. Partitions the table does not have yet take
+    these files as they are; only for those it has are the stored rows read and
+    merged with them. The commit (``commits``) renames the files into place.
+    Runs may overlap: when another one commits to the same partition first, the
+    merge is made again from its result, so no run undoes another's rows; runs
+    on other partitions don't meet. A job lost before its commit changes
+    nothing; one lost behind it is finished by the next run.
+
+    With ``full`` the new rows replace everything stored for the flows they
+    hold; a full load without rows is refused. Columns only one side has are
+    null on the other; differing types raise. ``fetched`` are the rows per flow
+    that the caller knows it read; else they are observed while the batch is
+    written.
     """
-    from ..operators.load import keep_last, without_keys
-
-    spark = new.sparkSession
-    recover(spark, path)
-    stored = read_table(spark, path) if table_exists(spark, path) else None
-    _check_batch(new, stored)
-    fresh = small_table(keep_last(new), "fresh")
-    # The touched (FLOW, YEAR) pairs are at most flows x years rows: as a
-    # literal predicate on the partition columns they prune the existing
-    # table's scan to those directories.
-    touched = fresh.select(*PARTITION_COLUMNS).distinct().collect()
+    spark, run, started = new.sparkSession, uuid.uuid4().hex, time.time()
+    commits.settle(spark, path)
+    stored_schema = _stored_schema(spark, path)
+    if stored_schema is not None and commits.last(spark, path)["version"] == 0:
+        commits.adopt(spark, path, _ordered_schema(stored_schema).json(), _row_counts(spark, path, stored_schema))
+    home, batch = f"{path}/{commits.RUNS}/{run}", _checked(new, stored_schema)
+    seen = None
+    if fetched is None:
+        seen = Observation()
+        batch = batch.observe(seen, *[F.count_if(F.col(FLOW) == f).alias(f) for f in FLOWS])
+    fresh_schema = _ordered_schema(T.StructType([f for f in batch.schema.fields if f.name != ARRIVAL]))
+    try:
+        write_table(keep_last(batch), f"{home}/fresh")
+    except Exception as e:
+        files.delete(spark, home)
+        if f"{MONTH} must be 1..12" in str(e):
+            raise ValueError(f"{MONTH} must be 1..12") from e
+        raise
+    fresh = spark.read.schema(fresh_schema).parquet(f"{home}/fresh")
+    touched = _partitions(spark, f"{home}/fresh")
     if not touched:
+        files.delete(spark, home)
         if full:
             raise ValueError("a full load without rows would erase the table")
-        return
-    merged = fresh
-    if stored is not None:
-        if full:
-            merged = fresh.unionByName(stored.limit(0), allowMissingColumns=True)
-        else:
-            cond = F.lit(False)
-            for flow, year in touched:
-                cond = cond | (F.col(FLOW).eqNullSafe(flow) & F.col(YEAR).eqNullSafe(year))
-            merged = without_keys(stored.where(cond), fresh).unionByName(fresh, allowMissingColumns=True)
-    data = [f for f in merged.schema.fields if f.name not in PARTITION_COLUMNS]
-    keys = [merged.schema[c] for c in PARTITION_COLUMNS]
-    staging = scratch_path(spark, "staging")
-    write_table(merged, staging, sort=False)
-    files.write_text(spark, f"{staging}/{SCHEMA_FILE}", T.StructType([*data, *keys]).json())
-    files.write_text(spark, f"{path}/{INTENT_FILE}", json.dumps({"staging": staging, "full": full}))
-    _commit(spark, path, staging, full)
-    files.delete(spark, fresh.inputFiles()[0].rsplit("/", 1)[0])
+        return None
+    if seen is not None:        # only now: the plan of an empty batch may observe nothing
+        fetched = seen.get
+    counts = _row_counts(spark, f"{home}/fresh", fresh_schema)
+    flows = sorted({p.split("/")[0] for p in touched}) if full else None
+    attempt = 0
+    while True:
+        base, attempt = commits.settle(spark, path), attempt + 1
+        staged = {p: ([f"fresh/{p}/{n}" for n in commits.data_files(spark, f"{home}/fresh/{p}")], counts[p]) for p in touched}
+        both = [] if full else [p for p in touched if p in base["partitions"]]
+        if both:
+            merged = f"{home}/merged-{attempt}"
+            try:
+                staged |= _merge(spark, path, base, fresh, both, merged)
+            except Exception:
+                now = commits.last(spark, path)
+                if now["version"] == base["version"]:
+                    raise
+                continue        # another run replaced files that were being read
+        note = commits.commit(spark, path, base, run, staged, fresh_schema.json(), started, flows, {"fetched": {k: v for k, v in fetched.items() if v}})
+        if note is not None:
+            return note
+
+
+def _merge(spark: SparkSession, path: str, base: dict, fresh: DataFrame, parts: list[str], out: str) -> dict:
+    """Stored and fresh rows of ``parts`` written below ``out``: partition -> (files, rows)."""
+    schema = T.StructType.fromJson(json.loads(base["schema"]))
+    stored = _of_partitions(spark.read.schema(schema).parquet(path), parts)
+    new = _of_partitions(fresh, parts)
+    write_table(without_keys(stored, new).unionByName(new, allowMissingColumns=True), out)
+    schema = T.StructType.fromJson(json.loads(commits.merged_schema(base["schema"], _ordered_schema(fresh.schema).json())))
+    counts, name = _row_counts(spark, out, schema), out.rsplit("/", 1)[-1]
+    return {p: ([f"{name}/{p}/{n}" for n in commits.data_files(spark, f"{out}/{p}")], counts[p]) for p in parts}
+
+
+def _ordered_schema(schema: T.StructType) -> T.StructType:
+    """Partition columns last, as a scan returns them."""
+    return T.StructType([*(f for f in schema.fields if f.name not in PARTITION_COLUMNS), *(schema[c] for c in PARTITION_COLUMNS)])

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -77,26 +78,40 @@ def test_digests_against_brute_force(rows):
 def test_tokens_without_bytes_link_with_all_that_end_there():
     class Small(align.Pair):
         def __init__(self):
-            self.size_a, self.size_b, self.width, self.name = [1, 0, 2], [1, 0, 3], 3, ["0", "1", "2"]
+            self.size_a, self.size_b, self.width, self.solid, self.key = np.array([1, 0, 2]), np.array([1, 0, 3]), 3, False, "<u4"
+            self.name = [str(i) + mark for mark in align.MARKS for i in range(3)]
 
-    groups, links = Small().align([0, 1, 2], [0, 1, 0, 0])
-    assert groups == [(0, 2, 0, 2), (2, 3, 2, 4)]
-    assert links == [0 * 3 + 0, 0 * 3 + 1, 1 * 3 + 0, 1 * 3 + 1, 2 * 3 + 0]
+    one, two = Small().align(np.array([0, 1, 2, 0]), np.array([0, 1, 0, 0, 0, 1]), np.array([3, 1]), np.array([4, 2]))
+    assert one[:4] == (3, 4, 2, "0,1|0,1;2|0,0") and two[:4] == (1, 2, 1, "0|0,1")
+    assert np.frombuffer(one[4], "<u4").tolist() == [0 * 3 + 0, 0 * 3 + 1, 1 * 3 + 0, 1 * 3 + 1, 2 * 3 + 0]
+    assert np.frombuffer(two[4], "<u4").tolist() == [0, 1]
 
 
-def test_parts_encode_as_the_whole(monkeypatch):
+def test_parts_encode_as_the_whole():
     pair = align.Pair(A, B)
-    text = "It's  a  test, wéll ▁ then\n\n more 12 345 words.  " * 50
-    whole = pair.encode([text])
-    monkeypatch.setattr(align, "PART", 7)
-    assert len(align.parts(text)) > 100 and pair.encode([text]) == whole
+    text = "It's  a  test, wéll then\n\n more 12 345 words.  " * 50
+    cut = [pair.encode(p) for p in align.CUT.split(text)]
+    whole = pair.encode(text)
+    assert len(cut) > 200 and all(np.array_equal(whole[side], np.concatenate([c[side] for c in cut])) for side in (0, 1))
+
+
+def test_parts_aligned_together_and_alone():
+    pair = align.Pair(A, B)
+    parts = [*dict.fromkeys([p for t in [*MORE, "plain words only", "a b\nc\td ee\xa0f g", " lead", "trail ", ""] for p in align.CUT.split(t)])]
+    assert pair.aligned(parts) == [pair.alone(p) for p in parts]
+
+
+def test_forgotten_parts_are_aligned_again(monkeypatch):
+    monkeypatch.setattr(align, "KEPT", 3)
+    texts = ["one two three", "four five one", "six seven eight nine", "one two", "▁ one", ""] * 2
+    assert align.Pair(A, B).of(texts) == [align.Pair(A, B).of([t])[0] for t in texts]
 
 
 def test_both_encoders_of_one_file_agree():
     pair = align.Pair(A, B)
     texts = [t for t in MORE if len(t) < 1000] + ["It's we'LL  a\u2003b \x1c\x1d x\x85y \u180e ½²٣ 'S's\u200b\ufeff  \n\n \t e\u0301", "\u3000" * 9 + "x", " " * 4000, "a" * 6000, "1" * 99]
     for text in texts:
-        assert pair.encode_a(text) == pair.a.encode(" " + text, add_special_tokens=False).ids, text
+        assert pair.fast.encode_ordinary(text) == pair.a.encode(text, add_special_tokens=False).ids, text
 
 
 def test_groups_as_text_and_extra_columns(spark):

@@ -10,15 +10,17 @@ longer. The distinct pairs of a corpus are therefore at most the (token,
 suffix in the other vocabulary) pairs of the two vocabularies, whatever the
 corpus holds (``most_pairs``); that bound lets their counts be broadcast.
 
-Long texts are encoded in parts, cut at single spaces between other
-characters: neither tokenizer has a token that reaches over such a space. The
-byte-level side is encoded by tiktoken with the file's own vocabulary, which
-gives the ids of the tokenizers library faster; longer parts (that have no such
-space) go through the tokenizers library itself.
+Neither tokenizer has a token that reaches over a single space between other
+characters, so both have an end there. Texts are cut at these spaces into parts
+(words, mostly). Parts that a worker has not met lately are joined by spaces
+again, encoded and aligned together; a text's groups and links are those of its
+parts. The byte-level side is encoded by tiktoken with the file's own
+vocabulary, which gives the ids of the tokenizers library faster; long parts go
+through the tokenizers library itself.
 
 Defined results: texts that are null, empty, or that a tokenizer does not give
-back byte for byte have no tokens, groups or links; a text is one unit however
-long it is (a part without such spaces stays whole); rows with a null or
+back byte for byte have no tokens, groups or links; a text counts whole however
+long it is; rows with a null or
 repeated doc_id are aligned one by one; of equal counts all are the highest;
 no rows give no rows; an input column named like a result is replaced by it.
 """
@@ -30,7 +32,6 @@ import json
 import os
 import re
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,15 @@ from pyspark.sql import types as T
 from ._shared import bounded_batches, byte_slices, free_name, materialize
 from .bpe import PATTERN, byte_alphabet
 
-#: Characters of a part of a long text, and text bytes encoded at once.
-PART, SLICE = 20_000, 1 << 20
+#: Text bytes looked at together, characters of a part that is encoded alone.
+SLICE, LONG = 1 << 20, 20_000
 CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+#: Parts that may be joined by spaces.
+PLAIN = re.compile(r"[^\s▁](?:.*[^\s▁])?", re.S)
+#: Parts remembered (twice as many at most), and their longest.
+KEPT, SHORT = 300_000, 80
+#: Behind an id of a group, its last A id, its last B id.
+MARKS = (",", "|", ";")
 #: Fixed value: the piece character that stands for a space.
 BLANK = "▁"
 
@@ -53,18 +60,6 @@ ALIGNED = [("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType
 ARROW = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
 
 
-def parts(text: str) -> list[str]:
-    """``text`` cut at safe spaces (which are dropped) about every PART characters."""
-    out, at = [], 0
-    while len(text) - at > PART:
-        m = CUT.search(text, at + PART)
-        if not m:
-            break
-        out.append(text[at:m.start()])
-        at = m.end()
-    return [*out, text[at:]]
-
-
 class Pair:
     """Both tokenizers with the bytes of their tokens."""
 
@@ -86,8 +81,10 @@ class Pair:
             raise ValueError("a token reaches over a space; texts can't be cut there")
         self.fast = self._ranked(path_a)
         self.width = len(self.bytes_b)
-        self.size_a, self.size_b = [*map(len, self.bytes_a)], [*map(len, self.bytes_b)]
-        self.name = [*map(str, range(max(len(self.bytes_a), self.width)))]
+        self.size_a, self.size_b = (np.array([*map(len, t)], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.solid = bool(self.size_a.all() and self.size_b.all())
+        self.name = [str(i) + mark for mark in MARKS for i in range(max(len(self.bytes_a), self.width))]
+        self.young, self.old = {}, {}
         self.key = "<u4" if len(self.bytes_a) * self.width <= 1 << 32 else "<u8"
 
     def _ranked(self, path: str):
@@ -103,48 +100,105 @@ class Pair:
             raise ValueError("ids don't follow the merges")
         return Encoding("own", pat_str=PATTERN, special_tokens={}, mergeable_ranks={self.bytes_a[i]: i for t, i in vocab.items() if t not in added})
 
-    def encode_a(self, part: str) -> list[int]:
-        if len(part) > 4 * PART:
-            return self.a.encode(" " + part, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(" " + part)
-
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides; none for a text that one side does not give back."""
-        cut = [parts(t) for t in texts]
-        flat = [p for ps in cut for p in ps]
-        a = [*map(self.encode_a, flat)]
-        b = self.b.encode(flat, num_threads=1)
-        out, at = [], 0
-        for text, ps in zip(texts, cut):
-            ids_a = [i for ids in a[at:at + len(ps)] for i in ids] if len(ps) > 1 else a[at]
-            ids_b = [i for ids in b[at:at + len(ps)] for i in ids] if len(ps) > 1 else b[at]
-            at += len(ps)
-            raw = (" " + text).encode()
-            same = text and b"".join(map(self.bytes_a.__getitem__, ids_a)) == raw == b"".join(map(self.bytes_b.__getitem__, ids_b))
-            out.append((ids_a, ids_b) if same else ([], []))
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides for the text and the space before it; None where one
+        side does not give these bytes back."""
+        if len(text) > LONG and not CUT.search(text):
+            a = self.a.encode(" " + text, add_special_tokens=False).ids
+        else:
+            a = self.fast.encode_ordinary(" " + text)
+        b, raw = self.b.encode(text), (" " + text).encode()
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+        return (np.array(a, np.int64), np.array(b, np.int64)) if same else None
+
+    def aligned(self, parts: list[str]) -> list[tuple | None]:
+        """For each part: numbers of A ids, B ids and groups, the groups' text and the
+        links as bytes; None for a part that a side does not give back."""
+        plain = [p for p in parts if len(p) <= LONG and PLAIN.fullmatch(p)]
+        both = self.encode(" ".join(plain)) if plain else None
+        found = {}
+        if both is not None:
+            a, b = both
+            ends = np.cumsum([1 + len(p.encode()) for p in plain])
+            upto = [np.searchsorted(np.cumsum(size[ids]), ends, side="right") for size, ids in ((self.size_a, a), (self.size_b, b))]
+            found = dict(zip(plain, self.align(a, b, *(np.diff(u, prepend=0) for u in upto))))
+        return [found[p] if p in found else self.alone(p) for p in parts]
+
+    def alone(self, part: str) -> tuple | None:
+        both = self.encode(part)
+        return both and self.align(*both, *(np.array([len(ids)]) for ids in both))[0]
+
+    def of(self, texts: list[str]) -> list[tuple]:
+        """``aligned`` of whole texts; empty for a text that has no tokens."""
+        cut = [CUT.split(t) if t else [] for t in texts]
+        parts = set().union(*cut)
+        new = [p for p in parts if p not in self.young and p not in self.old]
+        found = dict(zip(new, self.aligned(new)))
+        self.young.update((p, v) for p, v in found.items() if len(p) <= SHORT)
+        for p in parts:
+            if p not in found:
+                v = self.young.get(p)
+                if v is None:  # a part in use moves on to the young ones
+                    v = self.young[p] = self.old.get(p)
+                found[p] = v
+        if len(self.young) > KEPT:
+            self.young, self.old = {}, self.young
+        out = []
+        for parts in cut:
+            each = [*map(found.__getitem__, parts)]
+            if not each or None in each:
+                out.append((0, 0, 0, "", b""))
+            else:
+                n_a, n_b, n, shown, links = zip(*each)
+                out.append((sum(n_a), sum(n_b), sum(n), ";".join(shown), b"".join(links)))
         return out
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int]]:
-        """Groups as (start in a, end in a, start in b, end in b), and the links as a * width + b."""
-        ends_a, ends_b = [*accumulate(map(self.size_a.__getitem__, a))], [*accumulate(map(self.size_b.__getitem__, b))]
-        index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each group the A and B ids up to its end. The ids may be those of many
+        texts in a row: the bytes are the same on both sides, so each text ends a group."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist()
+        index_a, index_b = dict(zip(ends_a, range(1, len(ends_a) + 1))), dict(zip(ends_b, range(1, len(ends_b) + 1)))
         common = [*filter(index_b.__contains__, index_a)]  # ends go up, so these come sorted
-        upto_a, upto_b = [*map(index_a.__getitem__, common)], [*map(index_b.__getitem__, common)]
-        groups = [*zip([0, *upto_a], upto_a, [0, *upto_b], upto_b)]
-        width = self.width
-        if len(index_a) == len(a) and len(index_b) == len(b):  # one token ends at each place
-            return groups, [a[i - 1] * width + b[j - 1] for i, j in zip(upto_a, upto_b)]
-        links = []
-        for (i, j, k, m), end in zip(groups, common):
-            last = [b[y] for y in range(k, m) if ends_b[y] == end]
-            links += [a[x] * width + y for x in range(i, j) if ends_a[x] == end for y in last]
-        return groups, links
-
-    def text(self, a: list[int], b: list[int], groups) -> str:
-        """Groups as ``a1,a2|b1;a3|b2``."""
-        a, b = [*map(self.name.__getitem__, a)], [*map(self.name.__getitem__, b)]
-        return ";".join([a[i] + "|" + b[k] if j - i == 1 == m - k else ",".join(a[i:j]) + "|" + ",".join(b[k:m])
-                         for i, j, k, m in groups])
+        return tuple(np.fromiter(map(index.__getitem__, common), np.int64, len(common)) for index in (index_a, index_b))
+
+    def links(self, a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links as a * width + b, group by group, and how many each group has."""
+        if self.solid:  # one token of each side ends at each place
+            return a[upto_a - 1].astype(np.int64) * self.width + b[upto_b - 1], np.ones(len(upto_a), np.int64)
+        found, many = [], []
+        for (i, j, k, m) in zip(np.append(0, upto_a), upto_a, np.append(0, upto_b), upto_b):
+            x, y = self.last(a[i:j], self.size_a), self.last(b[k:m], self.size_b)
+            found += [p * self.width + q for p in x for q in y]
+            many.append(len(x) * len(y))
+        return np.array(found, np.int64), np.array(many, np.int64)
+
+    @staticmethod
+    def last(ids: np.ndarray, size: np.ndarray) -> list[int]:
+        """The ids that end where the last one does: itself and empty ones."""
+        full = np.flatnonzero(size[ids])
+        return ids[full[-1] if len(full) else 0:].tolist()
+
+    def shown(self, a: np.ndarray, b: np.ndarray, upto_a: np.ndarray, upto_b: np.ndarray) -> list[str]:
+        """All ids in the order of ``a1,a2|b1;a3|b2;``, each with the mark behind it."""
+        place_a, place_b = np.repeat(np.append(0, upto_b)[:-1], np.diff(upto_a, prepend=0)), np.repeat(upto_a, np.diff(upto_b, prepend=0))
+        marked = np.zeros(len(a) + len(b), np.int64)
+        marked[np.arange(len(a)) + place_a], marked[np.arange(len(b)) + place_b] = a, b
+        n = len(self.name) // len(MARKS)
+        marked[upto_a - 1 + place_a[upto_a - 1]] += n
+        marked[upto_b - 1 + place_b[upto_b - 1]] += 2 * n
+        return [*map(self.name.__getitem__, marked.tolist())]
+
+    def align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[tuple[int, int, int, str, bytes]]:
+        """``a`` and ``b`` hold the ids of texts in a row, ``n_a`` and ``n_b`` of each:
+        its A ids, B ids, groups, their text, and its links as bytes."""
+        upto_a, upto_b = self.cuts(a, b)
+        links, many = self.links(a, b, upto_a, upto_b)
+        shown, raw, wide = self.shown(a, b, upto_a, upto_b), links.astype(self.key).tobytes(), np.dtype(self.key).itemsize
+        ends = np.cumsum(n_a)
+        groups = np.append(0, np.searchsorted(upto_a, ends, side="right"))  # groups up to each text's end
+        upto, cut = (wide * np.append(0, np.cumsum(many))[groups]).tolist(), np.append(0, ends + np.cumsum(n_b)).tolist()
+        return [(x, y, g, "".join(shown[c:d])[:-1], raw[i:j]) for x, y, g, c, d, i, j in
+                zip(n_a.tolist(), n_b.tolist(), np.diff(groups).tolist(), cut, cut[1:], upto, upto[1:])]
 
     def most_pairs(self) -> int:
         """Upper bound of distinct linked pairs: tokens that are suffixes of each other."""
@@ -177,13 +231,12 @@ def align(df: DataFrame, path_a: str, path_b: str, text: str = "text", digest: b
         for batch in batches:
             for part in byte_slices(batch, read, SLICE):
                 found = []
-                for a, b in pair.encode([v or "" for v in part.column(read).to_pylist()]):
-                    groups, links = pair.align(a, b)
-                    keys, times = np.unique(np.array(links, pair.key), return_counts=True)
-                    shown = pair.text(a, b, groups)
+                for n_a, n_b, n, shown, links in pair.of([v or "" for v in part.column(read).to_pylist()]):
+                    links = np.frombuffer(links, pair.key)
+                    keys, times = np.unique(links, return_counts=True)
                     if digest:
-                        shown = hashlib.sha256(shown.encode()).hexdigest() if groups else ""
-                    found.append((len(a), len(b), len(groups), len(links), shown, keys.tobytes(), times.astype("<u4").tobytes()))
+                        shown = hashlib.sha256(shown.encode()).hexdigest() if n else ""
+                    found.append((n_a, n_b, n, len(links), shown, keys.tobytes(), times.astype("<u4").tobytes()))
                 columns = [*zip(*found)] or [()] * len(ALIGNED)
                 arrays = [pa.array(c, t) for c, t in zip(columns, ARROW)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *arrays], names=[f.name for f in schema.fields])

@@ -198,10 +198,10 @@ def top_in_year(dff: DataFrame, keys: list[str], cy_start: int, n: int = 12) ->
 
 
 def top_partners(dff: DataFrame, keys: list[str], n: int = 12) -> DataFrame:
-    """Rows of the top-n partners only (left-semi on the ranked totals)."""
+    """Rows of the top-n partners by crop year, with their rank by total."""
     tops = top_n(dff.groupBy(*keys, PARTNER).agg(F.sum(QTY).alias("TOTAL")), keys, PARTNER, n)
-    kept = dff.join(tops.select(*keys, PARTNER), [*keys, PARTNER], "left_semi")
-    return kept.groupBy(*keys, PARTNER, CY, CY_LABEL).agg(_sum_qty())
+    kept = dff.join(tops.select(*keys, PARTNER, "RANK"), [*keys, PARTNER])
+    return kept.groupBy(*keys, PARTNER, "RANK", CY, CY_LABEL).agg(_sum_qty())
 
 
 def partner_share_in_region(dff: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
@@ -212,23 +212,27 @@ def partner_share_in_region(dff: DataFrame, keys: list[str], n: int = 10) -> Dat
 def with_rest(agg: DataFrame, keys: list[str], period: list[str], n: int) -> DataFrame:
     """Top-n member rows, a Rest-of-World row and a Total row per period.
 
-    Absent cells are 0, Rest of World included when nobody is left over. Every period is kept, also one traded only by non-top members, so Total
-    always equals the sum of all members.
+    Absent cells are 0, Rest of World included when nobody is left over. Every
+    period is kept, also one traded only by non-top members, so Total always
+    equals the sum of all members. Members, rest and total come from one
+    aggregate over two grouping sets; empty cells enter it as rows of 0.
     """
     tops = top_n(agg.groupBy(*keys, PARTNER).agg(F.sum(QTY).alias("TOTAL")), keys, PARTNER, n)
     tops = tops.select(*keys, PARTNER, "RANK")
-    ranked = agg.join(tops, [*keys, PARTNER], "left")
-    cells = _cells(tops, keys, agg.select(*keys, *period).distinct(), keys)
-    members = _filled(agg, tops, keys, PARTNER, cells, period).select(
-        *keys, F.lit("partner").alias("ROW_TYPE"), F.col(PARTNER).alias("ROW_LABEL"), "RANK", *period, QTY)
-    rest = (ranked.groupBy(*keys, *period)
-            .agg(F.coalesce(F.sum(F.when(F.col("RANK").isNull(), F.col(QTY))), F.lit(0.0)).alias(QTY))
-            .select(*keys, F.lit("rest").alias("ROW_TYPE"), F.lit(REST).alias("ROW_LABEL"),
-                    F.lit(n + 1).alias("RANK"), *period, QTY))
-    total = (agg.groupBy(*keys, *period).agg(_sum_qty())
-             .select(*keys, F.lit("total").alias("ROW_TYPE"), F.lit(TOTAL).alias("ROW_LABEL"),
-                     F.lit(n + 2).alias("RANK"), *period, QTY))
-    return members.unionByName(rest).unionByName(total)
+    ranked = agg.join(tops, [*keys, PARTNER], "left").select(
+        *keys, *period, F.when(F.col("RANK").isNotNull(), F.col(PARTNER)).alias(PARTNER), F.coalesce("RANK", F.lit(n + 1)).alias("RANK"), QTY)
+    # the periods of the series, each with its empty cells: every top member and the rest
+    members = tops.groupBy(*keys).agg(F.collect_list(F.struct(PARTNER, "RANK")).alias("_M"))      # n at most
+    periods = agg.select(*keys, *period).distinct()
+    cells = periods.join(members, keys) if keys else periods.crossJoin(F.broadcast(members))
+    rest = F.array(F.struct(F.lit(None).cast("string").alias(PARTNER), F.lit(n + 1).alias("RANK")))
+    cells = cells.select(*keys, *period, F.inline(F.concat("_M", rest)), F.lit(0.0).alias(QTY))
+    both = ranked.unionByName(cells)
+    sets = [[*keys, *period, PARTNER, "RANK"], [*keys, *period]]
+    out = both.groupingSets([[F.col(c) for c in g] for g in sets], *[F.col(c) for c in sets[0]]).agg(_sum_qty(), F.grouping("RANK").alias("_G"))
+    kind = F.when(F.col("_G") == 1, "total").when(F.col("RANK") > n, "rest").otherwise("partner")
+    label = F.when(F.col("_G") == 1, TOTAL).when(F.col("RANK") > n, REST).otherwise(F.col(PARTNER))
+    return out.select(*keys, kind.alias("ROW_TYPE"), label.alias("ROW_LABEL"), F.coalesce("RANK", F.lit(n + 2)).alias("RANK"), *period, QTY)
 
 
 def top15_with_rest(dff: DataFrame, keys: list[str], n: int = 15) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..dims import Dims
 from ..functions.calendar import shift_months, with_calendar
-from ..schema import CM, COMMODITY_TAG, CY, CY_LABEL, FLOW, MIRROR_LAG_RANGE, PARTNER, QTY, REPORTER
+from ..schema import CM, COMMODITY_TAG, CY, CY_LABEL, DATE, FLOW, MIRROR_LAG_RANGE, PARTNER, QTY, REPORTER
 from ._util import in_or_present, win
 
 PAIR = ["EXPORTER", "DESTINATION", "IMPORTER", "ORIGIN"]
@@ -76,20 +76,28 @@ def mirror_overlay(df: DataFrame, pairs: DataFrame, start_month: int, lag: int =
 
     Years shown: the union of the unshifted series' years, all or the last
     ``years_back`` of them; shifted rows falling in other years are dropped.
+    Every row carries both its own and its shifted crop year, so series and
+    years come from one aggregate.
     """
     lo, hi = MIRROR_LAG_RANGE
     if not isinstance(lag, int) or isinstance(lag, bool) or not lo <= lag <= hi:
         raise ValueError(f"lag must be a whole number of months from {lo} to {hi}, got {lag!r}")
     if years_back is not None and years_back < 1:
         raise ValueError("years_back must be >= 1 or None")
-    years = mirror_years(df, pairs, start_month, tags)
+    rows = df.where(in_or_present(COMMODITY_TAG, tags)) if COMMODITY_TAG in df.columns else df
+    # both reports of a pair by (flow, reporter, partner): one join, one pass over the rows
+    sides = pairs.select(*PAIR, F.inline(F.array(
+        F.struct(F.lit("E").alias("_FLOW"), F.col("EXPORTER").alias("_REP"), F.col("DESTINATION").alias("_PAR")),
+        F.struct(F.lit("I").alias("_FLOW"), F.col("IMPORTER").alias("_REP"), F.col("ORIGIN").alias("_PAR")))))
+    rows = rows.join(sides, (F.col(FLOW) == F.col("_FLOW")) & (F.col(REPORTER) == F.col("_REP")) & (F.col(PARTNER) == F.col("_PAR")))
+    plain = with_calendar(rows.select(*PAIR, FLOW, "YEAR", "MONTH", QTY), start_month).withColumn("_OWN", F.col(CY))
+    moved = F.add_months(DATE, F.when(F.col(FLOW) == "I", -lag).otherwise(0))
+    shifted = with_calendar(plain.withColumns({"YEAR": F.year(moved), "MONTH": F.month(moved)}), start_month)
+    series = F.when(F.col(FLOW) == "E", "direct").otherwise("mirror").alias("SERIES")
+    # dealt by pair once: the aggregate and the window over a pair's months need no other shuffle
+    cells = shifted.select(*PAIR, series, CY, CY_LABEL, CM, "_OWN", QTY).repartition(*PAIR).groupBy(
+        *PAIR, "SERIES", CY, CY_LABEL, CM, "_OWN").agg(F.coalesce(F.sum(QTY), F.lit(0.0)).alias(QTY))
+    years = F.sort_array(F.collect_set("_OWN").over(win(PAIR)), False)
     if years_back is not None:
-        years = (years.withColumn("_R", F.row_number().over(win(PAIR).orderBy(F.col(CY).desc())))
-                 .where(F.col("_R") <= years_back).drop("_R"))
-    years = years.select(*PAIR, CY)
-    d = _series(df, pairs, "E", "EXPORTER", "DESTINATION", start_month, 0, tags) \
-        .withColumn("SERIES", F.lit("direct"))
-    m = _series(df, pairs, "I", "IMPORTER", "ORIGIN", start_month, lag, tags) \
-        .withColumn("SERIES", F.lit("mirror"))
-    both = d.unionByName(m)
-    return both.join(years, [*PAIR, CY], "left_semi").select(*PAIR, "SERIES", CY, CY_LABEL, CM, QTY)
+        years = F.slice(years, 1, years_back)
+    return cells.withColumn("_YEARS", years).where(F.array_contains("_YEARS", F.col(CY))).select(*PAIR, "SERIES", CY, CY_LABEL, CM, QTY)

@@ -143,6 +143,28 @@ def projection_manual_year(cube: DataFrame, stats: DataFrame, keys: list[str], t
                       (F.col("REMAINING_BUDGET") * F.col("AVG_SHARE") / F.col("REM_SHARE")).alias("PROJ_QTY"))
 
 
+def projection_totals(cube: DataFrame, stats: DataFrame, keys: list[str], target: float | None = None,
+                      n: int = PROJECTION_YEARS) -> DataFrame:
+    """One row per series with the totals the methods report, also when no month
+    remains or nothing is left of the target.
+
+    IMPLIED_TOTAL (proportions): YTD / elapsed average share, or the mean
+    annual total where that share is 0; null without a complete year. TARGET
+    and REMAINING_BUDGET (yearly target): the given target, or YTD / elapsed
+    share rounded (0 without one), and what is left of it after YTD, at least 0.
+    """
+    s = _stats(stats, keys)
+    out = _j(_j(s, ytd_sums(cube, stats, keys).select(*keys, "CY_YTD"), keys, "left"), _prop_totals(cube, stats, keys, n), keys, "left")
+    share = F.coalesce(F.col("ACT_SHARE"), F.lit(0.0))
+    default = F.when(share > 0, F.bround(F.col("CY_YTD") / share, 0)).otherwise(F.lit(0.0))
+    out = out.withColumns({
+        "IMPLIED_TOTAL": F.when(share > 0, F.col("CY_YTD") / share).otherwise(F.col("MEAN_ANNUAL")),
+        "TARGET": default if target is None else F.lit(float(target)),
+        "N_REMAINING": (12 - F.col("COMMON_MONTH")).cast("int")})
+    return out.select(*keys, F.col("LATEST_CY_START").alias(CY), "COMMON_MONTH", "N_REMAINING", "CY_YTD", "IMPLIED_TOTAL", "TARGET",
+                      F.greatest(F.lit(0.0), F.col("TARGET") - F.col("CY_YTD")).alias("REMAINING_BUDGET"))
+
+
 def _anchors(cube, stats, keys, base):
     b = _base(cube, stats, keys, PROJECTION_YEARS, base)
     return b.select(*keys, "LATEST_CY_START", "COMMON_MONTH", "ANCHOR_QTY", "CUM_START").distinct()

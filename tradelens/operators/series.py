@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import growth_vs, pct_change
 from ..schema import CM, CY, CY_LABEL, DATE, QTY, REFERENCE_YEARS, REGION
 from ._util import join_on_keys, month_columns, win
-from .filters import seasonal_range
+from .filters import seasonal_range, seasonal_range_of
 
 
 def _sum_qty() -> F.Column:
@@ -119,42 +119,39 @@ def heatmap(cube: DataFrame, stats: DataFrame, keys: list[str], cy_from: int | N
     Min/Max/Avg rows over the last <= n complete years (annual totals in
     TOTAL), and a vs-average % row after the latest year when it is shown.
 
-    One matrix aggregate and one window (complete years ranked newest
-    first); the reference rows are one more aggregate on the same
-    partitioning. Month expressions are SQL text: one driver call per list.
+    One matrix aggregate, one window (complete years ranked newest first) and
+    one aggregate over two grouping sets: a crop year gives its own row, a
+    series its Min, Max, Avg and vs-average rows.
     """
     months = month_columns()
     k = [f"`{c}`" for c in keys]
     total = " + ".join(months)
     complete = " AND ".join(f"{m} > 0" for m in months)
     part = f"PARTITION BY {', '.join(k)} " if keys else ""
+    s = seasonal_range(stats.select(*keys, F.col("LATEST_CY_START").alias("_L")).withColumn(CY, F.col("_L")), cy_from, cy_to).drop(CY)
     mat = monthly_matrix(cube, keys).selectExpr(
-        "*", f"({complete}) AS _COMPLETE",
+        "*", f"({complete}) AS _COMPLETE", f"{total} AS _TOT",
         f"({complete}) AND row_number() OVER ({part}ORDER BY ({complete}) DESC, {CY} DESC) <= {n} AS _REF")
-
-    year_rows = seasonal_range(mat, cy_from, cy_to).selectExpr(
-        *k, "'year' AS ROW_TYPE", f"{CY_LABEL} AS ROW_LABEL", CY,
-        *[f"nullif({m}, 0D) AS {m}" for m in months],
-        f"CASE WHEN _COMPLETE THEN {total} END AS TOTAL", f"CAST({CY} * 10 AS BIGINT) AS ROW_ORDER")
-
-    ref = mat.where("_REF").selectExpr("*", f"{total} AS _TOT").groupBy(*keys).agg(
-        F.expr("count(1) AS _N"),
-        *[F.expr(f"{fn}({c}) AS {fn}_{c}") for fn in ("min", "max", "avg") for c in [*months, "_TOT"]]).where("_N > 0")
-    ref_rows = None
-    for order_no, name in enumerate(["min", "max", "avg"], start=1):
-        r = ref.selectExpr(
-            *k, f"'{name}' AS ROW_TYPE", f"format_string('{name.title()} (L%dY)', _N) AS ROW_LABEL",
-            f"CAST(NULL AS INT) AS {CY}", *[f"{name}_{m} AS {m}" for m in months], f"{name}__TOT AS TOTAL",
-            f"CAST({10 ** 9 + order_no} AS BIGINT) AS ROW_ORDER")
-        ref_rows = r if ref_rows is None else ref_rows.unionByName(r)
-
-    s = seasonal_range(stats.select(*keys, F.col("LATEST_CY_START").alias(CY)), cy_from, cy_to)
-    latest = mat.join(s, [*keys, CY]) if keys else mat.join(F.broadcast(s), [CY])
-    avgs = ref.select(*keys, "_N", *[f"avg_{m}" for m in months])
-    vs = latest.join(avgs, keys) if keys else latest.crossJoin(avgs)
-    vs_rows = vs.selectExpr(
-        *k, "'vs_avg' AS ROW_TYPE", "format_string('vs Avg (L%dY)%%', _N) AS ROW_LABEL",
-        f"CAST(NULL AS INT) AS {CY}",
-        *[f"CASE WHEN avg_{m} > 0 AND {m} > 0 THEN ({m} / avg_{m} - 1) * 100 END AS {m}" for m in months],
-        "CAST(NULL AS DOUBLE) AS TOTAL", f"CAST({CY} * 10 + 5 AS BIGINT) AS ROW_ORDER")
-    return year_rows.unionByName(ref_rows).unionByName(vs_rows)
+    mat = mat.join(s, keys, "left") if keys else mat.join(F.broadcast(s), F.lit(True), "left")
+    values = [*months, "_TOT"]
+    aggs = [F.expr(f"max({c}) AS own_{c}") for c in values]                               # a year has one matrix row
+    aggs += [F.expr(f"{fn}({c}) FILTER (WHERE _REF) AS {fn}_{c}") for fn in ("min", "max", "avg") for c in values]
+    aggs += [F.expr(f"max({m}) FILTER (WHERE {CY} = _L) AS now_{m}") for m in months]
+    aggs += [F.expr("count_if(_REF) AS _N"), F.expr("bool_or(_COMPLETE) AS _DONE"), F.expr("max(_L) AS _LATEST"), F.grouping(CY).alias("_G")]
+    sets = [[*keys, CY, CY_LABEL], [*keys]]
+    rows = mat.groupingSets([[F.col(c) for c in g] for g in sets], *[F.col(c) for c in sets[0]]).agg(*aggs)
+    rows = rows.where((F.col("_G") == 1) | seasonal_range_of(cy_from, cy_to))
+
+    def row(kind: str, label: str, year: str, cells: list[str], tot: str, order: str) -> str:
+        fields = [f"'{kind}' AS ROW_TYPE", f"{label} AS ROW_LABEL", f"CAST({year} AS INT) AS {CY}",
+                  *[f"CAST({e} AS DOUBLE) AS {m}" for e, m in zip(cells, months)], f"CAST({tot} AS DOUBLE) AS TOTAL", f"CAST({order} AS BIGINT) AS ROW_ORDER"]
+        return f"struct({', '.join(fields)})"
+
+    year_row = row("year", CY_LABEL, CY, [f"nullif(own_{m}, 0D)" for m in months], "CASE WHEN _DONE THEN own__TOT END", f"{CY} * 10")
+    ref_rows = [row(name, f"format_string('{name.title()} (L%dY)', _N)", "NULL", [f"{name}_{m}" for m in months], f"{name}__TOT", str(10 ** 9 + i))
+                for i, name in enumerate(["min", "max", "avg"], start=1)]
+    vs_row = row("vs_avg", "format_string('vs Avg (L%dY)%%', _N)", "NULL",
+                 [f"CASE WHEN avg_{m} > 0 AND now_{m} > 0 THEN (now_{m} / avg_{m} - 1) * 100 END" for m in months], "NULL", "_LATEST * 10 + 5")
+    lines = (f"CASE WHEN _G = 0 THEN array({year_row}) WHEN _N = 0 THEN array() "
+             f"WHEN _LATEST IS NULL THEN array({', '.join(ref_rows)}) ELSE array({', '.join([*ref_rows, vs_row])}) END")
+    return rows.selectExpr(*k, f"inline({lines})")

@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 
 from ..dims import reference_dims
 from ..functions.calendar import crop_month_label, shift_months, with_calendar, with_crop_date, with_unit
-from ..operators import drill, enrich, filters, load, mirror, projection, series
+from ..operators import charts, drill, enrich, filters, load, mirror, projection, series
 from ..session import scratch_path
 from ..sources import commits, extract, files
+from ..sources.cubes import REPORTER_CUBE, read_cube, refresh_cube
+from ..sources.ordered import read_in_order, write_in_order
 from ..sources.table import read_table, recorded_audit, table_freshness, trade_path, upsert_table
 from ..streaming.upsert_stream import stream_upsert
-from ..operators.cutoff import common_cutoff_ym, display_trim
+from ..operators.cutoff import common_cutoff_ym, display_trim, period_stats
 from ..operators.filters import filter_trade
-from ..schema import (CM, COMMODITY_TAG, COTTON_COLUMNS, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER_STD,
-                      QTY1, REGION, REPORTER, REPORTER_REGION, VALUE, YEAR)
+from ..schema import (CM, COMMODITY_TAG, COTTON_COLUMNS, CY, CY_LABEL, DATE, FLOW, HS4, MONTH, PARTNER, PARTNER_STD,
+                      QTY, QTY1, REGION, REPORTER, REPORTER_REGION, VALUE, YEAR)
 from ..sources.table import test_dims
-from .common import (KEYS, RAW_COLUMNS, START, finish, materialize, pin, prepared, raw_trade,
+from .common import (KEYS, RAW_COLUMNS, START, UNIT, finish, materialize, pin, prepared, raw_trade,
                      reporter_cube, reuse, series_inputs, trade)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,10 +70,17 @@ def q_enrich_trade(spark, sf_dir):
     return finish(enrich.enrich_trade(raw_trade(spark, sf_dir), test_dims(spark, sf_dir)))
 
 
+REAL_NAMES = {f"NATION_{i}": name for i, name in enumerate(
+    ["Brazil", "India", "Vietnam", "Russia", "Kenya", "Peru", "Norway", "Australia", "South Korea", "Mexico", "Ghana", "Spain"])}
+
+
 @query("unmatched_partners")
 def q_unmatched_partners(spark, sf_dir):
-    """Partners the built-in country table does not know (the fixture nations)."""
-    return finish(enrich.unmatched_partners(raw_trade(spark, sf_dir), reference_dims(spark)))
+    """Partners the built-in country table does not know: half of the fixture
+    nations trade under a country's name (some by an alias), the others do not."""
+    names = F.create_map(*[F.lit(x) for pair in REAL_NAMES.items() for x in pair])
+    rows = raw_trade(spark, sf_dir).withColumn(PARTNER, F.coalesce(names[F.col(PARTNER)], F.col(PARTNER)))
+    return finish(enrich.unmatched_partners(rows, reference_dims(spark)))
 
 
 # -------------------------------------------------------------- calendar ---
@@ -111,6 +120,16 @@ def q_monthly_total(spark, sf_dir):
     return finish(series.monthly_total(_dated_cube(spark, sf_dir), KEYS))
 
 
+@query("monthly_total_in_order")
+def q_monthly_total_in_order(spark, sf_dir):
+    """Monthly totals by partner region written in period order; POSITION counts
+    the rows over the files as they lie."""
+    path = scratch_path(spark, "ordered")
+    cube = with_crop_date(_drill_cube(spark, sf_dir), START)
+    write_in_order(series.monthly_total(cube, KEYS, [REGION]), path, [*KEYS, REGION, DATE])
+    return finish(read_in_order(spark, path))
+
+
 # ---------------------------------------------------------------- cutoff ---
 @query("latest_period")
 def q_latest_period(spark, sf_dir):
@@ -204,6 +223,7 @@ def q_rolling_12m(spark, sf_dir):
 # ----------------------------------------------------------------- drill ---
 DRILL_PARTNERS = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_21"]
 DRILL_YEARS = [1997, 1998, 1999]
+CHOSEN_REPORTERS = ["NATION_12", "NATION_17", "NATION_0"]
 DRILL_MONTHS = [1, 2, 3, 4, 5, 6]
 DRILL_TAGS = ["Nitrogenous (N)", "Phosphatic (P)", "Other Fertilizer"]
 RANK_YEAR = 1999
@@ -261,6 +281,13 @@ def q_filter_domains_overview(spark, sf_dir):
     return finish(filters.filter_domains(trade(spark, sf_dir), KEYS, reporter_region="Asia", overview=True))
 
 
+@query("filter_domains_reporters")
+def q_filter_domains_reporters(spark, sf_dir):
+    """Lists that follow two chosen reporters (one more lies outside the region)."""
+    return finish(filters.filter_domains(trade(spark, sf_dir), KEYS, reporter_region="Asia", partner_region="Europe",
+                                         reporters=CHOSEN_REPORTERS))
+
+
 @query("seasonal_range")
 def q_seasonal_range(spark, sf_dir):
     return finish(filters.seasonal_range(_cube(spark, sf_dir)[2], 1997, 1999))
@@ -407,6 +434,39 @@ def q_projection_cumulative(spark, sf_dir):
     return finish(projection.projection_cumulative(cube, stats, proj, KEYS, base=base))
 
 
+@query("projection_totals")
+def q_projection_totals(spark, sf_dir):
+    """Totals of the methods per flow and reporter, remaining months or not."""
+    cube, stats, keys = _by_reporter(spark, sf_dir)
+    return finish(projection.projection_totals(cube, stats, keys))
+
+
+def _by_reporter(spark, sf_dir):
+    """(trimmed cube, stats, keys) with every reporter as a series of its own."""
+    keys = [FLOW, REPORTER]
+    rep = reporter_cube(spark, sf_dir)
+    stats = reuse(("repstats", trade_path(spark, sf_dir)), lambda: materialize(period_stats(rep, keys), "repstats"))
+    return display_trim(rep, keys, stats=stats), stats, keys
+
+
+@query("seasonal_chart")
+def q_seasonal_chart(spark, sf_dir):
+    """Actual, band and projected months of all shown crop years."""
+    cube, stats = _proj_inputs(spark, sf_dir)
+    base = _proj_base(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS, base=base)
+    return finish(charts.seasonal_chart(cube, stats, proj, KEYS, base=base))
+
+
+@query("latest_chart")
+def q_latest_chart(spark, sf_dir):
+    """Band, latest crop year and its projection."""
+    cube, stats = _proj_inputs(spark, sf_dir)
+    base = _proj_base(spark, sf_dir)
+    proj = projection.projection_ytd(cube, stats, KEYS, base=base)
+    return finish(charts.latest_chart(cube, stats, proj, KEYS, base=base))
+
+
 # ---------------------------------------------------------------- mirror ---
 MIRROR_LAG = 1
 
@@ -580,6 +640,20 @@ def q_full_reload_one_flow(spark, sf_dir):
     return finish(read_table(spark, path).select(*RAW_COLUMNS))
 
 
+@query("cube_after_upsert")
+def q_cube_after_upsert(spark, sf_dir):
+    """The reporter cube after an incremental load: only the years that the load
+    touched are summed again."""
+    stored, new = _stored_and_new(spark, sf_dir)
+    path, cube = scratch_path(spark, "table"), scratch_path(spark, "cube")
+    upsert_table(stored, path, full=True)
+    refresh_cube(spark, path, cube, REPORTER_CUBE)
+    upsert_table(new, path)
+    refresh_cube(spark, path, cube, REPORTER_CUBE)
+    rows = with_unit(with_calendar(read_cube(spark, cube), START), UNIT)
+    return finish(rows.select(FLOW, REPORTER, CY, CY_LABEL, CM, QTY))
+
+
 @query("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
     stored, new = _stored_and_new(spark, sf_dir)

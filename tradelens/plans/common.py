@@ -14,6 +14,7 @@ from ..operators.filters import filter_trade
 from ..schema import COMMODITY, FLOW, MONTH, PARTNER, QTY1, REPORTER, VALUE, YEAR
 from ..operators.series import monthly_cube
 from ..operators._util import small_table
+from ..sources import files
 from ..sources.table import load_trade, trade_path
 
 # Standard parameters of the registered queries.
@@ -46,9 +47,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     checkpoint, which computes its input twice), and the read-back carries
     real file sizes for the planner's broadcast choice.
     """
-    return small_table(df, label)
+    out = small_table(df, label)
+    _WRITTEN.append(out)
+    return out
 
 
+_WRITTEN: list[DataFrame] = []
 _PINNED: list[DataFrame] = []
 
 
@@ -79,10 +83,15 @@ def reuse(key: tuple, build):
 
 
 def clear_reuse() -> None:
-    """Forget shared intermediates (each later query builds its own)."""
+    """Forget shared intermediates and remove their files (each later query builds
+    its own). Results that still read them must be done."""
     _REUSE.clear()
     while _PINNED:
         _PINNED.pop().unpersist()
+    while _WRITTEN:
+        df = _WRITTEN.pop()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            files.delete(df.sparkSession, folder)
 
 
 def reporter_cube(spark: SparkSession, sf_dir: str, keys=KEYS, start: int = START, unit: str = UNIT):

@@ -191,6 +191,10 @@ SELECT {CAL_OUT} FROM (SELECT *, {_label(7)} AS CROP_YEAR FROM sc)""")
 q("monthly_total", base() + OVERVIEW + """
 SELECT FLOW AS flow, DATE AS date, round(sum(QTY), 6) AS qty FROM disp GROUP BY ALL""")
 
+q("monthly_total_in_order", base() + """
+SELECT flow, region, date, qty, row_number() OVER (ORDER BY flow, region, date) AS position
+FROM (SELECT FLOW AS flow, REGION AS region, DATE AS date, round(sum(QTY), 6) AS qty FROM c GROUP BY ALL)""")
+
 # ---------------------------------------------------------------- cutoff ---
 q("latest_period", base() + OVERVIEW + f"""
 SELECT FLOW AS flow, latest_cy_start,
@@ -330,22 +334,22 @@ WHERE {_in('PARTNER', ['NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_8
 q("drill_months", base() + DRILL + f"""
 SELECT {RAW_OUT}, CROP_YEAR_START AS crop_year_start, CROP_MONTH_NUM AS crop_month_num
 FROM droll WHERE CROP_MONTH_NUM IN (1, 2, 3)""")
-q("filter_domains", base() + """
-SELECT DISTINCT FLOW AS flow, 'reporter_region' AS domain, REPORTER_REGION AS value
-FROM enriched WHERE REPORTER_REGION IS NOT NULL
-UNION SELECT FLOW, 'reporter', REPORTER FROM enriched WHERE REPORTER_REGION = 'Asia' AND REPORTER IS NOT NULL
-UNION SELECT FLOW, 'region', REGION FROM enriched WHERE REPORTER_REGION = 'Asia' AND REGION IS NOT NULL
-UNION SELECT FLOW, 'partner', PARTNER FROM enriched
-      WHERE REPORTER_REGION = 'Asia' AND REGION = 'Europe' AND PARTNER IS NOT NULL
-UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched
-      WHERE REPORTER_REGION = 'Asia' AND COMMODITY_TAG IS NOT NULL""")
-q("filter_domains_overview", base() + """
+def _domains(reporters: str, partners: str, rows: str = "enriched") -> str:
+    """Choice lists with the place of each value in sorted order."""
+    return f"""
+SELECT flow, domain, value, CAST(row_number() OVER (PARTITION BY flow, domain ORDER BY value) AS INTEGER) AS position FROM (
 SELECT DISTINCT FLOW AS flow, 'reporter_region' AS domain, REPORTER_REGION AS value
 FROM enriched WHERE REPORTER_REGION IS NOT NULL
 UNION SELECT FLOW, 'reporter', REPORTER FROM enriched WHERE REPORTER_REGION = 'Asia' AND REPORTER IS NOT NULL
-UNION SELECT FLOW, 'region', REGION FROM enriched WHERE REGION IS NOT NULL
-UNION SELECT FLOW, 'partner', PARTNER FROM enriched WHERE PARTNER IS NOT NULL
-UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched WHERE COMMODITY_TAG IS NOT NULL""")
+UNION SELECT FLOW, 'region', REGION FROM enriched WHERE {reporters} AND REGION IS NOT NULL
+UNION SELECT FLOW, 'partner', PARTNER FROM enriched WHERE {reporters} AND {partners} AND PARTNER IS NOT NULL
+UNION SELECT FLOW, 'tag', COMMODITY_TAG FROM enriched WHERE {reporters} AND COMMODITY_TAG IS NOT NULL)"""
+
+
+q("filter_domains", base() + _domains("REPORTER_REGION = 'Asia'", "REGION = 'Europe'"))
+q("filter_domains_overview", base() + _domains("true", "true"))
+q("filter_domains_reporters", base() + _domains(
+    "REPORTER_REGION = 'Asia' AND REPORTER IN ('NATION_12', 'NATION_17')", "REGION = 'Europe'"))
 q("seasonal_range", base() + OVERVIEW + f"""
 SELECT FLOW AS flow, {CYO}, CROP_MONTH_NUM AS crop_month_num, round(QTY, 6) AS qty
 FROM cube WHERE CROP_YEAR_START BETWEEN 1997 AND 1999""")
@@ -451,12 +455,11 @@ SELECT FLOW AS flow, REGION AS region, PARTNER AS partner, {CYO}, round(QTY, 6)
 FROM sel""")
 q("top_partners", base() + DRILL + f""",
 pt AS (
-  SELECT FLOW, PARTNER FROM (
-    SELECT FLOW, PARTNER, row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS r
-    FROM dff GROUP BY FLOW, PARTNER) WHERE r <= 12
+  SELECT FLOW, PARTNER, CAST(row_number() OVER (PARTITION BY FLOW ORDER BY sum(QTY) DESC, PARTNER) AS INTEGER) AS rank
+  FROM dff GROUP BY FLOW, PARTNER
 )
-SELECT FLOW AS flow, PARTNER AS partner, {CYO}, round(sum(QTY), 6) AS qty
-FROM dff WHERE (FLOW, PARTNER) IN (SELECT (FLOW, PARTNER) FROM pt) GROUP BY ALL""")
+SELECT FLOW AS flow, PARTNER AS partner, rank, {CYO}, round(sum(QTY), 6) AS qty
+FROM dff JOIN pt USING (FLOW, PARTNER) WHERE rank <= 12 GROUP BY ALL""")
 q("partner_share_in_region", base() + DRILL + f""",
 py AS (SELECT FLOW, REGION, PARTNER, CROP_YEAR_START, CROP_YEAR, sum(QTY) AS QTY FROM dff GROUP BY ALL),
 pr AS (
@@ -617,6 +620,53 @@ SELECT FLOW AS flow, cy AS crop_year_start, cm AS crop_month_num, is_projected,
          AS cum_qty
 FROM steps""")
 
+_BAND_ROWS = " UNION ALL ".join(
+    f"SELECT FLOW, '{c}', CAST(NULL AS INTEGER), CROP_MONTH_NUM, round({c}, 6), false FROM band" for c in ("band_max", "band_min", "band_avg"))
+_AHEAD_ROWS = """
+SELECT st.FLOW, 'projection', st.latest_cy_start, st.common_month, round(sums.anchor_qty, 6), false
+FROM st JOIN sums USING (FLOW) WHERE sums.anchor_qty IS NOT NULL AND st.FLOW IN (SELECT FLOW FROM proj)
+UNION ALL SELECT FLOW, 'projection', latest_cy_start, cm, round(proj_qty, 6), true FROM proj"""
+q("seasonal_chart", base() + OVERVIEW + PROJ + f"""
+SELECT FLOW AS flow, 'year' AS series, CROP_YEAR_START AS crop_year_start, CROP_MONTH_NUM AS crop_month_num,
+       round(QTY, 6) AS qty, false AS is_projected FROM cube
+UNION ALL {_BAND_ROWS} UNION ALL {_AHEAD_ROWS}""")
+q("latest_chart", base() + OVERVIEW + PROJ + f""",
+months AS (SELECT FLOW, latest_cy_start, CAST(unnest(range(1, common_month + 1)) AS INTEGER) AS cm FROM st)
+SELECT months.FLOW AS flow, 'latest' AS series, latest_cy_start AS crop_year_start, cm AS crop_month_num,
+       round(latest_qty, 6) AS qty, false AS is_projected
+FROM months LEFT JOIN latest ON latest.FLOW = months.FLOW AND latest.CROP_MONTH_NUM = cm
+WHERE months.FLOW IN (SELECT FLOW FROM band)
+UNION ALL {_BAND_ROWS}
+UNION ALL SELECT * FROM ({_AHEAD_ROWS}) WHERE FLOW IN (SELECT FLOW FROM band)""")
+q("projection_totals", base() + """,
+ry AS (SELECT FLOW, REPORTER, CROP_YEAR_START AS cy, max(CROP_MONTH_NUM) AS mx FROM c GROUP BY ALL),
+rs AS (
+  SELECT FLOW, REPORTER, max(cy) AS lcy, arg_max(mx, cy) AS m, min(cy) AS ocy, count(*) AS n FROM ry GROUP BY ALL
+),
+rc AS (
+  SELECT c.FLOW, c.REPORTER, CROP_YEAR_START AS cy, CROP_MONTH_NUM AS cm, lcy, m, sum(QTY) AS qty
+  FROM c JOIN rs USING (FLOW, REPORTER)
+  WHERE (CROP_YEAR_START < lcy OR CROP_MONTH_NUM <= m) AND (n <= 1 OR CROP_YEAR_START > ocy) GROUP BY ALL
+),
+rann AS (SELECT FLOW, REPORTER, cy, sum(qty) AS annual FROM rc GROUP BY ALL HAVING count(CASE WHEN qty > 0 THEN 1 END) = 12),
+rref AS (
+  SELECT * FROM rann QUALIFY row_number() OVER (PARTITION BY FLOW, REPORTER ORDER BY cy DESC) <= 5
+),
+rshare AS (
+  SELECT FLOW, REPORTER, m, cm, avg(qty / annual) AS share FROM rc JOIN rref USING (FLOW, REPORTER, cy) GROUP BY ALL
+),
+ract AS (SELECT FLOW, REPORTER, sum(CASE WHEN cm <= m THEN share END) AS act FROM rshare GROUP BY ALL),
+rmean AS (SELECT FLOW, REPORTER, avg(annual) AS mean_annual FROM rref GROUP BY ALL),
+rytd AS (SELECT FLOW, REPORTER, coalesce(sum(qty) FILTER (WHERE cy = lcy AND cm <= m), 0) AS ytd FROM rc GROUP BY ALL),
+rt AS (
+  SELECT FLOW, REPORTER, lcy, m, ytd, CASE WHEN coalesce(act, 0) > 0 THEN ytd / act ELSE mean_annual END AS implied,
+         CASE WHEN coalesce(act, 0) > 0 THEN round_even(ytd / act, 0) ELSE 0 END AS target
+  FROM rs JOIN rytd USING (FLOW, REPORTER) LEFT JOIN ract USING (FLOW, REPORTER) LEFT JOIN rmean USING (FLOW, REPORTER)
+)
+SELECT FLOW AS flow, REPORTER AS reporter, lcy AS crop_year_start, m AS common_month, CAST(12 - m AS INTEGER) AS n_remaining,
+       round(ytd, 6) AS cy_ytd, round(implied, 6) AS implied_total, round(target, 6) AS target,
+       round(greatest(0, target - ytd), 6) AS remaining_budget FROM rt""")
+
 # ---------------------------------------------------------------- mirror ---
 MIRROR = """,
 canon AS (SELECT * FROM (VALUES ('NATION_23', 'Nation Twenty-Three'), ('NATION_24', 'Other')) v(NAME, STD)),
@@ -687,7 +737,9 @@ q("read_extract_cotton", base() + f"\nSELECT {RAW_OUT.replace(', round(VALUE, 2)
 q("table_freshness", base() + """
 SELECT FLOW AS flow, count(DISTINCT YEAR) AS n_partitions, count(*) AS rows,
        CAST(FLOW = 'I' AS BIGINT) AS n_strange, FLOW <> 'I' AS is_dated FROM trade GROUP BY FLOW""")
-q("unmatched_partners", base() + "\nSELECT PARTNER AS partner_std, count(*) AS n_rows FROM trade GROUP BY PARTNER")
+q("unmatched_partners", base() + """
+SELECT PARTNER AS partner_std, count(*) AS n_rows FROM trade
+WHERE CAST(replace(PARTNER, 'NATION_', '') AS INTEGER) >= 12 GROUP BY PARTNER""")
 q("full_reload_one_flow", base() + f"\nSELECT {RAW_OUT} FROM trade WHERE FLOW = 'I' OR YEAR <= 1998")
 q("extract_slice", base() + f"""
 SELECT {RAW_OUT}, HS4 AS hs4 FROM enriched
@@ -719,3 +771,7 @@ SELECT a.FLOW AS flow, coalesce(b.n, 0) AS rows_before, coalesce(f.n, 0) AS rows
 FROM a LEFT JOIN b USING (FLOW) LEFT JOIN f USING (FLOW)""")
 q("upsert_new_column", base() + f"""
 SELECT {_UPSERTED.replace("round(VALUE, 2)", "CASE WHEN YEAR >= 2000 THEN round(VALUE, 2) END")} FROM trade""")
+q("cube_after_upsert", base() + """
+SELECT FLOW AS flow, REPORTER AS reporter, CROP_YEAR_START AS crop_year_start, CROP_YEAR AS crop_year,
+       CROP_MONTH_NUM AS crop_month_num, round(sum(CASE WHEN YEAR = 2000 THEN 2 * QTY ELSE QTY END), 6) AS qty
+FROM c GROUP BY ALL""")

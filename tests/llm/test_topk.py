@@ -13,14 +13,11 @@ COLS = "vec_id long, embedding array<float>, label int"
 def brute(rows, k=20):
     fine = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    queries = {}
-    for i, v in fine:
-        if i % 20 == 0:
-            queries[i] = min(v, queries.get(i, v))
     out = []
-    for i, q in queries.items():
-        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in fine if j != i and len(v) == len(q))[:k]
-        out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]
+    for at, (i, q) in enumerate(fine):
+        if i % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for other, (j, v) in enumerate(fine) if other != at and len(v) == len(q))[:k]
+            out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored, 1)]
     return sorted(out)
 
 
@@ -47,7 +44,8 @@ def test_threshold_stops_early_and_stays_exact():
     rng = np.random.default_rng(0)
     v = rng.integers(-3, 4, (4000, 4)).astype(np.int32)
     v[:40] *= 100
-    shard = topk.Shard(4, np.arange(4000, dtype="<i8").tobytes(), v.astype("<i4").tobytes(), np.argsort(v, axis=0, kind="stable").T.astype("<i4").tobytes())
+    ids = np.arange(4000, dtype="<i8").tobytes()
+    shard = topk.Shard(4, ids, ids, v.astype("<i4").tobytes(), np.argsort(v, axis=0, kind="stable").T.astype("<i4").tobytes())
     depths = []
     for q in (np.array([1, 2, -1, 0]), np.array([50, -3, 1, 1]), np.array([0, 0, 0, 0])):
         best = topk.Best(20)
@@ -57,10 +55,29 @@ def test_threshold_stops_early_and_stays_exact():
     assert depths[0] < 1000  # a quarter of the lists; steps double
 
 
-def test_large_components_stay_exact():
-    v = np.array([[1 << 24, (1 << 24) - 1], [1 << 24, 1 << 24]] * 3, np.int32)
-    shard = topk.Shard(2, np.arange(6, dtype="<i8").tobytes(), v.astype("<i4").tobytes(), np.argsort(v, axis=0, kind="stable").T.astype("<i4").tobytes())
-    assert shard.scores(np.array([1 << 24, 1 << 24])).tolist() == (v.astype(np.int64) @ np.array([1 << 24, 1 << 24])).tolist()
+def test_large_components_stay_exact(spark):
+    """Components of any size a float holds, scores up to 63 bits, with an extra column."""
+    rng = random.Random(7)
+    rows = [(1, [1e6, 1e6]), (2, [3e5, 2e6]), (3, [2e6, 2e6]), (20, [1e6, 1e6]), (40, [-1e6, 2e6]), (60, [2.0**20, -(2.0**20)])]
+    rows += [(100 + i, [rng.uniform(-1, 1) * 10 ** rng.uniform(0, 7) for _ in range(2)]) for i in range(300)]
+    rows += [(1000, [2.0**50, 1.0, 0.0]), (1001, [0.0, 2.0**50, 1.0]), (1002, [1.0, -1.0, 1.0])]
+    df = spark.createDataFrame([(*r, 0, 1) for r in rows], COLS + ", Score int")
+    got = rows_of(topk.top_k(df))
+    assert got == brute(rows)
+    assert [r[2] for r in got if r[0] == 20][0] in {r[0] for r in rows if r[0] >= 3}
+
+
+def test_sums_beyond_a_long(spark):
+    rows = [(0, [2.0**24, 2.0**24]), (1, [2.0**27, -(2.0**27)]), (2, [2.0**26, -(2.0**26) + 8])]      # parts overflow, sums don't
+    assert rows_of(topk.top_k(spark.createDataFrame([(*r, 0) for r in rows], COLS))) == brute(rows)
+    for bad in ([(0, [2.0**40]), (1, [2.0**40])], [(0, [2.0**60]), (1, [0.0])]):
+        with pytest.raises(Exception, match="64-bit"):
+            topk.top_k(spark.createDataFrame([(*r, 0) for r in bad], COLS)).collect()
+
+
+def test_rows_that_repeat_a_vec_id(spark):
+    rows = [(20, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [3.0, 1.0]), (1, [1.0, 1.0])] * 3
+    assert rows_of(topk.top_k(spark.createDataFrame([(*r, 0) for r in rows], COLS))) == brute(rows)
 
 
 def test_empty(spark):

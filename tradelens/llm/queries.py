@@ -82,11 +82,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op7_threshold_topk": """
         WITH rows AS (
-            SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            SELECT row_number() OVER () AS rid, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         scored AS (
             SELECT q.rid, q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+                   CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
             FROM rows q JOIN rows c ON q.vec_id % 20 = 0 AND c.rid <> q.rid AND len(q.v) = len(c.v)),
         ranked AS (
             SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)

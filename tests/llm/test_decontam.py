@@ -10,7 +10,7 @@ from tradelens.llm.simhash import distance
 
 
 def brute(text, items):
-    """Every window of every item's size by the exact similarity and distance."""
+    """Every window of every item's size by the exact similarity alone."""
     words, found = re.findall(r"\w+", (text or "").lower()), {}
     for item, body in items:
         own = re.findall(r"\w+", (body or "").lower())
@@ -28,9 +28,8 @@ def brute(text, items):
         for s in range(len(words) - len(own) + 1):
             b = weights(words[s:s + len(own)])
             sim = 2 * sum((a & b).values()) / (a.total() + b.total())
-            d = (fp(a) ^ fp(b)).bit_count() if sim >= 0.8 else 99
-            if sim >= 0.8 and d <= decontam.RADIUS and (best is None or sim > best[3]):
-                best = (s, len(own), d, sim)
+            if sim >= 0.8 and (best is None or sim > best[3]):
+                best = (s, len(own), (fp(a) ^ fp(b)).bit_count(), sim)
         if best:
             found[item] = best
     return found
@@ -79,6 +78,40 @@ def test_multi_index_finds_all_within_radius():
             assert index.near(probe).tolist() == np.flatnonzero(distance(fps, probe) <= radius).tolist()
 
 
+def test_no_window_at_the_similarity_lies_beyond_the_radius():
+    """Items of 6 to 400 words with as many changed words as 0.8 allows."""
+    rng, lost, near = random.Random(11), 0, 0
+    for trial in range(1500):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((6, 10, 25, 30, 50, 100, 400)))]
+        other, changes = list(words), rng.choice((1, 1, 2, 4, 16))
+        for _ in range(changes):
+            other[rng.randrange(len(other))] = f"c{rng.randrange(10**6)}"
+        a, b = (Counter(decontam.shingles(w, 5)) for w in (words, other))
+        if decontam.similarity(a, b) >= 0.8:
+            fps = [int(decontam.fingerprints(decontam.hashed(list(c.elements())).sum(axis=0, dtype=np.int64), c.total())[0]) for c in (a, b)]
+            near, lost = near + 1, lost + ((fps[0] ^ fps[1]).bit_count() > decontam.RADIUS)
+    assert near > 500 and lost == 0
+
+
+def test_items_without_an_id_are_kept(spark):
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text, "en"), (2, "clean words only here", "en")], "doc_id long, text string, Item_id string")
+    benchmark = spark.createDataFrame([(None, text), (7, text), (None, "not there at all in any text")], "item_id long, text string")
+    assert [r[:2] for r in rows_of(decontam.contaminated(docs, benchmark))] == [(1, None), (1, 7)]
+    only = benchmark.where("item_id IS NULL")
+    assert rows_of(decontam.decontaminate(docs, only)) == [(2, "clean words only here", "en")]
+
+
+def test_plan_does_not_grow_with_the_blocks(spark, docs, monkeypatch):
+    benchmark = spark.createDataFrame([(i, f"item {i} of some words here") for i in range(60)], "item_id long, text string")
+    plans = []
+    for items in (100, 4):
+        monkeypatch.setattr(decontam, "ITEMS", items)
+        assert len(decontam.blocks(benchmark)) == (1 if items == 100 else 15)
+        plans.append([f(docs, benchmark)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") for f in (decontam.contaminated, decontam.decontaminate)])
+    assert plans == [[1, 1], [1, 1]]
+
+
 def test_contaminated_and_decontaminate(spark, docs, empty, monkeypatch):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     items, texts = planted()
@@ -90,7 +123,8 @@ def test_contaminated_and_decontaminate(spark, docs, empty, monkeypatch):
     want = sorted((r.doc_id, item, *m) for r in rows for item, m in index.matches(r.text).items())
     assert len(want) > 20
     assert rows_of(decontam.contaminated(docs, benchmark)) == want
-    monkeypatch.setattr(decontam, "ITEMS", 7)  # several blocks, same result
+    monkeypatch.setattr(decontam, "ITEMS", 7)  # several blocks and chunks, same result
+    monkeypatch.setattr(decontam, "CHUNK", 20_000)
     assert rows_of(decontam.contaminated(docs, benchmark)) == want
     kept = rows_of(decontam.decontaminate(docs, benchmark))
     assert kept == sorted((tuple(r) for r in rows if not index.matches(r.text)), key=lambda r: tuple((x is not None, x) for x in r))

@@ -11,12 +11,19 @@ similarity 2 * sum(min) / (sum + sum) of the shingles, ``SIMILARITY`` or more.
 
 Windows whose shingles the items of that size share too few of cannot reach
 the similarity; they are passed over before they are fingerprinted, without
-loss. Items go through in blocks of bounded size, however many there are.
+loss. ``RADIUS`` is set where no window at the similarity was seen to lie beyond
+it (README: trials and recall).
+
+The benchmark is dealt into blocks of bounded size, a file each in the shared
+folder. A task holds up to ``CHUNK`` bytes of documents and one block at a time,
+however many blocks there are; the plan does not depend on their number.
 
 Defined results: null and empty texts match nothing; items without words are
 no items; an item of fewer than five words is one shingle, its words; equal
-items are found together, each under its own item_id; rows with a null or
-repeated doc_id are matched row by row.
+items are found together, each under its own item_id, and those without an
+item_id together under a null one; rows with a null or repeated doc_id are
+matched row by row; texts of any length are read whole, long ones in
+overlapping parts; extra columns are kept by ``decontaminate`` and not read.
 """
 
 from __future__ import annotations
@@ -25,22 +32,24 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import bounded_batches, byte_slices
+from ._shared import bounded_batches, byte_slices, materialize, split_uri
 
 WORD = re.compile(r"\w+")
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 19, 4
-#: Items and text bytes of one block of the benchmark.
-ITEMS, ITEM_BYTES = 10_000, 4 << 20
+RADIUS, BLOCKS = 31, 8
+#: Items and text bytes of one block of the benchmark, text bytes of documents held together.
+ITEMS, ITEM_BYTES, CHUNK = 10_000, 4 << 20, 64 << 20
 #: Words of a text looked at together; longer texts go by overlapping parts.
 PART = 200_000
 
@@ -123,10 +132,11 @@ class Items:
                 self.has[group.k][s].append(n)
         self.longest = max(self.sizes, default=1)
 
-    def matches(self, text: str | None) -> dict[int, tuple[int, int, int, float]]:
+    def matches(self, text: str | None, best: dict | None = None) -> dict[int | None, tuple[int, int, int, float]]:
         """Item -> (start_word, n_words, distance, similarity) of its best
-        window (the first of equals)."""
-        best: dict[int, tuple] = {}
+        window (the first of equals). ``best`` holds finds of earlier blocks
+        and takes the new ones."""
+        best = {} if best is None else best
         for at, words in parts(text or "", self.longest):
             for k, known in self.has.items():
                 if len(words) < k or known.keys().isdisjoint(shingles(words, k)):
@@ -138,7 +148,7 @@ class Items:
                         hits[n].append(i)
                 for n, places in hits.items():
                     self.look(self.sizes[n], own, places, at, best)
-        return {item: (start, n, distance, sim) for item, (sim, start, n, distance) in best.items()}
+        return listed(best)
 
     def look(self, group: Sizes, own: list[str], places: list[int], at: int, best: dict) -> None:
         count = np.zeros(len(own) + 1, np.int64)
@@ -160,10 +170,20 @@ class Items:
                     if sim >= SIMILARITY:
                         new = (sim, at + start, group.size, int(np.bitwise_count(group.index.fps[i] ^ np.uint64(fp))))
                         for item in group.ids[i]:
-                            if item not in best or (sim, -new[1]) > (best[item][0], -best[item][1]):
+                            if item not in best or better(new) > better(best[item]):
                                 best[item] = new
 
 
+def better(found: tuple) -> tuple:
+    """Order of an item's windows: similarity, then the first, the shorter, the nearer."""
+    sim, start, n, distance = found
+    return sim, -start, -n, -distance
+
+
+def listed(best: dict) -> dict:
+    return {item: (start, n, distance, sim) for item, (sim, start, n, distance) in best.items()}
+
+
 def parts(text: str, overlap: int) -> Iterator[tuple[int, list[str]]]:
     """(first word's number, words): the whole text at once, or in parts that
     share ``overlap`` words, so that each window lies whole in one of them."""
@@ -183,16 +203,34 @@ def parts(text: str, overlap: int) -> Iterator[tuple[int, list[str]]]:
             return
 
 
-def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size, in order of item_id."""
+def blocks(benchmark: DataFrame) -> list[str]:
+    """Write the items with a text in blocks of about ``ITEMS`` rows and
+    ``ITEM_BYTES`` bytes; returns the blocks' files."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = max(1, -(-size.n // ITEMS), -(-size.bytes // ITEM_BYTES))
+    return sorted(materialize(rows.repartition(n), "benchmark-blocks").inputFiles())
+
+
+@lru_cache(maxsize=1)
+def load(path: str) -> Items:
+    """One block (a worker keeps the last one)."""
+    system, name = split_uri(path)
+    with system.open_input_file(name) as f:
+        table = pq.read_table(f)
+    return Items(sorted(zip(table.column("item_id").to_pylist(), table.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+
+
+def chunks(batches, column: str):
+    """Runs of record batches of about ``CHUNK`` bytes of text."""
     held, size = [], 0
-    rows = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        if held and (len(held) >= ITEMS or size + 4 * len(row.text) > ITEM_BYTES):
-            yield held
-            held, size = [], 0
-        held.append((row.item_id, row.text))
-        size += 4 * len(row.text)
+    for batch in batches:
+        for part in byte_slices(batch, column):
+            held.append(part)
+            size += part.column(column).nbytes
+            if size >= CHUNK:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 
@@ -200,41 +238,39 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document row and item found in it: doc_id, item_id and
     the best window (start_word, n_words, distance, similarity)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(MATCH).fields])
-    out = spark.createDataFrame([], schema)
-    for rows in blocks(benchmark):
-        shared = spark.sparkContext.broadcast(rows)
-
-        def run(batches, shared=shared):
-            items = Items(shared.value)
-            for batch in batches:
-                for part in byte_slices(batch, "text"):
-                    found = [(row, item, *m) for row, text in enumerate(part.column("text").to_pylist()) for item, m in sorted(items.matches(text).items())]
-                    if found:
-                        columns = list(zip(*found))
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column("doc_id").take(pa.array(columns[0])), *(pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())))],
-                            names=[f.name for f in schema.fields])
-
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(run, schema))
-    return out
+    bounded_batches(docs.sparkSession)
+    schema, files = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(MATCH).fields]), blocks(benchmark)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
+
+    def run(batches):
+        for held in chunks(batches, "text"):
+            texts = [part.column("text").to_pylist() for part in held]
+            best = [[{} for _ in part] for part in texts]
+            for path in files:
+                items = load(path)
+                for part, found in zip(texts, best):
+                    for text, own in zip(part, found):
+                        items.matches(text, own)
+            for part, found in zip(held, best):
+                rows = [(row, item, *m) for row, own in enumerate(found) for item, m in sorted(listed(own).items(), key=lambda x: (x[0] is None, x[0] or 0))]
+                if rows:
+                    columns = list(zip(*rows))
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(columns[0])), *(pa.array(c, t) for c, t in zip(columns[1:], kinds))],
+                                                     names=[f.name for f in schema.fields])
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    for rows in blocks(benchmark):
-        shared = spark.sparkContext.broadcast(rows)
-
-        def run(batches, shared=shared):
-            items = Items(shared.value)
-            for batch in batches:
-                for part in byte_slices(batch, "text"):
-                    clean = [not items.matches(text) for text in part.column("text").to_pylist()]
-                    yield part.filter(pa.array(clean, pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    bounded_batches(docs.sparkSession)
+    files = blocks(benchmark)
+
+    def run(batches):
+        for held in chunks(batches, "text"):
+            for path in files:
+                items = load(path)
+                held = [part.filter(pa.array([not items.matches(text) for text in part.column("text").to_pylist()], pa.bool_())) for part in held]
+            yield from held
+
+    return docs.mapInArrow(run, docs.schema)

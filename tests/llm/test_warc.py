@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF, rows_of
 from tradelens.llm import warc
@@ -65,5 +66,37 @@ def test_lookup_finds_all_captures_of_a_key(spark, tmp_path, monkeypatch):
     assert sorted((r.page_id, r.payload.decode()) for r in warc.read(found).collect()) == sorted((i, b) for i, u, b in pages if u in asked)
 
 
+def test_digest_is_that_of_the_payload_as_read(spark, tmp_path):
+    """A stored payload is altered in place, its header left as it is."""
+    captures = warc.write(spark.createDataFrame([(i, f"http://a.com/{i}", f"payload {i}") for i in range(3)], COLS).coalesce(1), f"{tmp_path}/w")
+    name = captures.first().file
+    raw = open(name.removeprefix("file://"), "rb").read()
+    out, places = b"", []
+    for r in sorted(captures.collect(), key=lambda r: r.offset):
+        member = gzip.decompress(raw[r.offset:r.offset + r.length]).replace(b"payload 1", b"PAYLOAD 1")
+        places.append((name, len(out), len(gzip.compress(member, mtime=0))))
+        out += gzip.compress(member, mtime=0)
+    with open(name.removeprefix("file://"), "wb") as f:
+        f.write(out)
+    got = {r.page_id: r.payload_digest for r in warc.read(spark.createDataFrame(places, "file string, offset long, length long")).collect()}
+    assert got == {i: warc.digest_of(b"PAYLOAD 1" if i == 1 else f"payload {i}".encode()) for i in range(3)}
+
+
+def test_reads_are_dealt_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LEAST", 1000)
+    rng = random.Random(3)
+    pages = [(i, f"http://a.com/{i}", "".join(rng.choices("abcdefgh ", k=3000))) for i in range(80)]
+    captures = warc.write(spark.createDataFrame(pages, COLS).coalesce(1), f"{tmp_path}/w")
+    read = warc.read(captures, payloads=False).withColumn("task", F.spark_partition_id())
+    rows = read.collect()
+    assert sorted(r.page_id for r in rows) == list(range(80)) and all(r.payload is None and r.payload_bytes == 3000 for r in rows)
+    assert len({r.task for r in rows}) > 1
+
+
+def test_columns_of_clashing_names(spark):
+    odd = spark.createDataFrame([(1, "http://a.com/", "x", "s", 3, "k"), (2, "http://a.com/", "x", "s", 3, "k")], COLS + ", Sha string, offset int, key string")
+    assert [r[0::3] for r in rows_of(warc.archive(odd))] == [(1, "response"), (2, "revisit")]
+
+
 def test_empty(spark):
     assert warc.archive(spark.createDataFrame([], COLS)).count() == 0

@@ -15,7 +15,9 @@ finished job lists them, so a repeated task leaves no trace in the result.
 Defined results: null html is an empty payload; a null url is the empty key;
 rows that repeat a page_id with the same payload are all responses if it is
 the smallest; a null page_id never is what others refer to, its row revisits
-an equal payload if there is one.
+an equal payload if there is one; payloads of any length are stored whole, one
+record each; no pages give no records; columns other than the three are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ from ._shared import bounded_batches, byte_slices, materialize, split_uri
 MIN_BYTES = 0
 #: Captures of an index block; bytes of one coalesced read of an archive.
 BLOCK, READ_BYTES = 512, 4 << 20
+#: Archive bytes that one reading task is dealt, and what makes a task worthwhile.
+DEAL, LEAST = 64 << 20, 1 << 20
 TRAILER = struct.Struct("<QQ8s")
 MAGIC = b"CAPINDX1"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -249,8 +253,20 @@ def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def read(captures: DataFrame, payloads: bool = True) -> DataFrame:
-    """Records of captures, by range reads that join neighbours in a file."""
-    rows = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    """Records of captures, by range reads that join neighbours in a file.
+
+    Size and digest of a response are those of the payload as read; a revisit
+    has those of its header. Captures are dealt by the bytes they stand for:
+    a file's stretches of ``DEAL`` bytes (less when there is little) each go to
+    one task. Written first, the captures are found once.
+    """
+    spark = captures.sparkSession
+    rows = materialize(captures.select("file", "offset", "length"), "warc-found")
+    total = rows.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    few = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // LEAST))
+    tasks = max(1, few, -(-total // DEAL))
+    rows = rows.withColumn("stretch", F.floor(F.col("offset") / max(1, total // tasks)))
+    rows = rows.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
 
     def run(batches):
         held = (None, None)
@@ -264,13 +280,19 @@ def read(captures: DataFrame, payloads: bool = True) -> DataFrame:
                 if held[0] != name:
                     held = (name, open_file(name))
                 data = held[1].read_at(end - start, start)
-                found = [parse(zlib.decompress(data[at - start:at - start + size], 31)) for _, at, size in todo[:n]]
+                found = [as_read(parse(zlib.decompress(data[at - start:at - start + size], 31))) for _, at, size in todo[:n]]
                 yield pa.RecordBatch.from_pylist([x if payloads else x | {"payload": None} for x in found], schema=ARROW)
                 todo = todo[n:]
 
     return rows.mapInArrow(run, RECORD)
 
 
+def as_read(fields: dict) -> dict:
+    """A response's size and digest from its payload."""
+    payload = fields["payload"]
+    return fields if payload is None else fields | {"payload_bytes": len(payload), "payload_digest": digest_of(payload)}
+
+
 ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
                    ("refers_to", pa.int64()), ("payload", pa.binary())])
 
@@ -282,6 +304,5 @@ def archive(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     folder = scratch_path(pages.sparkSession, "warc")
     captures = write(pages, folder, min_bytes)
     index = build_index(captures, folder)
-    found = read(lookup(index, captures))
-    return found.select("page_id", F.coalesce(F.octet_length("payload"), "payload_bytes").cast("long").alias("payload_bytes"),
-                        "payload_digest", "record_type", "refers_to")
+    found = read(lookup(index, captures), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

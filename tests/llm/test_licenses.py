@@ -14,8 +14,7 @@ def brute(text):
     """The same votes, spans and labels by plain loops."""
     words, base, labels, score = words_of(text), [], set(), 0.0
     found_base = set()
-    for number, (phrase, label) in enumerate(licenses.BASE + licenses.PASSAGES):
-        own = phrase.split()
+    for number, (own, label) in enumerate(licenses.all_templates()):
         steps = len(own) // licenses.WORDS_PER_STEP
         votes = {}
         for i in range(len(words) - 1):
@@ -46,9 +45,9 @@ def texts():
     rng = random.Random(6)
     out = ["MIT License", "mit license mit-license\x00MIT\nLicense", "the GNU General Public License and general public public license", "mit", "license mit", "É mit license K mit license",
            "general general public license", "Apache License " * 3000, "mit license" * 3]
-    for phrase, _ in licenses.BASE + licenses.PASSAGES:
+    for whole, _ in licenses.all_templates():
         for edit in range(4):
-            words = phrase.split()
+            words = list(whole)
             if edit == 1:
                 words[rng.randrange(len(words))] = "other"
             if edit == 2:
@@ -67,10 +66,29 @@ def test_scan_equals_brute_force(spark, docs):
     assert {"mit", "gpl", "bsd", "lgpl", "cc"} <= {x for r in got for x in r[6].split(",")}
 
 
-def test_plan_has_no_python_and_one_shuffle_of_rows(spark, docs):
+def test_whole_texts_with_edits(spark):
+    """Texts of 200 words and more, some words changed, left out and added; half a text is none."""
+    rng, rows = random.Random(9), []
+    long = [(words, label) for words, label in licenses.all_templates() if len(words) > 150]
+    assert max(len(w) for w, _ in long) > 200 and len(long) >= 2
+    for words, label in long:
+        for edits in (0, 6, 12):
+            own = list(words)
+            for _ in range(edits):
+                at = rng.randrange(len(own))
+                own[at:at + rng.randrange(2)] = rng.choice([["changed"], [], ["added", own[at]]])
+            rows.append((len(rows), "start " * rng.randrange(50) + " ".join(own) + " end", label))
+        rows.append((len(rows), " ".join(words[:len(words) // 2]), None))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, want string")).collect()}
+    for doc, text, label in rows:
+        assert tuple(got[doc]) == (doc, *brute(text))
+        assert label is None or label in got[doc].labels.split(",") and got[doc].score >= 0.8
+
+
+def test_plan_has_no_python_and_one_shuffle_of_matches(spark, docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2      # matches, then each document's few spans
 
 
 def test_empty(empty):

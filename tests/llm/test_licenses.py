@@ -16,11 +16,12 @@ def brute(text):
     found_base = set()
     for number, (own, label) in enumerate(licenses.all_templates()):
         steps = len(own) // licenses.WORDS_PER_STEP
-        votes = {}
+        votes, places = {}, {}
+        for j in range(len(own) - 1):
+            places.setdefault(tuple(own[j:j + 2]), []).append(j)
         for i in range(len(words) - 1):
-            for j in range(len(own) - 1):
-                if words[i:i + 2] == own[j:j + 2]:
-                    votes.setdefault(i - j, []).append((i, j))
+            for j in places.get(tuple(words[i:i + 2]), ()):
+                votes.setdefault(i - j, []).append((i, j))
         spans, last = [], None
         for d in sorted(votes):
             if last is None or d - last > steps:

@@ -85,6 +85,36 @@ def test_token_files(docs):
     assert rows_of(token_files.token_file_digests(docs, WORD)) == sorted(want, key=key)
 
 
+def test_word_numbers_equal_library(monkeypatch):
+    """Odd case, dots and white space, words of any length, and forgetting in between."""
+    lib, rng = LIBRARY[WORD], random.Random(5)
+    bits = ["\u00c9COLE.", "\u00c9t\u00c9, ", "a.", "A,b.", "don't.", "K\u212a.", "\u0130x.", "\u03a3\u03a3. ", "x\u0301.", "e.\u00a0f", "12.", "3,", "..", ".,", "z.\x0b", "q.\x1d", "\u00df.",
+            "<|EndOfText|>.", "W" * 9000 + ".", "\n", "\t", " ", "  ", "the cat, sat.", "\ufb01.", "\u2003"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 12))) for _ in range(150)] + ["", "word " * 60_000 + "w" * 80_000]
+    coded = [lib.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    for kept in (400_000, 3):
+        monkeypatch.setattr(token_files, "KEPT", kept)
+        words = token_files.WordIds(WORD)
+        for i in range(0, len(texts), 20):
+            ids, sizes = words.of(pa.array(texts[i:i + 20]), 1)
+            assert sizes.tolist() == [len(c) for c in coded[i:i + 20]] and ids.tolist() == [x for c in coded[i:i + 20] for x in c]
+
+
+def test_one_doc_id_in_many_files(spark):
+    rows = [(7, f"text {i:04d} of the same id") for i in range(600)] + [(None, f"null {i}") for i in range(200)] + [(8, "last")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, Start string").repartition(6)
+    lib, want, start = LIBRARY[WORD], [], 0
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1])):
+        ids = lib.encode(text, add_special_tokens=False).ids + [1]
+        want.append((doc, start, len(ids), zlib.crc32(u4(ids))))
+        start += len(ids)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows_of(token_files.token_file_digests(docs, WORD)) == sorted(want, key=key)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_added_tokens_in_other_cases_equal_library(spark):
     lib = LIBRARY[WORD]
     texts = ["<|ENDOFTEXT|>", "x<|EndOfText|>.", "a<|STARTOFTEXT|>b", "A<|endoftext|>B.", "<|endoftext|><|ENDOFTEXT|>, Ab.", "Plain <|StartOfText|>Cd, <|startoftext|>"]

@@ -18,7 +18,9 @@ repeated task leaves no trace in the result.
 
 Defined results: null text is an empty document (its ids are the end id
 alone); a document row with a repeated doc_id is stored as its own document,
-ordered by text; a null doc_id comes first.
+ordered by text; a null doc_id comes first; texts of any length are encoded
+whole; no rows give no files; columns other than doc_id and the text are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,15 +29,18 @@ import struct
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ._shared import bounded_batches, byte_slices, materialize, split_uri, text_of
-from .counts import WordMemo, added, encode_words, load, words_of
+from .counts import JOINED, STRINGS, added, encode_words, load, words_of
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -45,7 +50,13 @@ PERCENTILES = (95, 99)
 AT_ONCE = 512
 HEAD = struct.Struct("<IHHB")
 TRAILER = struct.Struct("<QQII8s")
-MANIFEST = "path string, first_doc long, first_null boolean, docs long, ids long, bytes long"
+MANIFEST = "place long, path string, docs long, ids long, bytes long"
+#: A last dot or comma behind an ASCII letter.
+LAST_DOT = r"([a-z])([.,])([ \t\n\r\f\v]|$)"
+#: Fixed value: what the vocabulary marks the last piece of a word with.
+WORD_END = "</w>"
+#: Words that a worker remembers, and their characters.
+KEPT, KEPT_CHARS = 800_000, 32 << 20
 
 
 def pack(ids: np.ndarray) -> list[bytes]:
@@ -152,8 +163,7 @@ class Writer:
                                 + docs["n"].astype("<u8").tobytes() + docs["null"].astype("u1").tobytes()))
         self._put(TRAILER.pack(offset, self.ids, len(self.starts), len(docs), MAGIC))
         self.file.close()
-        return {"path": self.uri, "first_doc": int(docs["doc"][0]), "first_null": bool(docs["null"][0]),
-                "docs": len(docs), "ids": self.ids, "bytes": self.at}
+        return {"path": self.uri, "docs": len(docs), "ids": self.ids, "bytes": self.at}
 
 
 class Reader:
@@ -182,10 +192,105 @@ class Reader:
         return unpack(data, self.starts[a:b] - self.starts[a])[start - a * BLOCK: start - a * BLOCK + n]
 
 
+class Numbers(dict):
+    """word -> number; a word met first takes the next one and joins ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+class WordIds:
+    """Ids of texts by their words. A word's ids are kept behind its number, so a
+    run of texts is numbered in one pass, its new words are encoded in batch
+    calls, and all ids are gathered at once.
+
+    ASCII letters are lowered and a last dot or comma behind an ASCII letter is
+    set apart first, as the tokenizer does itself (``check_boundary``); texts
+    that hold an added token in any case stay as they stand. All words are
+    forgotten when there are more than ``KEPT`` of them, or of their characters.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        self.added = added(self.tokenizer)
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("\u00c9COLE\u00c9 \u0130A", "\u00c9cole\u00c9 \u0130a")]
+        if ids[0] != ids[1]:
+            raise ValueError("this tokenizer doesn't take ASCII letters apart from case")
+        self.forget()
+
+    def forget(self) -> None:
+        self.number = Numbers()
+        self.size, self.start, self.blob, self.chars = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32), 0
+
+    def words(self, texts: pa.Array) -> list[list[str]]:
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), LAST_DOT, r"\1 \2\3")
+        parts = [words_of(t) for t in plain.to_pylist()]
+        for token in self.added:
+            for row in np.flatnonzero(pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)):
+                parts[row] = words_of(texts[row].as_py())
+        return parts
+
+    def of(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by ``end_id``; how many each has with it)."""
+        parts = self.words(texts)
+        n_words = np.array([len(p) for p in parts], np.int64)
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, int(n_words.sum()))
+        self.learn()
+        size = self.size[at]
+        ends = np.cumsum(size)
+        gather = np.repeat(self.start[at] - (ends - size), size) + np.arange(int(size.sum()))
+        sums = np.append(0, ends)[np.append(0, np.cumsum(n_words))]
+        ids = np.insert(self.blob[gather], sums[1:], np.uint32(end_id))
+        if len(self.number) > KEPT or self.chars > KEPT_CHARS:
+            self.forget()
+        return ids, np.diff(sums) + 1
+
+    def learn(self) -> None:
+        """Encode the new words and put their ids behind the others."""
+        new, base, coded = self.number.new, len(self.blob), [self.blob]
+        if not new:
+            return
+        size, start = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+
+        def put(group: list[int], ids: np.ndarray, ends: np.ndarray) -> None:
+            nonlocal base
+            size[group] = np.diff(ends, prepend=0)
+            start[group] = base + ends - size[group]
+            coded.append(ids)
+            base += len(ids)
+
+        plain = [i for i, w in enumerate(new) if w.isalpha()]
+        rest = [i for i, w in enumerate(new) if not w.isalpha()]
+        for i in range(0, len(plain), JOINED * STRINGS):
+            groups = [plain[j:j + JOINED] for j in range(i, min(len(plain), i + JOINED * STRINGS), JOINED)]
+            found = self.tokenizer.encode_batch_fast([" ".join(map(new.__getitem__, g)) for g in groups], add_special_tokens=False)
+            for group, ids in zip(groups, (np.array(e.ids, np.uint32) for e in found)):
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(group):
+                    put(group, ids, ends)
+                else:  # a word of several parts
+                    rest += group
+        for i in range(0, len(rest), JOINED * STRINGS):
+            part = rest[i:i + JOINED * STRINGS]
+            raw = encode_words(self.tokenizer, [new[n] for n in part])
+            put(part, np.frombuffer(b"".join(raw), "<u4"), np.cumsum([len(r) // 4 for r in raw]))
+        self.start, self.size, self.blob = np.append(self.start, start), np.append(self.size, size), np.concatenate(coded)
+        self.chars += sum(map(len, new))
+        new.clear()
+
+
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordMemo:
-    tokenizer = load(path)
-    return WordMemo(lambda words: encode_words(tokenizer, words), added(tokenizer))
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 1, text: str = "text") -> DataFrame:
@@ -193,29 +298,27 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 1, text: str =
     ``folder``; returns the manifest with each file's first id (``start``)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    # one row group per range of doc_id: files follow each other in that order
-    rows = (docs.select("doc_id", text_of(text).alias("_text")).repartitionByRange("doc_id")
+    # one file per range of (doc_id, text): files follow each other in that order,
+    # and many rows of one doc_id may take several
+    rows = (docs.select("doc_id", text_of(text).alias("_text")).repartitionByRange("doc_id", F.substring("_text", 1, 64))
             .sortWithinPartitions("doc_id", "_text"))
-    fields = ["path", "first_doc", "first_null", "docs", "ids", "bytes"]
+    fields = ["place", "path", "docs", "ids", "bytes"]
 
     def run(batches):
-        memo, end, out = word_ids(path), np.array([end_id], "<u4").tobytes(), None
+        known, out = word_ids(path), None
         for batch in batches:
             for part in byte_slices(batch, "_text"):
-                parts = [words_of(v) for v in part.column("_text").to_pylist()]
-                known = memo.of(parts)
-                coded = [b"".join(map(known, words)) + end for words in parts]
+                ids, sizes = known.of(part.column("_text"), end_id)
                 out = out or Writer(f"{folder}/tokens-{uuid.uuid4().hex}.pfor")
                 doc = part.column("doc_id")
-                out.add(doc.fill_null(0).to_numpy(zero_copy_only=False), doc.is_null().to_numpy(zero_copy_only=False),
-                        np.frombuffer(b"".join(coded), "<u4"), np.array([len(c) // 4 for c in coded], np.int64))
+                out.add(doc.fill_null(0).to_numpy(zero_copy_only=False), doc.is_null().to_numpy(zero_copy_only=False), ids, sizes)
         if out:
-            row = out.close()
+            row = out.close() | {"place": TaskContext.get().partitionId()}
             yield pa.RecordBatch.from_arrays([pa.array([row[f]]) for f in fields], names=fields)
 
     manifest = materialize(rows.mapInArrow(run, MANIFEST), "token-manifest")
     # one row per file; the running sum over all files is a single small window
-    before = Window.orderBy(F.col("first_null").desc(), "first_doc").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return materialize(manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0))), "token-manifest")
 
 

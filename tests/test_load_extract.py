@@ -66,7 +66,7 @@ def test_extract_encodings_round_trip(spark):
     extract.write_extract(df, f"{root}/d", encoding="UTF-8")
     encs = {os.path.basename(os.path.dirname(p.replace("file:", ""))): e
             for p, e in extract.inspect_files(spark, f"{root}/*").select("FILE", "ENCODING").collect()}
-    assert encs == {"a": "UTF-16", "b": "ISO-8859-1", "c": "UTF-8", "d": "UTF-8"}
+    assert encs == {"a": "UTF-16BE", "b": "ISO-8859-1", "c": "UTF-8", "d": "UTF-8"}
     want = sorted([("Côte d'Ivoire", 'say "hi"', 3.0), ("Brazil", None, 4.0), ("Brazil", None, 5.0)])
     for sub in "abcd":
         got = extract.read_extracts(spark, f"{root}/{sub}", "E").collect()
@@ -365,6 +365,80 @@ def test_short_row_stops_and_quoted_break_is_kept(spark):
         extract.read_extracts(spark, bad, "E").collect()
 
 
+def plain_rows(text):
+    """Records of an extract by a reader of the whole text."""
+    import csv
+    import io
+    rows = list(csv.reader(io.StringIO(text, newline=""), delimiter="\t"))
+    return sorted((r[0], r[1], float(r[6])) for r in rows[1:] if any(r))
+
+
+def quoted_text(seed, n=100):
+    """Fields with line breaks, doubled quotes, tabs inside quotes, quotes inside plain fields."""
+    import random
+    rng, out = random.Random(seed), HEAD
+    for i in range(n):
+        name = rng.choice([f"P{i}", f'"P{i}\nin two"', f'"P ""{i}"" q"', f'"tab\there {i}"', f'5" pipe {i}', f'"a\n\nb\n""c""\n{i}"', "\u0100\u0a05\u0100x", "\u00c9"])
+        out += f'"R{i}"\t{name}\t3101\t2020\t{i % 12 + 1}\t1\t{i}\n'
+    return out
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-16-le", "utf-16-be", "latin-1"])
+@pytest.mark.parametrize("size", ["300b", "128m"])
+def test_quoted_breaks_and_utf16_in_splits(spark, encoding, size):
+    text = quoted_text(3)
+    if encoding in ("latin-1", "utf-16-be"):
+        text = text.replace("\u0100\u0a05\u0100x", "y")
+    root = scratch_path(spark, "land")
+    land(root, "a.tsv", ("\ufeff" if "16" in encoding else "") + text, encoding)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        if "16" in encoding:        # this text has line-end bytes at odd places
+            assert [r.MODE for r in extract.inspect_files(spark, root).collect()] == [extract.WHOLE if encoding == "utf-16-le" else extract.RECORDS]
+        got = extract.read_extracts(spark, root, "E").select("REPORTER", "PARTNER", QTY1).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(tuple, got)) == plain_rows(text)
+
+
+@pytest.mark.parametrize("encoding, quoted", [("utf-16-le", False), ("utf-16-be", False), ("utf-16-le", True), ("utf-8", True)])
+def test_large_files_are_read_by_several_tasks(spark, encoding, quoted):
+    body = "".join(f"R{i}\t" + (f'"P{i}\nx"' if quoted and i % 50 == 0 else f"P{i}") + f"\t3101\t2020\t1\t1\t{i}\r\n" for i in range(2000))
+    root = scratch_path(spark, "land")
+    land(root, "a.tsv", ("\ufeff" if "16" in encoding else "") + HEAD + body, encoding)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        mode = extract.inspect_files(spark, root).first().MODE
+        lines = extract._lines(spark, root, encoding.upper().replace("16-", "16"))
+        assert lines.rdd.getNumPartitions() > 3 and mode == (extract.RECORDS if quoted else extract.LINES)
+        df = extract.read_extracts(spark, root, "E", arrival=True)
+        assert "multiLine" not in df._jdf.queryExecution().toString()
+        got = sorted((r.REPORTER, r.PARTNER, r[QTY1]) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted((f"R{i}", f"P{i}\nx" if quoted and i % 50 == 0 else f"P{i}", float(i)) for i in range(2000))
+
+
+def test_kinds_of_files_share_folders(spark):
+    """Folders of one kind are read as folders, mixed ones file by file."""
+    root = scratch_path(spark, "land")
+    line = "A\t{}\t3101\t2020\t1\t5\t6\n"
+    for i in range(3):
+        land(f"{root}/one", f"{i}.tsv", HEAD + line.format(f"u{i}"))
+    land(f"{root}/two", "a.tsv", HEAD + line.format("\u00e9"), "latin-1")
+    land(f"{root}/two", "b.tsv", HEAD + line.format("plain"))
+    land(f"{root}/two", "c.tsv", HEAD + line.format('"q\nr"'))
+    files = extract.inspect_files(spark, f"{root}/*")
+    assert sorted(r.MODE for r in files.collect()) == ["lines"] * 5 + ["records"]
+    assert len(extract._paths(files.where("ENCODING = 'UTF-8' AND MODE = 'lines'"), files)) == 2
+    got = sorted(r.PARTNER for r in extract.read_extracts(spark, f"{root}/*", "E").collect())
+    assert got == sorted(["u0", "u1", "u2", "\u00e9", "plain", "q\nr"])
+
+
 def test_cotton_ingest_low_water_and_full(spark):
     from tradelens.dims import reference_dims
     from tradelens.sources.ingest import ingest

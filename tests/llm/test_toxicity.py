@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -47,6 +48,46 @@ def test_gradients_match_differences():
         assert abs((sides[0] - sides[1]) / 2e-2 - grad[at]) < 2e-3
 
 
+def test_forward_pass_as_a_plain_loop():
+    """One text, number by number: gates of both directions, attention, the best window."""
+    net, rng = toxicity.Network(5), random.Random(2)
+    text = " ".join("".join(rng.choices("abcd\u00e9", k=rng.randrange(1, 6))) for _ in range(toxicity.WINDOW + 11))
+    w, h = {k: v.astype(float) for k, v in net.w.items()}, toxicity.HIDDEN
+    words, best = toxicity.words_of(text), -1.0
+    dot = lambda xs, ys: sum(float(x) * float(y) for x, y in zip(xs, ys))
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    vectors = []
+    for word in words:
+        buckets, grams, _ = toxicity.features([word])
+        vectors.append([*w["word"][buckets[0]], *(sum(w["char"][g][d] for g in grams) / math.sqrt(len(grams)) for d in range(toxicity.WIDTH))])
+    for start in toxicity.windows(len(words)):
+        inside, sides = vectors[start:start + toxicity.WINDOW], {}
+        for side in "fb":
+            state, states = [0.0] * h, []
+            for x in inside if side == "f" else inside[::-1]:
+                add = [dot(x, w[f"x{side}"][:, j]) + w[f"c{side}"][j] for j in range(3 * h)]
+                update = [sig(add[j] + dot(state, w[f"h{side}"][:, j])) for j in range(h)]
+                reset = [sig(add[h + j] + dot(state, w[f"h{side}"][:, h + j])) for j in range(h)]
+                held = [r * s for r, s in zip(reset, state)]
+                new = [math.tanh(add[2 * h + j] + dot(held, w[f"h{side}"][:, 2 * h + j])) for j in range(h)]
+                state = [s + u * (n - s) for s, u, n in zip(state, update, new)]
+                states.append(state)
+            sides[side] = states if side == "f" else states[::-1]
+        both = [f + b for f, b in zip(sides["f"], sides["b"])]
+        weight = [math.exp(dot([math.tanh(dot(s, w["att"][:, a]) + w["attb"][a]) for a in range(len(w["attb"]))], w["query"])) for s in both]
+        pooled = [sum(q * s[j] for q, s in zip(weight, both)) / sum(weight) for j in range(2 * h)]
+        best = max(best, sig(dot(pooled, w["out"]) + w["bias"][0]))
+    assert len(toxicity.windows(len(words))) > 1 and abs(toxicity.Scorer(net).score([text])[0] - best) < 1e-4
+
+
+def test_texts_that_share_a_doc_id_train_the_same_network(spark):
+    rows = corpus(60)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(i, t + " other") for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    one, two = (toxicity.fit(d, labels) for d in (docs, docs.repartition(5).orderBy("text")))
+    assert all(np.array_equal(one.w[k], two.w[k]) for k in one.w)
+
+
 def test_held_out_accuracy_and_contract(spark):
     rows = corpus()
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t, _ in rows] + [(9001, None, None, None, None), (9002, "", None, None, None), (None, "ba", None, None, None)], DOCS)
@@ -99,7 +140,7 @@ def test_few_labels_train_a_network(spark):
 
 def test_sample_is_chosen_among_usable_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE", 6)
-    monkeypatch.setattr(toxicity, "train_calibrated", lambda texts, labels: labels, raising=False)
+    monkeypatch.setattr(toxicity, "train_calibrated", lambda spark, texts, labels: labels, raising=False)
     rows = [(i, "ba " * (10_000 if i % 3 else 5), i % 2) for i in range(120)]
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t, _ in rows], DOCS)
     labels = spark.createDataFrame([(i, 0, y) for i, _, y in rows] + [(5000 + i, 0, i % 2) for i in range(100)], "doc_id long, quality int, toxic int")

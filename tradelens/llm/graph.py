@@ -2,8 +2,8 @@
 
 Every round writes its edges to the shared folder, so a lost executor repeats
 one round at most. Neighbour lists are never gathered: a node's smallest
-neighbour is an aggregate, and handing it on is a sort-merge join whose hot
-side Spark may split.
+neighbour is an aggregate, and it is handed on through ``SALTS`` shares of the
+node's links, so a star's centre is no single key of the join.
 """
 
 from __future__ import annotations
@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 from ._shared import materialize
 
 
+#: Shares that a node's links are dealt into.
+SALTS = 64
+
+
 def _mirrored(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _hand_on(links: DataFrame) -> DataFrame:
     """Each (node, neighbour) with the smallest of the node and its neighbours."""
-    least = links.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    return links.join(least.hint("merge"), "a")
+    links = links.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    shares = links.groupBy("a", "s").agg(F.min("b").alias("m"))  # SALTS rows a node at most
+    least = shares.groupBy("a").agg(F.least("a", F.min("m")).alias("m"))
+    shares = shares.select("a", "s").join(least.hint("merge"), "a")
+    return links.join(shares.hint("merge"), ["a", "s"]).drop("s")
 
 
 def components(edges: DataFrame) -> DataFrame:

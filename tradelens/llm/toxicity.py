@@ -19,12 +19,13 @@ one by one.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -277,16 +278,30 @@ def calibration(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return best[1:]
 
 
-def train_calibrated(texts: list[str], labels: list[int]) -> Network:
-    """A network of all documents, its logits calibrated by cross-validation."""
+def train_calibrated(spark: SparkSession, texts: list[str], labels: list[int]) -> Network:
+    """A network of all documents, its logits calibrated by cross-validation. The
+    folds' trainings and the last one are independent: a Spark task each."""
     label, fold, logit = np.array(labels), np.empty(len(labels), int), np.zeros(len(labels))
     for kind in (0, 1):
         fold[label == kind] = (np.arange((label == kind).sum()) + kind) % FOLDS
-    for f in np.unique(fold):
-        seen, other = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-        p = Scorer(train([texts[i] for i in seen], label[seen].tolist())).score([texts[i] for i in other])
-        logit[other] = np.log(np.clip(p, 1e-7, 1 - 1e-7) / np.clip(1 - p, 1e-7, 1))
-    net = train(texts, labels)
+    shared = spark.sparkContext.broadcast((texts, label, fold))  # the bounded sample
+    last = FOLDS
+
+    def run(batches):
+        texts, label, fold = shared.value
+        for f in (f for batch in batches for f in batch.column(0).to_pylist()):
+            seen, other = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            net = train([texts[i] for i in seen], label[seen].tolist()) if f == last or len(other) else None
+            p = Scorer(net).score([texts[i] for i in other]) if len(other) else np.empty(0)
+            weights = pickle.dumps(net.w) if f == last else None
+            yield pa.RecordBatch.from_arrays([pa.array([f]), pa.array([p.astype("<f8").tobytes()]), pa.array([weights], pa.binary())], names=["fold", "scores", "weights"])
+
+    net = Network.__new__(Network)
+    for row in spark.range(0, last + 1, 1, last + 1).mapInArrow(run, "fold long, scores binary, weights binary").collect():  # weights: under 1 MB
+        p = np.frombuffer(row.scores, "<f8")
+        logit[fold == row.fold] = np.log(np.clip(p, 1e-7, 1 - 1e-7) / np.clip(1 - p, 1e-7, 1))
+        if row.weights is not None:
+            net.w = pickle.loads(row.weights)
     slope, bias = calibration(logit, label)
     net.w["out"] = (slope * net.w["out"]).astype(np.float32)
     net.w["bias"] = (slope * net.w["bias"] + bias).astype(np.float32)
@@ -309,13 +324,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     for kind in (0, 1):  # ids by hash, then a join with these few
         part = marked.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = usable.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    # of the texts that share a doc_id the first in order
+    rows = usable.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy())
     texts, kinds = rows.column("text").take(order).to_pylist(), rows.column("toxic").take(order).to_pylist()
     used = [(t, k) for t, k in zip(texts, kinds) if WORD.search(t)]
     if len({k for _, k in used}) < 2:
         return None
-    return train_calibrated([t for t, _ in used], [k for _, k in used])
+    return train_calibrated(docs.sparkSession, [t for t, _ in used], [k for _, k in used])
 
 
 def score(docs: DataFrame, net: Network | None, text: str = "text", out: str = "score") -> DataFrame:

@@ -69,6 +69,13 @@ def test_token_counts(docs):
     assert rows_of(counts.token_counts(docs, WORD)) == sorted(want, key=key)
 
 
+def test_counts_of_very_long_texts_and_clashing_columns(spark):
+    texts = ["word, next. " * 20_000, "w" * 90_000 + ".", "x y " * 50_000 + "Z" * 7000]
+    docs = spark.createDataFrame([(i, t, "s", 5) for i, t in enumerate(texts)], "doc_id long, text string, _source string, N_tokens int")
+    want = [(i, len(t.encode()), n := len(LIBRARY[WORD].encode(t, add_special_tokens=False).ids), n > 2048) for i, t in enumerate(texts)]
+    assert rows_of(counts.token_counts(docs, WORD)) == want
+
+
 def test_counts_refuse_a_tokenizer_that_keeps_blanks():
     with pytest.raises(ValueError):
         counts.load(BYTE)

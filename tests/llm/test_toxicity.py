@@ -145,3 +145,11 @@ def test_sample_is_chosen_among_usable_texts(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t, _ in rows], DOCS)
     labels = spark.createDataFrame([(i, 0, y) for i, _, y in rows] + [(5000 + i, 0, i % 2) for i in range(100)], "doc_id long, quality int, toxic int")
     assert sorted(toxicity.fit(docs, labels)) == [0] * 6 + [1] * 6
+
+
+def test_columns_of_clashing_names(spark):
+    rows = corpus(60)
+    docs = spark.createDataFrame([(i, t, 7.0, "x", 1) for i, t, _ in rows], "doc_id long, text string, Score double, label string, toxic int")
+    labels = spark.createDataFrame([(i, y, "x") for i, _, y in rows], "doc_id long, toxic int, Text string")
+    got = toxicity.toxicity(docs, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 60 and got.where("score = 7").count() == 0

@@ -7,7 +7,8 @@ concatenates the vocabulary strings.
 
 Defined results: null text counts as empty and has no ids; repeated rows are
 encoded one by one; ids outside the vocabulary are skipped when decoding; an
-input column named like an output column is replaced by it.
+input column named like an output column is replaced by it, others are kept;
+texts of any length are encoded whole; no rows give no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ conversations is a tree of one branch, its rows ordered by turn, role, text
 (null turns first), so repeated rows stay as turns of their own; rows with a
 null conv_id form one conversation of that id; among leaves of equal score the
 smallest node leads; nodes whose parent is missing are roots; nodes on a cycle
-belong to no path and are left out.
+belong to no path and are left out; texts of any length stand whole in their
+turn; no rows give no conversations; other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ their lengths are kept. ``check_boundary`` refuses a tokenizer for which these
 cuts are not safe.
 
 Defined results: null and empty texts have no bytes and no tokens; repeated
-rows are counted one by one.
+rows are counted one by one; texts of any length are counted whole; no rows
+give no rows; a column named like the count is replaced by it, others are kept.
 """
 
 from __future__ import annotations

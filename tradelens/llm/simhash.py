@@ -15,7 +15,9 @@ Spark.
 Defined results: null and empty texts and texts of blanks have fingerprint
 zero and are linked like any other; repeated rows share their fingerprint, and
 rows of one group that repeat a doc_id count as several rows of that group;
-rows with a null doc_id get their group's component, null if all are null.
+rows with a null doc_id get their group's component, null if all are null;
+texts of any length are fingerprinted whole, from runs of their words; no rows
+give no rows; ``deduplicate`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ seen them, to the sample's share of toxic documents.
 
 Defined results: null and empty texts, and texts without words, score 0; with
 no labelled document of a class, every document scores 0; repeated label rows of a document count once, toxic if one of them is; rows
-whose doc_id is null take no part in training. Repeated documents are scored
-one by one.
+whose doc_id is null take no part in training; of texts that share a labelled
+doc_id the first in order is learned. Repeated documents are scored one by one;
+texts of any length are scored by all their windows; no rows give no rows; a
+column named like the score is replaced by it, others are kept.
 """
 
 from __future__ import annotations

@@ -78,13 +78,12 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
         if fs.getUri().getScheme() != "file":
             return bool(fs.rename(aside, p))
         local = [spark._jvm.java.io.File(q.toUri().getPath()).toPath() for q in (p, aside)]
-        try:
-            spark._jvm.java.nio.file.Files.createLink(*local)
-        except Py4JJavaError as e:
-            if "FileAlreadyExistsException" in str(e.java_exception):
-                return False
-            raise
+        spark._jvm.java.nio.file.Files.createLink(*local)
         return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
     finally:
         fs.delete(aside, False)
 

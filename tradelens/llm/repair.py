@@ -11,8 +11,9 @@ range, so a conversation of any length spreads over tasks, in blocks of
 come from a backward pass over these matrices, and each block then recomputes
 its own vectors from its checkpoint and walks forward, emitting the ASCII-least
 tight edit. A block that is not its conversation's first walks from every
-state; a forward pass over the blocks' exits picks the walk that took place.
-Blocks and rows are both about the square root of what a task meets at a time.
+state; a forward pass over the blocks' exits picks the walk that took place. A
+block is the square root of a million rows, so a task that passes over the
+blocks of a conversation meets a thousandth of its rows.
 
 Defined results: rows stand by turn (null first), then role, then text; equal
 rows are one row and its copies. A null role or text is one space. A row
